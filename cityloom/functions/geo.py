@@ -15,18 +15,17 @@ _REACH_SHARE = 1e-3
 _REACH_M = 0.1
 
 
-def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance in metres, well conditioned at every distance."""
-    h = (
-        F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2)
-        + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2))
-        * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
+def haversine_m(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    """Great-circle distance in metres between points given as columns or SQL expressions; well
+    conditioned at every distance."""
+    return F.expr(
+        f"asin(sqrt(least(1D, power(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1}))"
+        f" * cos(radians({lat2})) * power(sin(radians({lon2} - {lon1}) / 2), 2)))) * {2 * EARTH_RADIUS_M}D"
     )
-    return F.asin(F.sqrt(F.least(F.lit(1.0), h))) * (2 * EARTH_RADIUS_M)
 
 
 def cosine_law_m(
-    lat1: Column, lon1: Column, lat2: Column, lon2: Column, *, clamp: bool = True, scaled: bool = False
+    lat1: str, lon1: str, lat2: str, lon2: str, *, clamp: bool = True, scaled: bool = False
 ) -> Column:
     """Great-circle distance by the spherical law of cosines.
 
@@ -34,12 +33,12 @@ def cosine_law_m(
     which no radius test keeps. ``scaled`` multiplies the arc by 180/pi as the published figures do,
     so a limit of 500 there means 500/57.2958 = 8.73 metres.
     """
-    p1, p2 = F.radians(lat1), F.radians(lat2)
-    cosine = F.cos(p1) * F.cos(p2) * F.cos(F.radians(lon1) - F.radians(lon2)) + F.sin(p1) * F.sin(p2)
-    if clamp:
-        cosine = F.least(F.lit(1.0), cosine)
-    arc = F.acos(cosine)
-    return (F.degrees(arc) if scaled else arc) * EARTH_RADIUS_M
+    cosine = (
+        f"cos(radians({lat1})) * cos(radians({lat2})) * cos(radians({lon1}) - radians({lon2}))"
+        f" + sin(radians({lat1})) * sin(radians({lat2}))"
+    )
+    arc = f"acos(least(1D, {cosine}))" if clamp else f"acos({cosine})"
+    return F.expr(f"{f'degrees({arc})' if scaled else arc} * {EARTH_RADIUS_M}D")
 
 
 @dataclass(frozen=True)
@@ -57,7 +56,7 @@ class Distance:
     def metres_per_unit(self) -> float:
         return math.pi / 180 if self.formula == "scaled_degrees" else 1.0
 
-    def __call__(self, lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    def __call__(self, lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
         if self.formula == "haversine":
             return haversine_m(lat1, lon1, lat2, lon2)
         return cosine_law_m(
@@ -93,38 +92,28 @@ def with_lat_lon_from_utm(
         7 * n**2 / 3 - 8 * n**3 / 5,
         56 * n**3 / 15,
     )
-    xi0, eta0 = F.col("__xi0"), F.col("__eta0")
-    xi, eta = xi0, eta0
+    xi, eta, phi = "__xi0", "__eta0", "__chi"
     for j, b in enumerate(beta, start=1):
-        xi = xi - F.sin(xi0 * (2 * j)) * F.cosh(eta0 * (2 * j)) * b
-        eta = eta - F.cos(xi0 * (2 * j)) * F.sinh(eta0 * (2 * j)) * b
-    conformal = F.col("__chi")
-    geodetic = conformal
+        xi += f" - {b!r}D * sin(__xi0 * {2 * j}) * cosh(__eta0 * {2 * j})"
+        eta += f" - {b!r}D * cos(__xi0 * {2 * j}) * sinh(__eta0 * {2 * j})"
     for j, d in enumerate(delta, start=1):
-        geodetic = geodetic + F.sin(conformal * (2 * j)) * d
-    longitude = F.degrees(F.atan2(F.sinh(F.col("__eta")), F.cos(F.col("__xi")))) + (6.0 * zone - 183.0)
+        phi += f" + {d!r}D * sin(__chi * {2 * j})"
+    lambda_ = f"degrees(atan2(sinh(__eta), cos(__xi))) + {6.0 * zone - 183.0}D"
     # Steps used more than once are columns of their own, which keeps each expression short. The
     # generator at the end stops later filters from being pushed down as a copy of the whole series.
-    kept = [c for c in df.columns if c not in (lat, lon)]
+    kept = [f"`{c}`" for c in df.columns if c not in (lat, lon)]
     return (
-        df.withColumns(
-            {
-                "__xi0": (F.col(y) - (1e7 if south else 0.0)) / meridian,
-                "__eta0": (F.col(x) - 500000.0) / meridian,
-            }
+        df.selectExpr(
+            "*",
+            f"(`{y}` - {1e7 if south else 0.0}D) / {meridian!r}D AS __xi0",
+            f"(`{x}` - 500000D) / {meridian!r}D AS __eta0",
         )
-        .withColumns({"__xi": xi, "__eta": eta})
-        .withColumn("__chi", F.asin(F.sin(F.col("__xi")) / F.cosh(F.col("__eta"))))
-        .select(*kept, F.inline(F.array(F.struct(F.degrees(geodetic).alias(lat), longitude.alias(lon)))))
+        .selectExpr("*", f"{xi} AS __xi", f"{eta} AS __eta")
+        .selectExpr("*", "asin(sin(__xi) / cosh(__eta)) AS __chi")
+        .selectExpr(*kept, f"inline(array(struct(degrees({phi}), {lambda_}))) AS (`{lat}`, `{lon}`)")
     )
 
 
-def _not_null(cell: Column) -> Column:
-    """Declare a cell number as never null. A join on it then needs no null test, which the optimiser
-    would push down to the scan as a copy of the expression."""
-    return F.coalesce(cell, F.lit(-1).cast("bigint"))
-
-
 @dataclass(frozen=True)
 class SphereGrid:
     """Cells on the sphere for radius searches.
@@ -151,78 +140,79 @@ class SphereGrid:
     def height(self) -> float:
         return min(self.reach_deg / self.per_radius, 180.0)
 
-    def row(self, lat: Column) -> Column:
-        return F.floor((lat + 90.0) / self.height)
+    def _row(self, lat: str) -> str:
+        return f"floor(({lat} + 90D) / {self.height!r}D)"
 
-    def cells_in_row(self, row: Column) -> Column:
-        south = row * self.height - 90.0
-        nearest_equator = F.greatest(F.lit(0.0), south, -(south + self.height))
-        whole = F.floor(F.cos(F.radians(F.least(F.lit(90.0), nearest_equator))) * (360.0 / self.height))
-        return F.greatest(F.lit(1).cast("bigint"), whole)
+    def _cells_in_row(self, row: str) -> str:
+        south = f"({row} * {self.height!r}D - 90D)"
+        nearest_equator = f"least(90D, greatest(0D, {south}, -({south} + {self.height!r}D)))"
+        return f"greatest(1L, floor(cos(radians({nearest_equator})) * {360.0 / self.height!r}D))"
 
-    def add_cell(self, df: DataFrame, lat: Column, lon: Column, row: str, cell: str) -> DataFrame:
-        """Add the cell every point lies in. Coordinates must not be null."""
+    def add_cell(self, df: DataFrame, lat: str, lon: str, row: str, cell: str) -> DataFrame:
+        """Add the cell every point lies in. Coordinates must not be null.
+
+        The numbers are declared as never null: a join on them then needs no null test, which the
+        optimiser would push down to the scan as a copy of the expression.
+        """
+        kept = [f"`{c}`" for c in df.columns]
         return (
-            df.withColumn(row, _not_null(self.row(lat)))
-            .withColumn("__n", self.cells_in_row(F.col(row)))
-            .withColumn(cell, _not_null(F.pmod(F.floor((lon + 180.0) * F.col("__n") / 360.0), F.col("__n"))))
-            .drop("__n")
+            df.selectExpr("*", f"coalesce({self._row(lat)}, -1L) AS {row}")
+            .selectExpr("*", f"{self._cells_in_row(row)} AS __n")
+            .selectExpr(*kept, row, f"coalesce(pmod(floor(({lon} + 180D) * __n / 360D), __n), -1L) AS {cell}")
         )
 
-    def explode_reach(self, df: DataFrame, lat: Column, lon: Column, row: str, cell: str) -> DataFrame:
+    def explode_reach(
+        self, df: DataFrame, lat: str, lon: str, row: str, cell: str, *bounds: str
+    ) -> DataFrame:
         """One row per cell that the search circle's bounding box touches; no cell twice.
 
-        Adds ``__u``, the cell number before wrap-around, ``__n``, the cells in the row, and
-        ``__round``, whether the box goes all the way round the row.
+        ``bounds`` may name two columns for a lower and an upper bound of sin^2(d/2R), d being the
+        distance from the point to any point of the cell.
         """
-        reach = self.reach_deg
-        sine = F.lit(math.sin(math.radians(min(reach, 90.0))))
-        half_width = F.when(F.abs(lat) + reach >= 90.0, F.lit(180.0)).otherwise(
-            F.degrees(F.asin(F.least(F.lit(1.0), sine / F.cos(F.radians(lat))))) + 1e-9
-        )
-        rows = F.sequence(
-            self.row(F.greatest(F.lit(-90.0), lat - reach)), self.row(F.least(F.lit(90.0), lat + reach))
+        kept = [f"`{c}`" for c in df.columns]
+        reach = f"{self.reach_deg!r}D"
+        sine = f"{math.sin(math.radians(min(self.reach_deg, 90.0)))!r}D"
+        half = (
+            f"if(abs({lat}) + {reach} >= 90D, 180D,"
+            f" degrees(asin(least(1D, {sine} / cos(radians({lat}))))) + 1e-9D)"
         )
-        n = F.col("__n")
-        first = F.floor((lon - F.col("__half") + 180.0) * n / 360.0)
-        last = F.floor((lon + F.col("__half") + 180.0) * n / 360.0)
-        return (
-            df.withColumn("__half", half_width)
-            .withColumn(row, F.explode(rows))
-            .withColumn("__n", self.cells_in_row(F.col(row)))
-            .withColumns({"__first": first, "__last": last})
-            .withColumn("__round", F.col("__last") - F.col("__first") + 1 >= n)
-            .withColumn(
-                "__u", F.explode(F.sequence(F.col("__first"), F.least(F.col("__last"), F.col("__first") + n - 1)))
+        rows = f"sequence({self._row(f'greatest(-90D, {lat} - {reach})')}, {self._row(f'least(90D, {lat} + {reach})')})"
+        cells = (
+            df.selectExpr("*", f"{half} AS __half", f"explode({rows}) AS {row}")
+            .selectExpr("*", f"{self._cells_in_row(row)} AS __n")
+            .selectExpr(
+                *kept, row, "__n",
+                f"floor(({lon} - __half + 180D) * __n / 360D) AS __first",
+                f"floor(({lon} + __half + 180D) * __n / 360D) AS __last",
             )
-            .withColumn(cell, _not_null(F.pmod(F.col("__u"), n)))
-            .drop("__half", "__first", "__last")
+            .selectExpr("*", "explode(sequence(__first, least(__last, __first + __n - 1))) AS __u")
         )
-
-    def cell_haversines(self, lat: Column, lon: Column, row: Column) -> tuple[Column, Column]:
-        """Lower and upper bound of sin^2(d/2R) from a point to a cell of ``explode_reach``."""
-        south = row * self.height - 90.0
-        north = F.least(F.lit(90.0), south + self.height)
-        width = F.lit(360.0) / F.col("__n")
-        west = F.col("__u") * width - 180.0
-        east = west + width
-        zero = F.lit(0.0)
-        lat_min = F.greatest(zero, south - lat, lat - north)
-        lat_max = F.greatest(F.abs(lat - south), F.abs(north - lat))
-        lon_min = F.greatest(zero, west - lon, lon - east)
-        # All round the row a cell may be nearer the other way than the unwrapped difference says.
-        lon_min = F.when(F.col("__round"), zero).otherwise(lon_min)
-        lon_max = F.least(F.lit(180.0), F.greatest(F.abs(lon - west), F.abs(east - lon)))
-        cos_south, cos_north = F.cos(F.radians(south)), F.cos(F.radians(north))
-        cos_min = F.greatest(zero, F.least(cos_south, cos_north))
-        cos_max = F.when((south <= 0) & (north >= 0), F.lit(1.0)).otherwise(
-            F.greatest(cos_south, cos_north)
+        number = f"coalesce(pmod(__u, __n), -1L) AS {cell}"
+        if not bounds:
+            return cells.selectExpr(*kept, row, number)
+        low, high = bounds
+        gaps = cells.selectExpr("*", f"{row} * {self.height!r}D - 90D AS __south").selectExpr(
+            *kept, row, number,
+            "__south", f"least(90D, __south + {self.height!r}D) AS __north",
+            f"__u * 360D / __n - 180D - {lon} AS __west", f"(__u + 1) * 360D / __n - 180D - {lon} AS __east",
+            # All round the row a cell may be nearer the other way than the difference says.
+            "__last - __first + 1 >= __n AS __round",
         )
-        here = F.cos(F.radians(lat))
 
-        def half_sine(angle: Column) -> Column:
-            return F.pow(F.sin(F.radians(angle) / 2), 2)
+        def bound(lat_gap: str, lon_gap: str, cosine: str) -> str:
+            return (
+                f"power(sin(radians({lat_gap}) / 2), 2)"
+                f" + cos(radians({lat})) * {cosine} * power(sin(radians({lon_gap}) / 2), 2)"
+            )
 
-        low = half_sine(lat_min) + here * cos_min * half_sine(lon_min)
-        high = half_sine(lat_max) + here * cos_max * half_sine(lon_max)
-        return low, high
+        nearest = bound(
+            f"greatest(0D, __south - {lat}, {lat} - __north)",
+            "if(__round, 0D, greatest(0D, __west, -__east))",
+            "greatest(0D, least(cos(radians(__south)), cos(radians(__north))))",
+        )
+        farthest = bound(
+            f"greatest({lat} - __south, __north - {lat})",
+            "least(180D, greatest(-__west, __east))",
+            "if(__south <= 0 AND __north >= 0, 1D, greatest(cos(radians(__south)), cos(radians(__north))))",
+        )
+        return gaps.selectExpr(*kept, row, cell, f"{nearest} AS {low}", f"{farthest} AS {high}")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,21 +13,26 @@ from ..functions.geo import with_lat_lon_from_utm
 Box = tuple[float, float, float, float]
 
 
-def inside_box(lat: Column, lon: Column, box: Box, *, closed: bool) -> Column:
+def _texts(values: Iterable[str]) -> str:
+    """A list of SQL text literals."""
+    return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+
+
+def inside_box(lat: str, lon: str, box: Box, *, closed: bool) -> Column:
     """Whether a point lies in a (min lon, max lon, min lat, max lat) box."""
-    west, east, south, north = box
+    west, east, south, north = (f"{float(v)!r}D" for v in box)
     if closed:
-        return lon.between(west, east) & lat.between(south, north)
-    return (lon > west) & (lon < east) & (lat > south) & (lat < north)
+        return F.expr(f"{lon} BETWEEN {west} AND {east} AND {lat} BETWEEN {south} AND {north}")
+    return F.expr(f"{lon} > {west} AND {lon} < {east} AND {lat} > {south} AND {lat} < {north}")
 
 
 def clip_to_region(df: DataFrame, box: Box = V.REGION_BOX, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Points strictly inside the greater region."""
-    return df.filter(inside_box(F.col(lat), F.col(lon), box, closed=False))
+    return df.filter(inside_box(lat, lon, box, closed=False))
 
 
 def category_of(
-    amenity: Column,
+    amenity: str,
     categories: Mapping[str, Sequence[str]] = V.CATEGORIES,
     *,
     fallback: str = V.FALLBACK_CATEGORY,
@@ -38,13 +43,13 @@ def category_of(
     ``parity`` sends playgrounds and event venues to the fallback, as the published figures do.
     """
     apart = set(V.PARITY_FALLBACK_AMENITIES) if parity else set()
-    chain = None
-    for name, amenities in categories.items():
-        if name == fallback:
-            continue
-        test = amenity.isin(*(a for a in amenities if a not in apart))
-        chain = F.when(test, name) if chain is None else chain.when(test, name)
-    return F.lit(fallback) if chain is None else chain.otherwise(fallback)
+    cases = {
+        name: [a for a in amenities if a not in apart]
+        for name, amenities in categories.items()
+        if name != fallback
+    }
+    whens = " ".join(f"WHEN {amenity} IN ({_texts(v)}) THEN {_texts([n])}" for n, v in cases.items() if v)
+    return F.expr(f"CASE {whens} ELSE {_texts([fallback])} END") if whens else F.lit(fallback)
 
 
 def keep_places(
@@ -52,8 +57,8 @@ def keep_places(
 ) -> DataFrame:
     """Named places of an allowed kind in the city; box edges count."""
     return df.filter(
-        F.col("amenity").isin(*allowed)
-        & inside_box(F.col("lat"), F.col("lon"), box, closed=True)
+        F.expr(f"amenity IN ({_texts(allowed)})")
+        & inside_box("lat", "lon", box, closed=True)
         & F.col("name").isNotNull()
     )
 
@@ -67,7 +72,7 @@ def clean_places(
 ) -> DataFrame:
     """Kept places with their category, without tags and timestamp."""
     kept = keep_places(df, box, allowed).drop("tags", "timestamp")
-    return kept.withColumn("category", category_of(F.col("amenity"), parity=parity))
+    return kept.withColumn("category", category_of("amenity", parity=parity))
 
 
 def keep_incidents(

@@ -32,17 +32,20 @@ class Clusters:
     def to_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(self.centres), "cluster int, clat double, clon double")
 
-    def label(self, lat: Column, lon: Column) -> Column:
+    def label(self, lat: str, lon: str) -> Column:
         """Label of the centre with the least squared coordinate distance; ties to the first."""
-        gaps = F.array(
-            *((lat - F.lit(y)) * (lat - F.lit(y)) + (lon - F.lit(x)) * (lon - F.lit(x)) for _, y, x in self.centres)
+        gaps = ", ".join(
+            f"({lat} - ({y!r}D)) * ({lat} - ({y!r}D)) + ({lon} - ({x!r}D)) * ({lon} - ({x!r}D))"
+            for _, y, x in self.centres
+        )
+        labels = ", ".join(str(i) for i, _, _ in self.centres)
+        return F.expr(
+            f"element_at(array({labels}), int(array_position(array({gaps}), array_min(array({gaps})))))"
         )
-        nearest = F.array_position(gaps, F.array_min(gaps)).cast("int")
-        return F.element_at(F.array(*(F.lit(i) for i, _, _ in self.centres)), nearest)
 
     def assign(self, df: DataFrame, lat: str = "lat", lon: str = "lon", name: str = "cluster") -> DataFrame:
         """Label rows in place: no index column, no join. Rows without coordinates get null."""
-        return df.withColumn(name, self.label(F.col(lat), F.col(lon)))
+        return df.withColumn(name, self.label(lat, lon))
 
 
 def _means(labelled: DataFrame, lat: str, lon: str) -> dict[int, tuple[float, float]]:
@@ -194,7 +197,7 @@ def nearest_per_centre(
     row = F.struct(*df.columns)
     best = []
     for i, y, x in clusters.centres:
-        gap = haversine_m(F.col(lat), F.col(lon), F.lit(y), F.lit(x))
+        gap = haversine_m(lat, lon, f"{y!r}D", f"{x!r}D")
         best.append(
             F.struct(
                 F.min_by(row, F.struct(gap, F.col(id_col))).alias("row"),

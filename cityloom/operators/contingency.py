@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.chi_square import chi_square_tail
+from .skew import small_or_same
+
+MAX_LOCAL_CELLS = 100_000
 
 
 def contingency(
@@ -47,12 +50,12 @@ def chi_square(
     n_rows, n_cols, significant).
 
     Absent cells count as zero. As in common statistics packages the Yates correction applies at one
-    degree of freedom, a table with a single row or column gives statistic 0 and p 1, and an empty
-    table gives no result: statistic and p are null. Lines whose counts are all zero are an error
-    there and are left out here.
+    degree of freedom, and a table with a single row or column gives statistic 0 and p 1. An empty
+    table and a line of zeros are errors there; here the first gives no row, the second is left out.
     """
-    cells = (
-        table.groupBy(F.col(row).alias("__r"), F.col(col).alias("__c")).agg(F.sum(n).cast("double").alias("__o"))
+    cells = small_or_same(
+        table.groupBy(F.col(row).alias("__r"), F.col(col).alias("__c")).agg(F.sum(n).cast("double").alias("__o")),
+        MAX_LOCAL_CELLS,
     )
     by_row = F.sum("__o").over(Window.partitionBy("__r"))
     by_col = F.sum("__o").over(Window.partitionBy("__c"))
@@ -93,7 +96,8 @@ def chi_square(
     )
     statistic: Column = F.when(F.col("dof") == 0, 0.0).otherwise(F.col("s") + extra)
     return (
-        summed.withColumn("statistic", statistic)
+        summed.filter("cells > 0")
+        .withColumn("statistic", statistic)
         .withColumn("p_value", chi_square_tail(F.col("statistic"), F.col("dof")))
         .select(
             "statistic",

@@ -51,18 +51,14 @@ def distance_join(
     different names.
     """
     grid = SphereGrid(radius * distance.metres_per_unit)
-    lat, lon = (F.col(c) for c in left_coords)
-    near = grid.explode_reach(_located(left, *left_coords, block), lat, lon, _ROW, _CELL)
-    near = near.drop("__n", "__u", "__round")
-    points = grid.add_cell(
-        _located(right, *right_coords, block), F.col(right_coords[0]), F.col(right_coords[1]), _ROW, _CELL
-    )
+    near = grid.explode_reach(_located(left, *left_coords, block), *left_coords, _ROW, _CELL)
+    points = grid.add_cell(_located(right, *right_coords, block), *right_coords, _ROW, _CELL)
     if block:
         points = points.drop(block)
     salt_on = [c for c in points.columns if c not in _keys(block)]
     return (
         salted_join(points, near, _keys(block), salt_on)
-        .withColumn(output, distance(F.col(right_coords[0]), F.col(right_coords[1]), lat, lon))
+        .withColumn(output, distance(*right_coords, *left_coords))
         .filter(F.col(output) <= radius)
         .select(*left.columns, *(c for c in right.columns if c != block), output)
     )
@@ -108,33 +104,26 @@ def count_within(
         )
 
     places = collapse(left, left_coords, l_by, ("__lat1", "__lon1", "__n1"))
-    targets = grid.add_cell(
-        collapse(right, right_coords, r_by, ("__lat2", "__lon2", "__n2")),
-        F.col("__lat2"), F.col("__lon2"), _ROW, _CELL,
-    ).withColumn("__whole", F.lit(False))
+    points = collapse(right, right_coords, r_by, ("__lat2", "__lon2", "__n2"))
+    points = grid.add_cell(points, "__lat2", "__lon2", _ROW, _CELL).withColumn("__whole", F.lit(False))
     totals = (
-        targets.groupBy(*block_by, _ROW, _CELL, *r_by.values())
+        points.groupBy(*block_by, _ROW, _CELL, *r_by.values())
         .agg(F.sum("__n2").alias("__n2"))
         .withColumn("__whole", F.lit(True))
     )
-    targets = targets.unionByName(totals, allowMissingColumns=True)
-
-    lat, lon = F.col("__lat1"), F.col("__lon1")
-    low, high = grid.cell_haversines(lat, lon, F.col(_ROW))
-
+    targets = points.unionByName(totals, allowMissingColumns=True)
     probes = (
-        grid.explode_reach(places, lat, lon, _ROW, _CELL)
-        .withColumn("__low", low)
-        .withColumn("__whole", high < _half_sine_squared(radius_m - grid.margin_m))
+        grid.explode_reach(places, "__lat1", "__lon1", _ROW, _CELL, "__low", "__high")
         .filter(F.col("__low") <= _half_sine_squared(radius_m + grid.margin_m))
-        .drop("__low", "__n", "__u", "__round")
+        .withColumn("__whole", F.col("__high") < _half_sine_squared(radius_m - grid.margin_m))
+        .drop("__low", "__high")
     )
-    keys = [*_keys(block), "__whole"]
-    salt_on = ["__lat2", "__lon2", *r_by.values()]
-    gap = distance(F.col("__lat2"), F.col("__lon2"), lat, lon)
+    gap = distance("__lat2", "__lon2", "__lat1", "__lon1")
     by = [F.col(a).alias(c) for c, a in {**l_by, **r_by}.items()]
     return (
-        salted_join(targets, probes, keys, salt_on)
+        salted_join(
+            targets, probes, [*_keys(block), "__whole"], ["__lat2", "__lon2", *r_by.values()], weight="__n2"
+        )
         .filter(F.col("__whole") | (gap <= radius))
         .groupBy(*by)
         .agg(F.sum(F.col("__n1") * F.col("__n2")).alias(output))

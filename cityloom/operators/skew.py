@@ -7,11 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], *, max_share: float, min_rows: int) -> DataFrame:
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], *, max_share: float, min_rows: int, weight: str | None = None
+) -> DataFrame:
     """Keys with more than ``max(min_rows, max_share * rows)`` rows, and into how many parts to
     split each. Every hot key owns more than ``max_share`` of the rows, so there are fewer than
-    ``1 / max_share`` of them whatever the size of ``df``: that bounds the broadcast below."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
+    ``1 / max_share`` of them whatever the size of ``df``: that bounds the broadcast below.
+
+    ``weight`` may name a column of whole numbers from 1 up. It changes nothing (rows never weigh
+    less than their number) but keeps the column in this branch of the plan, so that Spark reuses
+    the shuffle that made it instead of reading the input again."""
+    rows = F.count("*")
+    if weight:
+        rows = F.least(rows, F.sum(weight))
+    counts = df.groupBy(*keys).agg(rows.alias("__rows"))
     total = counts.agg(F.sum("__rows")).scalar()
     limit = F.greatest(F.lit(float(min_rows)), F.coalesce(total, F.lit(0)) * max_share)
     return (
@@ -29,6 +38,7 @@ def salted_join(
     *,
     max_share: float = 1 / 512,
     min_rows: int = 100_000,
+    weight: str | None = None,
 ) -> DataFrame:
     """Inner equi-join in which no task gets a whole hot key of ``probe``.
 
@@ -36,7 +46,7 @@ def salted_join(
     are repeated once per part. All other keys join as usual. Nothing is dropped: every probe row is
     in one part, and every part sees all build rows of its key.
     """
-    hot = F.broadcast(hot_keys(probe, keys, max_share=max_share, min_rows=min_rows))
+    hot = F.broadcast(hot_keys(probe, keys, max_share=max_share, min_rows=min_rows, weight=weight))
     parts = F.coalesce(F.col("__parts"), F.lit(1))
     spread = (
         probe.join(hot, list(keys), "left")
@@ -59,6 +69,13 @@ def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list[Row]:
     return rows
 
 
+def small_or_same(df: DataFrame, max_rows: int) -> DataFrame:
+    """A result expected to be small, read once into a local table if it has at most ``max_rows``
+    rows, so that plans which use it twice do not compute it twice; else ``df`` itself."""
+    rows = df.limit(max_rows + 1).collect()
+    return df if len(rows) > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def join_small(
     df: DataFrame, small: DataFrame, keys: Sequence[str], *, max_rows: int = 10_000
 ) -> DataFrame:

@@ -48,18 +48,18 @@ def read_table(spark: SparkSession, path: str, schema: str | StructType, *, mult
     return read_parquet(spark, path)
 
 
+# The default patterns of the text writers cut timestamps to milliseconds.
+_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_TIMES = {"timestampFormat": _MICROS + "XXX", "timestampNTZFormat": _MICROS}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**_TIMES).option("header", True).option("escape", '"').csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """Gzip JSON lines. The default timestamp pattern would cut microseconds."""
-    (
-        df.write.mode("overwrite")
-        .option("compression", "gzip")
-        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-        .json(path)
-    )
+    """Gzip JSON lines."""
+    df.write.mode("overwrite").options(**_TIMES).option("compression", "gzip").json(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

@@ -71,7 +71,7 @@ def node_struct(
     return [
         lat.alias("_lat"),
         lon.alias("_lon"),
-        timestamp.alias("_timestamp"),
+        F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ssXXX").alias("_timestamp"),
         F.filter(entries, lambda t: t["_v"].isNotNull()).alias("tag"),
     ]
 

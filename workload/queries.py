@@ -166,7 +166,7 @@ def _dist_to_nation(spark: SparkSession, sf: str, scaled: bool) -> DataFrame:
         (F.col("n_nationkey") * 0.004 + 49.2).alias("nlat"),
         (F.col("n_nationkey") * 0.01 - 123.26).alias("nlon"),
     )
-    gap = cosine_law_m(F.col("lat"), F.col("lon"), F.col("nlat"), F.col("nlon"), scaled=scaled)
+    gap = cosine_law_m("lat", "lon", "nlat", "nlon", scaled=scaled)
     return fx.poi(spark, sf).join(nation, "neighbourhood").select("amnt_id", F.round(gap, 3).alias("metres"))
 
 
@@ -182,7 +182,7 @@ def dist_haversine(spark: SparkSession, sf: str) -> DataFrame:
     points = F.array(
         *(F.struct(F.lit(i).alias("centre"), F.lit(y).alias("y"), F.lit(x).alias("x")) for i, y, x in CITY_POINTS)
     )
-    gap = haversine_m(F.col("latitude"), F.col("longitude"), F.col("y"), F.col("x"))
+    gap = haversine_m("latitude", "longitude", "y", "x")
     return (
         fx.listings(spark, sf)
         .select("id", "latitude", "longitude", F.inline(points))
