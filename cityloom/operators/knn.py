@@ -3,48 +3,90 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import materialise
 from .skew import salted_join
 
 _MAX_LEVELS = 30
+_CELL = ["__up", "__cx", "__cy"]
+_PLACE = ["__qy", "__qx"]
 
 
-def _choose_grid(train: DataFrame, queries: DataFrame, k: int) -> tuple[float, float, float, int, int]:
-    """Origin, side of the root cell, number of halvings and number of training points.
+@dataclass(frozen=True)
+class _Grid:
+    """Halving cells over a square. Level 0 is the finest; a cell's number at level ``up`` is its
+    finest number shifted right by ``up`` bits."""
 
-    Two small jobs, at most a few dozen rows to the driver. The finest cells would hold about k/4
-    points if points were spread evenly; a sample shows how unevenly they lie, and cells get finer
-    until the fullest holds few. The choice affects speed only, never the result.
+    x0: float
+    y0: float
+    side: float
+    levels: int
+
+    def add_finest(self, df: DataFrame, x: str, y: str) -> DataFrame:
+        return df.selectExpr(
+            "*",
+            f"floor(({x} - ({self.x0!r}D)) / {self.side!r}D) AS __fx",
+            f"floor(({y} - ({self.y0!r}D)) / {self.side!r}D) AS __fy",
+        )
+
+    def width(self) -> str:
+        """Side of a cell at level ``__up``."""
+        return f"({self.side!r}D * shiftleft(1L, __up))"
+
+    def nearest(self, cx: str, cy: str) -> str:
+        """Squared distance from (__qx, __qy) to the nearest point of a cell."""
+        parts = []
+        for q, c, origin in (("__qx", cx, self.x0), ("__qy", cy, self.y0)):
+            west = f"({c} * {self.width()} + ({origin!r}D))"
+            gap = f"greatest(0D, {west} - {q}, {q} - {west} - {self.width()})"
+            parts.append(f"{gap} * {gap}")
+        return " + ".join(parts)
+
+    def farthest(self, cx: str, cy: str, cells: int = 1, before: int = 0) -> str:
+        """Squared distance from (__qx, __qy) to the farthest point of a square of cells that starts
+        ``before`` cells before the given one."""
+        parts = []
+        for q, c, origin in (("__qx", cx, self.x0), ("__qy", cy, self.y0)):
+            west = f"(({c} - {before}) * {self.width()} + ({origin!r}D))"
+            gap = f"greatest({q} - {west}, {west} + {cells} * {self.width()} - {q})"
+            parts.append(f"{gap} * {gap}")
+        return " + ".join(parts)
+
+
+def _choose_grid(train: DataFrame, places: DataFrame, k: int) -> tuple[_Grid, int]:
+    """Grid and number of training points, from two small jobs.
+
+    The finest cells would hold about k/4 points if points were spread evenly; a sample shows how
+    unevenly they lie, and cells get finer until the fullest holds few. The choice affects speed
+    only, never the result.
     """
     box = (
-        train.select("__x", "__y", F.lit(1).alias("__t"))
-        .unionByName(queries.select("__x", "__y", F.lit(0).alias("__t")))
-        .agg(
-            F.min("__x").alias("x0"), F.max("__x").alias("x1"),
-            F.min("__y").alias("y0"), F.max("__y").alias("y1"), F.sum("__t").alias("n"),
+        train.selectExpr("__x", "__y", "1 AS t")
+        .unionByName(places.selectExpr("__qx AS __x", "__qy AS __y", "0 AS t"))
+        .selectExpr(
+            "min(__x) AS x0", "max(__x) AS x1", "min(__y) AS y0", "max(__y) AS y1", "sum(t) AS n"
         )
         .first()
     )
     n = box["n"] or 0
     if n == 0:
-        return 0.0, 0.0, 1.0, 0, 0
-    extent = max(box["x1"] - box["x0"], box["y1"] - box["y0"])
-    root = extent * (1 + 1e-9) + 1e-9
+        return _Grid(0.0, 0.0, 1.0, 0), 0
+    root = max(box["x1"] - box["x0"], box["y1"] - box["y0"]) * (1 + 1e-9) + 1e-9
     even = max(0, min(_MAX_LEVELS, math.ceil(math.log(max(4 * n / k, 1), 4))))
     share = min(1.0, 100_000 / n)
     sample = train.sample(fraction=share, seed=7) if share < 1 else train
-    top = root / 2**_MAX_LEVELS
+    finest = _Grid(box["x0"], box["y0"], root / 2**_MAX_LEVELS, _MAX_LEVELS)
     fullest = (
-        sample.select(
-            F.floor((F.col("__x") - box["x0"]) / top).alias("cx"),
-            F.floor((F.col("__y") - box["y0"]) / top).alias("cy"),
+        finest.add_finest(sample, "__x", "__y")
+        .selectExpr("__fx", "__fy", f"explode(sequence({even}, {_MAX_LEVELS})) AS level")
+        .groupBy(
+            "level",
+            F.expr(f"shiftright(__fx, {_MAX_LEVELS} - level)"),
+            F.expr(f"shiftright(__fy, {_MAX_LEVELS} - level)"),
         )
-        .distinct()
-        .withColumn("level", F.explode(F.sequence(F.lit(even), F.lit(_MAX_LEVELS))))
-        .withColumn("shift", F.lit(_MAX_LEVELS) - F.col("level"))
-        .groupBy("level", F.expr("shiftright(cx, shift)"), F.expr("shiftright(cy, shift)"))
         .count()
         .groupBy("level")
         .agg(F.max("count").alias("most"))
@@ -54,184 +96,203 @@ def _choose_grid(train: DataFrame, queries: DataFrame, k: int) -> tuple[float, f
     levels = next(
         (r["level"] for r in fullest if r["most"] <= 2 or r["most"] / share <= 32 * k), _MAX_LEVELS
     )
-    return box["x0"], box["y0"], root, levels, n
-
-
-def _at_level(cell: str) -> Column:
-    return F.expr(f"shiftright({cell}, __up)")
-
-
-def knn_join(
-    queries: DataFrame,
-    train: DataFrame,
-    *,
-    key: str,
-    train_id: str,
-    k: int = 5,
-    query_coords: tuple[str, str] = ("lat", "lon"),
-    train_coords: tuple[str, str] = ("latitude", "longitude"),
-    carry: tuple[str, ...] = (),
-    lon_scale: float = 1.0,
-) -> DataFrame:
-    """The k training rows nearest to every query row: (key, rank, train_id, *carry, sq_distance).
+    return _Grid(box["x0"], box["y0"], root / 2**levels, levels), n
 
-    Euclidean distance on the given coordinates; ``lon_scale`` shrinks the second one (1 compares
-    raw degrees, the cosine of a city's latitude makes both axes equal in metres). ``key`` and
-    ``train_id`` must be unique. Ties go to the smaller ``train_id``. Rows without coordinates have
-    no neighbours and are none.
 
-    Exact in a fixed number of shuffles, with no loop over growing circles:
+def _tighten(grid: _Grid, frontier: DataFrame, counts: DataFrame, k: int) -> DataFrame:
+    """Occupied cells that may hold one of the k nearest points.
 
-    1. Places with many training rows keep their k smallest ids; no other can win a tie.
-    2. Training points are counted per cell at every level of a grid of halving cells.
-    3. For every occupied query cell the finest level is found at which it and its eight
-       neighbours hold k points. That block bounds the distance of the k-th neighbour.
-    4. Every query meets the points of the cells, at that level, which its bounding circle touches,
-       and keeps the k nearest. Spark drops all but k candidates per query before the shuffle.
+    Going outwards by the cells' farthest points, the k-th nearest point is no farther than the cell
+    with which k points are reached; cells that begin beyond that are dropped.
     """
-    q = (
-        queries.select(
-            F.col(key).alias("__q"),
-            F.col(query_coords[0]).cast("double").alias("__y"),
-            (F.col(query_coords[1]).cast("double") * lon_scale).alias("__x"),
-        )
-        .filter(F.col("__x").isNotNull() & F.col("__y").isNotNull())
-    )
-    t = (
-        train.select(
-            F.col(train_id).alias("__id"),
-            F.col(train_coords[0]).cast("double").alias("__y"),
-            (F.col(train_coords[1]).cast("double") * lon_scale).alias("__x"),
-            *(F.col(c).alias(f"__c_{c}") for c in carry),
+    outwards = Window.partitionBy(*_PLACE).orderBy("__far").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        frontier.join(counts, _CELL)
+        .withColumn("__far", F.expr(grid.farthest("__cx", "__cy")))
+        .withColumn("__reached", F.sum("__n").over(outwards))
+        .withColumn(
+            "__bound", F.expr(f"if(__reached >= {k}, __far, NULL)")
         )
-        .filter(F.col("__x").isNotNull() & F.col("__y").isNotNull())
+        .withColumn("__bound", F.min("__bound").over(Window.partitionBy(*_PLACE)))
+        .filter(f"{grid.nearest('__cx', '__cy')} <= __bound * {1 + 1e-9!r}D")
+        .select(*_PLACE, *_CELL)
     )
-    x0, y0, root, levels, n = _choose_grid(t, q, k)
-    k_found = min(k, n)
-    finest = root / 2**levels
-
-    place = Window.partitionBy("__y", "__x").orderBy("__id")
-    t = t.withColumn("__at", F.row_number().over(place)).filter(F.col("__at") <= k).drop("__at")
-
-    def with_cell(df: DataFrame) -> DataFrame:
-        return df.withColumns(
-            {
-                "__fx": F.floor((F.col("__x") - x0) / finest),
-                "__fy": F.floor((F.col("__y") - y0) / finest),
-            }
-        )
 
-    q, t = with_cell(q), with_cell(t)
-    ups = F.sequence(F.lit(0), F.lit(levels))
 
-    counts = (
-        t.groupBy("__fx", "__fy").agg(F.count("*").alias("__n"))
-        .withColumn("__up", F.explode(ups))
-        .groupBy("__up", _at_level("__fx").alias("__cx"), _at_level("__fy").alias("__cy"))
-        .agg(F.sum("__n").alias("__n"))
+def _nearest_by_place(
+    places: DataFrame, train: DataFrame, k: int, carry: tuple[str, ...]
+) -> DataFrame:
+    """(__qy, __qx, __rank, __id, *carry, __d) for distinct places and (__id, __y, __x, *carry)."""
+    spark = places.sparkSession
+    places = materialise(places, "knn-places")
+    # Only the k smallest ids of a place can win a tie, so a place with many rows keeps k.
+    same = Window.partitionBy("__y", "__x").orderBy("__id")
+    train = train.withColumn("__at", F.row_number().over(same)).filter(F.col("__at") <= k).drop("__at")
+    train = materialise(train, "knn-train")
+    grid, n = _choose_grid(train, places, k)
+    wanted = min(k, n)
+    points = grid.add_finest(train, "__x", "__y")
+    levels = f"explode(sequence(0, {grid.levels})) AS __up"
+    parents = ["shiftright(__fx, __up) AS __cx", "shiftright(__fy, __up) AS __cy"]
+    counts = materialise(
+        points.groupBy("__fx", "__fy").agg(F.count("*").alias("__n"))
+        .selectExpr("*", levels)
+        .selectExpr("__up", *parents, "__n")
+        .groupBy(*_CELL)
+        .agg(F.sum("__n").alias("__n")),
+        "knn-counts",
     )
+
+    # The finest level at which a query's cell and its eight neighbours hold k points.
+    located = grid.add_finest(places, "__qx", "__qy")
     query_cells = (
-        q.select("__fx", "__fy").distinct()
-        .withColumn("__up", F.explode(ups))
-        .withColumns({"__cx": _at_level("__fx"), "__cy": _at_level("__fy")})
+        located.select("__fx", "__fy").distinct().selectExpr("*", levels).selectExpr("__fx", "__fy", "__up", *parents)
     )
-    steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
     full_blocks = (
-        query_cells.select("__up", F.col("__cx").alias("__bx"), F.col("__cy").alias("__by")).distinct()
-        .withColumn("__s", F.explode(steps))
-        .withColumns({"__cx": F.col("__bx") + F.col("__s.i"), "__cy": F.col("__by") + F.col("__s.j")})
-        .join(counts, ["__up", "__cx", "__cy"])
+        query_cells.select(*_CELL).distinct()
+        .selectExpr("__up", "__cx AS __bx", "__cy AS __by", "explode(sequence(-1, 1)) AS __i")
+        .selectExpr("*", "explode(sequence(-1, 1)) AS __j")
+        .selectExpr("__up", "__bx", "__by", "__bx + __i AS __cx", "__by + __j AS __cy")
+        .join(counts, _CELL)
         .groupBy("__up", F.col("__bx").alias("__cx"), F.col("__by").alias("__cy"))
         .agg(F.sum("__n").alias("__n"))
-        .filter(F.col("__n") >= k_found)
+        .filter(F.col("__n") >= wanted)
         .drop("__n")
     )
     # Coarse levels have few cells and hence hot keys.
-    level_of_cell = (
-        salted_join(query_cells, full_blocks, ["__up", "__cx", "__cy"], ["__fx", "__fy"])
+    starts = (
+        salted_join(query_cells, full_blocks, _CELL, ["__fx", "__fy"])
         .groupBy("__fx", "__fy")
         .agg(F.min("__up").alias("__up"))
     )
-    located = (
-        salted_join(q, level_of_cell, ["__fx", "__fy"], ["__q"])
-        .withColumn("__side", F.lit(finest) * F.expr("shiftleft(1L, __up)"))
-        .withColumns({"__qx": F.col("__x"), "__qy": F.col("__y")})
-    )
+    last = f"shiftright({2**grid.levels - 1}L, __up)"
 
-    side = F.col("__side")
-
-    def farthest(coordinate: str, origin: float, cell: str) -> Column:
-        west = (_at_level(cell) - 1) * side + origin
-        return F.greatest(F.col(coordinate) - west, west + side * 3 - F.col(coordinate))
-
-    reach = F.sqrt(
-        F.pow(farthest("__qx", x0, "__fx"), 2) + F.pow(farthest("__qy", y0, "__fy"), 2)
-    ) * (1 + 1e-9) + root * 1e-12
-
-    def touched(coordinate: str, origin: float) -> Column:
-        last = F.expr(f"shiftright({2**levels}L - 1, __up)")
-        low = F.floor((F.col(coordinate) - F.col("__reach") - origin) / side)
-        high = F.floor((F.col(coordinate) + F.col("__reach") - origin) / side)
-        return F.sequence(F.greatest(low, F.lit(0).cast("bigint")), F.least(high, last))
-
-    def gap(coordinate: str, origin: float, cell: str) -> Column:
-        west = F.col(cell) * side + origin
-        return F.greatest(F.lit(0.0), west - F.col(coordinate), F.col(coordinate) - west - side)
-
-    probes = (
-        located.withColumn("__reach", reach)
-        .withColumn("__cx", F.explode(touched("__qx", x0)))
-        .withColumn("__cy", F.explode(touched("__qy", y0)))
-        .filter(
-            F.pow(gap("__qx", x0, "__cx"), 2) + F.pow(gap("__qy", y0, "__cy"), 2)
-            <= F.pow(F.col("__reach"), 2)
-        )
-        .select("__up", "__cx", "__cy", "__q", "__qx", "__qy")
-    )
-    # Training points are repeated only for the levels some query uses.
-    used = level_of_cell.agg(F.collect_set("__up")).scalar()
-    targets = (
-        t.withColumn("__up", F.explode(F.array_intersect(ups, used)))
-        .withColumns({"__cx": _at_level("__fx"), "__cy": _at_level("__fy")})
-        .drop("__fx", "__fy")
+    def span(q: str, origin: float) -> str:
+        low = f"floor(({q} - __reach - ({origin!r}D)) / {grid.width()})"
+        high = f"floor(({q} + __reach - ({origin!r}D)) / {grid.width()})"
+        return f"explode(sequence(greatest({low}, 0L), least({high}, {last})))"
+
+    block = grid.farthest("shiftright(__fx, __up)", "shiftright(__fy, __up)", cells=3, before=1)
+    slack = f"{1 + 1e-9!r}D + {grid.side * 1e-6!r}D"
+    circle = (
+        salted_join(located, starts, ["__fx", "__fy"], _PLACE)
+        .selectExpr(*_PLACE, "__up", f"sqrt({block}) * {slack} AS __reach")
+        .selectExpr("*", f"{span('__qx', grid.x0)} AS __cx")
+        .selectExpr("*", f"{span('__qy', grid.y0)} AS __cy")
+        .filter(f"{grid.nearest('__cx', '__cy')} <= __reach * __reach")
+        .select(*_PLACE, *_CELL)
     )
-    nearest = Window.partitionBy("__q").orderBy("__d", "__id")
-    dx, dy = F.col("__qx") - F.col("__x"), F.col("__qy") - F.col("__y")
+    # Down to the finest level: queries in dense surroundings start there; for one far from all
+    # points the ring that can matter gets thinner with every round. Each round is a written table
+    # and handles only what is not yet down, so rounds are few and get small.
+    frontier = materialise(_tighten(grid, circle, counts, wanted), "knn-frontier")
+    finest = frontier.filter("__up = 0")
+    coarse = frontier.filter("__up > 0")
+    while not coarse.isEmpty():
+        children = (
+            coarse.selectExpr(*_PLACE, *_CELL, "least(2, __up) AS __down")
+            .selectExpr("*", "explode(sequence(0L, shiftleft(1L, __down) - 1)) AS __i")
+            .selectExpr("*", "explode(sequence(0L, shiftleft(1L, __down) - 1)) AS __j")
+            .selectExpr(
+                *_PLACE, "__up - __down AS __up",
+                "shiftleft(__cx, __down) + __i AS __cx", "shiftleft(__cy, __down) + __j AS __cy",
+            )
+        )
+        frontier = materialise(_tighten(grid, children, counts, wanted), "knn-frontier")
+        finest = finest.unionByName(frontier.filter("__up = 0"))
+        coarse = frontier.filter("__up > 0")
+
+    probes = finest.selectExpr(*_PLACE, "__cx AS __fx", "__cy AS __fy")
+    nearest = Window.partitionBy(*_PLACE).orderBy("__d", "__id")
     return (
-        salted_join(targets, probes, ["__up", "__cx", "__cy"], ["__id"])
-        .select("__q", "__id", *(f"__c_{c}" for c in carry), (dy * dy + dx * dx).alias("__d"))
+        salted_join(points, probes, ["__fx", "__fy"], ["__id"])
+        .selectExpr(
+            *_PLACE, "__id", *(f"`{c}`" for c in carry),
+            "(__qy - __y) * (__qy - __y) + (__qx - __x) * (__qx - __x) AS __d",
+        )
         .withColumn("__rank", F.row_number().over(nearest))
         .filter(F.col("__rank") <= k)
-        .select(
-            F.col("__q").alias(key), F.col("__rank").alias("rank"), F.col("__id").alias(train_id),
-            *(F.col(f"__c_{c}").alias(c) for c in carry), F.col("__d").alias("sq_distance"),
-        )
     )
 
 
-def majority_label(neighbours: DataFrame, key: str, label: str) -> DataFrame:
-    """The most frequent label among a key's neighbours; ties go to the smallest label.
+def _planar(df: DataFrame, lat: str, lon: str, lon_scale: float, y: str, x: str) -> DataFrame:
+    return df.selectExpr(
+        "*", f"CAST(`{lat}` AS DOUBLE) AS {y}", f"CAST(`{lon}` AS DOUBLE) * {float(lon_scale)!r}D AS {x}"
+    )
+
+
+def _query_places(queries: DataFrame) -> DataFrame:
+    return queries.filter("__qy IS NOT NULL AND __qx IS NOT NULL").select(*_PLACE).distinct()
+
+
+def _train_points(
+    train: DataFrame, train_id: str, coords: tuple[str, str], lon_scale: float, carry: tuple[str, ...]
+) -> DataFrame:
+    points = _planar(train, *coords, lon_scale, "__y", "__x")
+    return points.select(F.col(train_id).alias("__id"), "__y", "__x", *carry).filter(
+        "__y IS NOT NULL AND __x IS NOT NULL"
+    )
+
+
+def knn_join(
+    queries: DataFrame,
+    train: DataFrame,
+    *,
+    key: str,
+    train_id: str,
+    k: int = 5,
+    query_coords: tuple[str, str] = ("lat", "lon"),
+    train_coords: tuple[str, str] = ("latitude", "longitude"),
+    carry: tuple[str, ...] = (),
+    lon_scale: float = 1.0,
+) -> DataFrame:
+    """The k training rows nearest to every query row: (key, rank, train_id, *carry, sq_distance).
+
+    Euclidean distance on the given coordinates; ``lon_scale`` shrinks the second one (1 compares
+    raw degrees, the cosine of a city's latitude makes both axes equal in metres). ``train_id`` must
+    be unique. Ties go to the smaller ``train_id``. Rows without coordinates have no neighbours and
+    are none.
+
+    Exact for any spread of the points:
 
-    Grouping reuses the partitioning by key that the neighbour join leaves, so nothing moves.
+    1. Queries collapse to distinct places; a place keeps the k smallest training ids.
+    2. Training points are counted per cell at every level of a grid of halving cells.
+    3. Every query starts at the finest level at which its cell and the eight around it hold k
+       points, which bounds the distance of the k-th, and keeps the occupied cells in that circle.
+    4. Cells are split down to the finest level; counts tighten the circle on the way.
+    5. Queries meet the points of the cells left. Spark keeps k candidates per query and task before
+       the shuffle that ranks them.
     """
-    return neighbours.groupBy(key).agg(F.mode(label, deterministic=True).alias(label))
+    planar = _planar(queries, *query_coords, lon_scale, "__qy", "__qx").select(F.col(key), *_PLACE)
+    points = _train_points(train, train_id, train_coords, lon_scale, carry)
+    found = _nearest_by_place(_query_places(planar), points, k, carry)
+    return salted_join(planar, found, _PLACE, [key]).select(
+        key, F.col("__rank").alias("rank"), F.col("__id").alias(train_id), *carry, F.col("__d").alias("sq_distance")
+    )
 
 
 def label_by_neighbours(
     queries: DataFrame,
     train: DataFrame,
     *,
-    key: str,
     train_id: str,
     label: str = "neighbourhood",
+    output: str | None = None,
     k: int = 5,
     query_coords: tuple[str, str] = ("lat", "lon"),
     train_coords: tuple[str, str] = ("latitude", "longitude"),
     lon_scale: float = 1.0,
 ) -> DataFrame:
-    """Query rows plus the label most of their k nearest training rows carry (null if none)."""
-    neighbours = knn_join(
-        queries, train, key=key, train_id=train_id, k=k, query_coords=query_coords,
-        train_coords=train_coords, carry=(label,), lon_scale=lon_scale,
+    """Query rows plus the label most of their k nearest training rows carry.
+
+    Ties go to the smallest label; a row without coordinates gets null. The vote runs once per place
+    and reuses the partitioning by place that ranking leaves.
+    """
+    planar = _planar(queries, *query_coords, lon_scale, "__qy", "__qx")
+    points = _train_points(train, train_id, train_coords, lon_scale, (label,))
+    votes = (
+        _nearest_by_place(_query_places(planar), points, k, (label,))
+        .groupBy(*_PLACE)
+        .agg(F.mode(label, deterministic=True).alias(output or label))
     )
-    return queries.join(majority_label(neighbours, key, label), key, "left")
+    return salted_join(planar, votes, _PLACE, queries.columns, how="left").drop(*_PLACE)

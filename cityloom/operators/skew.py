@@ -39,8 +39,9 @@ def salted_join(
     max_share: float = 1 / 512,
     min_rows: int = 100_000,
     weight: str | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner equi-join in which no task gets a whole hot key of ``probe``.
+    """Equi-join, inner or left, in which no task gets a whole hot key of ``probe``.
 
     Rows of a hot key are spread over parts by the hash of ``salt_on``; the matching ``build`` rows
     are repeated once per part. All other keys join as usual. Nothing is dropped: every probe row is
@@ -58,7 +59,7 @@ def salted_join(
         .withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("__parts")
     )
-    return spread.join(repeated, [*keys, "__salt"]).drop("__salt")
+    return spread.join(repeated, [*keys, "__salt"], how).drop("__salt")
 
 
 def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list[Row]:

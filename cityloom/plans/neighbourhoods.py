@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as V
 from ..operators.indexing import accuracy, in_share
-from ..operators.knn import knn_join, label_by_neighbours, majority_label
+from ..operators.knn import label_by_neighbours
 
 
 def label_places(
@@ -21,8 +21,7 @@ def label_places(
     """Places plus the neighbourhood most of their k nearest training incidents lie in."""
     train = incidents.filter(in_share(F.col("c_id"), train_share, seed))
     return label_by_neighbours(
-        places, train.select("c_id", "latitude", "longitude", "neighbourhood"),
-        key="amnt_id", train_id="c_id", k=k, lon_scale=lon_scale,
+        places.drop("neighbourhood"), train, train_id="c_id", k=k, lon_scale=lon_scale
     )
 
 
@@ -35,18 +34,11 @@ def labelling_scores(
     lon_scale: float = 1.0,
 ) -> DataFrame:
     """(part, n, accuracy) of the labelling on training and validation incidents, in one join."""
-    points = incidents.select(
-        "c_id", "latitude", "longitude", "neighbourhood", in_share(F.col("c_id"), train_share, seed).alias("trained")
-    )
-    neighbours = knn_join(
-        points.withColumnRenamed("c_id", "query_id"), points.filter("trained"),
-        key="query_id", train_id="c_id", k=k, carry=("neighbourhood",),
+    train = in_share(F.col("c_id"), train_share, seed)
+    points = incidents.select("c_id", "latitude", "longitude", "neighbourhood")
+    predicted = label_by_neighbours(
+        points, points.filter(train), train_id="c_id", output="predicted", k=k,
         query_coords=("latitude", "longitude"), lon_scale=lon_scale,
     )
-    predicted = majority_label(neighbours, "query_id", "neighbourhood").select(
-        F.col("query_id").alias("c_id"), F.col("neighbourhood").alias("predicted")
-    )
-    scored = points.join(predicted, "c_id", "left").withColumn(
-        "part", F.when(F.col("trained"), "train").otherwise("validation")
-    )
-    return accuracy(scored, "predicted", "neighbourhood", "part")
+    parts = predicted.withColumn("part", F.when(train, "train").otherwise("validation"))
+    return accuracy(parts, "predicted", "neighbourhood", "part")

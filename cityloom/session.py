@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,3 +35,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="cityloom-")
     return f"{root.rstrip('/')}/cityloom/{label}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the scratch folder and read it back: it is computed once, its plan starts
+    anew, and a lost executor costs no more than re-reading it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -278,8 +278,7 @@ def chi2_petty(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def knn_neighbourhood(spark: SparkSession, sf: str) -> DataFrame:
-    unlabelled = places(spark, sf).drop("neighbourhood")
-    return label_places(unlabelled, incidents(spark, sf)).select("amnt_id", "category", "neighbourhood")
+    return label_places(places(spark, sf), incidents(spark, sf)).select("amnt_id", "category", "neighbourhood")
 
 
 def knn_accuracy(spark: SparkSession, sf: str) -> DataFrame:
