@@ -177,42 +177,43 @@ class SphereGrid:
             f" degrees(asin(least(1D, {sine} / cos(radians({lat}))))) + 1e-9D)"
         )
         rows = f"sequence({self._row(f'greatest(-90D, {lat} - {reach})')}, {self._row(f'least(90D, {lat} + {reach})')})"
-        cells = (
+        by_row = (
             df.selectExpr("*", f"{half} AS __half", f"explode({rows}) AS {row}")
             .selectExpr("*", f"{self._cells_in_row(row)} AS __n")
-            .selectExpr(
-                *kept, row, "__n",
-                f"floor(({lon} - __half + 180D) * __n / 360D) AS __first",
-                f"floor(({lon} + __half + 180D) * __n / 360D) AS __last",
-            )
-            .selectExpr("*", "explode(sequence(__first, least(__last, __first + __n - 1))) AS __u")
         )
+        ends = [
+            f"floor(({lon} - __half + 180D) * __n / 360D) AS __first",
+            f"floor(({lon} + __half + 180D) * __n / 360D) AS __last",
+        ]
+        cell_range = "explode(sequence(__first, least(__last, __first + __n - 1))) AS __u"
         number = f"coalesce(pmod(__u, __n), -1L) AS {cell}"
         if not bounds:
-            return cells.selectExpr(*kept, row, number)
-        low, high = bounds
-        gaps = cells.selectExpr("*", f"{row} * {self.height!r}D - 90D AS __south").selectExpr(
-            *kept, row, number,
-            "__south", f"least(90D, __south + {self.height!r}D) AS __north",
-            f"__u * 360D / __n - 180D - {lon} AS __west", f"(__u + 1) * 360D / __n - 180D - {lon} AS __east",
-            # All round the row a cell may be nearer the other way than the difference says.
-            "__last - __first + 1 >= __n AS __round",
+            return by_row.selectExpr(*kept, row, "__n", *ends).selectExpr("*", cell_range).selectExpr(*kept, row, number)
+
+        def half_sine(angle: str) -> str:
+            return f"power(sin(radians({angle}) / 2), 2)"
+
+        # What depends on the row alone is worked out once per row.
+        by_row = by_row.selectExpr(
+            "*", f"{row} * {self.height!r}D - 90D AS __south", f"({row} + 1) * {self.height!r}D - 90D AS __north"
+        ).selectExpr(
+            *kept, row, "__n", *ends,
+            half_sine(f"greatest(0D, __south - {lat}, {lat} - __north)") + " AS __lat_low",
+            half_sine(f"greatest({lat} - __south, __north - {lat})") + " AS __lat_high",
+            f"cos(radians({lat})) * greatest(0D, least(cos(radians(__south)), cos(radians(__north)))) AS __cos_low",
+            f"cos(radians({lat})) * if(__south <= 0 AND __north >= 0, 1D,"
+            " greatest(cos(radians(__south)), cos(radians(__north)))) AS __cos_high",
         )
-
-        def bound(lat_gap: str, lon_gap: str, cosine: str) -> str:
-            return (
-                f"power(sin(radians({lat_gap}) / 2), 2)"
-                f" + cos(radians({lat})) * {cosine} * power(sin(radians({lon_gap}) / 2), 2)"
+        low, high = bounds
+        # All round the row a cell may be nearer the other way than the difference says.
+        lon_low = "if(__last - __first + 1 >= __n, 0D, greatest(0D, __west, -__west - 360D / __n))"
+        lon_high = "least(180D, greatest(-__west, __west + 360D / __n))"
+        return (
+            by_row.selectExpr("*", cell_range)
+            .selectExpr("*", f"__u * 360D / __n - 180D - {lon} AS __west")
+            .selectExpr(
+                *kept, row, number,
+                f"__lat_low + __cos_low * {half_sine(lon_low)} AS {low}",
+                f"__lat_high + __cos_high * {half_sine(lon_high)} AS {high}",
             )
-
-        nearest = bound(
-            f"greatest(0D, __south - {lat}, {lat} - __north)",
-            "if(__round, 0D, greatest(0D, __west, -__east))",
-            "greatest(0D, least(cos(radians(__south)), cos(radians(__north))))",
-        )
-        farthest = bound(
-            f"greatest({lat} - __south, __north - {lat})",
-            "least(180D, greatest(-__west, __east))",
-            "if(__south <= 0 AND __north >= 0, 1D, greatest(cos(radians(__south)), cos(radians(__north))))",
         )
-        return gaps.selectExpr(*kept, row, cell, f"{nearest} AS {low}", f"{farthest} AS {high}")

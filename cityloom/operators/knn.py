@@ -76,7 +76,7 @@ def _choose_grid(train: DataFrame, places: DataFrame, k: int) -> tuple[_Grid, in
         return _Grid(0.0, 0.0, 1.0, 0), 0
     root = max(box["x1"] - box["x0"], box["y1"] - box["y0"]) * (1 + 1e-9) + 1e-9
     even = max(0, min(_MAX_LEVELS, math.ceil(math.log(max(4 * n / k, 1), 4))))
-    share = min(1.0, 100_000 / n)
+    share = min(1.0, 30_000 / n)
     sample = train.sample(fraction=share, seed=7) if share < 1 else train
     finest = _Grid(box["x0"], box["y0"], root / 2**_MAX_LEVELS, _MAX_LEVELS)
     fullest = (

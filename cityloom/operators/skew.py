@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], *, max_share: float, min_rows: int, weight: str | None = None
-) -> DataFrame:
-    """Keys with more than ``max(min_rows, max_share * rows)`` rows, and into how many parts to
-    split each. Every hot key owns more than ``max_share`` of the rows, so there are fewer than
-    ``1 / max_share`` of them whatever the size of ``df``: that bounds the broadcast below.
+# A key is hot above this share of the rows, and above this many of them.
+MAX_SHARE = 1 / 512
+MIN_HOT_ROWS = 100_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], *, weight: str | None = None) -> DataFrame:
+    """Keys with more than ``max(MIN_HOT_ROWS, MAX_SHARE * rows)`` rows, and into how many parts to
+    split each. Every hot key owns more than ``MAX_SHARE`` of the rows, so there are fewer than
+    ``1 / MAX_SHARE`` of them whatever the size of ``df``: that bounds the broadcast below.
 
     ``weight`` may name a column of whole numbers from 1 up. It changes nothing (rows never weigh
     less than their number) but keeps the column in this branch of the plan, so that Spark reuses
@@ -22,7 +25,7 @@ def hot_keys(
         rows = F.least(rows, F.sum(weight))
     counts = df.groupBy(*keys).agg(rows.alias("__rows"))
     total = counts.agg(F.sum("__rows")).scalar()
-    limit = F.greatest(F.lit(float(min_rows)), F.coalesce(total, F.lit(0)) * max_share)
+    limit = F.greatest(F.lit(float(MIN_HOT_ROWS)), F.coalesce(total, F.lit(0)) * MAX_SHARE)
     return (
         counts.withColumn("__limit", limit)
         .filter(F.col("__rows") > F.col("__limit"))
@@ -36,8 +39,6 @@ def salted_join(
     keys: Sequence[str],
     salt_on: Sequence[str],
     *,
-    max_share: float = 1 / 512,
-    min_rows: int = 100_000,
     weight: str | None = None,
     how: str = "inner",
 ) -> DataFrame:
@@ -47,7 +48,7 @@ def salted_join(
     are repeated once per part. All other keys join as usual. Nothing is dropped: every probe row is
     in one part, and every part sees all build rows of its key.
     """
-    hot = F.broadcast(hot_keys(probe, keys, max_share=max_share, min_rows=min_rows, weight=weight))
+    hot = F.broadcast(hot_keys(probe, keys, weight=weight))
     parts = F.coalesce(F.col("__parts"), F.lit(1))
     spread = (
         probe.join(hot, list(keys), "left")
