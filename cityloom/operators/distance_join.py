@@ -50,6 +50,9 @@ def distance_join(
     right side are split over tasks. Apart from the block the columns of the two sides must have
     different names.
     """
+    shared = set(left.columns) & set(right.columns) - {block}
+    if shared:
+        raise ValueError(f"columns on both sides: {sorted(shared)}")
     grid = SphereGrid(radius * distance.metres_per_unit)
     near = grid.explode_reach(_located(left, *left_coords, block), *left_coords, _ROW, _CELL)
     points = grid.add_cell(_located(right, *right_coords, block), *right_coords, _ROW, _CELL)

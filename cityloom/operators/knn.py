@@ -190,7 +190,7 @@ def _nearest_by_place(
     coarse = frontier.filter("__up > 0")
     while not coarse.isEmpty():
         children = (
-            coarse.selectExpr(*_PLACE, *_CELL, "least(2, __up) AS __down")
+            coarse.selectExpr(*_PLACE, *_CELL, "least(3, __up) AS __down")
             .selectExpr("*", "explode(sequence(0L, shiftleft(1L, __down) - 1)) AS __i")
             .selectExpr("*", "explode(sequence(0L, shiftleft(1L, __down) - 1)) AS __j")
             .selectExpr(
