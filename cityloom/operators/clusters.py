@@ -39,9 +39,8 @@ class Clusters:
             for _, y, x in self.centres
         )
         labels = ", ".join(str(i) for i, _, _ in self.centres)
-        return F.expr(
-            f"element_at(array({labels}), int(array_position(array({gaps}), array_min(array({gaps})))))"
-        )
+        nearest = f"element_at(array({labels}), int(array_position(array({gaps}), array_min(array({gaps})))))"
+        return F.expr(f"if({lat} IS NULL OR {lon} IS NULL, NULL, {nearest})")
 
     def assign(self, df: DataFrame, lat: str = "lat", lon: str = "lon", name: str = "cluster") -> DataFrame:
         """Label rows in place: no index column, no join. Rows without coordinates get null."""

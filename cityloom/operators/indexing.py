@@ -17,7 +17,7 @@ def dense_id(df: DataFrame, key: str, name: str, *, start: int = 0, parts: int |
     """
     parts = parts or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / parts for i in range(1, parts)]
-    cuts = sorted(set(df.stat.approxQuantile(key, shares, 1 / (4 * parts))))
+    cuts = sorted(set(df.stat.approxQuantile(key, shares, 1 / (4 * parts)))) if shares else []
     ranged = df.withColumn("__part", _range_number(F.col(key).cast("double"), cuts))
     # At most ``parts`` rows, hence one small task and a broadcast of known size.
     offsets = (

@@ -1,0 +1,163 @@
+import math
+import random
+
+import pytest
+
+from cityloom.operators.clusters import (
+    Clusters, kmeans, label_map, lloyd, merge_clusters, nearest_per_centre, small_cluster_groups, within_cost,
+)
+from cityloom.operators.density import density_histogram, kernel_density
+from cityloom.operators.indexing import accuracy, arrival_id, dense_id, hold_out
+from cityloom.operators.profile import describe_number, distinct_sorted, value_counts
+from cityloom.operators.shares import cluster_shares, scale_by_category
+
+SPOTS = ((49.21, -123.2), (49.22, -123.05), (49.25, -123.13), (49.3, -123.2), (49.29, -123.06))
+
+
+def blobs(spark, sizes=(60, 50, 40, 30, 6), parts=3):
+    rnd = random.Random(1)
+    rows = [
+        (i * 1000 + j, y + rnd.gauss(0, 0.001), x + rnd.gauss(0, 0.001), "Food" if j % 3 else "Leisure")
+        for i, ((y, x), n) in enumerate(zip(SPOTS, sizes))
+        for j in range(n)
+    ]
+    return spark.createDataFrame(rows, "id int, lat double, lon double, category string").repartition(parts)
+
+
+def test_lloyd_equals_plain_python(spark):
+    points = blobs(spark)
+    rows = points.collect()
+    centres = [(y + 0.01, x - 0.01) for y, x in SPOTS]
+    for _ in range(3):
+        groups = {}
+        for r in rows:
+            i = min(range(5), key=lambda c: ((r["lat"] - centres[c][0]) ** 2 + (r["lon"] - centres[c][1]) ** 2, c))
+            groups.setdefault(i, []).append(r)
+        centres = [
+            (sum(r["lat"] for r in groups[i]) / len(groups[i]), sum(r["lon"] for r in groups[i]) / len(groups[i]))
+            if i in groups else centres[i] for i in range(5)
+        ]
+    got = lloyd(points, [(y + 0.01, x - 0.01) for y, x in SPOTS], 3)
+    for (_, y, x), want in zip(got.centres, centres):
+        assert (y, x) == pytest.approx(want, abs=1e-10)
+    again = lloyd(blobs(spark, parts=8), [(y + 0.01, x - 0.01) for y, x in SPOTS], 3, persist=False)
+    for a, b in zip(got.centres, again.centres):
+        assert a == pytest.approx(b, abs=1e-10)
+
+
+def test_a_cluster_without_points_keeps_its_centre(spark):
+    got = lloyd(blobs(spark), [SPOTS[0], (0.0, 0.0)], 2)
+    assert got.centres[1] == (1, 0.0, 0.0)
+
+
+def test_kmeans_finds_the_blobs_and_repeats(spark):
+    points = blobs(spark)
+    found = kmeans(points, 5, seed=353)
+    assert found == kmeans(points, 5, seed=353)
+    for want, (_, y, x) in zip(sorted(SPOTS), found.centres):
+        assert math.dist(want, (y, x)) < 0.002
+    cost = {r["cluster"]: r["n"] for r in within_cost(points, found).collect()}
+    assert sum(cost.values()) == 186
+
+
+def test_labels_tie_to_the_first_and_null_without_coordinates(spark):
+    model = Clusters(((7, 0.0, 0.0), (3, 0.0, 2.0)))
+    df = spark.createDataFrame([(0.0, 1.0), (0.0, 1.1), (None, 1.0)], "lat double, lon double")
+    assert [r["cluster"] for r in model.assign(df).collect()] == [7, 3, None]
+
+
+def test_merge_recomputes_only_the_joined_centre(spark):
+    points = blobs(spark)
+    model = Clusters(tuple((i, y + 1e-4, x) for i, (y, x) in enumerate(SPOTS)))
+    merged, after = merge_clusters(model.assign(points), model, [(2, 4)])
+    assert [c[0] for c in after.centres] == [0, 1, 2, 3]
+    assert [after.centres[i] for i in (0, 1, 3)] == [model.centres[i] for i in (0, 1, 3)]
+    rows = [r for r in merged.collect() if r["cluster"] == 2]
+    assert len(rows) == 46
+    assert after.centres[2][1] == pytest.approx(sum(r["lat"] for r in rows) / 46, abs=1e-10)
+    with pytest.raises(ValueError):
+        label_map([(2, 9)], [0, 1, 2])
+
+
+def test_small_clusters_join_their_neighbour(spark):
+    model = Clusters(tuple((i, y, x) for i, (y, x) in enumerate(SPOTS)))
+    assert small_cluster_groups(blobs(spark), model, 10) == [{2, 4}] or small_cluster_groups(
+        blobs(spark), model, 10
+    ) == [{1, 4}]
+
+
+def test_centres_as_a_frame_and_back(spark):
+    model = Clusters(((0, 1.0, 2.0), (1, 3.0, 4.0)))
+    assert Clusters.from_frame(model.to_frame(spark), "cluster", "clat", "clon") == model
+
+
+def test_nearest_row_per_centre_with_ties_and_nulls(spark):
+    rows = [(3, 49.0, -123.0, "x"), (2, 49.0, -123.0, "y"), (1, 50.0, -123.0, None), (0, None, -123.0, "z")]
+    df = spark.createDataFrame(rows, "id int, latitude double, longitude double, name string")
+    model = Clusters(((0, 49.01, -123.0), (1, 50.01, -123.0), (5, 49.0, -123.2)))
+    got = nearest_per_centre(df, model, distance="metres")
+    assert got.columns == ["id", "latitude", "longitude", "name", "cluster", "metres"]
+    assert sorted((r["cluster"], r["id"]) for r in got.collect()) == [(0, 2), (1, 1), (5, 2)]
+    assert nearest_per_centre(df.limit(0), model).count() == 0
+
+
+def test_shares_sum_to_one_and_scale_by_category(spark):
+    rows = [(0, "a")] * 3 + [(0, "b")] + [(1, "a")] * 2
+    df = spark.createDataFrame(rows, "cluster int, category string")
+    got = {(r["cluster"], r["category"]): (r["n"], r["percent"], r["scaled_percent"])
+           for r in scale_by_category(cluster_shares(df)).collect()}
+    assert got == {(0, "a"): (3, 0.75, 0.75 / 1.75), (0, "b"): (1, 0.25, 1.0), (1, "a"): (2, 1.0, 1 / 1.75)}
+    full = {(r["cluster"], r["category"]): r["n"] for r in cluster_shares(df, complete=["a", "b"]).collect()}
+    assert full == {(0, "a"): 3, (0, "b"): 1, (1, "a"): 2, (1, "b"): 0}
+
+
+def test_density_integrates_to_one(spark):
+    points = blobs(spark, (300, 200, 0, 0, 0)).selectExpr("category AS type", "lat AS latitude", "lon AS longitude")
+    grid = kernel_density(points, "type", grid=64).collect()
+    for kind in ("Food", "Leisure"):
+        cells = [r for r in grid if r["type"] == kind]
+        assert len(cells) == 64 * 64
+        dy = max(r["lat"] for r in cells) - min(r["lat"] for r in cells)
+        dx = max(r["lon"] for r in cells) - min(r["lon"] for r in cells)
+        assert sum(r["density"] for r in cells) * dy * dx / 63**2 == pytest.approx(1, abs=0.02)
+    assert sum(r["n"] for r in density_histogram(points, "type").collect()) == points.count()
+
+
+def test_density_needs_a_spread(spark):
+    df = spark.createDataFrame([("a", 1.0, 1.0), ("b", 1.0, 1.0), ("b", 1.0, 2.0), ("c", None, 1.0)],
+                               "type string, latitude double, longitude double")
+    assert kernel_density(df, "type").count() == 0
+
+
+@pytest.mark.parametrize("parts", [None, 1, 40])
+def test_dense_ids_follow_the_key(spark, parts):
+    keys = [7 * i % 1009 + 10**15 * (i % 3 == 0) for i in range(1009)]
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(5)
+    got = dense_id(df, "k", "i", parts=parts).collect()
+    assert {r["k"]: r["i"] for r in got} == {k: i for i, k in enumerate(sorted(keys))}
+
+
+def test_arrival_ids_are_unique(spark):
+    assert arrival_id(spark.range(50).repartition(7), "i").select("i").distinct().count() == 50
+
+
+def test_hold_out_is_complete_and_repeatable(spark):
+    df = spark.range(2000)
+    train, valid = hold_out(df, "id", 0.75, seed=3)
+    a = {r["id"] for r in train.collect()}
+    assert a.isdisjoint(r["id"] for r in valid.collect()) and len(a) + valid.count() == 2000
+    assert 1400 < len(a) < 1600
+    assert a == {r["id"] for r in hold_out(df.repartition(9), "id", 0.75, seed=3)[0].collect()}
+    assert hold_out(df, "id", 1.0)[1].count() == 0
+
+
+def test_accuracy_counts_missing_predictions_as_wrong(spark):
+    df = spark.createDataFrame([("a", "a"), ("b", "a"), (None, "a"), ("b", "b")], "p string, t string")
+    assert accuracy(df, "p", "t").first() == (4, 0.5)
+
+
+def test_profiles(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 3), ("a", None)], "k string, n int")
+    assert sorted(map(tuple, value_counts(df, "k").collect())) == [("a", 2), ("b", 1)]
+    assert [r[0] for r in distinct_sorted(df, "k").collect()] == ["a", "b"]
+    assert describe_number(df, "n").first() == (2, 2.0, pytest.approx(math.sqrt(2)), 1, 3)

@@ -34,7 +34,7 @@ CLIP_BOX = (-123.2, -123.05, 49.22, 49.3)
 START = ((49.22, -123.2), (49.22, -123.08), (49.26, -123.14), (49.3, -123.2), (49.3, -123.06))
 ITERATIONS = 3
 CITY_POINTS = ((0, 49.28, -123.12), (1, 49.26, -123.06), (2, 49.26, -123.18), (3, 49.236, -123.11))
-MIN_SUPPORT = 12
+MIN_SUPPORT = 8
 
 
 # Inputs
