@@ -140,6 +140,10 @@ class SphereGrid:
     def height(self) -> float:
         return min(self.reach_deg / self.per_radius, 180.0)
 
+    @property
+    def cell_m(self) -> float:
+        return math.radians(self.height) * EARTH_RADIUS_M
+
     def _row(self, lat: str) -> str:
         return f"floor(({lat} + 90D) / {self.height!r}D)"
 
@@ -148,28 +152,28 @@ class SphereGrid:
         nearest_equator = f"least(90D, greatest(0D, {south}, -({south} + {self.height!r}D)))"
         return f"greatest(1L, floor(cos(radians({nearest_equator})) * {360.0 / self.height!r}D))"
 
-    def add_cell(self, df: DataFrame, lat: str, lon: str, row: str, cell: str) -> DataFrame:
+    def add_cell(self, df: DataFrame, lat: str, lon: str, row: str, cell: str, *inside: str) -> DataFrame:
         """Add the cell every point lies in. Coordinates must not be null.
 
-        The numbers are declared as never null: a join on them then needs no null test, which the
-        optimiser would push down to the scan as a copy of the expression.
+        ``inside`` may name two columns for the position in the cell, from 0 up to 1 northwards and
+        eastwards. The numbers are declared as never null: a join on them then needs no null test,
+        which the optimiser would push down to the scan as a copy of the expression.
         """
         kept = [f"`{c}`" for c in df.columns]
+        position = f"({lon} + 180D) * __n / 360D"
+        extra = []
+        if inside:
+            extra = [
+                f"({lat} + 90D) / {self.height!r}D - {row} AS {inside[0]}",
+                f"{position} - floor({position}) AS {inside[1]}",
+            ]
         return (
             df.selectExpr("*", f"coalesce({self._row(lat)}, -1L) AS {row}")
             .selectExpr("*", f"{self._cells_in_row(row)} AS __n")
-            .selectExpr(*kept, row, f"coalesce(pmod(floor(({lon} + 180D) * __n / 360D), __n), -1L) AS {cell}")
+            .selectExpr(*kept, row, f"coalesce(pmod(floor({position}), __n), -1L) AS {cell}", *extra)
         )
 
-    def explode_reach(
-        self, df: DataFrame, lat: str, lon: str, row: str, cell: str, *bounds: str
-    ) -> DataFrame:
-        """One row per cell that the search circle's bounding box touches; no cell twice.
-
-        ``bounds`` may name two columns for a lower and an upper bound of sin^2(d/2R), d being the
-        distance from the point to any point of the cell.
-        """
-        kept = [f"`{c}`" for c in df.columns]
+    def _rows_in_reach(self, df: DataFrame, lat: str, row: str) -> DataFrame:
         reach = f"{self.reach_deg!r}D"
         sine = f"{math.sin(math.radians(min(self.reach_deg, 90.0)))!r}D"
         half = (
@@ -177,43 +181,90 @@ class SphereGrid:
             f" degrees(asin(least(1D, {sine} / cos(radians({lat}))))) + 1e-9D)"
         )
         rows = f"sequence({self._row(f'greatest(-90D, {lat} - {reach})')}, {self._row(f'least(90D, {lat} + {reach})')})"
-        by_row = (
-            df.selectExpr("*", f"{half} AS __half", f"explode({rows}) AS {row}")
-            .selectExpr("*", f"{self._cells_in_row(row)} AS __n")
+        return df.selectExpr("*", f"{half} AS __half", f"explode({rows}) AS {row}").selectExpr(
+            "*", f"{self._cells_in_row(row)} AS __n"
+        )
+
+    def explode_reach(self, df: DataFrame, lat: str, lon: str, row: str, cell: str) -> DataFrame:
+        """One row per cell that the search circle's bounding box touches; no cell twice."""
+        kept = [f"`{c}`" for c in df.columns]
+        return (
+            self._rows_in_reach(df, lat, row)
+            .selectExpr(*kept, row, "__n", *self._ends(lon))
+            .selectExpr("*", _CELL_RANGE)
+            .selectExpr(*kept, row, f"coalesce(pmod(__u, __n), -1L) AS {cell}")
         )
-        ends = [
+
+    def _ends(self, lon: str) -> list[str]:
+        return [
             f"floor(({lon} - __half + 180D) * __n / 360D) AS __first",
             f"floor(({lon} + __half + 180D) * __n / 360D) AS __last",
         ]
-        cell_range = "explode(sequence(__first, least(__last, __first + __n - 1))) AS __u"
-        number = f"coalesce(pmod(__u, __n), -1L) AS {cell}"
-        if not bounds:
-            return by_row.selectExpr(*kept, row, "__n", *ends).selectExpr("*", cell_range).selectExpr(*kept, row, number)
-
-        def half_sine(angle: str) -> str:
-            return f"power(sin(radians({angle}) / 2), 2)"
-
-        # What depends on the row alone is worked out once per row.
-        by_row = by_row.selectExpr(
-            "*", f"{row} * {self.height!r}D - 90D AS __south", f"({row} + 1) * {self.height!r}D - 90D AS __north"
-        ).selectExpr(
-            *kept, row, "__n", *ends,
-            half_sine(f"greatest(0D, __south - {lat}, {lat} - __north)") + " AS __lat_low",
-            half_sine(f"greatest({lat} - __south, __north - {lat})") + " AS __lat_high",
-            f"cos(radians({lat})) * greatest(0D, least(cos(radians(__south)), cos(radians(__north)))) AS __cos_low",
-            f"cos(radians({lat})) * if(__south <= 0 AND __north >= 0, 1D,"
-            " greatest(cos(radians(__south)), cos(radians(__north)))) AS __cos_high",
+
+    def explode_bounded(self, df: DataFrame, lat: str, lon: str, row: str, cell: str) -> DataFrame:
+        """``explode_reach`` with each cell's bounds.
+
+        Adds ``__low`` and ``__high``, bounds of sin^2(d/2R) for the distances d from the point to
+        the points of the cell, and the cell's shape for ``split_bounded``: its south edge and
+        height, its west edge seen from the point and width, all in degrees, and whether the cells
+        go all round the row (then one may be nearer the other way than its west edge says).
+        """
+        kept = [f"`{c}`" for c in df.columns]
+        return (
+            self._rows_in_reach(df, lat, row)
+            .selectExpr("*", f"{row} * {self.height!r}D - 90D AS __south", f"{self.height!r}D AS __tall")
+            .selectExpr(*kept, row, "__n", *self._ends(lon), "__south", "__tall", *_lat_terms(lat))
+            .selectExpr("*", _CELL_RANGE)
+            .selectExpr(
+                "*", f"__u * 360D / __n - 180D - {lon} AS __west", "360D / __n AS __wide",
+                "__last - __first + 1 >= __n AS __round",
+            )
+            .selectExpr(*kept, row, f"coalesce(pmod(__u, __n), -1L) AS {cell}", *_SHAPE, *_LON_TERMS)
         )
-        low, high = bounds
-        # All round the row a cell may be nearer the other way than the difference says.
-        lon_low = "if(__last - __first + 1 >= __n, 0D, greatest(0D, __west, -__west - 360D / __n))"
-        lon_high = "least(180D, greatest(-__west, __west + 360D / __n))"
+
+    @staticmethod
+    def split_bounded(df: DataFrame, lat: str, up: str, along: str, *, parts: int) -> DataFrame:
+        """Cells of ``explode_bounded`` cut into ``parts`` x ``parts``, with new bounds; ``up`` and
+        ``along`` number the pieces within the original cell."""
+        new = {*_SHAPE, up, along, "__low", "__high"}
+        kept = [f"`{c}`" for c in df.columns if c not in new]
         return (
-            by_row.selectExpr("*", cell_range)
-            .selectExpr("*", f"__u * 360D / __n - 180D - {lon} AS __west")
+            df.selectExpr("*", f"explode(sequence(0L, {parts - 1}L)) AS __i")
+            .selectExpr(
+                *kept, f"{up} * {parts} + __i AS {up}", along, "__west", "__wide", "__round",
+                f"__south + __i * __tall / {parts} AS __south", f"__tall / {parts} AS __tall",
+            )
+            .selectExpr("*", *_lat_terms(lat))
+            .selectExpr("*", f"explode(sequence(0L, {parts - 1}L)) AS __j")
             .selectExpr(
-                *kept, row, number,
-                f"__lat_low + __cos_low * {half_sine(lon_low)} AS {low}",
-                f"__lat_high + __cos_high * {half_sine(lon_high)} AS {high}",
+                *kept, up, f"{along} * {parts} + __j AS {along}", "__south", "__tall", "__round",
+                f"__west + __j * __wide / {parts} AS __west", f"__wide / {parts} AS __wide", *_LAT_COLUMNS,
             )
+            .selectExpr(*kept, up, along, *_SHAPE, *_LON_TERMS)
         )
+
+
+def _half_sine(angle: str) -> str:
+    return f"power(sin(radians({angle}) / 2), 2)"
+
+
+def _lat_terms(lat: str) -> list[str]:
+    """What of a cell's bounds depends on its row alone."""
+    north = "(__south + __tall)"
+    cosines = f"cos(radians(__south)), cos(radians{north})"
+    return [
+        _half_sine(f"greatest(0D, __south - {lat}, {lat} - {north})") + " AS __lat_low",
+        _half_sine(f"greatest({lat} - __south, {north} - {lat})") + " AS __lat_high",
+        f"cos(radians({lat})) * greatest(0D, least({cosines})) AS __cos_low",
+        f"cos(radians({lat})) * if(__south <= 0 AND {north} >= 0, 1D, greatest({cosines})) AS __cos_high",
+    ]
+
+
+_CELL_RANGE = "explode(sequence(__first, least(__last, __first + __n - 1))) AS __u"
+_LAT_COLUMNS = ("__lat_low", "__lat_high", "__cos_low", "__cos_high")
+_SHAPE = ("__south", "__tall", "__west", "__wide", "__round")
+_LON_TERMS = (
+    "__lat_low + __cos_low * "
+    + _half_sine("if(__round, 0D, greatest(0D, __west, -__west - __wide))") + " AS __low",
+    "__lat_high + __cos_high * " + _half_sine("least(180D, greatest(-__west, __west + __wide))") + " AS __high",
+)

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.geo import EARTH_RADIUS_M, Distance, SphereGrid
+from ..session import materialise
 from .skew import salted_join
 
 _BLOCK, _ROW, _CELL = "__block", "__row", "__cell"
@@ -67,6 +68,12 @@ def distance_join(
     )
 
 
+# A cell the circle's edge crosses is compared point by point if it has at most so many points, and
+# is cut into SPLIT x SPLIT pieces if it has more.
+MAX_COMPARED = 256
+SPLIT = 4
+
+
 def count_within(
     left: DataFrame,
     right: DataFrame,
@@ -85,8 +92,10 @@ def count_within(
 
     Points of one place and group are first collapsed to one row with a weight. Cells are
     ``per_radius`` times finer than the radius. A cell that lies inside a point's circle as a whole
-    adds the product of the two weights, from the cell's total; only cells the circle's edge crosses
-    are compared point by point. A hot place or cell is therefore one row of the join, not a square.
+    adds the product of the two weights, from the cell's total. A cell the circle's edge crosses is
+    compared point by point if it holds few points; one that holds many is cut into smaller cells,
+    in rounds, until the pieces are whole, outside or small. Where all points crowd into one spot
+    the work thus follows the length of the circle's edge, not the number of pairs.
     """
     if not distance.clamp:
         raise ValueError("counting by cell needs the clamped distance; join and group instead")
@@ -106,31 +115,73 @@ def count_within(
             .agg(F.count("*").alias(names[2]))
         )
 
-    places = collapse(left, left_coords, l_by, ("__lat1", "__lon1", "__n1"))
-    points = collapse(right, right_coords, r_by, ("__lat2", "__lon2", "__n2"))
-    points = grid.add_cell(points, "__lat2", "__lon2", _ROW, _CELL).withColumn("__whole", F.lit(False))
-    totals = (
-        points.groupBy(*block_by, _ROW, _CELL, *r_by.values())
-        .agg(F.sum("__n2").alias("__n2"))
-        .withColumn("__whole", F.lit(True))
-    )
-    targets = points.unionByName(totals, allowMissingColumns=True)
-    probes = (
-        grid.explode_reach(places, "__lat1", "__lon1", _ROW, _CELL, "__low", "__high")
-        .filter(F.col("__low") <= _half_sine_squared(radius_m + grid.margin_m))
-        .withColumn("__whole", F.col("__high") < _half_sine_squared(radius_m - grid.margin_m))
-        .drop("__low", "__high")
+    def touched(probes: DataFrame) -> DataFrame:
+        """Cells not outside the circle, marked if whole inside. The margin keeps every point whose
+        side rounding could change among those compared by the exact formula."""
+        return (
+            probes.filter(F.col("__low") <= _half_sine_squared(radius_m + grid.margin_m))
+            .withColumn("__whole", F.col("__high") < _half_sine_squared(radius_m - grid.margin_m))
+            .drop("__low", "__high")
+        )
+
+    points = materialise(
+        grid.add_cell(
+            collapse(right, right_coords, r_by, ("__lat2", "__lon2", "__n2")),
+            "__lat2", "__lon2", _ROW, _CELL, "__up", "__along",
+        ),
+        "count-points",
     )
+    places = collapse(left, left_coords, l_by, ("__lat1", "__lon1", "__n1"))
+    probes = touched(grid.explode_bounded(places, "__lat1", "__lon1", _ROW, _CELL))
+    probes = probes.selectExpr("*", "0L AS __si", "0L AS __sj")
+    keys = [*_keys(block), "__si", "__sj"]
     gap = distance("__lat2", "__lon2", "__lat1", "__lon1")
-    by = [F.col(a).alias(c) for c, a in {**l_by, **r_by}.items()]
-    return (
-        salted_join(
-            targets, probes, [*_keys(block), "__whole"], ["__lat2", "__lon2", *r_by.values()], weight="__n2"
+    by = [*l_by.values(), *r_by.values()]
+    parts: list[DataFrame] = []
+    pieces = 1
+    # Pieces below the margin would never be whole or outside; what is crowded there is compared.
+    finest = grid.cell_m / grid.margin_m
+    while True:
+        last = f"{pieces - 1}L"
+        points = points.drop("__si", "__sj").selectExpr(
+            "*",
+            f"greatest(0L, least({last}, floor(__up * {pieces}))) AS __si",
+            f"greatest(0L, least({last}, floor(__along * {pieces}))) AS __sj",
         )
-        .filter(F.col("__whole") | (gap <= radius))
-        .groupBy(*by)
-        .agg(F.sum(F.col("__n1") * F.col("__n2")).alias(output))
-    )
+        crowds = points.groupBy(*keys).agg(F.count("*").alias("__rows")).filter(F.col("__rows") > MAX_COMPARED)
+        crowded = not crowds.isEmpty()
+        split = None
+        if crowded and pieces < finest:
+            probes = materialise(probes.join(crowds, keys, "left"), "count-frontier")
+            split = probes.filter("NOT __whole AND __rows IS NOT NULL").drop("__rows", "__whole")
+            probes = probes.filter("__whole OR __rows IS NULL")
+        probes = probes.select(*keys, "__whole", "__lat1", "__lon1", "__n1", *l_by.values())
+        totals = points.groupBy(*keys, *r_by.values()).agg(F.sum("__n2").alias("__n2"))
+        targets = points.select(*keys, "__lat2", "__lon2", *r_by.values(), "__n2", F.lit(False).alias("__whole"))
+        targets = targets.unionByName(totals.withColumn("__whole", F.lit(True)), allowMissingColumns=True)
+        on = [*keys, "__whole"]
+        if crowded:
+            joined = salted_join(targets, probes, on, ["__lat2", "__lon2", *r_by.values()])
+        else:
+            joined = targets.join(probes, on)
+        parts.append(
+            joined.filter(F.col("__whole") | (gap <= radius))
+            .groupBy(*by)
+            .agg(F.sum(F.col("__n1") * F.col("__n2")).alias(output))
+        )
+        if split is None or split.isEmpty():
+            break
+        pieces *= SPLIT
+        cells = split.select(*keys).distinct()
+        points = materialise(salted_join(points, cells, keys, ["__lat2", "__lon2", *r_by.values()]), "count-points")
+        probes = touched(grid.split_bounded(split, "__lat1", "__si", "__sj", parts=SPLIT))
+    counted = parts[0]
+    for part in parts[1:]:
+        counted = counted.unionByName(part)
+    names = [F.col(a).alias(c) for c, a in {**l_by, **r_by}.items()]
+    if len(parts) == 1:
+        return counted.select(*names, output)
+    return counted.groupBy(*names).agg(F.sum(output).alias(output))
 
 
 def summarise_pairs(per_place: DataFrame, n: str = "n") -> DataFrame:

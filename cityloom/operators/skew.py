@@ -12,18 +12,11 @@ MAX_SHARE = 1 / 512
 MIN_HOT_ROWS = 100_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], *, weight: str | None = None) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with more than ``max(MIN_HOT_ROWS, MAX_SHARE * rows)`` rows, and into how many parts to
     split each. Every hot key owns more than ``MAX_SHARE`` of the rows, so there are fewer than
-    ``1 / MAX_SHARE`` of them whatever the size of ``df``: that bounds the broadcast below.
-
-    ``weight`` may name a column of whole numbers from 1 up. It changes nothing (rows never weigh
-    less than their number) but keeps the column in this branch of the plan, so that Spark reuses
-    the shuffle that made it instead of reading the input again."""
-    rows = F.count("*")
-    if weight:
-        rows = F.least(rows, F.sum(weight))
-    counts = df.groupBy(*keys).agg(rows.alias("__rows"))
+    ``1 / MAX_SHARE`` of them whatever the size of ``df``: that bounds the broadcast below."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
     total = counts.agg(F.sum("__rows")).scalar()
     limit = F.greatest(F.lit(float(MIN_HOT_ROWS)), F.coalesce(total, F.lit(0)) * MAX_SHARE)
     return (
@@ -39,7 +32,6 @@ def salted_join(
     keys: Sequence[str],
     salt_on: Sequence[str],
     *,
-    weight: str | None = None,
     how: str = "inner",
 ) -> DataFrame:
     """Equi-join, inner or left, in which no task gets a whole hot key of ``probe``.
@@ -48,7 +40,7 @@ def salted_join(
     are repeated once per part. All other keys join as usual. Nothing is dropped: every probe row is
     in one part, and every part sees all build rows of its key.
     """
-    hot = F.broadcast(hot_keys(probe, keys, weight=weight))
+    hot = F.broadcast(hot_keys(probe, keys))
     parts = F.coalesce(F.col("__parts"), F.lit(1))
     spread = (
         probe.join(hot, list(keys), "left")

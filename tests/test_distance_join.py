@@ -4,6 +4,7 @@ import random
 import pytest
 
 from cityloom.functions.geo import Distance
+from cityloom.operators import distance_join as module
 from cityloom.operators.distance_join import count_within, distance_join
 from cityloom.operators.skew import attach_group_counts, join_small, salted_join
 
@@ -57,8 +58,9 @@ def test_equals_brute_force_with_hot_keys(spark, hot, block):
         assert x[2] == pytest.approx(meters(left[x[0]][1:3], right[x[1]][1:3]), abs=1e-6)
 
 
-@pytest.mark.parametrize("per_radius", [1, 2, 3, 5])
-def test_counting_equals_joining(spark, hot, per_radius):
+@pytest.mark.parametrize("per_radius, compared", [(1, 256), (3, 256), (5, 256), (1, 3), (3, 3)])
+def test_counting_equals_joining(spark, hot, monkeypatch, per_radius, compared):
+    monkeypatch.setattr(module, "MAX_COMPARED", compared)
     left, right = city(90, 3), city(240, 4)
     l, r = frames(spark, left, right)
     want = {}
@@ -78,7 +80,7 @@ def test_result_does_not_depend_on_partitions(spark):
     assert got[0] == got[1]
 
 
-def test_poles_and_date_line(spark):
+def test_poles_and_date_line(spark, monkeypatch):
     left = [(0, 89.9, 0.0, "a", "x"), (1, 10.0, 179.95, "a", "x"), (2, -89.99, 45.0, "a", "x"), (3, 0.0, -179.99, "a", "x")]
     right = [(0, 89.9, 180.0, "a", "x"), (1, 10.0, -179.95, "a", "x"), (2, -89.99, -135.0, "a", "x"),
              (3, 0.01, 179.99, "a", "x"), (4, 89.95, -90.0, "a", "x"), (5, 90.0, 0.0, "a", "x"), (6, 0.0, 180.0, "a", "x")]
@@ -86,7 +88,8 @@ def test_poles_and_date_line(spark):
     want = brute(left, right, 25_000.0, None)
     assert len(want) >= 6
     assert sorted(map(tuple, distance_join(l, r.drop("neighbourhood"), 25_000.0, block=None).select("lid", "rid").collect())) == want
-    for per_radius in (1, 3):
+    for per_radius, compared in ((1, 256), (3, 256), (2, 0)):
+        monkeypatch.setattr(module, "MAX_COMPARED", compared)
         got = count_within(l, r, 25_000.0, left_by=["lid"], right_by=["rid"], block=None, per_radius=per_radius).collect()
         assert sorted((x["lid"], x["rid"]) for x in got) == want
 

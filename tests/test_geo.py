@@ -70,9 +70,9 @@ def test_cell_bounds_hold(spark):
     others = places.selectExpr("lat + 1.1D AS lat2", "lon + 0.7D AS lon2").union(
         places.selectExpr("lat - 0.8D", "lon - 2.3D")
     ).filter("lat2 BETWEEN -90 AND 90")
-    cells = grid.explode_reach(places, "lat", "lon", "r", "c", "low", "high")
+    cells = grid.explode_bounded(places, "lat", "lon", "r", "c")
     hits = cells.join(grid.add_cell(others, "lat2", "lon2", "r", "c"), ["r", "c"]).withColumn(
         "h", F.pow(F.sin(haversine_m("lat", "lon", "lat2", "lon2") / (2 * EARTH_RADIUS_M)), 2)
     )
     assert hits.count() > 20
-    assert hits.filter("h < low * (1 - 1e-9) - 1e-15 OR h > high * (1 + 1e-9) + 1e-15").count() == 0
+    assert hits.filter("h < __low * (1 - 1e-9) - 1e-15 OR h > __high * (1 + 1e-9) + 1e-15").count() == 0
