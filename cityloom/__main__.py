@@ -28,7 +28,10 @@ def _parser() -> argparse.ArgumentParser:
         return sub
 
     extract = step("extract-places", "amenity nodes of a map extract, as JSON and Parquet", "source", "target")
-    extract.add_argument("--whole-documents", action="store_true", help="XML files instead of one element per line")
+    extract.add_argument(
+        "--kind", choices=sorted(ingest.READERS), default="fragments",
+        help="one element per line, whole XML files, or large XML files cut at closing tags",
+    )
     step("clip-places", "places of the greater region", "source", "target")
     step("clean-places", "named places of the city with category", "source", "target").add_argument(
         "--parity", action="store_true", help="categorise as the published figures do"
@@ -55,7 +58,7 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = get_session(f"cityloom {args.step}")
     if args.step == "extract-places":
-        ingest.extract_places(spark, args.source, args.target, whole_documents=args.whole_documents)
+        ingest.extract_places(spark, args.source, args.target, kind=args.kind)
     elif args.step == "clip-places":
         ingest.clip_places(spark, args.source, args.target)
     elif args.step == "clean-places":

@@ -12,11 +12,17 @@ from ..operators.indexing import arrival_id
 from ..sources import tables, xml
 
 
-def extract_places(spark: SparkSession, source: str, target: str, *, whole_documents: bool) -> None:
+READERS = {
+    "fragments": xml.read_osm_fragments,
+    "documents": xml.read_osm_document,
+    "extract": xml.read_osm_extract,
+}
+
+
+def extract_places(spark: SparkSession, source: str, target: str, *, kind: str = "fragments") -> None:
     """XML to gzip JSON at ``target`` and Parquet at ``target-parquet``. The extract is small beside
     its source, so it is written once and the JSON is made from the Parquet copy."""
-    read = xml.read_osm_document if whole_documents else xml.read_osm_fragments
-    tables.write_parquet(read(spark, source), target + "-parquet")
+    tables.write_parquet(READERS[kind](spark, source), target + "-parquet")
     tables.write_json(tables.read_parquet(spark, target + "-parquet"), target)
 
 

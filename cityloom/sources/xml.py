@@ -37,7 +37,8 @@ def _amenities(nodes: Column) -> Column:
 def read_osm_document(spark: SparkSession, path: str) -> DataFrame:
     """Amenity nodes of XML documents: (lat, lon, timestamp, amenity, name, tags).
 
-    Spark's XML source splits on the ``node`` element and skips ways and relations.
+    Spark's XML source cuts out the ``node`` elements and skips ways and relations. It reads any XML,
+    but a file is one task: for one large file use ``read_osm_extract``.
     """
     nodes = (
         spark.read.format("xml").option("rowTag", "node").option("mode", "FAILFAST").schema(OSM_NODE).load(path)
@@ -63,6 +64,26 @@ def read_osm_fragments(spark: SparkSession, path: str) -> DataFrame:
     return amenities_from_fragments(spark.read.text(path))
 
 
+_OPEN_NODE = r"""(?s)^.*(<node(?:\s+[\w:.-]+\s*=\s*(?:"[^"]*"|'[^']*'))*\s*>.*)$"""
+
+
+def read_osm_extract(spark: SparkSession, path: str) -> DataFrame:
+    """Amenity nodes of large XML files as map servers write them; plain or bzip2 files are split.
+
+    The text is cut at every closing tag. A piece then holds at most one element that is still open,
+    and if that is a node, the piece ends with the whole of it but its closing tag. Nodes without
+    tags close themselves and are passed over. Comments and CDATA that contain a closing tag, which
+    such files do not have, would be misread; ``read_osm_document`` reads those.
+    """
+    pieces = spark.read.option("lineSep", "</").text(path)
+    node = F.concat(F.regexp_extract("value", _OPEN_NODE, 1), F.lit("</node>"))
+    # Exploding an array of one keeps the expression from being copied into the filters that follow.
+    nodes = pieces.filter(F.col("value").contains("<node") & F.col("value").contains("amenity")).select(
+        F.explode(F.array(node)).alias("value")
+    )
+    return amenities_from_fragments(nodes)
+
+
 def node_struct(
     lat: Column, lon: Column, timestamp: Column, tags: dict[str, Column]
 ) -> list[Column]:

@@ -38,6 +38,28 @@ def test_whole_document(spark, tmp_path):
     assert records(xml.read_osm_document(spark, str(tmp_path / "a.xml"))) == WANT
 
 
+@pytest.mark.parametrize("max_bytes", [64, 200, 10_000])
+def test_extract_cut_at_closing_tags(spark, tmp_path, max_bytes):
+    long = DOCUMENT.replace("</osm>", "") + "".join(
+        f"""<node id="{i}" user="a > b" lat="{i / 10}" lon='1' timestamp="2020-01-02T03:04:05Z"/>
+        <node id="{i}" user="x/y" lat="{60 + i}" lon="1" timestamp="2020-01-02T03:04:05Z"><tag k="amenity" v="n > {i}"/></node>
+        <relation id="9"><member type="node" ref="1"/><tag k="amenity" v="no"/></relation>"""
+        for i in range(20)
+    ) + "</osm>"
+    (tmp_path / "big.osm").write_text(long)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max_bytes))
+    try:
+        frame = xml.read_osm_extract(spark, str(tmp_path / "big.osm"))
+        if max_bytes < 1000:
+            assert frame.rdd.getNumPartitions() > 5
+        got = records(frame)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got[:2] == WANT
+    assert [(r[0], r[3]) for r in got[2:]] == [(60.0 + i, f"n > {i}") for i in range(20)]
+    assert records(xml.read_osm_document(spark, str(tmp_path / "big.osm"))) == got
+
+
 def test_fragments(spark, tmp_path):
     body = DOCUMENT.split("<osm", 1)[1].split(">", 1)[1].split("</osm>")[0]
     lines, current = [], ""

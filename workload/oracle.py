@@ -211,6 +211,7 @@ def _build() -> dict[str, str]:
         "src_csv_roundtrip": "SELECT * FROM customer",
         "src_parquet_lz4_roundtrip": "SELECT * FROM orders",
         "src_xml_nodes": f"{_FIXTURES} SELECT {node_columns} FROM poi WHERE amenity <> 'bench'",
+        "src_xml_extract": f"{_FIXTURES} SELECT {node_columns} FROM poi WHERE amenity <> 'bench'",
         "src_xml_fragments": f"{_FIXTURES} SELECT {node_columns} FROM poi WHERE amenity <> 'bench' AND amnt_id % 7 <> 0",
         "tags_map_extract": "SELECT event_id, json_extract_string(props, '$.k') AS k, "
         "json_extract_string(props, '$.absent') AS absent, "

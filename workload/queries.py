@@ -102,6 +102,12 @@ def src_xml_nodes(spark: SparkSession, sf: str) -> DataFrame:
     return place_record(xml.read_osm_document(spark, path))
 
 
+def src_xml_extract(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "xml")
+    xml.write_osm_document(fx.poi(spark, sf).select(*poi_node(F.col("amenity") != "bench")), path)
+    return place_record(xml.read_osm_extract(spark, path))
+
+
 def src_xml_fragments(spark: SparkSession, sf: str) -> DataFrame:
     node = xml.node_fragment(poi_node(F.col("amenity") != "bench"))
     way = F.regexp_replace(node, "(?<=</?)node", "way")
@@ -348,6 +354,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_csv_roundtrip": src_csv_roundtrip,
     "src_parquet_lz4_roundtrip": src_parquet_lz4_roundtrip,
     "src_xml_nodes": src_xml_nodes,
+    "src_xml_extract": src_xml_extract,
     "src_xml_fragments": src_xml_fragments,
     "tags_map_extract": tags_map_extract,
     "poi_allowlist_bbox": poi_allowlist_bbox,
