@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from ..session import materialise
 from .skew import salted_join
@@ -56,24 +56,26 @@ class _Grid:
         return " + ".join(parts)
 
 
-def _choose_grid(train: DataFrame, places: DataFrame, k: int) -> tuple[_Grid, int]:
-    """Grid and number of training points, from two small jobs.
+def _choose_grid(train: DataFrame, places: DataFrame, k: int) -> tuple[_Grid, Row]:
+    """Grid, and the numbers of training points (n), places (m) and rows of the fullest place
+    (fullest), from two small jobs.
 
     The finest cells would hold about k/4 points if points were spread evenly; a sample shows how
     unevenly they lie, and cells get finer until the fullest holds few. The choice affects speed
     only, never the result.
     """
     box = (
-        train.selectExpr("__x", "__y", "1 AS t")
-        .unionByName(places.selectExpr("__qx AS __x", "__qy AS __y", "0 AS t"))
+        train.selectExpr("__x", "__y", "0L AS __rows")
+        .unionByName(places.selectExpr("__qx AS __x", "__qy AS __y", "__rows"))
         .selectExpr(
-            "min(__x) AS x0", "max(__x) AS x1", "min(__y) AS y0", "max(__y) AS y1", "sum(t) AS n"
+            "min(__x) AS x0", "max(__x) AS x1", "min(__y) AS y0", "max(__y) AS y1",
+            "count_if(__rows = 0) AS n", "count_if(__rows > 0) AS m", "coalesce(max(__rows), 0) AS fullest",
         )
         .first()
     )
-    n = box["n"] or 0
+    n = box["n"]
     if n == 0:
-        return _Grid(0.0, 0.0, 1.0, 0), 0
+        return _Grid(0.0, 0.0, 1.0, 0), box
     root = max(box["x1"] - box["x0"], box["y1"] - box["y0"]) * (1 + 1e-9) + 1e-9
     even = max(0, min(_MAX_LEVELS, math.ceil(math.log(max(4 * n / k, 1), 4))))
     share = min(1.0, 30_000 / n)
@@ -96,7 +98,7 @@ def _choose_grid(train: DataFrame, places: DataFrame, k: int) -> tuple[_Grid, in
     levels = next(
         (r["level"] for r in fullest if r["most"] <= 2 or r["most"] / share <= 32 * k), _MAX_LEVELS
     )
-    return _Grid(box["x0"], box["y0"], root / 2**levels, levels), n
+    return _Grid(box["x0"], box["y0"], root / 2**levels, levels), box
 
 
 def _tighten(grid: _Grid, frontier: DataFrame, counts: DataFrame, k: int) -> DataFrame:
@@ -121,16 +123,16 @@ def _tighten(grid: _Grid, frontier: DataFrame, counts: DataFrame, k: int) -> Dat
 
 def _nearest_by_place(
     places: DataFrame, train: DataFrame, k: int, carry: tuple[str, ...]
-) -> DataFrame:
-    """(__qy, __qx, __rank, __id, *carry, __d) for distinct places and (__id, __y, __x, *carry)."""
-    spark = places.sparkSession
+) -> tuple[DataFrame, DataFrame, int]:
+    """(__qy, __qx, __rank, __id, *carry, __d) for places (__qy, __qx, __rows) and training points
+    (__id, __y, __x, *carry); also the places as written and the rows of the fullest."""
     places = materialise(places, "knn-places")
     # Only the k smallest ids of a place can win a tie, so a place with many rows keeps k.
     same = Window.partitionBy("__y", "__x").orderBy("__id")
     train = train.withColumn("__at", F.row_number().over(same)).filter(F.col("__at") <= k).drop("__at")
     train = materialise(train, "knn-train")
-    grid, n = _choose_grid(train, places, k)
-    wanted = min(k, n)
+    grid, size = _choose_grid(train, places, k)
+    wanted = min(k, size["n"])
     points = grid.add_finest(train, "__x", "__y")
     levels = f"explode(sequence(0, {grid.levels})) AS __up"
     parents = ["shiftright(__fx, __up) AS __cx", "shiftright(__fy, __up) AS __cy"]
@@ -144,7 +146,7 @@ def _nearest_by_place(
     )
 
     # The finest level at which a query's cell and its eight neighbours hold k points.
-    located = grid.add_finest(places, "__qx", "__qy")
+    located = grid.add_finest(places, "__qx", "__qy").drop("__rows")
     query_cells = (
         located.select("__fx", "__fy").distinct().selectExpr("*", levels).selectExpr("__fx", "__fy", "__up", *parents)
     )
@@ -161,7 +163,7 @@ def _nearest_by_place(
     )
     # Coarse levels have few cells and hence hot keys.
     starts = (
-        salted_join(query_cells, full_blocks, _CELL, ["__fx", "__fy"])
+        salted_join(query_cells, full_blocks, _CELL, ["__fx", "__fy"], at_most=size["m"])
         .groupBy("__fx", "__fy")
         .agg(F.min("__up").alias("__up"))
     )
@@ -175,7 +177,7 @@ def _nearest_by_place(
     block = grid.farthest("shiftright(__fx, __up)", "shiftright(__fy, __up)", cells=3, before=1)
     slack = f"{1 + 1e-9!r}D + {grid.side * 1e-6!r}D"
     circle = (
-        salted_join(located, starts, ["__fx", "__fy"], _PLACE)
+        salted_join(located, starts, ["__fx", "__fy"], _PLACE, at_most=size["m"])
         .selectExpr(*_PLACE, "__up", f"sqrt({block}) * {slack} AS __reach")
         .selectExpr("*", f"{span('__qx', grid.x0)} AS __cx")
         .selectExpr("*", f"{span('__qy', grid.y0)} AS __cy")
@@ -203,9 +205,10 @@ def _nearest_by_place(
         coarse = frontier.filter("__up > 0")
 
     probes = finest.selectExpr(*_PLACE, "__cx AS __fx", "__cy AS __fy")
+    in_cell = counts.filter("__up = 0").selectExpr("__cx AS __fx", "__cy AS __fy", "__n AS __rows")
     nearest = Window.partitionBy(*_PLACE).orderBy("__d", "__id")
-    return (
-        salted_join(points, probes, ["__fx", "__fy"], ["__id"])
+    found = (
+        salted_join(points, probes, ["__fx", "__fy"], ["__id"], counts=in_cell, at_most=size["n"])
         .selectExpr(
             *_PLACE, "__id", *(f"`{c}`" for c in carry),
             "(__qy - __y) * (__qy - __y) + (__qx - __x) * (__qx - __x) AS __d",
@@ -213,6 +216,7 @@ def _nearest_by_place(
         .withColumn("__rank", F.row_number().over(nearest))
         .filter(F.col("__rank") <= k)
     )
+    return found, places, size["fullest"]
 
 
 def _planar(df: DataFrame, lat: str, lon: str, lon_scale: float, y: str, x: str) -> DataFrame:
@@ -222,7 +226,9 @@ def _planar(df: DataFrame, lat: str, lon: str, lon_scale: float, y: str, x: str)
 
 
 def _query_places(queries: DataFrame) -> DataFrame:
-    return queries.filter("__qy IS NOT NULL AND __qx IS NOT NULL").select(*_PLACE).distinct()
+    return queries.filter("__qy IS NOT NULL AND __qx IS NOT NULL").groupBy(*_PLACE).agg(
+        F.count("*").alias("__rows")
+    )
 
 
 def _train_points(
@@ -265,8 +271,8 @@ def knn_join(
     """
     planar = _planar(queries, *query_coords, lon_scale, "__qy", "__qx").select(F.col(key), *_PLACE)
     points = _train_points(train, train_id, train_coords, lon_scale, carry)
-    found = _nearest_by_place(_query_places(planar), points, k, carry)
-    return salted_join(planar, found, _PLACE, [key]).select(
+    found, places, fullest = _nearest_by_place(_query_places(planar), points, k, carry)
+    return salted_join(planar, found, _PLACE, [key], counts=places, at_most=fullest).select(
         key, F.col("__rank").alias("rank"), F.col("__id").alias(train_id), *carry, F.col("__d").alias("sq_distance")
     )
 
@@ -290,9 +296,8 @@ def label_by_neighbours(
     """
     planar = _planar(queries, *query_coords, lon_scale, "__qy", "__qx")
     points = _train_points(train, train_id, train_coords, lon_scale, (label,))
-    votes = (
-        _nearest_by_place(_query_places(planar), points, k, (label,))
-        .groupBy(*_PLACE)
-        .agg(F.mode(label, deterministic=True).alias(output or label))
-    )
-    return salted_join(planar, votes, _PLACE, queries.columns, how="left").drop(*_PLACE)
+    found, places, fullest = _nearest_by_place(_query_places(planar), points, k, (label,))
+    votes = found.groupBy(*_PLACE).agg(F.mode(label, deterministic=True).alias(output or label))
+    return salted_join(
+        planar, votes, _PLACE, queries.columns, how="left", counts=places, at_most=fullest
+    ).drop(*_PLACE)

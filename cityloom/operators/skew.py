@@ -12,11 +12,11 @@ MAX_SHARE = 1 / 512
 MIN_HOT_ROWS = 100_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys with more than ``max(MIN_HOT_ROWS, MAX_SHARE * rows)`` rows, and into how many parts to
-    split each. Every hot key owns more than ``MAX_SHARE`` of the rows, so there are fewer than
-    ``1 / MAX_SHARE`` of them whatever the size of ``df``: that bounds the broadcast below."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
+def hot_keys(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of a table of keys and their number of rows (``__rows``), the keys with more than
+    ``max(MIN_HOT_ROWS, MAX_SHARE * all rows)``, and into how many parts to split each. Every hot key
+    owns more than ``MAX_SHARE`` of the rows, so there are fewer than ``1 / MAX_SHARE`` of them
+    whatever the size of the data: that bounds the broadcast below."""
     total = counts.agg(F.sum("__rows")).scalar()
     limit = F.greatest(F.lit(float(MIN_HOT_ROWS)), F.coalesce(total, F.lit(0)) * MAX_SHARE)
     return (
@@ -33,14 +33,23 @@ def salted_join(
     salt_on: Sequence[str],
     *,
     how: str = "inner",
+    counts: DataFrame | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Equi-join, inner or left, in which no task gets a whole hot key of ``probe``.
 
     Rows of a hot key are spread over parts by the hash of ``salt_on``; the matching ``build`` rows
     are repeated once per part. All other keys join as usual. Nothing is dropped: every probe row is
     in one part, and every part sees all build rows of its key.
+
+    The rows per key are counted first, unless ``counts`` has them (keys and ``__rows``) or it is
+    known that no key has more than ``at_most`` rows and that is too few to be hot.
     """
-    hot = F.broadcast(hot_keys(probe, keys))
+    if at_most is not None and at_most <= MIN_HOT_ROWS:
+        return probe.join(build, list(keys), how)
+    if counts is None:
+        counts = probe.groupBy(*keys).agg(F.count("*").alias("__rows"))
+    hot = F.broadcast(hot_keys(counts, keys))
     parts = F.coalesce(F.col("__parts"), F.lit(1))
     spread = (
         probe.join(hot, list(keys), "left")

@@ -67,7 +67,7 @@ def poi_node(with_amenity: Column) -> list[Column]:
 
 def place_record(df: DataFrame) -> DataFrame:
     return df.select(
-        "lat", "lon", "timestamp", "amenity", "name",
+        "lat", "lon", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "amenity", "name",
         F.col("tags")["district"].alias("district"), F.size("tags").alias("n_tags"),
     )
 
