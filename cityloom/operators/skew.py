@@ -74,9 +74,10 @@ def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list[Row]:
 
 def small_or_same(df: DataFrame, max_rows: int) -> DataFrame:
     """A result expected to be small, read once into a local table if it has at most ``max_rows``
-    rows, so that plans which use it twice do not compute it twice; else ``df`` itself."""
+    rows, so that plans which use it twice do not compute it twice; else ``df`` itself. The local
+    table is one partition, so that what follows needs no shuffle."""
     rows = df.limit(max_rows + 1).collect()
-    return df if len(rows) > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
+    return df if len(rows) > max_rows else df.sparkSession.createDataFrame(rows, df.schema).coalesce(1)
 
 
 def join_small(
