@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import chat, urls, wordpiece
+from . import bpe, chat, token_files, toxicity, urls, wordpiece
 from .common import materialise, table
 
 CONTROL_TURN = "<|im_end|><|im_start|>assistant ok"
@@ -54,21 +54,60 @@ FROM rows GROUP BY conv_id
 """
 
 
+def held_out(doc_id: Column) -> Column:
+    """Rows that no label may be learned from."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(~held_out(F.col("doc_id"))))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict"
     )
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2
+    )
+    return token_files.read_tokens(manifest).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids_le32").alias("ids_crc32")
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = wordpiece.pieces_of_byte_level(public_tokenizers.path("byte_bpe_50k.json"))
     return wordpiece.count_pieces(table(spark, sf_dir, "documents"), pieces)
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_toxicity": op2_toxicity,
     "op3_url_filters": op3_url_filters,
+    "op4_token_files": op4_token_files,
     "op7_token_counts": op7_token_counts,
+    "op8_bpe": op8_bpe,
 }
 
 ORACLES = {"op1_chat_formatting": OP1_SQL}
