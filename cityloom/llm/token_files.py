@@ -167,7 +167,7 @@ def write_tokens(
             keys = batch.column("id").to_pylist()
             if texts and out is None:
                 system.create_dir(base, recursive=True)
-                sink = system.open_output_stream(f"{base}/{name}")
+                sink = system.open_output_stream(f"{base}/{name}", compression=None)
                 out = FrameWriter(sink, wide, frame_bytes)
             for i in range(0, len(texts), 500):
                 words = [t.split() if not _ODD.search(t) else _WORD.findall(t) for t in texts[i : i + 500]]
