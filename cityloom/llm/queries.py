@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, token_files, toxicity, urls, wordpiece
+from . import bpe, chat, simhash, token_files, toxicity, urls, wordpiece
 from .common import materialise, table
 
 CONTROL_TURN = "<|im_end|><|im_start|>assistant ok"
@@ -101,6 +101,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_toxicity": op2_toxicity,
@@ -108,6 +113,7 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op7_token_counts": op7_token_counts,
     "op8_bpe": op8_bpe,
+    "op10_simhash_dedup": op10_simhash_dedup,
 }
 
 ORACLES = {"op1_chat_formatting": OP1_SQL}
