@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, mixing, neighbours, simhash, token_files, toxicity, urls, wordpiece
+from . import bpe, chat, embedding_dedup, mixing, neighbours, simhash, token_files, toxicity, urls, wordpiece
 from .common import materialise, table
 
 CONTROL_TURN = "<|im_end|><|im_start|>assistant ok"
@@ -89,6 +89,10 @@ def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", 10)
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = wordpiece.pieces_of_byte_level(public_tokenizers.path("byte_bpe_50k.json"))
     return wordpiece.count_pieces(table(spark, sf_dir, "documents"), pieces)
@@ -188,6 +192,7 @@ QUERIES = {
     "op3_url_filters": op3_url_filters,
     "op4_token_files": op4_token_files,
     "op5_nearest_neighbours": op5_nearest_neighbours,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_bpe": op8_bpe,
     "op9_mixing": op9_mixing,
