@@ -5,13 +5,15 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .common import materialise
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
@@ -36,38 +38,56 @@ class Model:
     bias: float
 
 
-def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (document, sentence, feature) triples of some texts, as three arrays; sentences are
-    numbered through all the texts."""
-    doc_of, sentence_of, feature_of, known, n = [], [], [], {}, 0
-    for d, text in enumerate(texts):
-        for s in _SENTENCE.findall(text.lower()):
-            found: set[int] = set()
-            for w in _WORD.findall(s):
-                got = known.get(w)
-                if got is None:
-                    got = known[w] = word_features(w)
-                found.update(got)
-            feature_of.append(np.fromiter(found, np.int32, len(found)))
-            sentence_of.append(np.full(len(found), n, np.int32))
-            doc_of.append(np.full(len(found), d, np.int32))
-            n += 1
-        if len(known) > _MEMORY:
-            known = {}
-    if not feature_of:
-        return (np.zeros(0, np.int32),) * 3
-    return np.concatenate(doc_of), np.concatenate(sentence_of), np.concatenate(feature_of)
-
-
-def _feature_sets(df: DataFrame) -> DataFrame:
-    """Per document its sentences as arrays of features: the executors do the reading of texts."""
+def _bag(text: str, known: dict[str, list[int]]) -> list[set[int]]:
+    """The distinct features of each sentence; ``known`` remembers words."""
+    bag = []
+    for s in _SENTENCE.findall(text.lower()):
+        found: set[int] = set()
+        for w in _WORD.findall(s):
+            got = known.get(w)
+            if got is None:
+                got = known[w] = word_features(w)
+            found.update(got)
+        if found:
+            bag.append(found)
+    if len(known) > _MEMORY:
+        known.clear()
+    return bag
+
+
+def _document_counts(df: DataFrame) -> DataFrame:
+    """``feature, n_docs, n_toxic`` over all documents of ``df``; added up within each task first."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, toxic, known = Counter(), Counter(), {}
+        for batch in batches:
+            for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
+                found = set().union(*_bag(text.as_py() or "", known))
+                n.update(found)
+                if label:
+                    toxic.update(found)
+        keys = list(n)
+        for i in range(0, len(keys), 100_000):
+            part = keys[i : i + 100_000]
+            yield pa.RecordBatch.from_pydict(
+                {"feature": pa.array(part, pa.int32()), "n": [n[k] for k in part], "toxic": [toxic[k] for k in part]}
+            )
+
+    counted = df.mapInArrow(count, "feature int, n long, toxic long")
+    return counted.groupBy("feature").agg(F.sum("n").alias("n_docs"), F.sum("toxic").alias("n_toxic"))
+
+
+def _feature_sets(df: DataFrame, kept: np.ndarray) -> DataFrame:
+    """Per document its sentences as arrays of places in ``kept`` (sorted features); sentences without any
+    are left out."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, known = {f: i for i, f in enumerate(kept.tolist())}, {}
         for batch in batches:
             rows = []
             for text in batch.column("text"):
-                _, sentence, feature = _bags([text.as_py() or ""])
-                rows.append([s.tolist() for s in np.split(feature, np.flatnonzero(np.diff(sentence)) + 1) if len(s)])
+                bag = [sorted(place[f] for f in s if f in place) for s in _bag(text.as_py() or "", known)]
+                rows.append([s for s in bag if s])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("toxic"), pa.array(rows, pa.list_(pa.list_(pa.int32())))], ["toxic", "bag"]
             )
@@ -84,13 +104,13 @@ def fit(
     min_docs: int = 3,
     rounds: int = 300,
     rate: float = 0.1,
-    l2: float = 1e-4,
+    l2: float = 2e-5,
 ) -> Model:
     """Fit on at most ``max_docs`` labelled documents: those whose ids have the smallest hashes, whole
     texts. ``labels`` has ``doc_id, toxic``; of several labels of a document the largest counts, null ones
     do not. With no labelled document, or labels of one kind only, every score is 0.
 
-    Of the features found in ``min_docs`` documents the ``max_features`` are kept that tell the two labels
+    Of the features found in ``min_docs`` documents up to ``max_features`` are kept that tell the two labels
     apart best (likelihood ratio). The loss is that of the documents' noisy-or; its gradient reaches each
     sentence in proportion to its share in the document's score.
     """
@@ -102,47 +122,37 @@ def fit(
     # One row per document, as repeated rows would break the bound.
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     rows = rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"), F.max("text").alias("text"))
-    got = _feature_sets(rows.orderBy("doc_id")).toArrow()
-    y = got["toxic"].to_numpy().astype(bool)
-    if not y.any() or y.all():
+    rows = materialise(rows, "toxicity-sample")
+    size, pos = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < pos < size:
+        return Model({}, -50.0)
+
+    # Likelihood ratio of a feature's presence; the best are few, so they may come to the driver.
+    def entropy(k: Column, m: Column) -> Column:
+        p = F.when(m > 0, k / m).otherwise(0.0)
+        return -m * (p * F.log(F.greatest(p, F.lit(1e-12))) + (1 - p) * F.log(F.greatest(1 - p, F.lit(1e-12))))
+
+    n, k = F.col("n_docs"), F.col("n_toxic")
+    gain = entropy(F.lit(pos), F.lit(size)) - entropy(k, n) - entropy(F.lit(pos) - k, F.lit(size) - n)
+    best = _document_counts(rows).filter(n >= min_docs).select("feature", gain.alias("gain")).filter("gain > 8.0")
+    best = best.orderBy(F.desc("gain"), "feature").limit(max_features).collect()
+    kept = np.array(sorted(r["feature"] for r in best), np.int64)
+    if not len(kept):
         return Model({}, -50.0)
-    docs_list = got["bag"].combine_chunks()
-    n_sent = np.diff(docs_list.offsets.to_numpy())
-    sentences = docs_list.flatten()
+    got = _feature_sets(rows.orderBy("doc_id"), kept).toArrow()
+    y = got["toxic"].to_numpy().astype(bool)
+    bags = got["bag"].combine_chunks()
+    sentences = bags.flatten()
+    of_doc = np.repeat(np.arange(len(y)), np.diff(bags.offsets.to_numpy()))
     n_feat = np.diff(sentences.offsets.to_numpy())
-    feature = sentences.flatten().to_numpy()
-    sentence = np.repeat(np.arange(len(n_feat)), n_feat)
-    doc = np.repeat(np.repeat(np.arange(len(y)), n_sent), n_feat)
-
-    # Documents per feature and label; the likelihood ratio of its presence picks the features.
-    pair = np.unique(doc.astype(np.int64) * _BUCKETS + feature)
-    d, f = pair // _BUCKETS, (pair % _BUCKETS).astype(np.int64)
-    a = np.bincount(f, weights=y[d], minlength=_BUCKETS)
-    n = np.bincount(f, minlength=_BUCKETS)
-
-    def entropy(k: np.ndarray, m: np.ndarray | float) -> np.ndarray:
-        p = np.divide(k, m, out=np.zeros_like(k, dtype=float), where=np.asarray(m) > 0)
-        return m * -(p * np.log(np.maximum(p, 1e-12)) + (1 - p) * np.log(np.maximum(1 - p, 1e-12)))
-
-    pos, size = float(y.sum()), float(len(y))
-    gain = entropy(np.array([pos]), size)[0] - entropy(a, n) - entropy(pos - a, size - n)
-    gain[n < min_docs] = 0
-    kept = np.argsort(-gain, kind="stable")[:max_features]
-    kept = kept[gain[kept] > 8.0]
-    place = np.full(_BUCKETS, -1, np.int32)
-    place[kept] = np.arange(len(kept))
-    inside = place[feature] >= 0
-    column, row = place[feature[inside]], sentence[inside]
+    column, row = sentences.flatten().to_numpy(), np.repeat(np.arange(len(n_feat)), n_feat)
     if not len(column):
         return Model({}, -50.0)
-    # Sentences without any kept feature have probability 0 and drop out.
-    used, row = np.unique(row, return_inverse=True)
-    of_doc = np.repeat(np.arange(len(y)), n_sent)[used]
 
     w, b = np.zeros(len(kept)), -2.0
     m, v = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
     for t in range(1, rounds + 1):
-        z = np.bincount(row, weights=w[column], minlength=len(used)) + b
+        z = np.bincount(row, weights=w[column], minlength=len(n_feat)) + b
         total = np.bincount(of_doc, weights=np.logaddexp(0, z), minlength=len(y))
         p_doc = -np.expm1(-total)
         push = np.where(y, -np.exp(-total) / np.maximum(p_doc, 1e-3), 1.0)[of_doc] / (1 + np.exp(-z))
@@ -200,6 +210,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             )
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"id {kind}, score double, spans array<struct<start:int,stop:int,score:double>>")
-    return out.withColumnRenamed("id", id_col)
+    spans = T.ArrayType(T.StructType().add("start", "integer").add("stop", "integer").add("score", "double"))
+    schema = T.StructType([rows.schema["id"]]).add("score", "double").add("spans", spans)
+    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
