@@ -4,7 +4,7 @@ marked-up text per conversation with a loss mask, and the way back. Native expre
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -97,6 +97,10 @@ def json_layout(record: Column, layouts: Sequence[Layout] = LAYOUTS) -> Column:
     return F.create_map(*pairs)[hashed]
 
 
+def _turn(layout: Layout) -> Callable[[Column], Column]:
+    return lambda m: F.struct(m[layout.role].alias("role"), m[layout.text].alias("text"))
+
+
 def json_turns(records: DataFrame, id_col: str, json_col: str, layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
     """Turns (``conv_id, turn, role, text``) of JSON records in different layouts.
 
@@ -112,7 +116,7 @@ def json_turns(records: DataFrame, id_col: str, json_col: str, layouts: Sequence
         if x.list_path:
             element = f"array<struct<`{x.role}`:string,`{x.text}`:string>>"
             items = F.from_json(F.get_json_object(record, f"$.{x.list_path}"), element)
-            turns = F.transform(items, lambda m, x=x: F.struct(m[x.role].alias("role"), m[x.text].alias("text")))
+            turns = F.transform(items, _turn(x))
         elif x.parts:
             made = []
             for role, paths in x.parts:

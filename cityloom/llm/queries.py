@@ -98,9 +98,9 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.count_pieces(table(spark, sf_dir, "documents"), pieces)
 
 
-def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def encode_documents(docs: DataFrame) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    decoded = bpe.decode(bpe.encode(docs, path), path)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -186,6 +186,10 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_toxicity": op2_toxicity,
