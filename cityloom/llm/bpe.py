@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +24,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import materialise
+from .common import materialise_by
 from .subwords import word_encoder
 from .wordpiece import byte_alphabet
 
@@ -34,7 +34,7 @@ _SPACE = " \t\n\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　"
 UNIT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 
 # Characters of text per block: what one task holds at a time.
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 16_000_000
 BUCKETS = 256
 _WORDS_SCHEMA = "block string, bucket int, payload binary"
 
@@ -61,8 +61,9 @@ def _unpack(data: bytes) -> list[np.ndarray]:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], limit: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    columns = ["block", "ids", "seq", "bucket", "payload"]
     ids: list = []
-    texts: list[list[int]] = []
+    texts: list[array] = []
     words: dict[str, int] = {}
     chars, done = 0, 0
     part = TaskContext.get().partitionId()
@@ -72,7 +73,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], limit: int, buckets: int) -> Iter
         if not ids:
             return
         name = f"{part}-{done}"
-        flat = np.fromiter((w for t in texts for w in t), np.uint32, sum(map(len, texts)))
+        flat = np.concatenate([np.frombuffer(t, np.uint32) for t in texts])
         lens = np.fromiter(map(len, texts), np.uint32, len(texts))
         # Bucket by bucket, commonest first within each: a word's place says in which bucket it is.
         names = list(words)
@@ -83,10 +84,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], limit: int, buckets: int) -> Iter
         rank[by_use] = np.arange(len(names), dtype=np.uint32)
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         places = rank[order]  # of the words in bucket order
-        payload = _pack(lens, rank[flat], places)
+        sequence = _pack(lens, rank[flat], places)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([name]), pa.array([ids], pa.list_(id_type)), pa.array([payload], pa.binary()),
-             pa.array([None], pa.int32())], ["block", "ids", "payload", "bucket"],
+            [pa.array([name]), pa.array([ids], pa.list_(id_type)), pa.array([sequence], pa.binary()),
+             pa.array([None], pa.int32()), pa.array([None], pa.binary())], columns,
         )
         squeeze = zstandard.ZstdCompressor(level=3)
         for lo in range(0, buckets, 64):
@@ -95,13 +96,14 @@ def _blocks(batches: Iterator[pa.RecordBatch], limit: int, buckets: int) -> Iter
                 [
                     pa.array([name] * len(held), pa.string()),
                     pa.array([None] * len(held), pa.list_(id_type)),
+                    pa.array([None] * len(held), pa.binary()),
+                    pa.array(held, pa.int32()),
                     pa.array(
                         [squeeze.compress(json.dumps([names[i] for i in order[cuts[b] : cuts[b + 1]]], ensure_ascii=False).encode())
                          for b in held], pa.binary(),
                     ),
-                    pa.array(held, pa.int32()),
                 ],
-                ["block", "ids", "payload", "bucket"],
+                columns,
             )
         ids, texts, words, chars, done = [], [], {}, 0, done + 1
 
@@ -111,7 +113,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], limit: int, buckets: int) -> Iter
         for key, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
             text = text.as_py() or ""
             ids.append(key)
-            texts.append([words.setdefault(w, len(words)) for w in UNIT.findall(text)])
+            texts.append(array("I", [words.setdefault(w, len(words)) for w in UNIT.findall(text)]))
             chars += len(text)
             if chars >= limit:
                 yield from flush()
@@ -141,8 +143,8 @@ def encode(
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _blocks(batches, block_chars, buckets)
 
-    made = materialise(
-        rows.mapInArrow(blocks, f"block string, ids array<{kind}>, payload binary, bucket int"), "bpe-blocks"
+    made = materialise_by(
+        rows.mapInArrow(blocks, f"block string, ids array<{kind}>, seq binary, bucket int, payload binary"), "block", "bpe-blocks"
     )
 
     def distinct_words(table: pa.Table) -> pa.Table:
@@ -151,9 +153,11 @@ def encode(
         for words in lists:
             for w in words:
                 squeeze.setdefault(w, len(squeeze))
-        encoded = word_encoder(tokenizer_path).encode(list(squeeze))
-        lens = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.concatenate(encoded) if encoded else np.zeros(0, np.uint32)
+        encoder = word_encoder(tokenizer_path, 4)
+        encoded = encoder.encode(list(squeeze))
+        encoder.forget()  # no other bucket has these words
+        lens = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+        flat = np.frombuffer(b"".join(encoded), "<u4")
         offsets = np.concatenate(([0], np.cumsum(lens)))
         out = []
         for words in lists:
@@ -172,7 +176,7 @@ def encode(
             n, ids = _unpack(p.as_py())
             n_list.append(n)
             ids_list.append(ids)
-        lens, seq, places = _unpack(left["payload"][0].as_py())
+        lens, seq, places = _unpack(left["seq"][0].as_py())
         n = np.concatenate(n_list).astype(np.int64) if n_list else np.zeros(0, np.int64)
         flat = np.concatenate(ids_list) if ids_list else np.zeros(0, np.uint32)
         starts = np.concatenate(([0], np.cumsum(n)))[:-1]
@@ -181,7 +185,7 @@ def encode(
         # Documents in portions, so that no array is much larger than the block.
         ends = np.cumsum(lens.astype(np.int64))
         keys, tables = left["ids"].combine_chunks().flatten(), []
-        portion = np.searchsorted(ends, np.arange(0, max(1, len(seq)), 500_000), side="left")
+        portion = np.searchsorted(ends, np.arange(0, max(1, len(seq)), 200_000), side="left")
         portion = np.unique(np.append(portion, len(lens)))
         if portion[0] != 0:
             portion = np.insert(portion, 0, 0)
@@ -202,7 +206,7 @@ def encode(
             )
         return pa.concat_tables(tables)
 
-    sequences = made.filter("bucket IS NULL").select("block", "ids", "payload")
+    sequences = made.filter("bucket IS NULL").select("block", "ids", "seq")
     joined = sequences.groupBy("block").cogroup(words.groupBy("block"))
     out = joined.applyInArrow(join_back, f"id {kind}, ids array<int>")
     return out.withColumnRenamed("id", id_col)
@@ -232,18 +236,21 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", out_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array([*sent.value, b""], pa.large_binary())
-        for batch in batches:
-            lists = batch.column(ids_col)
-            flat = lists.flatten()
-            n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            at = flat.fill_null(-1).to_numpy(zero_copy_only=False)
-            at = np.where((at < 0) | (at >= len(known) - 1), len(known) - 1, at)
-            got = known.take(pa.array(at))
-            offsets = np.frombuffer(got.buffers()[1], np.int64)[: len(got) + 1]
-            data = got.buffers()[2].to_pybytes() if got.buffers()[2] else b""
-            ends = offsets[np.concatenate(([0], np.cumsum(n)))]
-            texts = [data[i:j].decode("utf-8", "replace") for i, j in zip(ends[:-1], ends[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out_col])
+        for whole in batches:
+            for i in range(0, whole.num_rows, 256):
+                batch = whole.slice(i, 256)
+                lists = batch.column(ids_col)
+                n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                at = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+                at = np.where((at < 0) | (at >= len(known) - 1), len(known) - 1, at)
+                got = known.take(pa.array(at))
+                offsets = np.frombuffer(got.buffers()[1], np.int64)[: len(got) + 1]
+                data = got.buffers()[2].to_pybytes() if got.buffers()[2] else b""
+                ends = offsets[np.concatenate(([0], np.cumsum(n)))]
+                texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out_col]
+                )
 
     schema = T.StructType([*encoded.schema.fields, T.StructField(out_col, T.StringType())])
     return encoded.mapInArrow(run, schema)

@@ -3,18 +3,33 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import materialise, scratch_path
 
-__all__ = ["materialise", "scratch_path", "table", "parts_for"]
+__all__ = ["materialise", "materialise_by", "scratch_path", "table", "parts_for"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def materialise_by(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Like ``materialise``, bucketed by ``key`` without a shuffle: each task writes its rows into the files
+    of their buckets, and what later meets them by ``key`` is brought to them. There are as many buckets as
+    shuffle partitions."""
+    spark = df.sparkSession
+    name = f"cityloom_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("path", scratch_path(spark, label)).bucketBy(buckets, key).saveAsTable(name)
+    made = spark.table(name)
+    made.schema  # resolved before the name goes; the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return made
+
+
 def parts_for(rows: int, per_part: int, least: int = 1) -> int:
     """How many parts a table of so many rows is cut into; grows with the rows, without a limit."""
     return max(least, math.ceil(rows / per_part))

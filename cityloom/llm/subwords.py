@@ -10,13 +10,16 @@ import numpy as np
 from tokenizers import Tokenizer
 
 # Letters and sentence marks between which every supported splitting pattern has a boundary.
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PLAIN = re.compile(f"( ?[{_LETTERS}]+)([.,;:!?]*)")
+_MARKS = ".,;:!?"
+_STEM = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _CHUNK = 2_000
+# Words and stems remembered by a worker before it starts afresh: bounds its memory, changes no result.
+_MEMORY = 600_000
 
 
 class WordEncoder:
-    """Ids of words as a tokenizer file gives them inside any text.
+    """Ids of words as a tokenizer file gives them inside any text, as little-endian numbers of ``width``
+    bytes.
 
     ``words`` must be cut from a text at places where the file's own pattern always cuts: at white space
     for files with word ends (``</w>``), before white space for byte-level files, whose words keep the white
@@ -24,60 +27,74 @@ class WordEncoder:
     each stem once; the ids themselves show where a stem begins or ends. All others go in one by one.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, width: int | None = None) -> None:
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.word_ends = model.get("end_of_word_suffix")
-        size = max(model["vocab"].values()) + 1
-        self.edge = np.zeros(max(size, self.tokenizer.get_vocab_size(with_added_tokens=True)), bool)
+        self.edge = np.zeros(max(max(model["vocab"].values()) + 1, self.tokenizer.get_vocab_size()), bool)
         for token, i in model["vocab"].items():
             self.edge[i] = token.endswith(self.word_ends) if self.word_ends else token.startswith("Ġ")
+        self.width = width or (2 if len(self.edge) <= 65_536 else 4)
+        self.kind = f"<u{self.width}"
+        self.stems: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
-    def _one_by_one(self, words: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
+    def forget(self) -> None:
+        self.stems, self.words = {}, {}
+
+    def _one_by_one(self, words: list[str]) -> list[bytes]:
+        out: list[bytes] = []
         for i in range(0, len(words), _CHUNK):
             batch = self.tokenizer.encode_batch_fast(words[i : i + _CHUNK], add_special_tokens=False)
-            out.extend(np.array(e.ids, np.uint32) for e in batch)
+            out.extend(np.array(e.ids, self.kind).tobytes() for e in batch)
         return out
 
-    def _runs(self, stems: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
+    def _runs(self, stems: list[str]) -> None:
         for i in range(0, len(stems), _CHUNK):
             part = stems[i : i + _CHUNK]
             text = (" " if self.word_ends else "").join(part)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            cuts = np.flatnonzero(self.edge[ids])
-            cuts = cuts[:-1] + 1 if self.word_ends else cuts[1:]
-            pieces = np.split(ids, cuts)
-            out.extend(pieces if len(pieces) == len(part) else self._one_by_one(part))
-        return out
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+            edges = np.flatnonzero(self.edge[ids])
+            cuts = [0, *((edges + 1) * self.width).tolist()] if self.word_ends else [*(edges * self.width).tolist(), ids.nbytes]
+            if len(cuts) == len(part) + 1:
+                raw = ids.tobytes()
+                self.stems.update(zip(part, [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], strict=True))
+            else:
+                self.stems.update(zip(part, self._one_by_one(part), strict=True))
 
-    def encode(self, words: list[str]) -> list[np.ndarray]:
+    def encode(self, words: list[str]) -> list[bytes]:
         """Ids of each word."""
-        stems: dict[str, int] = {}
-        marks: dict[str, int] = {}
-        plain: list[tuple[int, int, int]] = []
-        other: list[int] = []
-        for k, word in enumerate(words):
-            m = _PLAIN.fullmatch(word)
-            if m and (m[1][0] == " ") != bool(self.word_ends):
-                mark = marks.setdefault(m[2], len(marks)) if m[2] else -1
-                plain.append((k, stems.setdefault(m[1], len(stems)), mark))
+        out = list(map(self.words.get, words))
+        new = [w for w, ids in zip(words, out, strict=True) if ids is None]
+        if not new:
+            return out
+        if len(self.stems) > _MEMORY or len(self.words) > _MEMORY:
+            self.forget()
+            return self.encode(words)
+        stems = [w.rstrip(_MARKS) for w in new]
+        unseen = {s for s in stems if s not in self.stems}
+        odd = {s for s in unseen if not _STEM.fullmatch(s) or (s[0] == " ") == bool(self.word_ends)}
+        self._runs(list(unseen - odd))
+        whole, known, marks = [], self.stems, self.marks
+        for w, s in zip(new, stems, strict=True):
+            if s in odd:
+                whole.append(w)
+            elif len(s) == len(w):
+                self.words[w] = known[s]
             else:
-                other.append(k)
-        of_stem, of_mark = self._runs(list(stems)), self._one_by_one(list(marks))
-        out: list[np.ndarray] = [None] * len(words)  # type: ignore[list-item]
-        for k, stem, mark in plain:
-            out[k] = of_stem[stem] if mark < 0 else np.concatenate((of_stem[stem], of_mark[mark]))
-        for k, ids in zip(other, self._one_by_one([words[k] for k in other]), strict=True):
-            out[k] = ids
-        return out
+                m = w[len(s) :]
+                if m not in marks:
+                    marks[m] = self._one_by_one([m])[0]
+                self.words[w] = known[s] + marks[m]
+        self.words.update(zip(whole, self._one_by_one(whole), strict=True))
+        return [self.words[w] if ids is None else ids for w, ids in zip(words, out, strict=True)]
 
 
 @lru_cache(maxsize=4)
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, width: int | None = None) -> WordEncoder:
     """One encoder per worker and file."""
-    return WordEncoder(path)
+    return WordEncoder(path, width)
