@@ -15,13 +15,13 @@ Any zstandard reader can read the frames, skipping the rest.
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -29,14 +29,49 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import materialise, scratch_path
-from .subwords import word_encoder
+from .subwords import WordEncoder, word_encoder
 
 _INDEX_MAGIC, _SEEK_MAGIC, _FOOTER_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES = 64 * 1024
-_MEMORY = 500_000
-# Characters that one engine takes for white space and the other does not.
-_ODD = re.compile("[\x1c-\x1f\x85]")
-_WORD = re.compile("[^ \t\n\r\x0b\x0c]+")
+# Characters whose lower case one engine may see otherwise than another.
+_BEYOND_LATIN = "[^\\x00-\\x{12F}\\x{131}-\\x{17F}]"
+# Bytes of text encoded at a time, and the words of such a portion turned into ids at a time.
+_PORTION, _WORDS = 8_000_000, 500_000
+
+
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows with about ``_PORTION`` bytes of text, more only where one row has more."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _PORTION, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
+def _encode(texts: pa.Array, encoder: WordEncoder, lower: bool) -> Iterator[bytes]:
+    """Ids of each text: every distinct word of the portion is encoded once."""
+    texts = texts.cast(pa.large_string())
+    if lower and not pc.any(pc.match_substring_regex(texts, _BEYOND_LATIN)).as_py():
+        texts = pc.utf8_lower(texts)
+    lists = pc.ascii_split_whitespace(texts)
+    words = lists.flatten().dictionary_encode()
+    encoded = encoder.encode(words.dictionary.to_pylist())
+    sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // encoder.width
+    flat = np.frombuffer(b"".join(encoded), encoder.kind)
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    at = words.indices.to_numpy()
+    doc_ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+    lo, first = 0, 0
+    while first < len(doc_ends):
+        last = max(first + 1, int(np.searchsorted(doc_ends, lo + _WORDS, "right")))
+        hi = int(doc_ends[last - 1])
+        n = sizes[at[lo:hi]]
+        upto = np.concatenate(([0], np.cumsum(n)))
+        raw = flat[np.repeat(starts[at[lo:hi]] - upto[:-1], n) + np.arange(upto[-1])].tobytes()
+        cuts = (upto[np.concatenate(([0], doc_ends[first:last] - lo))] * encoder.width).tolist()
+        yield from (raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True))
+        lo, first = hi, last
 
 
 class FrameWriter:
@@ -136,10 +171,12 @@ def write_tokens(
     id_col: str = "doc_id",
     text_col: str = "text",
     frame_bytes: int = FRAME_BYTES,
+    lower: bool = True,
 ) -> DataFrame:
     """Encode whole texts and write them in ascending order of ``id_col`` (an integer). Returns the
     manifest: ``shard, path, n_docs, n_tokens, n_frames, start`` (tokens in all shards before).
 
+    The file must lower-case texts, as ``word_bpe_49k.json`` does, or be given ``lower=False``.
     Null ids come first; rows with equal ids are ordered by text. Null and empty texts hold ``end_id`` alone.
     Other columns are dropped. Documents are parted by ranges of id and text hash, so rows that repeat one id
     are spread too. Every attempt of a task writes a file of its own, and only files of attempts that Spark
@@ -154,33 +191,22 @@ def write_tokens(
     rows = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie", "text").select("id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(tokenizer_path)
-        wide = len(encoder.edge) > 65_536 or end_id >= 65_536
-        kind = "<u4" if wide else "<u2"
-        end = np.array([end_id], kind).tobytes()
-        known: dict[str, bytes] = {}
+        encoder = word_encoder(tokenizer_path, 4 if end_id >= 65_536 else None)
+        wide = encoder.width == 4
+        end = np.array([end_id], encoder.kind).tobytes()
         shard, out, n_docs, n_tokens = TaskContext.get().partitionId(), None, 0, 0
         system, base = fs.FileSystem.from_uri(target)
         name = f"part-{shard:06d}-{uuid.uuid4().hex}.tokens.zst"
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            keys = batch.column("id").to_pylist()
-            if texts and out is None:
-                system.create_dir(base, recursive=True)
-                sink = system.open_output_stream(f"{base}/{name}", compression=None)
-                out = FrameWriter(sink, wide, frame_bytes)
-            for i in range(0, len(texts), 500):
-                words = [t.split() if not _ODD.search(t) else _WORD.findall(t) for t in texts[i : i + 500]]
-                if len(known) > _MEMORY:
-                    known = {}
-                new = list(set().union(*words) - known.keys())
-                for w, ids in zip(new, encoder.encode(new), strict=True):
-                    known[w] = ids.astype(kind).tobytes()
-                for key, ws in zip(keys[i : i + 500], words, strict=True):
-                    ids = b"".join([known[w] for w in ws]) + end
-                    out.add(key, ids)
+        for whole in batches:
+            for batch in _portions(whole):
+                if out is None:
+                    system.create_dir(base, recursive=True)
+                    sink = system.open_output_stream(f"{base}/{name}", compression=None)
+                    out = FrameWriter(sink, wide, frame_bytes)
+                for key, ids in zip(batch.column("id").to_pylist(), _encode(batch.column("text"), encoder, lower), strict=True):
+                    out.add(key, ids + end)
                     n_docs += 1
-                    n_tokens += len(ids) // len(end)
+                    n_tokens += len(ids) // len(end) + 1
         if out is not None:
             out.close()
             sink.close()
