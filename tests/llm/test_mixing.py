@@ -1,0 +1,82 @@
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cityloom.llm import mixing
+from cityloom.llm.queries import OP9_SQL, mix_documents, op9_mixing
+
+def dims(*names):
+    return {d: F.col(d) for d in names or ("source", "lang")}
+
+
+def docs(spark, n=400):
+    rng = np.random.default_rng(0)
+    rows = [(i, "w " * int(rng.integers(1, 9)), str(rng.choice(["a", "b", "c"], p=[0.6, 0.3, 0.1])), str(rng.choice(["x", "y"], p=[0.8, 0.2]))) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+
+
+def test_marginals_are_met(spark):
+    targets = {
+        "source": spark.createDataFrame([("a", 0.2), ("b", 0.3), ("c", 0.5)], "source string, target double"),
+        "lang": spark.createDataFrame([("x", 0.5), ("y", 0.5)], "lang string, target double"),
+    }
+    out = mixing.mix(docs(spark, 6000), dims(), targets=targets).withColumn("n", mixing.n_words(F.col("text")) * F.col("mix_probability"))
+    total = out.agg(F.sum("n")).first()[0]
+    for d, want in (("source", {"a": 0.2, "b": 0.3, "c": 0.5}), ("lang", {"x": 0.5, "y": 0.5})):
+        got = {r[0]: r[1] / total for r in out.groupBy(d).agg(F.sum("n")).collect()}
+        assert got == pytest.approx(want, abs=1e-8)
+    assert out.agg(F.max("mix_probability")).first()[0] == pytest.approx(1.0)
+    kept = out.filter("mix_kept").count()
+    assert kept == pytest.approx(out.agg(F.sum("mix_probability")).first()[0], rel=0.25)
+
+
+def test_rake_against_numpy(spark):
+    rng = np.random.default_rng(3)
+    cells = rng.integers(0, 50, (4, 3)).astype(float)
+    cells[0, 1] = 0
+    rows, cols = np.array([0.1, 0.2, 0.3, 0.4]), np.array([0.5, 0.25, 0.25])
+    w = cells.copy()
+    for _ in range(500):
+        w *= (rows / w.sum(1))[:, None]
+        w *= cols / w.sum(0)
+    df = spark.createDataFrame([(i, j, int(cells[i, j])) for i in range(4) for j in range(3)], "r int, c int, tokens long")
+    aims = {
+        "r": spark.createDataFrame([(i, float(v)) for i, v in enumerate(rows)], "r int, target double"),
+        "c": spark.createDataFrame([(i, float(v)) for i, v in enumerate(cols)], "c int, target double"),
+    }
+    for r in mixing.rake(df, aims, sweeps=100).collect():
+        assert r["weight"] == pytest.approx(w[r["r"], r["c"]], abs=1e-7)
+
+
+def test_rows_of_all_kinds(spark):
+    df = spark.createDataFrame(
+        [(1, "a b", "s", "x"), (1, "a b", "s", "x"), (None, None, None, "x"), (3, "", "empty", None), (4, "c", None, None)],
+        "doc_id long, text string, source string, lang string",
+    ).withColumns({"tokens": F.lit("t"), "weight": F.lit(1), "mix_kept": F.lit(7), "ratio": F.lit(2)})
+    out = mixing.mix(df, dims())
+    assert out.columns == ["doc_id", "text", "source", "lang", "tokens", "weight", "ratio", "mix_probability", "mix_kept"]
+    got = out.collect()
+    assert len(got) == 5 and all(0 <= r["mix_probability"] <= 1 for r in got)
+    assert next(r for r in got if r["doc_id"] == 3)["mix_probability"] == 1
+    assert len({r["mix_kept"] for r in got if r["doc_id"] == 1}) == 1
+    assert mixing.mix(df.limit(0), dims()).collect() == []
+
+
+def test_a_value_without_target_is_left_out(spark):
+    aims = {"source": spark.createDataFrame([("a", 1.0)], "source string, target double")}
+    out = mixing.mix(docs(spark), dims("source"), targets=aims)
+    assert {(r[0], r[1]) for r in out.select("source", "mix_probability").distinct().collect()} == {("a", 1.0), ("b", 0.0), ("c", 0.0)}
+
+
+def test_no_python_in_the_plan(spark):
+    plan = mix_documents(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query_against_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = con.execute(f"SELECT doc_id, source, lang, topic, tokens, probability, kept FROM ({OP9_SQL})").fetchall()
+    assert sorted(map(tuple, op9_mixing(spark, sf).collect())) == sorted(want)
