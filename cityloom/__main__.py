@@ -9,11 +9,11 @@ import datetime as dt
 from .functions.geo import Distance
 from .operators.profile import describe_number, distinct_sorted, value_counts
 from .plans import ingest
-from .plans.neighbourhoods import label_places, labelling_scores
+from .plans.neighbourhoods import label_and_score
 from .plans.relation import relate
 from .plans.stays import find_stays
 from .session import get_session
-from .sources.tables import read_table, write_small_csv, write_table
+from .sources.tables import read_table, write_csv, write_table
 from . import fixed_values as V, schemas
 
 
@@ -44,10 +44,23 @@ def _parser() -> argparse.ArgumentParser:
     )
     label = step("label-places", "neighbourhoods by nearest incidents", "incidents", "places", "target")
     label.add_argument("--seed", type=int, default=0)
+    label.add_argument("--k", type=int, default=V.NEIGHBOURS, help="neighbours that vote")
+    label.add_argument("--train-share", type=float, default=V.TRAIN_SHARE)
+    label.add_argument("--lon-scale", type=float, default=1.0, help="shrinks longitudes, such as 0.65 for 49 degrees")
     related = step("relate", "do categories and incident types depend on each other", "incidents", "places", "target")
     related.add_argument("--radius", type=float, default=V.RADIUS_M)
     related.add_argument("--any-neighbourhood", action="store_true", help="compare across borders")
+    related.add_argument(
+        "--distance", choices=("metres", "scaled"), default="metres",
+        help="scaled: arcs times 180 / pi, not clamped, as published figures have it",
+    )
+    related.add_argument("--min-support", type=int, default=V.MIN_SUPPORT)
+    related.add_argument("--alpha", type=float, default=V.ALPHA)
+    related.add_argument("--one-file", action="store_true", help="one CSV file per result, for small ones")
     stays = step("find-stays", "listing nearest to each cluster of places", "places", "listings", "target")
+    stays.add_argument("--k", type=int, default=V.CLUSTERS, help="clusters")
+    stays.add_argument("--seed", type=int, default=V.CLUSTER_SEED)
+    stays.add_argument("--one-file", action="store_true", help="one CSV file per result, for small ones")
     stays.add_argument("--merge", help="clusters to merge, such as 2,4")
     stays.add_argument("--min-size", type=int, help="merge clusters below this many places")
     step("profile", "counts by type, kinds of place and nights, before cleaning", "incidents", "places", "listings")
@@ -69,20 +82,24 @@ def main(argv: list[str] | None = None) -> None:
         ingest.prepare_listings(spark, args.source, args.target, as_of=args.as_of)
     elif args.step == "label-places":
         incidents = ingest.load_incidents(spark, args.incidents)
-        labelling_scores(incidents, seed=args.seed).show(truncate=False)
-        places = ingest.load_places(spark, args.places)
-        columns = [*places.columns, "neighbourhood"]
-        write_table(label_places(places, incidents, seed=args.seed).select(*columns), args.target)
+        labelled, scores = label_and_score(
+            ingest.load_places(spark, args.places), incidents, k=args.k, train_share=args.train_share,
+            seed=args.seed, lon_scale=args.lon_scale,
+        )
+        write_table(labelled, args.target)
+        scores.show(truncate=False)
     elif args.step == "relate":
         result = relate(
             ingest.load_places(spark, args.places, labelled=True),
             ingest.load_incidents(spark, args.incidents),
             args.radius,
             block=None if args.any_neighbourhood else "neighbourhood",
-            distance=Distance(),
+            distance=Distance("scaled_degrees", clamp=False) if args.distance == "scaled" else Distance(),
+            min_support=args.min_support,
+            alpha=args.alpha,
         )
-        for name in ("summary", "table_all", "test_all", "table_petty", "test_petty"):
-            write_small_csv(getattr(result, name), f"{args.target}/{name}")
+        for name in ("counts", "densities", "summary", "table_all", "test_all", "table_petty", "test_petty"):
+            write_csv(getattr(result, name), f"{args.target}/{name}", one_file=args.one_file)
         result.test_all.show(truncate=False)
         result.test_petty.show(truncate=False)
     elif args.step == "find-stays":
@@ -90,11 +107,13 @@ def main(argv: list[str] | None = None) -> None:
         result = find_stays(
             ingest.load_places(spark, args.places),
             ingest.load_listings(spark, args.listings),
+            k=args.k,
+            seed=args.seed,
             groups=groups,
             min_size=args.min_size,
         )
-        write_small_csv(result.top_listings, f"{args.target}/top-listings")
-        write_small_csv(result.shares, f"{args.target}/shares")
+        write_csv(result.top_listings, f"{args.target}/top-listings", one_file=args.one_file)
+        write_csv(result.shares, f"{args.target}/shares", one_file=args.one_file)
         result.top_listings.show(truncate=False)
     else:
         value_counts(read_table(spark, args.incidents, schemas.INCIDENTS_RAW), "type").show(20, False)

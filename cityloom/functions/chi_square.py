@@ -7,46 +7,47 @@ import math
 from pyspark.sql import Column, functions as F
 
 
-def _erfc(z: Column) -> Column:
-    """Complementary error function for z >= 0: power series below 1, continued fraction above."""
-    double = F.lit(0.0)
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(60)),
-        F.struct(z.alias("term"), z.alias("sum")),
-        lambda a, i: F.struct(
-            (a["term"] * z * z * 2 / (i * 2 + 1)).alias("term"),
-            (a["sum"] + a["term"] * z * z * 2 / (i * 2 + 1)).alias("sum"),
-        ),
-        lambda a: F.lit(1.0) - a["sum"] * F.exp(-z * z) * (2 / math.sqrt(math.pi)),
-    )
-    fraction = F.aggregate(
-        F.sequence(F.lit(250), F.lit(1), F.lit(-1)), double, lambda a, i: (i / 2) / (z + a)
-    )
-    return F.when(z < 1.0, series).otherwise(F.exp(-z * z) / (z + fraction) / math.sqrt(math.pi))
+def _sum(items: Column, start: Column, step) -> Column:
+    return F.aggregate(items, start, step)
+
+
+def _log_weight(a: Column, x: Column) -> Column:
+    """log of x^a exp(-x) / Gamma(a). Stirling's series from 20 on, written in x/a - 1 so that large terms
+    do not cancel; below 20 Gamma is carried up by its recurrence first."""
+
+    def rest(z: Column) -> Column:
+        return 1 / (z * 12) - 1 / (F.pow(z, 3) * 360) + 1 / (F.pow(z, 5) * 1260)
+
+    off = (x - a) / a
+    large = -a * (off - F.log1p(off)) + F.log(a / (2 * math.pi)) / 2 - rest(a)
+    z = a + 20
+    carried = _sum(F.sequence(F.lit(0), F.lit(19)), F.lit(0.0), lambda s, i: s + F.log(a + i))
+    small = a * F.log(x) - x + carried - ((z - 0.5) * F.log(z) - z + math.log(2 * math.pi) / 2 + rest(z))
+    return F.when(a < 20, small).otherwise(large)
 
 
 def chi_square_tail(x: Column, dof: Column) -> Column:
-    """P(X >= x). Even degrees: a finite Poisson sum; odd ones: the error function plus a finite
-    half-integer sum. Terms are kept as logarithms, so neither large x nor many degrees overflow."""
-    half = x / 2
-    odd = dof % 2 == 1
-    log_half = F.log(half)
-    # First term: exp(-x/2) for even, exp(-x/2) sqrt(x/2) / Gamma(3/2) for odd degrees.
-    first = F.when(odd, log_half / 2 - half - math.log(math.sqrt(math.pi) / 2)).otherwise(-half)
-    terms = F.when(odd, (dof - 1) / 2).otherwise(dof / 2).cast("int")
-    # Term j is term j-1 times (x/2) / j for even, (x/2) / (j + 1/2) for odd degrees.
-    shift = F.when(odd, 0.5).otherwise(0.0)
-    finite = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), terms)),
-        F.struct(first.alias("log"), F.lit(0.0).alias("sum")),
-        lambda a, j: F.struct(
-            (a["log"] + log_half - F.log(j + shift)).alias("log"),
-            (a["sum"] + F.exp(a["log"])).alias("sum"),
+    """P(X >= x): the regularised incomplete gamma function of half the degrees and half of x.
+
+    Its power series below the mean, its continued fraction above; both need a number of terms that grows
+    with the square root of the degrees only.
+    """
+    a, h = dof / 2, x / 2
+    steps = F.floor(F.sqrt(a) * 12).cast("int")
+    series = _sum(
+        F.sequence(F.lit(1), steps + 120),
+        F.struct((1 / a).alias("term"), (1 / a).alias("sum")),
+        lambda s, n: F.struct(
+            (s["term"] * h / (a + n)).alias("term"), (s["sum"] + s["term"] * h / (a + n)).alias("sum")
         ),
-        lambda a: a["sum"],
+    )["sum"]
+    fraction = _sum(
+        F.sequence(steps + 300, F.lit(1), F.lit(-1)),
+        F.lit(0.0),
+        lambda f, n: n * (n - a) / (h + n * 2 + 1 - a - f),
     )
-    finite = F.when(terms > 0, finite).otherwise(0.0)
-    tail = finite + F.when(odd, _erfc(F.sqrt(half))).otherwise(0.0)
+    weight = F.exp(_log_weight(a, h))
+    tail = F.when(h < a + 1, 1 - weight * series).otherwise(weight / (h + 1 - a - fraction))
     return F.when(x.isNull() | dof.isNull(), F.lit(None).cast("double")).when(
         (dof == 0) | (x <= 0), 1.0
-    ).otherwise(F.least(F.lit(1.0), tail))
+    ).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), tail)))

@@ -2,45 +2,64 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import json
+import math
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..functions.geo import haversine_m
-from .skew import collect_bounded
+from ..functions.geo import SphereGrid, haversine_m
+from ..session import materialise
+from .knn import knn_join
+from .skew import salted_join
 
-MAX_CENTRES = 1000
+# Up to so many centres the nearest rows are found in one pass over rows and centres, beyond that by a
+# grid. It is the plan that differs, never the result.
+FEW_CENTRES = 64
 
 
 @dataclass(frozen=True)
 class Clusters:
-    """A few (label, lat, lon) centres; the only thing clustering keeps on the driver."""
+    """The (label, lat, lon) centres; the only thing clustering keeps on the driver."""
 
     centres: tuple[tuple[int, float, float], ...]
 
     def __post_init__(self) -> None:
-        if not 0 < len(self.centres) <= MAX_CENTRES:
-            raise ValueError(f"need 1 to {MAX_CENTRES} centres, got {len(self.centres)}")
+        if not self.centres:
+            raise ValueError("need at least one centre")
 
     @classmethod
     def from_frame(cls, df: DataFrame, label: str, lat: str, lon: str) -> Clusters:
-        rows = collect_bounded(df.select(label, lat, lon).orderBy(label), MAX_CENTRES, "centres")
+        rows = df.select(label, lat, lon).orderBy(label).collect()
         return cls(tuple((int(r[0]), float(r[1]), float(r[2])) for r in rows))
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(self.centres), "cluster int, clat double, clon double")
 
+    def _literal(self) -> Column:
+        """The centres as one constant array, however many they are."""
+        rows = [{"label": i, "y": y, "x": x} for i, y, x in self.centres]
+        return F.from_json(F.lit(json.dumps(rows)), "array<struct<label:int,y:double,x:double>>")
+
+    def nearest(self, lat: str, lon: str) -> Column:
+        """Struct of ``gap`` (least squared coordinate distance to a centre), ``place`` and ``label`` of that
+        centre; ties to the first. Null for a row without coordinates."""
+        y, x = F.col(lat), F.col(lon)
+        gaps = F.transform(
+            self._literal(),
+            lambda c, place: F.struct(
+                ((y - c["y"]) * (y - c["y"]) + (x - c["x"]) * (x - c["x"])).alias("gap"),
+                place.alias("place"),
+                c["label"].alias("label"),
+            ),
+        )
+        return F.when(y.isNotNull() & x.isNotNull(), F.array_min(gaps))
+
     def label(self, lat: str, lon: str) -> Column:
         """Label of the centre with the least squared coordinate distance; ties to the first."""
-        gaps = ", ".join(
-            f"({lat} - ({y!r}D)) * ({lat} - ({y!r}D)) + ({lon} - ({x!r}D)) * ({lon} - ({x!r}D))"
-            for _, y, x in self.centres
-        )
-        labels = ", ".join(str(i) for i, _, _ in self.centres)
-        nearest = f"element_at(array({labels}), int(array_position(array({gaps}), array_min(array({gaps})))))"
-        return F.expr(f"if({lat} IS NULL OR {lon} IS NULL, NULL, {nearest})")
+        return self.nearest(lat, lon)["label"]
 
     def assign(self, df: DataFrame, lat: str = "lat", lon: str = "lon", name: str = "cluster") -> DataFrame:
         """Label rows in place: no index column, no join. Rows without coordinates get null."""
@@ -48,12 +67,13 @@ class Clusters:
 
 
 def _means(labelled: DataFrame, lat: str, lon: str) -> dict[int, tuple[float, float]]:
+    """Mean of each cluster: one row per centre."""
     rows = (
         labelled.filter(F.col("__label").isNotNull())
         .groupBy("__label")
         .agg(F.avg(lat).alias("y"), F.avg(lon).alias("x"))
     )
-    return {r["__label"]: (r["y"], r["x"]) for r in collect_bounded(rows, MAX_CENTRES, "clusters")}
+    return {r["__label"]: (r["y"], r["x"]) for r in rows.collect()}
 
 
 def lloyd(
@@ -63,9 +83,11 @@ def lloyd(
     *,
     lat: str = "lat",
     lon: str = "lon",
+    tolerance: float | None = None,
     persist: bool = True,
 ) -> Clusters:
-    """Lloyd's iterations from given centres.
+    """Lloyd's iterations from given centres: ``n_iter`` of them, or fewer if in one of them no centre moves
+    by more than ``tolerance`` in either coordinate.
 
     Each iteration is one partial aggregation of the points into k rows. The points are persisted,
     on disk where memory is short, so the input is read once; a lost executor costs a re-read of its
@@ -78,7 +100,11 @@ def lloyd(
     try:
         for _ in range(n_iter):
             means = _means(clusters.assign(points, lat, lon, "__label"), lat, lon)
+            before = clusters
             clusters = Clusters(tuple((i, *means.get(i, (y, x))) for i, y, x in clusters.centres))
+            moved = max(max(abs(a[1] - b[1]), abs(a[2] - b[2])) for a, b in zip(before.centres, clusters.centres))
+            if tolerance is not None and moved <= tolerance:
+                break
     finally:
         if persist:
             points.unpersist()
@@ -90,34 +116,35 @@ def kmeans(
     k: int = 5,
     *,
     seed: int = 353,
-    max_iter: int = 50,
+    max_iter: int = 300,
+    tolerance: float = 1e-9,
+    starts: int = 3,
     lat: str = "lat",
     lon: str = "lon",
 ) -> Clusters:
-    """k-means by Spark ML (parallel k-means++ start). Labels follow the centres' order by latitude
-    and longitude, so that a refit of the same data gives the same labels."""
+    """k-means by Spark ML (parallel k-means++ start), run until the centres settle, the cheapest of several
+    starts. Labels follow the centres' order by latitude and longitude, so that a refit of the same data
+    gives the same labels."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
     points = df.select(lat, lon).filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     vectors = VectorAssembler(inputCols=[lat, lon], outputCol="features").transform(points).select("features")
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-9).fit(vectors)
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fits = [KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tolerance).fit(vectors) for i in range(starts)]
+        model = min(fits, key=lambda m: m.summary.trainingCost)
+    finally:
+        vectors.unpersist()
     centres = sorted((float(c[0]), float(c[1])) for c in model.clusterCenters())
     return Clusters(tuple((i, y, x) for i, (y, x) in enumerate(centres)))
 
 
 def within_cost(df: DataFrame, clusters: Clusters, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Per cluster: points and the sum of squared distances to the centre."""
-    gap = F.lit(None).cast("double")
-    for i, y, x in reversed(clusters.centres):
-        gap = F.when(
-            F.col("cluster") == i, F.pow(F.col(lat) - F.lit(y), 2) + F.pow(F.col(lon) - F.lit(x), 2)
-        ).otherwise(gap)
-    return (
-        clusters.assign(df, lat, lon)
-        .filter(F.col("cluster").isNotNull())
-        .groupBy("cluster")
-        .agg(F.count("*").alias("n"), F.sum(gap).alias("cost"))
+    near = df.select(clusters.nearest(lat, lon).alias("near")).filter("near IS NOT NULL")
+    return near.groupBy(F.col("near.label").alias("cluster")).agg(
+        F.count("*").alias("n"), F.sum("near.gap").alias("cost")
     )
 
 
@@ -150,6 +177,13 @@ def small_cluster_groups(df: DataFrame, clusters: Clusters, min_size: int, lat:
     return [g for g in groups.values() if len(g) > 1]
 
 
+def _relabel(label: Column, to: Mapping[int, int]) -> Column:
+    """A label by a constant table; labels it does not have stay."""
+    rows = json.dumps([{"k": i, "v": j} for i, j in to.items()])
+    table = F.map_from_entries(F.from_json(F.lit(rows), "array<struct<k:int,v:int>>"))
+    return F.coalesce(F.element_at(table, label.cast("int")), label)
+
+
 def merge_clusters(
     labelled: DataFrame,
     clusters: Clusters,
@@ -162,12 +196,9 @@ def merge_clusters(
     """Relabel the rows of joined clusters and give each joined cluster the mean of its rows as its
     centre. Clusters left alone keep the centre of the fit."""
     to = label_map(groups, (i for i, _, _ in clusters.centres))
-    pairs = [(i, j) for i, j in to.items() if i != j]
-    column = F.col(label)
-    for i, j in pairs:
-        column = F.when(F.col(label) == i, F.lit(j)).otherwise(column)
-    merged = labelled.withColumn(label, column)
-    joined = {j for _, j in pairs}
+    pairs = {i: j for i, j in to.items() if i != j}
+    merged = labelled.withColumn(label, _relabel(F.col(label), pairs)) if pairs else labelled
+    joined = set(pairs.values())
     means: dict[int, tuple[float, float]] = {}
     if joined:
         means = _means(
@@ -189,22 +220,59 @@ def nearest_per_centre(
 ) -> DataFrame:
     """For every centre the row at the least haversine distance; ties to the smallest id.
 
-    One pass without a shuffle of rows: k minimum aggregates run side by side, each task hands over
-    one candidate per centre.
+    With a few centres each task hands over one candidate per centre, and no row is shuffled. With many, a
+    planar search gives each centre a row that is near, and what lies within that distance decides: cells
+    as high as the next power of two of it are compared, one grid per power.
     """
     located = df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     row = F.struct(*df.columns)
-    best = []
-    for i, y, x in clusters.centres:
-        gap = haversine_m(lat, lon, f"{y!r}D", f"{x!r}D")
-        best.append(
-            F.struct(
-                F.min_by(row, F.struct(gap, F.col(id_col))).alias("row"),
-                F.lit(i).alias("cluster"),
-                F.min(gap).alias("gap"),
-            ).alias(f"__c{i}")
+    if len(clusters.centres) <= FEW_CENTRES:
+        centre = F.explode(clusters._literal()).alias("__centre")
+        pairs = located.select(row.alias("__of"), F.col(id_col).alias("__id"), F.col(lat).alias("__y"), F.col(lon).alias("__x"), centre)
+        pairs = pairs.select("*", F.col("__centre.y").alias("__cy"), F.col("__centre.x").alias("__cx"))
+        pairs = pairs.select("__of", "__id", F.col("__centre.label").alias("cluster"), haversine_m("__y", "__x", "__cy", "__cx").alias("__gap"))
+    else:
+        pairs = _pairs_by_grid(located, clusters, row, id_col, lat, lon)
+    best = pairs.groupBy("cluster").agg(
+        F.min_by("__of", F.struct("__gap", "__id")).alias("__of"), F.min("__gap").alias("__gap")
+    )
+    result = best.select("__of.*", F.col("cluster").alias(name), *([F.col("__gap").alias(distance)] if distance else []))
+    return result
+
+
+def _pairs_by_grid(
+    located: DataFrame, clusters: Clusters, row: Column, id_col: str, lat: str, lon: str
+) -> DataFrame:
+    """Centres with the rows no farther than one that is near: (cluster, __of, __id, __gap)."""
+    spark = located.sparkSession
+    points = materialise(
+        located.select(row.alias("__of"), F.col(id_col).alias("__id"), F.col(lat).alias("__plat"), F.col(lon).alias("__plon")),
+        "centre-points",
+    )
+    centres = clusters.to_frame(spark)
+    middle = sum(y for _, y, _ in clusters.centres) / len(clusters.centres)
+    first = knn_join(
+        centres, points.drop("__of").withColumnRenamed("__id", "row_id"), key="cluster", train_id="row_id", k=1, query_coords=("clat", "clon"),
+        train_coords=("__plat", "__plon"), carry=("__plat", "__plon"), lon_scale=max(0.01, math.cos(math.radians(middle))),
+    )
+    # A little more than the distance found, so that rounding loses nothing.
+    reach = haversine_m("__plat", "__plon", "clat", "clon") * (1 + 1e-9) + 1e-6
+    asked = centres.join(first.select("cluster", "__plat", "__plon"), "cluster").select("cluster", "clat", "clon", reach.alias("__reach"))
+    asked = materialise(
+        asked.withColumn("__level", F.ceil(F.log2(F.greatest("__reach", F.lit(1.0)))).cast("int")), "centre-reach"
+    )
+    found = None
+    for (level,) in asked.select("__level").distinct().orderBy("__level").collect():  # metres to half the globe: 26 at most
+        grid, keys = SphereGrid(2.0**level), ["__row", "__cell"]
+        near = grid.explode_reach(asked.filter(F.col("__level") == level).drop("__level"), "clat", "clon", *keys)
+        cells = grid.add_cell(points, "__plat", "__plon", *keys)
+        pairs = salted_join(
+            cells, near, keys, counts=cells.groupBy(*keys).agg(F.count("*").alias("__rows")),
+            build_counts=near.groupBy(*keys).agg(F.count("*").alias("__rows")),
         )
-    one = located.agg(*best)
-    picked = one.select(F.explode(F.array(*(F.col(c) for c in one.columns))).alias("b"))
-    result = picked.filter("b.row IS NOT NULL").select("b.row.*", F.col("b.cluster").alias(name), "b.gap")
-    return result.withColumnRenamed("gap", distance) if distance else result.drop("gap")
+        pairs = pairs.withColumn("__gap", haversine_m("__plat", "__plon", "clat", "clon")).filter("__gap <= __reach")
+        pairs = pairs.select("cluster", "__of", "__id", "__gap")
+        found = pairs if found is None else found.unionByName(pairs)
+    if found is None:  # no points
+        found = points.select(F.lit(0).alias("cluster"), "__of", "__id", F.lit(0.0).alias("__gap")).limit(0)
+    return found

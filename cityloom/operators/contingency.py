@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.chi_square import chi_square_tail
-from .skew import small_or_same
-
-MAX_LOCAL_CELLS = 100_000
+from ..session import materialise
+from .skew import join_small
 
 
 def contingency(
@@ -49,27 +48,21 @@ def chi_square(
     """Chi-square test of independence on a long table: one row (statistic, dof, p_value, n,
     n_rows, n_cols, significant).
 
+    The cells are written once and summed by row and by column; neither is gathered in one task.
     Absent cells count as zero. As in common statistics packages the Yates correction applies at one
     degree of freedom, and a table with a single row or column gives statistic 0 and p 1. An empty
     table and a line of zeros are errors there; here the first gives no row, the second is left out.
     """
-    cells = small_or_same(
-        table.groupBy(F.col(row).alias("__r"), F.col(col).alias("__c")).agg(F.sum(n).cast("double").alias("__o")),
-        MAX_LOCAL_CELLS,
-    )
-    by_row = F.sum("__o").over(Window.partitionBy("__r"))
-    by_col = F.sum("__o").over(Window.partitionBy("__c"))
-    totals = cells.filter(F.col("__o") > 0).agg(
-        F.struct(
-            F.sum("__o").alias("n"),
-            F.countDistinct("__r").alias("r"),
-            F.countDistinct("__c").alias("c"),
-        ).alias("t")
-    ).scalar()
+    grouped = table.groupBy(F.col(row).alias("__r"), F.col(col).alias("__c"))
+    cells = materialise(grouped.agg(F.sum(n).cast("double").alias("__o")), "chi-square-cells")
+    by_row = cells.groupBy("__r").agg(F.sum("__o").alias("__sr")).filter("__sr > 0")
+    by_col = cells.groupBy("__c").agg(F.sum("__o").alias("__sc")).filter("__sc > 0")
+    total = by_row.agg(F.struct(F.sum("__sr").alias("n"), F.count("*").alias("r"), F.lit(0).cast("bigint").alias("c")).alias("t")).scalar()
+    n_cols = by_col.agg(F.count("*")).scalar()
     lines = (
-        cells.withColumns({"__sr": by_row, "__sc": by_col})
-        .filter((F.col("__sr") > 0) & (F.col("__sc") > 0))
-        .withColumn("__t", totals)
+        join_small(join_small(cells, by_row, ["__r"]), by_col, ["__c"])
+        .withColumn("__t", total)
+        .withColumn("__t", F.col("__t").withField("c", n_cols))
         .withColumn("__dof", ((F.col("__t.r") - 1) * (F.col("__t.c") - 1)).cast("int"))
         .withColumn("__e", F.col("__sr") * F.col("__sc") / F.col("__t.n"))
     )

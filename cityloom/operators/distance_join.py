@@ -47,8 +47,8 @@ def distance_join(
     ``block`` names a column both sides must share (null matches nothing); ``None`` compares by
     radius alone. Give the smaller side as ``left``: it is repeated over the cells its circle
     touches, about nine, while every right row goes to one cell, so no pair shows up twice. The
-    equi-join on the cell prunes, the exact distance decides. Cells holding a large share of the
-    right side are split over tasks. Apart from the block the columns of the two sides must have
+    equi-join on the cell prunes, the exact distance decides. Cells in which many rows meet many are
+    split over tasks on both sides. Apart from the block the columns of the two sides must have
     different names.
     """
     shared = set(left.columns) & set(right.columns) - {block}
@@ -59,9 +59,15 @@ def distance_join(
     points = grid.add_cell(_located(right, *right_coords, block), *right_coords, _ROW, _CELL)
     if block:
         points = points.drop(block)
-    salt_on = [c for c in points.columns if c not in _keys(block)]
+    # Both sides are located once; counts per cell and the join read what was written.
+    keys = _keys(block)
+    points, near = materialise(points, "join-points"), materialise(near, "join-near")
+
+    def per_cell(df: DataFrame) -> DataFrame:
+        return df.groupBy(*keys).agg(F.count("*").alias("__rows"))
+
     return (
-        salted_join(points, near, _keys(block), salt_on)
+        salted_join(points, near, keys, counts=per_cell(points), build_counts=per_cell(near))
         .withColumn(output, distance(*right_coords, *left_coords))
         .filter(F.col(output) <= radius)
         .select(*left.columns, *(c for c in right.columns if c != block), output)
@@ -161,7 +167,7 @@ def count_within(
         targets = targets.unionByName(totals.withColumn("__whole", F.lit(True)), allowMissingColumns=True)
         on = [*keys, "__whole"]
         if crowded:
-            joined = salted_join(targets, probes, on, ["__lat2", "__lon2", *r_by.values()])
+            joined = salted_join(targets, probes, on)
         else:
             joined = targets.join(probes, on)
         parts.append(
@@ -173,7 +179,7 @@ def count_within(
             break
         pieces *= SPLIT
         cells = split.select(*keys).distinct()
-        points = materialise(salted_join(points, cells, keys, ["__lat2", "__lon2", *r_by.values()]), "count-points")
+        points = materialise(salted_join(points, cells, keys), "count-points")
         probes = touched(grid.split_bounded(split, "__lat1", "__si", "__sj", parts=SPLIT))
     counted = parts[0]
     for part in parts[1:]:
@@ -188,16 +194,15 @@ def summarise_pairs(per_place: DataFrame, n: str = "n") -> DataFrame:
     """One row: pairs, and distinct amenity kinds, amenities and categories among them.
 
     Takes the pair counts per (amnt_id, amenity, category), so the distinct counts run over places,
-    never over pairs. Written in SQL over a temporary view.
+    never over pairs. Written in SQL over the frame itself: nothing is registered.
     """
-    view = "near_places"
-    per_place.createOrReplaceTempView(view)
     return per_place.sparkSession.sql(
         f"""
         SELECT coalesce(sum({n}), 0) AS num_rows,
                count(DISTINCT amenity) AS distinct_amnt_types,
                count(DISTINCT amnt_id) AS distinct_amnt_id,
                count(DISTINCT category) AS dist_amnt_cat
-        FROM {view}
-        """
+        FROM {{places}}
+        """,
+        places=per_place,
     )

@@ -3,58 +3,57 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import materialise
 
-def dense_id(df: DataFrame, key: str, name: str, *, start: int = 0, parts: int | None = None) -> DataFrame:
-    """Number rows densely from ``start`` in the order of a unique numeric key.
 
-    A global row number would sort everything in one task. Here approximate quantiles of the key cut
-    the rows into ranges of about equal size, each range is numbered on its own, and ranges are
-    offset by the row counts before them. The quantiles are read first and become constants, so both
-    uses of the ranges agree; their precision affects balance only.
+# Rows per range that ids are numbered in.
+RANGE_ROWS = 500_000
+
+
+def dense_id(df: DataFrame, key: str | Sequence[str], name: str, *, start: int = 0, parts: int | None = None) -> DataFrame:
+    """Number rows densely from ``start`` in the order of a unique key of one or more columns of any
+    type that can be ordered; nulls first.
+
+    A global row number would sort everything in one task. Here the rows are parted by ranges of the key, as
+    many as their number asks for, sorted and written once with their place in the range; ranges are offset by
+    the rows before them. Rows with equal keys come next to each other in no particular order.
     """
-    parts = parts or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shares = [i / parts for i in range(1, parts)]
-    cuts = sorted(set(df.stat.approxQuantile(key, shares, 1 / (4 * parts)))) if shares else []
-    ranged = df.withColumn("__part", _range_number(F.col(key).cast("double"), cuts))
-    # At most ``parts`` rows, hence one small task and a broadcast of known size.
-    offsets = (
-        ranged.groupBy("__part")
-        .agg(F.count("*").alias("__rows"))
-        .withColumn("__before", F.sum("__rows").over(Window.orderBy("__part")) - F.col("__rows"))
-        .drop("__rows")
+    keys = [key] if isinstance(key, str) else list(key)
+    parts = parts or max(1, math.ceil(df.count() / RANGE_ROWS))
+    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    # The id of a row within its range counts up in the order of the rows.
+    placed = ranged.withColumn("__range", F.spark_partition_id()).withColumn(
+        "__place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     )
-    within = F.row_number().over(Window.partitionBy("__part").orderBy(key))
+    placed = materialise(placed, "dense-id")
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("__range").agg(F.count("*").alias("__rows"))  # one row per range
+    offsets = sizes.select("__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
     return (
-        ranged.join(F.broadcast(offsets), "__part")
-        .withColumn(name, (F.col("__before") + within - 1 + start).cast("bigint"))
-        .drop("__part", "__before")
+        placed.join(F.broadcast(offsets), "__range")
+        .withColumn(name, (F.col("__before") + F.col("__place") + start).cast("bigint"))
+        .drop("__range", "__before", "__place")
     )
 
 
-def _range_number(value: Column, cuts: list[float]) -> Column:
-    """How many of the sorted cuts are at most ``value``, looked up in two steps of about the square
-    root of their number each."""
-    if not cuts:
-        return F.lit(0)
-    size = math.ceil(math.sqrt(len(cuts)))
-    chunks = [cuts[i : i + size] for i in range(0, len(cuts), size)]
-
-    def at_most(bounds: Column) -> Column:
-        return F.size(F.filter(bounds, lambda b: b <= value))
-
-    chunk = at_most(F.array(*(F.lit(c[0]) for c in chunks)))
-    table = F.array(*(F.array(*(F.lit(b) for b in c)) for c in chunks))
-    inside = at_most(F.element_at(table, F.greatest(chunk, F.lit(1))))
-    return F.when(chunk == 0, 0).otherwise((chunk - 1) * size + inside)
-
-
-def arrival_id(df: DataFrame, name: str) -> DataFrame:
-    """Unique but not dense id for input without a key. Write the result before using the id: it
-    depends on how the input was split."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+def stable_id(df: DataFrame, name: str) -> DataFrame:
+    """A 64-bit id that depends on what a row holds and not on how the input was split: the upper bits of
+    the row's MD5, and for rows that are equal in all columns, which nothing tells apart, a number counted up
+    from it. Two different rows share an id by chance only: about one pair in a table of six billion rows.
+    """
+    text = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    digest = F.conv(F.substring(F.md5(text), 1, 16), 16, -10).cast("bigint")
+    same = Window.partitionBy("__digest").orderBy(F.lit(0))
+    return (
+        df.withColumn("__digest", digest)
+        .withColumn("__rank", F.row_number().over(same))
+        .withColumn(name, F.when(F.col("__rank") == 1, F.col("__digest")).otherwise(F.xxhash64("__digest", "__rank")))
+        .drop("__digest", "__rank")
+    )
 
 
 def in_share(key: Column, share: float, seed: int = 0) -> Column:

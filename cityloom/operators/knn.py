@@ -101,15 +101,16 @@ def _choose_grid(train: DataFrame, places: DataFrame, k: int) -> tuple[_Grid, Ro
     return _Grid(box["x0"], box["y0"], root / 2**levels, levels), box
 
 
-def _tighten(grid: _Grid, frontier: DataFrame, counts: DataFrame, k: int) -> DataFrame:
+def _tighten(grid: _Grid, frontier: DataFrame, counts: DataFrame, k: int, queries: int) -> DataFrame:
     """Occupied cells that may hold one of the k nearest points.
 
     Going outwards by the cells' farthest points, the k-th nearest point is no farther than the cell
-    with which k points are reached; cells that begin beyond that are dropped.
+    with which k points are reached; cells that begin beyond that are dropped. Each of the
+    ``queries`` may ask for the same few coarse cells, so those are split over tasks.
     """
     outwards = Window.partitionBy(*_PLACE).orderBy("__far").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        frontier.join(counts, _CELL)
+        salted_join(frontier, counts, _CELL, at_most=queries)
         .withColumn("__far", F.expr(grid.farthest("__cx", "__cy")))
         .withColumn("__reached", F.sum("__n").over(outwards))
         .withColumn(
@@ -163,7 +164,7 @@ def _nearest_by_place(
     )
     # Coarse levels have few cells and hence hot keys.
     starts = (
-        salted_join(query_cells, full_blocks, _CELL, ["__fx", "__fy"], at_most=size["m"])
+        salted_join(query_cells, full_blocks, _CELL, at_most=size["m"])
         .groupBy("__fx", "__fy")
         .agg(F.min("__up").alias("__up"))
     )
@@ -177,7 +178,7 @@ def _nearest_by_place(
     block = grid.farthest("shiftright(__fx, __up)", "shiftright(__fy, __up)", cells=3, before=1)
     slack = f"{1 + 1e-9!r}D + {grid.side * 1e-6!r}D"
     circle = (
-        salted_join(located, starts, ["__fx", "__fy"], _PLACE, at_most=size["m"])
+        salted_join(located, starts, ["__fx", "__fy"], at_most=size["m"])
         .selectExpr(*_PLACE, "__up", f"sqrt({block}) * {slack} AS __reach")
         .selectExpr("*", f"{span('__qx', grid.x0)} AS __cx")
         .selectExpr("*", f"{span('__qy', grid.y0)} AS __cy")
@@ -187,7 +188,7 @@ def _nearest_by_place(
     # Down to the finest level: queries in dense surroundings start there; for one far from all
     # points the ring that can matter gets thinner with every round. Each round is a written table
     # and handles only what is not yet down, so rounds are few and get small.
-    frontier = materialise(_tighten(grid, circle, counts, wanted), "knn-frontier")
+    frontier = materialise(_tighten(grid, circle, counts, wanted, size["m"]), "knn-frontier")
     finest = frontier.filter("__up = 0")
     coarse = frontier.filter("__up > 0")
     while not coarse.isEmpty():
@@ -200,7 +201,7 @@ def _nearest_by_place(
                 "shiftleft(__cx, __down) + __i AS __cx", "shiftleft(__cy, __down) + __j AS __cy",
             )
         )
-        frontier = materialise(_tighten(grid, children, counts, wanted), "knn-frontier")
+        frontier = materialise(_tighten(grid, children, counts, wanted, size["m"]), "knn-frontier")
         finest = finest.unionByName(frontier.filter("__up = 0"))
         coarse = frontier.filter("__up > 0")
 
@@ -208,7 +209,10 @@ def _nearest_by_place(
     in_cell = counts.filter("__up = 0").selectExpr("__cx AS __fx", "__cy AS __fy", "__n AS __rows")
     nearest = Window.partitionBy(*_PLACE).orderBy("__d", "__id")
     found = (
-        salted_join(points, probes, ["__fx", "__fy"], ["__id"], counts=in_cell, at_most=size["n"])
+        salted_join(
+            points, probes, ["__fx", "__fy"], counts=in_cell,
+            build_counts=probes.groupBy("__fx", "__fy").agg(F.count("*").alias("__rows")),
+        )
         .selectExpr(
             *_PLACE, "__id", *(f"`{c}`" for c in carry),
             "(__qy - __y) * (__qy - __y) + (__qx - __x) * (__qx - __x) AS __d",
@@ -272,7 +276,7 @@ def knn_join(
     planar = _planar(queries, *query_coords, lon_scale, "__qy", "__qx").select(F.col(key), *_PLACE)
     points = _train_points(train, train_id, train_coords, lon_scale, carry)
     found, places, fullest = _nearest_by_place(_query_places(planar), points, k, carry)
-    return salted_join(planar, found, _PLACE, [key], counts=places, at_most=fullest).select(
+    return salted_join(planar, found, _PLACE, counts=places, at_most=fullest).select(
         key, F.col("__rank").alias("rank"), F.col("__id").alias(train_id), *carry, F.col("__d").alias("sq_distance")
     )
 
@@ -299,5 +303,5 @@ def label_by_neighbours(
     found, places, fullest = _nearest_by_place(_query_places(planar), points, k, (label,))
     votes = found.groupBy(*_PLACE).agg(F.mode(label, deterministic=True).alias(output or label))
     return salted_join(
-        planar, votes, _PLACE, queries.columns, how="left", counts=places, at_most=fullest
+        planar, votes, _PLACE, how="left", counts=places, at_most=fullest
     ).drop(*_PLACE)

@@ -1,115 +1,124 @@
-"""Equi-join that splits hot keys, and reading of results whose size is bounded."""
+"""Equi-joins that split hot keys, and joins with a table of one row per key."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType, MapType, VariantType
 
+# Rows of one key that one task takes of a side. Where both sides are counted the limit is that for
+# pairs, as a task then compares up to its square.
+TASK_ROWS = 1_000_000
+TASK_SIDE = 15_000
+# Most keys that are treated as hot; beyond that the limit rises with the data. Bounds the broadcast.
+MAX_HOT_KEYS = 50_000
 
-# A key is hot above this share of the rows, and above this many of them.
-MAX_SHARE = 1 / 512
-MIN_HOT_ROWS = 100_000
 
+def _limit(total: Column, side: int) -> Column:
+    return F.greatest(F.lit(float(side)), F.coalesce(total, F.lit(0)) / MAX_HOT_KEYS)
 
-def hot_keys(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Of a table of keys and their number of rows (``__rows``), the keys with more than
-    ``max(MIN_HOT_ROWS, MAX_SHARE * all rows)``, and into how many parts to split each. Every hot key
-    owns more than ``MAX_SHARE`` of the rows, so there are fewer than ``1 / MAX_SHARE`` of them
-    whatever the size of the data: that bounds the broadcast below."""
-    total = counts.agg(F.sum("__rows")).scalar()
-    limit = F.greatest(F.lit(float(MIN_HOT_ROWS)), F.coalesce(total, F.lit(0)) * MAX_SHARE)
-    return (
-        counts.withColumn("__limit", limit)
-        .filter(F.col("__rows") > F.col("__limit"))
-        .select(*keys, F.ceil(F.col("__rows") / F.col("__limit")).cast("int").alias("__parts"))
+
+def hot_keys(counts: DataFrame, keys: Sequence[str], build_counts: DataFrame | None = None) -> DataFrame:
+    """Into how many parts to cut each hot key: ``__parts`` of the probe side, ``__build_parts`` of the other.
+
+    ``counts`` and ``build_counts`` have the keys and their number of rows, ``__rows``. Without the second,
+    the other side has few rows per key, and a key is hot above ``TASK_ROWS`` rows. With it, a key is hot if
+    comparing all its rows would be more work than ``TASK_SIDE`` squared, or if either side has more than
+    ``TASK_ROWS``; both sides are then cut into parts of about ``TASK_SIDE``. The limits rise for more than
+    ``MAX_HOT_KEYS`` such keys, whatever the size of the data.
+    """
+    if build_counts is None:
+        total = counts.agg(F.sum("__rows")).scalar()
+        limited = counts.withColumn("__limit", _limit(total, TASK_ROWS))
+        hot = limited.filter(F.col("__rows") > F.col("__limit"))
+        return hot.select(
+            *keys, F.ceil(F.col("__rows") / F.col("__limit")).cast("int").alias("__parts"), F.lit(1).alias("__build_parts")
+        )
+    both = counts.join(build_counts.withColumnRenamed("__rows", "__others"), list(keys))
+    most = F.greatest("__rows", "__others")
+    total = both.agg(F.sum(most)).scalar()
+    limited = both.withColumn("__limit", _limit(total, TASK_SIDE))
+    heavy = (F.col("__rows") * F.col("__others") > F.col("__limit") * F.col("__limit")) | (most > TASK_ROWS)
+    hot = limited.filter((most > F.col("__limit")) & heavy)
+    return hot.select(
+        *keys,
+        F.ceil(F.col("__rows") / F.col("__limit")).cast("int").alias("__parts"),
+        F.ceil(F.col("__others") / F.col("__limit")).cast("int").alias("__build_parts"),
     )
 
 
+def _holds_map(kind: DataType) -> bool:
+    if isinstance(kind, (MapType, VariantType)):
+        return True
+    inner = [f.dataType for f in kind.fields] if hasattr(kind, "fields") else [getattr(kind, "elementType", None)]
+    return any(_holds_map(k) for k in inner if k is not None)
+
+
+def _salt(df: DataFrame, parts: Column) -> Column:
+    """A part for each row, the same whenever a task is run again: by what the row holds (maps can't be
+    hashed and are left out) and by the partition it lies in, so that equal rows are spread too."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not _holds_map(f.dataType) and not f.name.startswith("__parts")]
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *plain), parts).cast("int")
+
+
 def salted_join(
     probe: DataFrame,
     build: DataFrame,
     keys: Sequence[str],
-    salt_on: Sequence[str],
     *,
     how: str = "inner",
     counts: DataFrame | None = None,
+    build_counts: DataFrame | None = None,
     at_most: int | None = None,
 ) -> DataFrame:
-    """Equi-join, inner or left, in which no task gets a whole hot key of ``probe``.
+    """Equi-join, inner or left, in which no task gets a whole hot key.
 
-    Rows of a hot key are spread over parts by the hash of ``salt_on``; the matching ``build`` rows
-    are repeated once per part. All other keys join as usual. Nothing is dropped: every probe row is
-    in one part, and every part sees all build rows of its key.
+    Rows of a hot key are spread over parts and the matching rows of the other side repeated once per
+    part; with ``build_counts`` (inner joins only) both sides are spread. All other keys join as
+    usual. Nothing is dropped: every pair of rows meets in one part.
 
-    The rows per key are counted first, unless ``counts`` has them (keys and ``__rows``) or it is
+    The probe's rows per key are counted first, unless ``counts`` has them (keys and ``__rows``) or it is
     known that no key has more than ``at_most`` rows and that is too few to be hot.
     """
-    if at_most is not None and at_most <= MIN_HOT_ROWS:
+    if at_most is not None and at_most <= TASK_ROWS and build_counts is None:
         return probe.join(build, list(keys), how)
     if counts is None:
         counts = probe.groupBy(*keys).agg(F.count("*").alias("__rows"))
-    hot = F.broadcast(hot_keys(counts, keys))
-    parts = F.coalesce(F.col("__parts"), F.lit(1))
-    spread = (
-        probe.join(hot, list(keys), "left")
-        .withColumn("__salt", F.pmod(F.xxhash64(*salt_on), parts).cast("int"))
-        .drop("__parts")
-    )
-    repeated = (
-        build.join(hot, list(keys), "left")
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .drop("__parts")
-    )
-    return spread.join(repeated, [*keys, "__salt"], how).drop("__salt")
-
-
-def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list[Row]:
-    """Rows of a result that must be small; raises instead of filling the driver."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"{what}: more than {max_rows} rows")
-    return rows
-
-
-def small_or_same(df: DataFrame, max_rows: int) -> DataFrame:
-    """A result expected to be small, read once into a local table if it has at most ``max_rows``
-    rows, so that plans which use it twice do not compute it twice; else ``df`` itself. The local
-    table is one partition, so that what follows needs no shuffle."""
-    rows = df.limit(max_rows + 1).collect()
-    return df if len(rows) > max_rows else df.sparkSession.createDataFrame(rows, df.schema).coalesce(1)
-
-
-def join_small(
-    df: DataFrame, small: DataFrame, keys: Sequence[str], *, max_rows: int = 10_000
-) -> DataFrame:
-    """Null-safe inner join with a table that holds one row per key and is expected to be small.
-
-    The table is read first. Up to ``max_rows`` rows it is broadcast and ``df`` is not shuffled;
-    beyond that both sides are joined by key with hot keys split.
+    if build_counts is not None and how != "inner":
+        raise ValueError("both sides are spread for inner joins only")
+    hot = F.broadcast(hot_keys(counts, keys, build_counts))  # at most 2 * MAX_HOT_KEYS rows
+    parts = F.coalesce("__parts", F.lit(1))
+    others = F.coalesce("__build_parts", F.lit(1))
+    spread = probe.join(hot, list(keys), "left")
+    spread = spread.withColumn("__salt", _salt(probe, parts))
+    repeated = build.join(hot, list(keys), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+    on = [*keys, "__salt"]
+    if build_counts is not None:
+        spread = spread.withColumn("__other", F.explode(F.sequence(F.lit(0), others - 1)))
+        repeated = repeated.withColumn("__other", _salt(build, others))
+        on.append("__other")
+    extra = ["__parts", "__build_parts"]
+    return spread.drop(*extra).join(repeated.drop(*extra), on, how).drop("__salt", "__other")
+
+
+def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Null-safe inner join with a table that has one row per key: ``df``'s columns, then the others of
+    ``small``.
+
+    One equi-join on the keys as they are, so that nulls match nulls, NaN matches NaN and both zeros are one
+    key. Spark broadcasts the table if it is small enough by its own measure; else hot keys of
+    ``df`` are left to the splitting of skewed partitions, to which the rows of one key can all go.
     """
-    rows = small.limit(max_rows + 1).collect()
     extra = [c for c in small.columns if c not in keys]
-    if len(rows) <= max_rows:
-        local = F.broadcast(df.sparkSession.createDataFrame(rows, small.schema)).alias("r")
-        same: Column = F.lit(True)
-        for key in keys:
-            same = same & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
-        return df.alias("l").join(local, same).select("l.*", *(f"r.{c}" for c in extra))
-    # Text form plus a null flag, so that null keys keep their rows.
-    marks: dict[str, Column] = {}
+    small = small.select(*(F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)), *extra)
+    same: Column = F.lit(True)
     for i, key in enumerate(keys):
-        marks[f"__key{i}"] = F.coalesce(F.col(key).cast("string"), F.lit(""))
-        marks[f"__null{i}"] = F.col(key).isNull()
-    joined = salted_join(
-        df.withColumns(marks), small.withColumns(marks).drop(*keys), list(marks), df.columns
-    )
-    return joined.select(*df.columns, *extra)
+        same = same & df[key].eqNullSafe(small[f"__key{i}"])
+    return df.join(small, same).select(*(df[c] for c in df.columns), *(small[c] for c in extra))
 
 
-def attach_group_counts(
-    df: DataFrame, keys: Sequence[str], name: str = "count", *, max_groups: int = 10_000
-) -> DataFrame:
+def attach_group_counts(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataFrame:
     """Add to every row the number of rows that share its keys, from pre-aggregated counts."""
     counts = df.groupBy(*keys).agg(F.count("*").alias(name))
-    return join_small(df, counts, keys, max_rows=max_groups)
+    return join_small(df, counts, keys)

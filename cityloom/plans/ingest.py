@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 from ..operators import cleaning
-from ..operators.indexing import arrival_id
+from ..operators.indexing import stable_id
 from ..sources import tables, xml
 
 
@@ -34,13 +34,13 @@ def clip_places(spark: SparkSession, source: str, target: str) -> None:
 def prepare_places(spark: SparkSession, source: str, target: str, *, parity: bool = False) -> None:
     places = tables.read_table(spark, source, schemas.PLACES_RAW)
     columns = ["amenity", "lat", "lon", "name", "category", "amnt_id"]
-    cleaned = arrival_id(cleaning.clean_places(places, parity=parity), "amnt_id")
+    cleaned = stable_id(cleaning.clean_places(places, parity=parity), "amnt_id")
     tables.write_table(cleaned.select(*columns), target)
 
 
 def prepare_incidents(spark: SparkSession, source: str, target: str, *, float32: bool = False) -> None:
     incidents = tables.read_table(spark, source, schemas.INCIDENTS_RAW)
-    tables.write_table(arrival_id(cleaning.clean_incidents(incidents, float32=float32), "c_id"), target)
+    tables.write_table(stable_id(cleaning.clean_incidents(incidents, float32=float32), "c_id"), target)
 
 
 def prepare_listings(spark: SparkSession, source: str, target: str, *, as_of: dt.date | None = None) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed_values as V
 from ..operators.indexing import accuracy, in_share
 from ..operators.knn import label_by_neighbours
+from ..session import materialise
 
 
 def label_places(
@@ -25,6 +26,37 @@ def label_places(
     )
 
 
+def label_and_score(
+    places: DataFrame,
+    incidents: DataFrame,
+    *,
+    k: int = V.NEIGHBOURS,
+    train_share: float = V.TRAIN_SHARE,
+    seed: int = 0,
+    lon_scale: float = 1.0,
+) -> tuple[DataFrame, DataFrame]:
+    """``label_places`` and ``labelling_scores`` from one search, over places and incidents together."""
+    places = places.drop("neighbourhood")
+    points = incidents.select("c_id", "latitude", "longitude", "neighbourhood")
+    asked = places.select(F.struct(*places.columns).alias("place"), "lat", "lon").unionByName(
+        points.select(F.struct(*points.columns).alias("incident"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon")),
+        allowMissingColumns=True,
+    )
+    labelled = materialise(
+        label_by_neighbours(
+            asked, points.filter(in_share(F.col("c_id"), train_share, seed)), train_id="c_id", output="predicted",
+            k=k, lon_scale=lon_scale,
+        ),
+        "labelled",
+    )
+    train = in_share(F.col("incident.c_id"), train_share, seed)
+    known = labelled.filter("incident IS NOT NULL").select(
+        F.when(train, "train").otherwise("validation").alias("part"), "predicted", F.col("incident.neighbourhood").alias("actual")
+    )
+    named = labelled.filter("place IS NOT NULL").select("place.*", F.col("predicted").alias("neighbourhood"))
+    return named, accuracy(known, "predicted", "actual", "part")
+
+
 def labelling_scores(
     incidents: DataFrame,
     *,

@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from .. import fixed_values as V
 from ..functions.geo import Distance
 from ..operators.cleaning import without_types
 from ..operators.contingency import chi_square, contingency, supported_rows
+from ..operators.density import kernel_density
 from ..operators.distance_join import count_within, distance_join, summarise_pairs
+from ..session import materialise
 
 
 def near_pairs(
@@ -40,8 +41,14 @@ def near_counts(
     block: str | None = "neighbourhood",
     distance: Distance = Distance(),
 ) -> DataFrame:
-    """Pairs per (*by, crime_type), counted without forming them."""
+    """Pairs per (*by, crime_type), counted without forming them. Distances that are not clamped have no
+    bounds by cell: there the pairs are formed and grouped."""
     typed = incidents.withColumnRenamed("type", "crime_type")
+    if not distance.clamp:
+        left = [*by, "lat", "lon", *([block] if block else [])]
+        right = ["crime_type", "latitude", "longitude", *([block] if block else [])]
+        pairs = distance_join(places.select(*left), typed.select(*right), radius, block=block, distance=distance)
+        return pairs.groupBy(*by, "crime_type").agg(F.count("*").alias("n"))
     return count_within(
         places, typed, radius, left_by=by, right_by=("crime_type",), block=block, distance=distance
     )
@@ -49,9 +56,11 @@ def near_counts(
 
 @dataclass
 class Relation:
-    """Results of the analysis; ``per_place`` is persisted and feeds the others."""
+    """Results of the analysis; ``per_place`` is written once and feeds the others but the densities."""
 
     per_place: DataFrame
+    counts: DataFrame
+    densities: DataFrame
     summary: DataFrame
     table_all: DataFrame
     test_all: DataFrame
@@ -69,14 +78,17 @@ def relate(
     min_support: int = V.MIN_SUPPORT,
     alpha: float = V.ALPHA,
 ) -> Relation:
-    """Counts, contingency tables and tests over all and over petty incident types.
+    """Counts, densities by incident type, contingency tables and tests over all and over petty types.
 
     The radius search runs once, into at most one row per place and type; everything else reads
     that.
     """
-    per_place = near_counts(
-        places, incidents, radius, by=("amnt_id", "amenity", "category"), block=block, distance=distance
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    per_place = materialise(
+        near_counts(
+            places, incidents, radius, by=("amnt_id", "amenity", "category"), block=block, distance=distance
+        ),
+        "near-counts",
+    )
 
     def table(rows: DataFrame, types: tuple[str, ...]) -> DataFrame:
         cells = contingency(rows, "category", "crime_type", types, weight="n")
@@ -86,6 +98,8 @@ def relate(
     table_petty = table(without_types(per_place, V.SERIOUS_TYPES), V.PETTY_TYPES)
     return Relation(
         per_place=per_place,
+        counts=per_place.groupBy("category", "crime_type").agg(F.sum("n").alias("n")),
+        densities=kernel_density(incidents, "type"),
         summary=summarise_pairs(per_place),
         table_all=table_all,
         test_all=chi_square(table_all, "category", "crime_type", alpha=alpha),

@@ -12,6 +12,7 @@ from ..operators.clusters import (
     Clusters, kmeans, merge_clusters, nearest_per_centre, small_cluster_groups,
 )
 from ..operators.shares import cluster_shares, scale_by_category
+from ..session import materialise
 
 
 @dataclass
@@ -37,6 +38,7 @@ def find_stays(
 ) -> Stays:
     """Fit, merge, and pick. Merge the clusters in ``groups``, or those below ``min_size`` places
     into their neighbours; labels of a fit mean nothing by themselves, so there is no default."""
+    places = materialise(places, "stays-places")
     fitted = fitted or kmeans(places, k, seed=seed)
     if groups is None:
         groups = small_cluster_groups(places, fitted, min_size) if min_size else []

@@ -43,8 +43,3 @@ LISTINGS = (
     "id bigint, name string, neighbourhood string, latitude double, longitude double, "
     "room_type string, price double, minimum_nights int"
 )
-
-TOP_LISTINGS = (
-    "id bigint, name string, neighbourhood string, latitude double, longitude double, "
-    "room_type string, price double, minimum_nights int, cluster string"
-)

@@ -2,7 +2,7 @@
 
 Parquet is the format between steps: typed, columnar, and safe for names with line breaks or empty
 text, which a CSV round trip changes. CSV and JSON are for the edges. No writer funnels its rows
-through one task, but for ``write_small_csv``, which checks that they are few.
+through one task unless it is asked for one file.
 """
 
 from __future__ import annotations
@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..operators.skew import collect_bounded
-
 
 def read_csv(spark: SparkSession, path: str, schema: str | StructType, *, multi_line: bool = False) -> DataFrame:
     """CSV with a header line; columns bind to the schema by position, whatever the header says.
@@ -40,7 +38,7 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, schema: str | StructType, *, multi_line: bool = False) -> DataFrame:
     """Any of the formats, told by the end of the path (Parquet if it tells nothing)."""
-    plain = path.rstrip("/").removesuffix(".gz")
+    plain = path.rstrip("/").removesuffix(".gz").removesuffix(".bz2")
     if plain.endswith((".csv", "-csv")):
         return read_csv(spark, path, schema, multi_line=multi_line)
     if plain.endswith((".json", "-json")):
@@ -53,7 +51,9 @@ _MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _TIMES = {"timestampFormat": _MICROS + "XXX", "timestampNTZFormat": _MICROS}
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, *, one_file: bool = False) -> None:
+    """CSV with a header; ``one_file`` puts all rows through one task, for results known to be small."""
+    df = df.coalesce(1) if one_file else df
     df.write.mode("overwrite").options(**_TIMES).option("header", True).option("escape", '"').csv(path)
 
 
@@ -76,8 +76,3 @@ def write_table(df: DataFrame, path: str) -> None:
     else:
         write_parquet(df, path)
 
-
-def write_small_csv(df: DataFrame, path: str, max_rows: int = 10_000) -> None:
-    """One CSV part file for a result of a few rows; refuses more than ``max_rows``."""
-    rows = collect_bounded(df, max_rows, path)
-    write_csv(df.sparkSession.createDataFrame(rows, df.schema).coalesce(1), path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.tags import tag_map, without_keys
 from ..schemas import OSM_NODE
@@ -70,18 +70,36 @@ _OPEN_NODE = r"""(?s)^.*(<node(?:\s+[\w:.-]+\s*=\s*(?:"[^"]*"|'[^']*'))*\s*>.*)$
 def read_osm_extract(spark: SparkSession, path: str) -> DataFrame:
     """Amenity nodes of large XML files as map servers write them; plain or bzip2 files are split.
 
-    The text is cut at every closing tag. A piece then holds at most one element that is still open,
-    and if that is a node, the piece ends with the whole of it but its closing tag. Nodes without
-    tags close themselves and are passed over. Comments and CDATA that contain a closing tag, which
-    such files do not have, would be misread; ``read_osm_document`` reads those.
+    The text is cut at every closing tag. A piece then holds at most one element that is still open. If that
+    is a node, it goes on through the pieces that begin with the end of a ``tag``, if its tags are written in
+    pairs, and ends before the first that does not. Pieces are numbered within their split of a file
+    and splits by what comes before them, so a node may lie across splits. Only nodes that have closing tags
+    are moved, and of all other elements no more than their place. Comments and CDATA that contain a closing
+    tag, which such files do not have, would be misread; ``read_osm_document`` reads those.
     """
-    pieces = spark.read.option("lineSep", "</").text(path)
-    node = F.concat(F.regexp_extract("value", _OPEN_NODE, 1), F.lit("</node>"))
-    # Exploding an array of one keeps the expression from being copied into the filters that follow.
-    nodes = pieces.filter(F.col("value").contains("<node") & F.col("value").contains("amenity")).select(
-        F.explode(F.array(node)).alias("value")
+    pieces = spark.read.option("lineSep", "</").text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("pos"),
+    )
+    begins = ~F.col("value").rlike(r"^tag\s*>")
+    kept = F.when(begins, F.when(F.col("value").contains("<node"), F.regexp_extract("value", _OPEN_NODE, 1)).otherwise(""))
+    pieces = pieces.select("file", "split", "pos", begins.cast("int").alias("begins"), F.coalesce(kept, "value").alias("text"))
+    so_far = Window.partitionBy("file", "split").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    pieces = pieces.withColumn("within", F.sum("begins").over(so_far))
+    splits = pieces.groupBy("file", "split").agg(F.max("within").alias("n"))
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "split", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    elements = (
+        pieces.filter("text <> ''")
+        .join(splits, ["file", "split"])
+        .groupBy("file", (F.col("before") + F.col("within")).alias("element"))
+        .agg(F.sort_array(F.collect_list(F.struct("split", "pos", "text"))).alias("parts"))
     )
-    return amenities_from_fragments(nodes)
+    node = F.concat(F.array_join(F.transform("parts", lambda p: p["text"]), "</"), F.lit("</node>"))
+    # Exploding an array of one keeps the expression from being copied into the filters that follow.
+    return amenities_from_fragments(elements.select(F.explode(F.array(node)).alias("value")))
 
 
 def node_struct(

@@ -30,5 +30,5 @@ def hot(monkeypatch):
     """Makes keys with a few rows hot, so that splitting runs on small data."""
     from cityloom.operators import skew
 
-    monkeypatch.setattr(skew, "MIN_HOT_ROWS", 5)
-    monkeypatch.setattr(skew, "MAX_SHARE", 1 / 64)
+    monkeypatch.setattr(skew, "TASK_ROWS", 5)
+    monkeypatch.setattr(skew, "TASK_SIDE", 4)

@@ -7,7 +7,7 @@ from cityloom.operators.clusters import (
     Clusters, kmeans, label_map, lloyd, merge_clusters, nearest_per_centre, small_cluster_groups, within_cost,
 )
 from cityloom.operators.density import density_histogram, kernel_density
-from cityloom.operators.indexing import accuracy, arrival_id, dense_id, hold_out
+from cityloom.operators.indexing import accuracy, dense_id, hold_out, stable_id
 from cityloom.operators.profile import describe_number, distinct_sorted, value_counts
 from cityloom.operators.shares import cluster_shares, scale_by_category
 
@@ -101,6 +101,53 @@ def test_nearest_row_per_centre_with_ties_and_nulls(spark):
     assert nearest_per_centre(df.limit(0), model).count() == 0
 
 
+def test_two_thousand_centres(spark):
+    rnd = random.Random(6)
+    centres = tuple((i, rnd.uniform(49.2, 49.3), rnd.uniform(-123.3, -123.0)) for i in range(2000))
+    model = Clusters(centres)
+    rows = [(i, rnd.uniform(49.15, 49.35), rnd.uniform(-123.35, -122.95)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, lat double, lon double")
+    want = {}
+    for i, y, x in rows:
+        want[i] = min(centres, key=lambda c: ((c[1] - y) ** 2 + (c[2] - x) ** 2, c[0]))
+    labelled = model.assign(df)
+    assert {r["id"]: r["cluster"] for r in labelled.collect()} == {i: c[0] for i, c in want.items()}
+    cost = {r["cluster"]: r["cost"] for r in within_cost(df, model).collect()}
+    assert sum(cost.values()) == pytest.approx(sum((want[i][1] - y) ** 2 + (want[i][2] - x) ** 2 for i, y, x in rows))
+    merged, after = merge_clusters(labelled, model, [range(0, 1500)])
+    assert len(after.centres) == 501
+    assert {r["id"]: r["cluster"] for r in merged.collect()} == {i: 0 if c[0] < 1500 else c[0] for i, c in want.items()}
+    assert len(lloyd(df, [c[1:] for c in centres], 2).centres) == 2000
+
+
+@pytest.mark.parametrize("few", [100, 0])
+def test_nearest_row_both_ways(spark, monkeypatch, few):
+    from cityloom.functions.geo import haversine_m
+    from cityloom.operators import clusters as module
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(module, "FEW_CENTRES", few)
+    rnd = random.Random(8)
+    rows = [(i, rnd.gauss(0, 60) % 180 - 90, rnd.uniform(-180, 180), {"t": "x"}) for i in range(150)]
+    rows += [(1000 + i, 49.0, -123.0, None) for i in range(5)] + [(2000, None, 1.0, None)]
+    df = spark.createDataFrame(rows, "id int, latitude double, longitude double, tags map<string,string>")
+    places = [(0, 49.0, -123.0), (1, 89.9, 10.0), (2, -89.9, -170.0), (3, 0.0, 179.99), (4, 10.0, -179.99)]
+    model = Clusters(tuple(places + [(5 + i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(70)]))
+    got = nearest_per_centre(df, model, distance="metres").collect()
+    pairs = df.filter("latitude IS NOT NULL").crossJoin(F.broadcast(model.to_frame(spark)))
+    gaps = {}
+    for r in pairs.select("cluster", "id", haversine_m("latitude", "longitude", "clat", "clon").alias("g")).collect():
+        gaps.setdefault(r["cluster"], []).append((r["g"], r["id"]))
+    assert {r["cluster"]: (r["metres"], r["id"]) for r in got} == {c: min(g) for c, g in gaps.items()}
+    assert nearest_per_centre(df.limit(0), model).count() == 0
+
+
+def test_lloyd_stops_when_centres_settle(spark):
+    points = blobs(spark)
+    settled = lloyd(points, SPOTS, 50, tolerance=1e-12)
+    assert settled == lloyd(points, [c[1:] for c in settled.centres], 1)
+
+
 def test_shares_sum_to_one_and_scale_by_category(spark):
     rows = [(0, "a")] * 3 + [(0, "b")] + [(1, "a")] * 2
     df = spark.createDataFrame(rows, "cluster int, category string")
@@ -123,6 +170,22 @@ def test_density_integrates_to_one(spark):
     assert sum(r["n"] for r in density_histogram(points, "type").collect()) == points.count()
 
 
+def test_density_against_the_sum_over_points(spark):
+    points = blobs(spark, (80, 60, 0, 0, 0)).selectExpr("'a' AS type", "lat AS latitude", "lon AS longitude")
+    rows = [tuple(r)[1:] for r in points.collect()]
+    n = len(rows)
+    widths = []
+    for k in (0, 1):
+        mean = sum(r[k] for r in rows) / n
+        widths.append(math.sqrt(sum((r[k] - mean) ** 2 for r in rows) / (n - 1)) * n ** (-1 / 6))
+    nodes = kernel_density(points, "type", grid=128).collect()
+    peak = max(r["density"] for r in nodes)
+    for r in random.Random(1).sample(nodes, 60):
+        z = [(((r["lat"] - y) / widths[0]) ** 2 + ((r["lon"] - x) / widths[1]) ** 2) / -2 for y, x in rows]
+        want = sum(map(math.exp, z)) / (n * 2 * math.pi * widths[0] * widths[1])
+        assert r["density"] == pytest.approx(want, abs=0.01 * peak)
+
+
 def test_density_needs_a_spread(spark):
     df = spark.createDataFrame([("a", 1.0, 1.0), ("b", 1.0, 1.0), ("b", 1.0, 2.0), ("c", None, 1.0)],
                                "type string, latitude double, longitude double")
@@ -137,8 +200,22 @@ def test_dense_ids_follow_the_key(spark, parts):
     assert {r["k"]: r["i"] for r in got} == {k: i for i, k in enumerate(sorted(keys))}
 
 
-def test_arrival_ids_are_unique(spark):
-    assert arrival_id(spark.range(50).repartition(7), "i").select("i").distinct().count() == 50
+def test_dense_ids_over_text_and_several_columns(spark):
+    rows = [(f"{chr(97 + i % 7)}é", i) for i in range(300)] + [(None, 1)]
+    df = spark.createDataFrame(rows, "k string, n int").selectExpr("*", "map('a', n) AS m").repartition(6)
+    for parts in (None, 5):
+        got = dense_id(df, ["k", "n"], "i", start=10, parts=parts).collect()
+        want = sorted(rows, key=lambda r: (r[0] is not None, r))
+        assert {(r["k"], r["n"]): r["i"] for r in got} == {k: 10 + i for i, k in enumerate(want)}
+    assert dense_id(df.limit(0), "n", "i").count() == 0
+
+
+def test_stable_ids_do_not_depend_on_the_layout(spark):
+    rows = [(i % 50, None if i % 3 else "x", {"a": str(i % 50)}) for i in range(120)]
+    df = spark.createDataFrame(rows, "a int, b string, m map<string,string>")
+    one = [r["i"] for r in stable_id(df.coalesce(1), "i").collect()]
+    many = [r["i"] for r in stable_id(df.repartition(7), "i").collect()]
+    assert sorted(one) == sorted(many) and len(set(one)) == 120
 
 
 def test_hold_out_is_complete_and_repeatable(spark):

@@ -134,18 +134,68 @@ def test_salted_join_keeps_every_pair(spark, hot):
     probe = spark.range(400).selectExpr("id", "if(id % 3 = 0, 7, id % 50) AS k")
     build = spark.range(60).selectExpr("id AS b", "id % 30 AS k")
     want = probe.join(build, "k").count()
-    assert salted_join(probe, build, ["k"], ["id"]).count() == want
-    left = salted_join(probe, build, ["k"], ["id"], how="left")
+    assert salted_join(probe, build, ["k"]).count() == want
+    left = salted_join(probe, build, ["k"], how="left")
     assert left.count() == probe.join(build, "k", "left").count()
     plain = sorted(map(tuple, probe.join(build, "k").select("id", "b").collect()))
-    assert sorted(map(tuple, salted_join(probe, build, ["k"], ["id"]).select("id", "b").collect())) == plain
-
-
-@pytest.mark.parametrize("max_rows", [100, 2])
-def test_small_table_join_both_ways(spark, hot, max_rows):
-    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("b", 4), ("", 5)] * 4, "k string, v int")
-    small = spark.createDataFrame([("a", 10), (None, 30), ("b", 20), ("", 50)], "k string, w int")
-    got = sorted((str(r["k"]), r["w"]) for r in join_small(df, small, ["k"], max_rows=max_rows).collect())
-    assert got == sorted([("a", 10)] * 8 + [("None", 30)] * 4 + [("b", 20)] * 4 + [("", 50)] * 4)
-    counts = {r["k"]: r["count"] for r in attach_group_counts(df, ["k"], max_groups=max_rows).collect()}
-    assert counts == {"a": 8, None: 4, "b": 4, "": 4}
+    assert sorted(map(tuple, salted_join(probe, build, ["k"]).select("id", "b").collect())) == plain
+
+
+def test_many_medium_keys_and_equal_rows_are_spread(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from cityloom.operators import skew
+
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)
+    keys = spark.range(0, 4000, 1, 8).selectExpr("id % 4 AS k")  # rows that are all alike
+    counts = keys.groupBy("k").agg(F.count("*").alias("__rows"))
+    hot = {r["k"]: r["__parts"] for r in skew.hot_keys(counts, ["k"]).collect()}
+    assert hot == {0: 10, 1: 10, 2: 10, 3: 10}
+    salts = keys.withColumn("s", skew._salt(keys, F.lit(10))).groupBy("k", "s").count().collect()
+    assert len(salts) > 16 and max(r["count"] for r in salts) <= 500
+
+
+def test_hot_keys_by_the_work_of_both_sides(spark, monkeypatch):
+    from cityloom.operators import skew
+
+    monkeypatch.setattr(skew, "TASK_SIDE", 10)
+    monkeypatch.setattr(skew, "TASK_ROWS", 1000)
+    left = spark.createDataFrame([("both", 40), ("left", 40), ("few", 9), ("long", 2000)], "k string, __rows long")
+    right = spark.createDataFrame([("both", 90), ("left", 2), ("few", 9), ("long", 1)], "k string, __rows long")
+    got = {r["k"]: (r["__parts"], r["__build_parts"]) for r in skew.hot_keys(left, ["k"], right).collect()}
+    assert got == {"both": (4, 9), "long": (200, 1)}
+
+
+def test_both_sides_are_spread(spark, hot):
+    probe = spark.range(300).selectExpr("id", "if(id % 2 = 0, 7, id % 50) AS k", "map('a', id) AS m")
+    build = spark.range(200).selectExpr("id AS b", "if(id % 2 = 0, 7, id % 30) AS k", "map('b', id) AS n")
+    counts = [d.groupBy("k").agg({"*": "count"}).toDF("k", "__rows") for d in (probe, build)]
+    got = salted_join(probe, build, ["k"], counts=counts[0], build_counts=counts[1]).select("id", "b")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, probe.join(build, "k").select("id", "b").collect()))
+
+
+def test_map_columns_in_hot_data(spark, hot):
+    l, r = frames(spark, [(i, 49.25, -123.1, "a", "x") for i in range(30)], [(i, 49.25, -123.1, "a", "x") for i in range(30)])
+    pairs = distance_join(l.selectExpr("*", "map('a', 1) AS tags"), r.selectExpr("*", "map('b', 2) AS more"), 50.0)
+    assert pairs.count() == 900
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_small_table_join_broadcast_or_not(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("b", 4), ("", 5)] * 4, "k string, v int")
+        df = df.selectExpr("*", "map('x', v) AS tags")
+        small = spark.createDataFrame([("a", 10), (None, 30), ("b", 20), ("", 50)], "k string, w int")
+        got = join_small(df, small, ["k"])
+        assert got.columns == ["k", "v", "tags", "w"]
+        assert sorted((str(r["k"]), r["w"]) for r in got.collect()) == sorted([("a", 10)] * 8 + [("None", 30)] * 4 + [("b", 20)] * 4 + [("", 50)] * 4)
+        counts = {r["k"]: r["count"] for r in attach_group_counts(df, ["k"]).collect()}
+        assert counts == {"a": 8, None: 4, "b": 4, "": 4}
+        x = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (None,)], "k double")
+        one = spark.createDataFrame([(0.0, 1), (float("nan"), 2), (None, 3)], "k double, w int")
+        assert sorted(r["w"] for r in join_small(x, one, ["k"]).collect()) == [1, 1, 2, 3]
+        assert sorted(r["count"] for r in attach_group_counts(x, ["k"]).collect()) == [1, 1, 2, 2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -4,10 +4,12 @@ import csv
 import glob
 import gzip
 import json
+import math
 import random
 
 from cityloom.__main__ import main
 from cityloom import fixed_values as V
+from cityloom.plans.neighbourhoods import label_and_score, labelling_scores
 from tests.test_geo import forward_utm
 
 
@@ -51,6 +53,35 @@ def read_csv(path):
     return rows
 
 
+def cosine(lat1, lon1, lat2, lon2):
+    a, b = math.radians(lat1), math.radians(lat2)
+    return math.sin(a) * math.sin(b) + math.cos(a) * math.cos(b) * math.cos(math.radians(lon1 - lon2))
+
+
+def test_ids_and_labels_do_not_depend_on_the_files(spark, tmp_path):
+    write_inputs(tmp_path)
+    with open(tmp_path / "crime.csv") as f:
+        header, *lines = f.readlines()
+    (tmp_path / "crime-csv").mkdir()
+    for i in range(8):
+        (tmp_path / "crime-csv" / f"{i}.csv").write_text(header + "".join(lines[i::8]))
+    main(["extract-places", str(tmp_path / "osm.xml.gz"), str(tmp_path / "raw-json")])
+    main(["clean-places", str(tmp_path / "raw-json"), str(tmp_path / "places")])
+    found = []
+    for name in ("crime.csv", "crime-csv"):
+        out, labelled = str(tmp_path / f"inc-{name}.pq"), str(tmp_path / f"lab-{name}.pq")
+        main(["clean-incidents", str(tmp_path / name), out])
+        main(["label-places", out, str(tmp_path / "places"), labelled])
+        ids = sorted(r["c_id"] for r in spark.read.parquet(out).collect())
+        found.append((ids, sorted((r["amnt_id"], r["neighbourhood"]) for r in spark.read.parquet(labelled).collect())))
+        scores = labelling_scores(spark.read.parquet(out))
+        places, both = label_and_score(spark.read.parquet(str(tmp_path / "places")), spark.read.parquet(out))
+        assert sorted(map(tuple, scores.collect())) == sorted(map(tuple, both.collect()))
+        assert sorted((r["amnt_id"], r["neighbourhood"]) for r in places.collect()) == found[-1][1]
+        found[-1] += (sorted(map(tuple, scores.collect())),)
+    assert found[0] == found[1]
+
+
 def test_all_steps(spark, tmp_path):
     write_inputs(tmp_path)
     p = {n: str(tmp_path / n) for n in (
@@ -78,12 +109,27 @@ def test_all_steps(spark, tmp_path):
     assert labelled.columns[-1] == "neighbourhood"
     right = labelled.filter("(neighbourhood = 'East') = (lon > -123.12)").count()
     assert right > 0.9 * labelled.count()
-    main(["relate", p["incidents-csv"], p["labelled"], p["related"], "--radius", "1500"])
+    main(["relate", p["incidents-csv"], p["labelled"], p["related"], "--radius", "1500", "--one-file"])
+    assert len(glob.glob(p["related"] + "/summary/*.csv")) == 1
+    counts = read_csv(p["related"] + "/counts")
+    assert sum(int(c["n"]) for c in counts) == int(read_csv(p["related"] + "/summary")[0]["num_rows"])
+    densities = read_csv(p["related"] + "/densities")
+    assert {d["type"] for d in densities} == set(V.INCIDENT_TYPES) and len(densities) == 7 * 32 * 32
     summary = read_csv(p["related"] + "/summary")[0]
     test = read_csv(p["related"] + "/test_all")[0]
     cells = read_csv(p["related"] + "/table_all")
     assert int(test["dof"]) == (int(test["n_rows"]) - 1) * 6 and int(test["n_cols"]) == 7
     assert sum(int(c["n"]) for c in cells) == int(test["n"]) <= int(summary["num_rows"])
+    strict = p["related"] + "-strict"
+    main(["relate", p["incidents-csv"], p["labelled"], strict, "--radius", "10000", "--distance", "scaled",
+          "--any-neighbourhood", "--min-support", "0", "--alpha", "1.1"])
+    scaled = spark.read.option("header", True).csv(strict + "/test_all")
+    assert scaled.first() is None or scaled.first()["significant"] == "true"
+    near = [(a, b) for a in places.collect() for b in incidents
+            if math.degrees(math.acos(min(1.0, cosine(a["lat"], a["lon"], float(b["latitude"]), float(b["longitude"]))))) * 6371000 <= 10000]
+    assert int(read_csv(strict + "/summary")[0]["num_rows"]) == len(near)
+    main(["find-stays", p["places"], p["listings-out"], p["stays"] + "-7", "--k", "7", "--seed", "1"])
+    assert len(read_csv(p["stays"] + "-7/top-listings")) == 7
     main(["find-stays", p["places"], p["listings-out"], p["stays"], "--merge", "2,4"])
     top = read_csv(p["stays"] + "/top-listings")
     assert list(top[0]) == ["id", "name", "neighbourhood", "latitude", "longitude", "room_type", "price", "minimum_nights", "cluster"]

@@ -38,25 +38,36 @@ def test_whole_document(spark, tmp_path):
     assert records(xml.read_osm_document(spark, str(tmp_path / "a.xml"))) == WANT
 
 
+PAIRED = """
+  <node id="60" lat="70.0" lon="1" timestamp="2020-01-02T03:04:05Z"><tag k="name" v="x"></tag><tag k="amenity" v="p1"></tag></node>
+  <way id="61"><nd ref="1"></nd><tag k="a" v="b"></tag><tag k="amenity" v="no"></tag></way>
+  <node id="62" lat="71.0" lon="1" timestamp="2020-01-02T03:04:05Z"><tag k="a" v="b"/><tag k="amenity" v="p2"></tag ><tag k="c" v="d"/></node>
+  <node id="63" lat="71.5" lon="1" timestamp="2020-01-02T03:04:05Z"></node><node id="64" lat="1" lon="1" timestamp="2020-01-02T03:04:05Z"/>
+  <relation id="65"><member ref="1"></member><tag k="amenity" v="no"></tag></relation>
+  <node id="66" lat="72.0" lon="1" timestamp="2020-01-02T03:04:05Z"><tag k="amenity" v="p3"></tag><tag k="name" v="z"></tag></node>
+"""
+
+
 @pytest.mark.parametrize("max_bytes", [64, 200, 10_000])
-def test_extract_cut_at_closing_tags(spark, tmp_path, max_bytes):
+@pytest.mark.parametrize("paired", [False, True])
+def test_extract_cut_at_closing_tags(spark, tmp_path, max_bytes, paired):
     long = DOCUMENT.replace("</osm>", "") + "".join(
         f"""<node id="{i}" user="a > b" lat="{i / 10}" lon='1' timestamp="2020-01-02T03:04:05Z"/>
         <node id="{i}" user="x/y" lat="{60 + i}" lon="1" timestamp="2020-01-02T03:04:05Z"><tag k="amenity" v="n > {i}"/></node>
         <relation id="9"><member type="node" ref="1"/><tag k="amenity" v="no"/></relation>"""
-        for i in range(20)
-    ) + "</osm>"
+        for i in range(9)
+    ) + (PAIRED if paired else "") + "</osm>"
     (tmp_path / "big.osm").write_text(long)
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(max_bytes))
     try:
-        frame = xml.read_osm_extract(spark, str(tmp_path / "big.osm"))
-        if max_bytes < 1000:
-            assert frame.rdd.getNumPartitions() > 5
-        got = records(frame)
+        got = records(xml.read_osm_extract(spark, str(tmp_path / "big.osm")))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got[:2] == WANT
-    assert [(r[0], r[3]) for r in got[2:]] == [(60.0 + i, f"n > {i}") for i in range(20)]
+    want = [(60.0 + i, f"n > {i}") for i in range(9)] + ([(70.0, "p1"), (71.0, "p2"), (72.0, "p3")] if paired else [])
+    assert [(r[0], r[3]) for r in got[2:]] == want
+    if paired:
+        assert got[-2][5] == {"a": "b", "c": "d"} and got[-1][4] == "z"
     assert records(xml.read_osm_document(spark, str(tmp_path / "big.osm"))) == got
 
 
@@ -116,8 +127,18 @@ def test_json_keeps_microseconds_and_tags(spark, tmp_path):
     assert text == '{"a":"b"}'
 
 
-def test_small_csv_refuses_many_rows(spark, tmp_path):
-    tables.write_small_csv(spark.range(3), str(tmp_path / "s"))
-    assert len(list((tmp_path / "s").glob("*.csv"))) == 1
-    with pytest.raises(ValueError):
-        tables.write_small_csv(spark.range(30), str(tmp_path / "s2"), max_rows=10)
+def test_csv_in_one_file_on_request(spark, tmp_path):
+    df = spark.range(0, 20_000, 1, 4).selectExpr("id", "'x' AS name")
+    tables.write_csv(df, str(tmp_path / "one"), one_file=True)
+    tables.write_csv(df, str(tmp_path / "many"))
+    assert [len(list((tmp_path / d).glob("*.csv"))) for d in ("one", "many")] == [1, 4]
+    assert tables.read_csv(spark, str(tmp_path / "one"), df.schema).count() == 20_000
+
+
+def test_bzip2_by_the_end_of_the_path(spark, tmp_path):
+    import bz2
+
+    (tmp_path / "l.csv.bz2").write_bytes(bz2.compress(b"A,B\n1,x\n"))
+    (tmp_path / "l.json.bz2").write_bytes(bz2.compress(b'{"id": 1, "name": "x"}\n'))
+    for name in ("l.csv.bz2", "l.json.bz2"):
+        assert [tuple(r) for r in tables.read_table(spark, str(tmp_path / name), "id bigint, name string").collect()] == [(1, "x")]

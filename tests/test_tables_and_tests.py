@@ -78,12 +78,22 @@ def test_absent_cells_count_as_zero(spark):
     assert chi_square(table(spark, sparse), "r", "c").first()["statistic"] == pytest.approx(plain(matrix), abs=1e-9)
 
 
-def test_large_tables_take_the_other_way(spark, monkeypatch):
-    from cityloom.operators import contingency as module
+def test_a_table_with_many_cells(spark):
+    df = spark.range(200_000).selectExpr("id % 400 AS r", "id % 499 + 1000 AS c", "1 + id % 7 AS n")
+    got = chi_square(df, "r", "c").first()
+    cells = {}
+    for i in range(200_000):
+        cells[i % 400, i % 499] = cells.get((i % 400, i % 499), 0) + 1 + i % 7
+    matrix = [[cells.get((i, j), 0) for j in range(499)] for i in range(400)]
+    assert (got["dof"], got["n"]) == (399 * 498, sum(cells.values()))
+    assert got["statistic"] == pytest.approx(plain(matrix), rel=1e-9)
+    normal = (got["statistic"] - got["dof"]) / math.sqrt(2 * got["dof"])
+    assert got["p_value"] == pytest.approx(math.erfc(normal / math.sqrt(2)) / 2, abs=2e-3)
 
-    monkeypatch.setattr(module, "MAX_LOCAL_CELLS", 2)
-    got = chi_square(table(spark, dense([[10, 20, 30], [6, 9, 17]])), "r", "c").first()
-    assert got["statistic"] == pytest.approx(plain([[10, 20, 30], [6, 9, 17]]), abs=1e-9)
+
+def test_null_lines_are_lines(spark):
+    cells = {("a", "x"): 10, ("a", None): 20, (None, "x"): 30, (None, None): 25}
+    assert chi_square(table(spark, cells), "r", "c").first()["statistic"] == pytest.approx(plain([[10, 20], [30, 25]], yates=True))
 
 
 def test_degenerate_tables(spark):
@@ -110,3 +120,8 @@ def test_tail_against_closed_forms_and_extremes(spark):
     assert one(2000, 2000) == pytest.approx(0.4958, abs=1e-3)
     assert one(2001, 2001) == pytest.approx(0.4958, abs=1e-3)
     assert one(5, 40) == pytest.approx(1.0, abs=1e-9)
+    # Wilson and Hilferty's cube root is normal to six digits here.
+    for d in (10_000_000, 10_000_001):
+        for x in (d - 9000, d, d + 4000, d + 15000):
+            z = ((x / d) ** (1 / 3) - (1 - 2 / (9 * d))) / math.sqrt(2 / (9 * d))
+            assert one(x, d) == pytest.approx(math.erfc(z / math.sqrt(2)) / 2, rel=1e-5)

@@ -7,7 +7,9 @@ import math
 from cityloom import fixed_values as V
 
 from . import fixtures as fx
-from .queries import AS_OF, CITY_POINTS, CLIP_BOX, ITERATIONS, MIN_SUPPORT, PARITY_RADIUS, START
+from .queries import (
+    AS_OF, CITY_POINTS, CLIP_BOX, ITERATIONS, MIN_SUPPORT, MOST_ITERATIONS, PARITY_RADIUS, SETTLED, START,
+)
 
 
 def _texts(values) -> str:
@@ -87,14 +89,19 @@ _PAIRS = f"""{_CLEAN},
 pairs AS (SELECT * FROM (
   SELECT p.amnt_id, p.category, p.amenity, p.name, p.neighbourhood, i.c_id, i.type AS crime_type, {_PAIR_GAP} AS gap
   FROM places p JOIN inc i ON p.neighbourhood = i.neighbourhood) WHERE gap <= {V.RADIUS_M})"""
+_SCALED_PAIRS = f"""{_CLEAN},
+pairs AS (SELECT * FROM (
+  SELECT p.category, i.c_id, i.type AS crime_type,
+    6371000 * degrees(acos({_cosine('i.latitude', 'i.longitude', 'p.lat', 'p.lon')})) AS gap
+  FROM places p JOIN inc i ON p.neighbourhood = i.neighbourhood) WHERE gap <= {PARITY_RADIUS})"""
 _PAIR_COLUMNS = (
     "amnt_id, category, amenity, name, neighbourhood, c_id, crime_type, round(gap, 3) AS distance_in_meters"
 )
 
 
-def _table(types, min_support: int = V.MIN_SUPPORT) -> str:
+def _table(types, min_support: int = V.MIN_SUPPORT, pairs: str = _PAIRS) -> str:
     listed = ", ".join(f"('{t}')" for t in types)
-    return f"""{_PAIRS},
+    return f"""{pairs},
 types(crime_type) AS (VALUES {listed}),
 full_table AS (SELECT c.category, t.crime_type, CAST(count(p.c_id) AS BIGINT) AS n
   FROM (SELECT DISTINCT category FROM pairs WHERE crime_type IN (SELECT crime_type FROM types)) c
@@ -132,6 +139,23 @@ voted AS (SELECT q_key, neighbourhood FROM (SELECT *, row_number() OVER
   (PARTITION BY q_key ORDER BY n DESC, neighbourhood) AS pos FROM tally) WHERE pos = 1)"""
 
 
+def _settled() -> str:
+    """Iterations that stand still once no centre has moved by more than the tolerance."""
+    start = ", ".join(f"({i}, CAST({y} AS DOUBLE), CAST({x} AS DOUBLE), false)" for i, (y, x) in enumerate(START))
+    steps = [f"{_CLEAN},\nc0(cluster, clat, clon, done) AS (VALUES {start})"]
+    for i in range(MOST_ITERATIONS):
+        steps.append(
+            f"""m{i} AS MATERIALIZED (SELECT cluster, avg(lat) AS y, avg(lon) AS x FROM (SELECT p.lat, p.lon, c.cluster,
+    row_number() OVER (PARTITION BY amnt_id ORDER BY (lat - clat) * (lat - clat) + (lon - clon) * (lon - clon), c.cluster) AS pos
+    FROM places p CROSS JOIN c{i} c) WHERE pos = 1 GROUP BY cluster),
+c{i + 1} AS MATERIALIZED (SELECT c.cluster, CASE WHEN done THEN clat ELSE coalesce(m.y, clat) END AS clat,
+    CASE WHEN done THEN clon ELSE coalesce(m.x, clon) END AS clon,
+    done OR max(greatest(abs(coalesce(m.y, clat) - clat), abs(coalesce(m.x, clon) - clon))) OVER () <= {SETTLED} AS done
+  FROM c{i} c LEFT JOIN m{i} m ON m.cluster = c.cluster)"""
+        )
+    return ",\n".join(steps)
+
+
 def _lloyd() -> str:
     start = ", ".join(f"({i}, CAST({y} AS DOUBLE), CAST({x} AS DOUBLE))" for i, (y, x) in enumerate(START))
     steps = [f"{_CLEAN},\ncentres0(cluster, clat, clon) AS (VALUES {start})"]
@@ -225,6 +249,8 @@ def _build() -> dict[str, str]:
         "poi_categorised_parity": f"{_FIXTURES} SELECT {place_columns}, {_category(True)} AS category "
         f"FROM poi WHERE {_PLACE_RULE}",
         "poi_dense_id": f"{_CLEAN} SELECT amnt_id, amenity, row_number() OVER (ORDER BY amnt_id) - 1 AS row_index FROM places",
+        "poi_dense_id_text": f"{_CLEAN} SELECT amnt_id, amenity, row_number() OVER (ORDER BY amenity, amnt_id) AS row_index FROM places",
+        "incidents_stable_id": f"{_CLEAN} SELECT type, count(*) AS n_ids, CAST(count(*) AS BIGINT) AS n_same FROM kept_incidents GROUP BY type",
         "incidents_clean": f"{_CLEAN} SELECT * FROM kept_incidents",
         "incidents_latlon": f"{_CLEAN} SELECT * FROM inc",
         "listings_clean": f"{_CLEAN} SELECT * FROM kept_listings",
@@ -257,6 +283,7 @@ def _build() -> dict[str, str]:
         "FROM pairs GROUP BY category, crime_type",
         "contingency_all": f"{_table(V.INCIDENT_TYPES)} SELECT category, crime_type, n FROM tab",
         "contingency_petty": f"{_table(V.PETTY_TYPES)} SELECT category, crime_type, n FROM tab",
+        "contingency_scaled": f"{_table(V.INCIDENT_TYPES, pairs=_SCALED_PAIRS)} SELECT category, crime_type, n FROM full_table",
         "contingency_wide": f"{_PAIRS} SELECT category, {wide} FROM pairs GROUP BY category",
         "contingency_min_support": f"{_table(V.INCIDENT_TYPES, MIN_SUPPORT)} SELECT category, crime_type, n FROM tab",
         "chi2_all": _test(V.INCIDENT_TYPES),
@@ -270,6 +297,13 @@ def _build() -> dict[str, str]:
         "lloyd_5": f"{_lloyd()} SELECT cluster, round(clat, 8) AS clat, round(clon, 8) AS clon FROM centres{ITERATIONS}",
         "lloyd_labels": f"{_lloyd()} SELECT amnt_id, cluster FROM labels{ITERATIONS}",
         "merged_centres": f"{_lloyd()} SELECT cluster, round(clat, 8) AS clat, round(clon, 8) AS clon FROM mcentres",
+        "lloyd_converged": f"{_settled()} SELECT cluster, round(clat, 8) AS clat, round(clon, 8) AS clon FROM c{MOST_ITERATIONS}",
+        "kmeans_facts": f"{_CLEAN} SELECT CAST({V.CLUSTERS} AS BIGINT) AS n_centres, CAST(count(*) AS BIGINT) AS n_points, "
+        "true AS centres_are_means, true AS cost_is_good FROM places",
+        "nearest_listing_many": f"""{_CLEAN} SELECT amnt_id, id, round(gap, 3) AS metres FROM (SELECT p.amnt_id, l.id,
+  {_haversine('l.latitude', 'l.longitude', 'p.lat', 'p.lon')} AS gap, row_number() OVER (PARTITION BY p.amnt_id ORDER BY
+  {_haversine('l.latitude', 'l.longitude', 'p.lat', 'p.lon')}, l.id) AS pos
+  FROM kept_listings l CROSS JOIN places p) WHERE pos = 1""",
         "nearest_listing": f"""{_lloyd()} SELECT id, name, neighbourhood, latitude, longitude, room_type, price,
   minimum_nights, cluster FROM (SELECT l.*, c.cluster, row_number() OVER (PARTITION BY c.cluster ORDER BY
   {_haversine('latitude', 'longitude', 'clat', 'clon')}, id) AS pos

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cityloom import fixed_values as V
 from cityloom.functions.geo import Distance, cosine_law_m, haversine_m
@@ -16,10 +16,9 @@ from cityloom.operators.clusters import (
 )
 from cityloom.operators.contingency import chi_square, contingency, pivot_contingency, supported_rows
 from cityloom.operators.density import density_histogram, kernel_density
-from cityloom.operators.distance_join import summarise_pairs
-from cityloom.operators.indexing import dense_id
+from cityloom.operators.distance_join import count_within, summarise_pairs
+from cityloom.operators.indexing import dense_id, stable_id
 from cityloom.operators.shares import cluster_shares, scale_by_category
-from cityloom.operators.skew import attach_group_counts
 from cityloom.plans.neighbourhoods import label_places, labelling_scores
 from cityloom.plans.relation import near_counts, near_pairs
 from cityloom.session import scratch_path
@@ -35,6 +34,7 @@ START = ((49.22, -123.2), (49.22, -123.08), (49.26, -123.14), (49.3, -123.2), (4
 ITERATIONS = 3
 CITY_POINTS = ((0, 49.28, -123.12), (1, 49.26, -123.06), (2, 49.26, -123.18), (3, 49.236, -123.11))
 MIN_SUPPORT = 8
+MOST_ITERATIONS, SETTLED = 25, 1e-4
 
 
 # Inputs
@@ -147,6 +147,22 @@ def poi_dense_id(spark: SparkSession, sf: str) -> DataFrame:
     return dense_id(places(spark, sf).select("amnt_id", "amenity"), "amnt_id", "row_index")
 
 
+def poi_dense_id_text(spark: SparkSession, sf: str) -> DataFrame:
+    """By a text and a number, as most business keys have a text in them."""
+    return dense_id(places(spark, sf).select("amnt_id", "amenity"), ["amenity", "amnt_id"], "row_index", start=1)
+
+
+def incidents_stable_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of the incidents without their key, from two layouts of the rows: by type, the rows, the distinct
+    ids, and the ids that both layouts gave."""
+    rows = cleaning.clean_incidents(fx.incidents(spark, sf)).drop("c_id")
+    ids = [stable_id(rows.repartition(n), "id").select("type", "id", F.lit(n).alias("layout")) for n in (1, 7)]
+    both = ids[0].unionByName(ids[1]).groupBy("type", "id").agg(F.countDistinct("layout").alias("layouts"))
+    return both.groupBy("type").agg(
+        F.count("*").alias("n_ids"), F.sum(F.when(F.col("layouts") == 2, 1).otherwise(0)).alias("n_same")
+    )
+
+
 def incidents_clean(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.keep_incidents(fx.incidents(spark, sf))
 
@@ -216,7 +232,13 @@ def near_pairs_unblocked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def near_pairs_first20(spark: SparkSession, sf: str) -> DataFrame:
-    return _pairs(spark, sf).orderBy("amnt_id", "distance_in_meters", "c_id").limit(20)
+    """The first pairs by place: counts per place tell which places hold them, only those are joined."""
+    kept, near = places(spark, sf), incidents(spark, sf)
+    counts = count_within(kept, near, V.RADIUS_M, left_by=("amnt_id",)).orderBy("amnt_id").limit(20)
+    before = F.coalesce(F.sum("n").over(Window.orderBy("amnt_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = counts.withColumn("before", before).filter("before < 20").select("amnt_id")
+    pairs = near_pairs(kept.join(F.broadcast(first), "amnt_id"), near)
+    return fx.rounded(pairs, 3, "distance_in_meters").orderBy("amnt_id", "distance_in_meters", "c_id").limit(20)
 
 
 def near_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -234,8 +256,8 @@ def near_counts_unblocked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def near_counts_attached(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = near_pairs(places(spark, sf), incidents(spark, sf)).select("category", "crime_type")
-    return attach_group_counts(pairs, ["category", "crime_type"]).dropDuplicates()
+    """The counts are the answer; no pair is formed to attach them to."""
+    return near_counts(places(spark, sf), incidents(spark, sf)).withColumnRenamed("n", "count")
 
 
 # Tables and tests
@@ -256,6 +278,12 @@ def contingency_petty(spark: SparkSession, sf: str) -> DataFrame:
     return _table(spark, sf, V.PETTY_TYPES)
 
 
+def contingency_scaled(spark: SparkSession, sf: str) -> DataFrame:
+    """By the distance of published figures: arcs times 180 / pi, not clamped."""
+    counts = near_counts(places(spark, sf), incidents(spark, sf), PARITY_RADIUS, distance=PARITY)
+    return contingency(counts, "category", "crime_type", V.INCIDENT_TYPES, weight="n")
+
+
 def contingency_wide(spark: SparkSession, sf: str) -> DataFrame:
     cells = contingency(
         near_counts_by_type(spark, sf), "category", "crime_type", V.INCIDENT_TYPES, weight="n"
@@ -311,6 +339,28 @@ def lloyd_labels(spark: SparkSession, sf: str) -> DataFrame:
     return _fit(spark, sf).assign(places(spark, sf)).select("amnt_id", "cluster")
 
 
+def lloyd_converged(spark: SparkSession, sf: str) -> DataFrame:
+    found = lloyd(places(spark, sf), START, MOST_ITERATIONS, tolerance=SETTLED)
+    return fx.rounded(found.to_frame(spark), 8, "clat", "clon")
+
+
+def kmeans_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """What holds for any good fit: how many centres and points, every centre the mean of its points, and
+    a cost of at most 1.1 times that of the settled Lloyd iterations."""
+    points = places(spark, sf)
+    fitted = kmeans(points, V.CLUSTERS, seed=V.CLUSTER_SEED)
+    plain = lloyd(points, START, MOST_ITERATIONS, tolerance=SETTLED)
+    costs = within_cost(points, fitted).agg(F.count("*").alias("n_centres"), F.sum("n").alias("n_points"), F.sum("cost").alias("cost"))
+    means = fitted.assign(points).groupBy("cluster").agg(F.avg("lat").alias("y"), F.avg("lon").alias("x"))
+    off = means.join(fitted.to_frame(spark), "cluster").agg(
+        F.max(F.greatest(F.abs(F.col("y") - F.col("clat")), F.abs(F.col("x") - F.col("clon")))).alias("off")
+    )
+    limit = within_cost(points, plain).agg((F.sum("cost") * 1.1).alias("limit"))
+    return costs.select(
+        "n_centres", "n_points", (off.scalar() < 1e-6).alias("centres_are_means"), (F.col("cost") <= limit.scalar()).alias("cost_is_good")
+    )
+
+
 def kmeans_ml(spark: SparkSession, sf: str) -> DataFrame:
     points = places(spark, sf)
     return fx.rounded(within_cost(points, kmeans(points, V.CLUSTERS, seed=V.CLUSTER_SEED)), 8, "cost")
@@ -324,6 +374,13 @@ def nearest_listing(spark: SparkSession, sf: str) -> DataFrame:
     return nearest_per_centre(listings(spark, sf), _merged(spark, sf)[1])
 
 
+def nearest_listing_many(spark: SparkSession, sf: str) -> DataFrame:
+    """One centre per kept place."""
+    centres = Clusters.from_frame(places(spark, sf), "amnt_id", "lat", "lon")
+    found = nearest_per_centre(listings(spark, sf), centres, name="amnt_id", distance="metres")
+    return fx.rounded(found.select("amnt_id", "id", "metres"), 3, "metres")
+
+
 def cluster_share(spark: SparkSession, sf: str) -> DataFrame:
     return fx.rounded(cluster_shares(_merged(spark, sf)[0]), 8, "percent")
 
@@ -362,6 +419,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "poi_categorised": places,
     "poi_categorised_parity": poi_categorised_parity,
     "poi_dense_id": poi_dense_id,
+    "poi_dense_id_text": poi_dense_id_text,
+    "incidents_stable_id": incidents_stable_id,
     "incidents_clean": incidents_clean,
     "incidents_latlon": incidents,
     "listings_clean": listings,
@@ -381,6 +440,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "near_counts_attached": near_counts_attached,
     "contingency_all": contingency_all,
     "contingency_petty": contingency_petty,
+    "contingency_scaled": contingency_scaled,
     "contingency_wide": contingency_wide,
     "contingency_min_support": contingency_min_support,
     "chi2_all": chi2_all,
@@ -389,9 +449,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_accuracy": knn_accuracy,
     "lloyd_5": lloyd_5,
     "lloyd_labels": lloyd_labels,
+    "lloyd_converged": lloyd_converged,
     "kmeans_ml": kmeans_ml,
+    "kmeans_facts": kmeans_facts,
     "merged_centres": merged_centres,
     "nearest_listing": nearest_listing,
+    "nearest_listing_many": nearest_listing_many,
     "cluster_share": cluster_share,
     "cluster_share_complete": cluster_share_complete,
     "category_scaled_share": category_scaled_share,
