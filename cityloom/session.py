@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+_LOCAL_ROOTS: dict[str, str] = {}
+_MARKED: set[str] = set()
+
 
 def get_session(app_name: str = "cityloom", **conf: str) -> SparkSession:
     """Return a session with UTC timestamps and adaptive execution."""
@@ -29,12 +32,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     Only a local session may go without that setting; it then gets a temporary folder. On a
     cluster a machine-local folder would not be visible to the other executors, so it is refused.
     """
+    return f"{_run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _run_folder(spark: SparkSession) -> str:
+    """One folder per application, which Hadoop's file system removes when the application ends: readers of
+    its tables may be evaluated at any time before."""
+    app = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="cityloom-")
-    return f"{root.rstrip('/')}/cityloom/{label}-{uuid.uuid4().hex}"
+        if app not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="cityloom-")
+        root = _LOCAL_ROOTS[app]
+    folder = f"{root.rstrip('/')}/cityloom/{app}"
+    if folder not in _MARKED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _MARKED.add(folder)
+    return folder
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
