@@ -93,6 +93,24 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+# All pairs of one label. The query finds pairs by an index, so it could miss some near the threshold.
+OP6_SQL = """
+WITH RECURSIVE ok AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(embedding) = (SELECT len(embedding) FROM embeddings GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0
+),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, c AS component_id, e.vec_id = c AS kept
+FROM embeddings e JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = e.vec_id
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) k ON k.a = e.vec_id
+"""
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = wordpiece.pieces_of_byte_level(public_tokenizers.path("byte_bpe_50k.json"))
     return wordpiece.count_pieces(table(spark, sf_dir, "documents"), pieces)
@@ -203,4 +221,4 @@ QUERIES = {
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
-ORACLES = {"op1_chat_formatting": OP1_SQL, "op9_mixing": OP9_SQL}
+ORACLES = {"op1_chat_formatting": OP1_SQL, "op6_embedding_dedup": OP6_SQL, "op9_mixing": OP9_SQL}

@@ -84,3 +84,29 @@ def test_viterbi_is_the_best_cut():
             got += cost(at, at + len(w))
             at += len(w)
         assert at == n and got == pytest.approx(best)
+
+
+def plain(url):
+    """Host, path and rule by plain string handling."""
+    if not url or "://" not in url:
+        return "", "", None
+    rest = url[url.index("://") + 3 :]
+    host = rest[: min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))]
+    path = rest[len(host) :]
+    path = path[: min([path.find(c) for c in "?#" if c in path], default=len(path))]
+    host = "".join(c.lower() if c.isascii() else c for c in host)
+    fits = [r for r in URL_RULES if (f".{host}").endswith(f".{r.host}") and path.startswith(r.path)]
+    return host, path, max(fits, key=lambda r: len(r.name), default=None)
+
+
+def test_query_on_the_table(spark):
+    from cityloom.llm.queries import op3_url_filters
+
+    sf = "/root/testdata/sf0.01"
+    got = {r["page_id"]: r for r in op3_url_filters(spark, sf).collect()}
+    bad = ("casino", "pills", "bets", "spam", "ads-", "adult")
+    for row in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").collect():
+        r, (host, path, rule) = got.pop(row["page_id"]), plain(row["url"])
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule.name if rule else None)
+        assert r["verdict"] == (rule.action if rule else "block" if any(b in host for b in bad) else "allow")
+    assert not got
