@@ -135,12 +135,20 @@ def _links(codes: DataFrame, limit: int) -> DataFrame:
     n_nodes = min(MAX_NODES, max(1, math.ceil(n / NODE_CODES)))
     ranked = codes.select("fp", gray_rank(F.col("fp")).alias("rank"))
     ranked = ranked.repartitionByRange(n_nodes, "rank").sortWithinPartitions("rank")
-    placed = materialise(ranked.select(F.spark_partition_id().alias("node"), "fp"), "gray-nodes")
+    ranges = materialise(ranked.select(F.spark_partition_id().alias("range"), "fp"), "gray-ranges")
+    # Ranges next to each other make up a node until it has its share of codes: however many ranges the
+    # codes were dealt to, there are as few nodes as their number allows.
+    share, before, node_of = max(NODE_CODES, math.ceil(n / MAX_NODES)), 0, []
+    for r in ranges.groupBy("range").count().orderBy("range").collect():
+        node_of.append((r["range"], before // share))
+        before += r["count"]
+    nodes = spark.createDataFrame(node_of, "range int, node int")  # one row per range
+    placed = materialise(ranges.join(F.broadcast(nodes), "range").select("node", "fp"), "gray-nodes")
     node_rows = (
         placed.groupBy("node")
         .agg(F.expr("bit_and(fp)").alias("all_of"), F.expr("bit_or(fp)").alias("any_of"))
         .orderBy("node")
-        .collect()  # at most MAX_NODES rows
+        .collect()  # about MAX_NODES rows at most
     )
     node_id = np.array([r["node"] for r in node_rows], np.int64)
     shared = ~np.array([r["all_of"] ^ r["any_of"] for r in node_rows], np.int64)
