@@ -6,6 +6,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -78,10 +80,14 @@ def _choices(layouts: Sequence[Layout]) -> dict[str, str]:
 
 
 def layout_of(schema: T.StructType, layouts: Sequence[Layout] = LAYOUTS) -> Layout | None:
-    """The layout of a table by the fingerprint of its schema. Columns that no layout knows do not count."""
+    """The layout of a table by the fingerprint of its schema. Columns that no layout knows do not count; if
+    there are columns of several layouts, the one with the most paths whose paths are all there is taken, the
+    first of equals."""
     known = set(_known_paths(layouts))
-    name = _choices(layouts).get(fingerprint([p for p in schema_paths(schema) if p in known]))
-    return next((x for x in layouts if x.name == name), None)
+    held = {p for p in schema_paths(schema) if p in known}
+    name = _choices(layouts).get(fingerprint(sorted(held)))
+    whole = [x for x in layouts if held.issuperset(x.paths)]
+    return next((x for x in layouts if x.name == name), max(whole, key=lambda x: len(x.paths), default=None))
 
 
 def _json_path(path: str) -> str:
@@ -90,11 +96,16 @@ def _json_path(path: str) -> str:
 
 def json_layout(record: Column, layouts: Sequence[Layout] = LAYOUTS) -> Column:
     """The layout name of each JSON record, by the fingerprint of the known paths it holds (a path whose
-    value is JSON null does not count); null where no layout has that fingerprint."""
-    present = [F.when(F.get_json_object(record, _json_path(p)).isNotNull(), F.lit(p)) for p in _known_paths(layouts)]
-    hashed = F.sha2(F.concat_ws("\n", *present), 256)
+    value is JSON null does not count). A record with paths of several layouts has the one with the most paths
+    that are all there, the first of equals; null where there is none."""
+    held = {p: F.get_json_object(record, _json_path(p)).isNotNull() for p in _known_paths(layouts)}
+    hashed = F.sha2(F.concat_ws("\n", *(F.when(there, F.lit(p)) for p, there in held.items())), 256)
     pairs = [F.lit(x) for pair in _choices(layouts).items() for x in pair]
-    return F.create_map(*pairs)[hashed]
+    whole = [
+        F.when(reduce(and_, (held[p] for p in x.paths)), F.lit(x.name))
+        for x in sorted(layouts, key=lambda x: -len(x.paths))
+    ]
+    return F.coalesce(F.create_map(*pairs)[hashed], *whole)
 
 
 def _turn(layout: Layout) -> Callable[[Column], Column]:

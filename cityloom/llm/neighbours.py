@@ -137,7 +137,8 @@ def nearest(
     few = rows.distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1)
     classes = few.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     classes = materialise(classes.select(F.col("ids")[0].alias("c"), "vec", "ids"), "ann-classes")
-    asked = rows.filter(F.expr(is_query.replace(id_col, "id"))).select(F.col("id").alias("query_id"), "vec").distinct()
+    named = rows.select(F.col("id").alias("query_id"), "vec", F.col("id").alias(id_col))
+    asked = named.filter(is_query).select("query_id", "vec").distinct()
     asked = materialise(asked.join(classes.select("c", "vec"), "vec").select("query_id", "c"), "ann-queries")
     query_classes = asked.select("c").distinct().join(classes.select("c", "vec"), "c")
 

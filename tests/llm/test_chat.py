@@ -48,17 +48,18 @@ def test_layouts_by_fingerprint(spark):
         (5, {"prompt": "a", "completion": "b"}),
         (6, {"question": "a", "answer": "b"}),
         (7, {"prompt": "a", "answer": "b"}),
+        (10, {"prompt": "a", "response": "b", "answer": "c", "input": "d"}),
     ]
     data = [(i, json.dumps(r)) for i, r in records] + [(8, None), (9, "no json")]
     df = spark.createDataFrame(data, "id long, record string")
     named = {r[0]: r[1] for r in df.select("id", chat.json_layout(F.col("record"))).collect()}
     assert named == {1: "messages", 2: "from_value", 3: "instruction", 4: "instruction", 5: "prompt_completion",
-                     6: "question_answer", 7: None, 8: None, 9: None}
+                     6: "question_answer", 7: None, 8: None, 9: None, 10: "prompt_response"}
     got = {}
     for r in chat.json_turns(df, "id", "record").orderBy("conv_id", "turn").collect():
         got.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
     plain = [("user", "a"), ("assistant", "b")]
-    assert got == {1: plain, 2: plain, 3: plain, 4: [("system", "s"), ("user", "a\n\nc"), ("assistant", "b")], 5: plain, 6: plain}
+    assert got == {1: plain, 2: plain, 3: plain, 4: [("system", "s"), ("user", "a\n\nc"), ("assistant", "b")], 5: plain, 6: plain, 10: plain}
 
 
 def test_table_layouts(spark):
@@ -68,4 +69,6 @@ def test_table_layouts(spark):
     assert chat.layout_of(nested.schema).name == "messages"
     assert [(r["role"], r["text"]) for r in chat.table_turns(nested, "id").orderBy("turn").collect()] == [("user", "a"), ("assistant", "b")]
     assert chat.layout_of(spark.createDataFrame([(1,)], "x long").schema) is None
+    clashing = rows(spark, [(1, 0, "user", "a")]).selectExpr("*", "'x' AS system", "'y' AS prompt", "1 AS formatted", "2 AS loss")
+    assert [tuple(r) for r in chat.table_turns(clashing).collect()] == [(1, 0, "user", "a")]
     assert chat.fingerprint(["b", "a"]) == hashlib.sha256(b"a\nb").hexdigest()
