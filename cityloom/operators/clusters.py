@@ -117,7 +117,7 @@ def kmeans(
     *,
     seed: int = 353,
     max_iter: int = 300,
-    tolerance: float = 1e-9,
+    tolerance: float = 1e-6,
     starts: int = 3,
     lat: str = "lat",
     lon: str = "lon",

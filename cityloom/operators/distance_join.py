@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.geo import EARTH_RADIUS_M, Distance, SphereGrid
-from ..session import materialise
+from ..session import materialise, materialise_counted
 from .skew import salted_join
 
 _BLOCK, _ROW, _CELL = "__block", "__row", "__cell"
@@ -55,19 +55,22 @@ def distance_join(
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
     grid = SphereGrid(radius * distance.metres_per_unit)
-    near = grid.explode_reach(_located(left, *left_coords, block), *left_coords, _ROW, _CELL)
     points = grid.add_cell(_located(right, *right_coords, block), *right_coords, _ROW, _CELL)
     if block:
         points = points.drop(block)
     # Both sides are located once; counts per cell and the join read what was written.
     keys = _keys(block)
-    points, near = materialise(points, "join-points"), materialise(near, "join-near")
+    points, n_points = materialise_counted(points, "join-points")
+    places, n_places = materialise_counted(_located(left, *left_coords, block), "join-places")
+    near = grid.explode_reach(places, *left_coords, _ROW, _CELL)
 
     def per_cell(df: DataFrame) -> DataFrame:
         return df.groupBy(*keys).agg(F.count("*").alias("__rows"))
 
     return (
-        salted_join(points, near, keys, counts=per_cell(points), build_counts=per_cell(near))
+        salted_join(
+            points, near, keys, counts=per_cell(points), build_counts=per_cell(near), total=n_points + 9 * n_places
+        )
         .withColumn(output, distance(*right_coords, *left_coords))
         .filter(F.col(output) <= radius)
         .select(*left.columns, *(c for c in right.columns if c != block), output)

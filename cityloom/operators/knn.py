@@ -60,7 +60,7 @@ def _choose_grid(train: DataFrame, places: DataFrame, k: int) -> tuple[_Grid, Ro
     """Grid, and the numbers of training points (n), places (m) and rows of the fullest place
     (fullest), from two small jobs.
 
-    The finest cells would hold about k/4 points if points were spread evenly; a sample shows how
+    The finest cells would hold k/4 to k points if points were spread evenly, so that most queries start there; a sample shows how
     unevenly they lie, and cells get finer until the fullest holds few. The choice affects speed
     only, never the result.
     """
@@ -77,7 +77,7 @@ def _choose_grid(train: DataFrame, places: DataFrame, k: int) -> tuple[_Grid, Ro
     if n == 0:
         return _Grid(0.0, 0.0, 1.0, 0), box
     root = max(box["x1"] - box["x0"], box["y1"] - box["y0"]) * (1 + 1e-9) + 1e-9
-    even = max(0, min(_MAX_LEVELS, math.ceil(math.log(max(4 * n / k, 1), 4))))
+    even = max(0, min(_MAX_LEVELS, math.ceil(math.log(max(n / k, 1), 4))))
     share = min(1.0, 30_000 / n)
     sample = train.sample(fraction=share, seed=7) if share < 1 else train
     finest = _Grid(box["x0"], box["y0"], root / 2**_MAX_LEVELS, _MAX_LEVELS)
@@ -211,7 +211,7 @@ def _nearest_by_place(
     found = (
         salted_join(
             points, probes, ["__fx", "__fy"], counts=in_cell,
-            build_counts=probes.groupBy("__fx", "__fy").agg(F.count("*").alias("__rows")),
+            build_counts=probes.groupBy("__fx", "__fy").agg(F.count("*").alias("__rows")), total=size["n"] + size["m"],
         )
         .selectExpr(
             *_PLACE, "__id", *(f"`{c}`" for c in carry),

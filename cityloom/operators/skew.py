@@ -15,21 +15,25 @@ TASK_SIDE = 15_000
 MAX_HOT_KEYS = 50_000
 
 
-def _limit(total: Column, side: int) -> Column:
-    return F.greatest(F.lit(float(side)), F.coalesce(total, F.lit(0)) / MAX_HOT_KEYS)
+def _limit(total: Column | int, side: int) -> Column:
+    total = F.lit(total) if isinstance(total, int) else F.coalesce(total, F.lit(0))
+    return F.greatest(F.lit(float(side)), total / MAX_HOT_KEYS)
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], build_counts: DataFrame | None = None) -> DataFrame:
+def hot_keys(
+    counts: DataFrame, keys: Sequence[str], build_counts: DataFrame | None = None, total: int | None = None
+) -> DataFrame:
     """Into how many parts to cut each hot key: ``__parts`` of the probe side, ``__build_parts`` of the other.
 
     ``counts`` and ``build_counts`` have the keys and their number of rows, ``__rows``. Without the second,
     the other side has few rows per key, and a key is hot above ``TASK_ROWS`` rows. With it, a key is hot if
     comparing all its rows would be more work than ``TASK_SIDE`` squared, or if either side has more than
     ``TASK_ROWS``; both sides are then cut into parts of about ``TASK_SIDE``. The limits rise for more than
-    ``MAX_HOT_KEYS`` such keys, whatever the size of the data.
+    ``MAX_HOT_KEYS`` such keys, whatever the size of the data; ``total`` is the number of rows of both sides, if
+    it is known, and is counted otherwise.
     """
     if build_counts is None:
-        total = counts.agg(F.sum("__rows")).scalar()
+        total = counts.agg(F.sum("__rows")).scalar() if total is None else total
         limited = counts.withColumn("__limit", _limit(total, TASK_ROWS))
         hot = limited.filter(F.col("__rows") > F.col("__limit"))
         return hot.select(
@@ -37,7 +41,7 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], build_counts: DataFrame | N
         )
     both = counts.join(build_counts.withColumnRenamed("__rows", "__others"), list(keys))
     most = F.greatest("__rows", "__others")
-    total = both.agg(F.sum(most)).scalar()
+    total = both.agg(F.sum(most)).scalar() if total is None else total
     limited = both.withColumn("__limit", _limit(total, TASK_SIDE))
     heavy = (F.col("__rows") * F.col("__others") > F.col("__limit") * F.col("__limit")) | (most > TASK_ROWS)
     hot = limited.filter((most > F.col("__limit")) & heavy)
@@ -71,6 +75,7 @@ def salted_join(
     counts: DataFrame | None = None,
     build_counts: DataFrame | None = None,
     at_most: int | None = None,
+    total: int | None = None,
 ) -> DataFrame:
     """Equi-join, inner or left, in which no task gets a whole hot key.
 
@@ -79,7 +84,8 @@ def salted_join(
     usual. Nothing is dropped: every pair of rows meets in one part.
 
     The probe's rows per key are counted first, unless ``counts`` has them (keys and ``__rows``) or it is
-    known that no key has more than ``at_most`` rows and that is too few to be hot.
+    known that no key has more than ``at_most`` rows and that is too few to be hot. ``total`` is the number of
+    rows of both sides, if known.
     """
     if at_most is not None and at_most <= TASK_ROWS and build_counts is None:
         return probe.join(build, list(keys), how)
@@ -87,7 +93,7 @@ def salted_join(
         counts = probe.groupBy(*keys).agg(F.count("*").alias("__rows"))
     if build_counts is not None and how != "inner":
         raise ValueError("both sides are spread for inner joins only")
-    hot = F.broadcast(hot_keys(counts, keys, build_counts))  # at most 2 * MAX_HOT_KEYS rows
+    hot = F.broadcast(hot_keys(counts, keys, build_counts, total))  # at most 2 * MAX_HOT_KEYS rows
     parts = F.coalesce("__parts", F.lit(1))
     others = F.coalesce("__build_parts", F.lit(1))
     spread = probe.join(hot, list(keys), "left")

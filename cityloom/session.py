@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -62,3 +62,10 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``materialise``, and the number of rows, which is counted as they are written."""
+    seen = Observation()
+    made = materialise(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return made, seen.get["n"]
