@@ -29,7 +29,9 @@ class WordEncoder:
 
     def __init__(self, path: str, width: int | None = None) -> None:
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            data = json.load(f)
+        model, normal = data["model"], data.get("normalizer") or {}
+        self.lowers = any(n["type"] == "Lowercase" for n in (normal, *normal.get("normalizers", ())) if "type" in n)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()

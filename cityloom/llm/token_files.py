@@ -28,15 +28,15 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import materialise, scratch_path
+from .common import materialise, scratch_path, ship
 from .subwords import WordEncoder, word_encoder
 
 _INDEX_MAGIC, _SEEK_MAGIC, _FOOTER_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES = 64 * 1024
 # Characters whose lower case one engine may see otherwise than another.
 _BEYOND_LATIN = "[^\\x00-\\x{12F}\\x{131}-\\x{17F}]"
-# Bytes of text encoded at a time, and the words of such a portion turned into ids at a time.
-_PORTION, _WORDS = 8_000_000, 500_000
+# Bytes of text encoded at a time.
+_PORTION = 8_000_000
 
 
 def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -49,29 +49,19 @@ def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = upto
 
 
-def _encode(texts: pa.Array, encoder: WordEncoder, lower: bool) -> Iterator[bytes]:
+def _encode(texts: pa.Array, encoder: WordEncoder) -> Iterator[bytes]:
     """Ids of each text: every distinct word of the portion is encoded once."""
     texts = texts.cast(pa.large_string())
-    if lower and not pc.any(pc.match_substring_regex(texts, _BEYOND_LATIN)).as_py():
+    if encoder.lowers and not pc.any(pc.match_substring_regex(texts, _BEYOND_LATIN)).as_py():
         texts = pc.utf8_lower(texts)
     lists = pc.ascii_split_whitespace(texts)
     words = lists.flatten().dictionary_encode()
-    encoded = encoder.encode(words.dictionary.to_pylist())
-    sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // encoder.width
-    flat = np.frombuffer(b"".join(encoded), encoder.kind)
-    starts = np.concatenate(([0], np.cumsum(sizes)))
-    at = words.indices.to_numpy()
-    doc_ends = np.cumsum(pc.list_value_length(lists).to_numpy())
-    lo, first = 0, 0
-    while first < len(doc_ends):
-        last = max(first + 1, int(np.searchsorted(doc_ends, lo + _WORDS, "right")))
-        hi = int(doc_ends[last - 1])
-        n = sizes[at[lo:hi]]
-        upto = np.concatenate(([0], np.cumsum(n)))
-        raw = flat[np.repeat(starts[at[lo:hi]] - upto[:-1], n) + np.arange(upto[-1])].tobytes()
-        cuts = (upto[np.concatenate(([0], doc_ends[first:last] - lo))] * encoder.width).tolist()
-        yield from (raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True))
-        lo, first = hi, last
+    encoded = pa.array(encoder.encode(words.dictionary.to_pylist()), pa.large_binary())
+    ids = encoded.take(words.indices)
+    ends = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1]
+    raw = memoryview(ids.buffers()[2]) if ids.buffers()[2] else b""
+    cuts = ends[np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy())))].tolist()
+    return (bytes(raw[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True))
 
 
 class FrameWriter:
@@ -171,12 +161,11 @@ def write_tokens(
     id_col: str = "doc_id",
     text_col: str = "text",
     frame_bytes: int = FRAME_BYTES,
-    lower: bool = True,
 ) -> DataFrame:
     """Encode whole texts and write them in ascending order of ``id_col`` (an integer). Returns the
     manifest: ``shard, path, n_docs, n_tokens, n_frames, start`` (tokens in all shards before).
 
-    The file must lower-case texts, as ``word_bpe_49k.json`` does, or be given ``lower=False``.
+    The file must be one with word ends, that drops white space, as ``word_bpe_49k.json``.
     Null ids come first; rows with equal ids are ordered by text. Null and empty texts hold ``end_id`` alone.
     Other columns are dropped. Documents are parted by ranges of id and text hash, so rows that repeat one id
     are spread too. Every attempt of a task writes a file of its own, and only files of attempts that Spark
@@ -185,6 +174,7 @@ def write_tokens(
     folder). An empty table gives an empty manifest.
     """
     spark = docs.sparkSession
+    ship(spark)
     target = folder or scratch_path(spark, "tokens")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
@@ -192,6 +182,8 @@ def write_tokens(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer_path, 4 if end_id >= 65_536 else None)
+        if not encoder.word_ends:
+            raise ValueError("this file's words hold white space; it needs a splitter of its own")
         wide = encoder.width == 4
         end = np.array([end_id], encoder.kind).tobytes()
         shard, out, n_docs, n_tokens = TaskContext.get().partitionId(), None, 0, 0
@@ -203,7 +195,7 @@ def write_tokens(
                     system.create_dir(base, recursive=True)
                     sink = system.open_output_stream(f"{base}/{name}", compression=None)
                     out = FrameWriter(sink, wide, frame_bytes)
-                for key, ids in zip(batch.column("id").to_pylist(), _encode(batch.column("text"), encoder, lower), strict=True):
+                for key, ids in zip(batch.column("id").to_pylist(), _encode(batch.column("text"), encoder), strict=True):
                     out.add(key, ids + end)
                     n_docs += 1
                     n_tokens += len(ids) // len(end) + 1
@@ -231,10 +223,12 @@ def read_tokens(
     """Read files back: ``id_col, start`` (tokens of all documents before), ``n_tokens, ids_le32`` (the ids as
     little-endian unsigned 32-bit numbers). With ``wanted`` only those documents, and only the frames that
     hold them are decompressed. A frame that does not match its checksum raises ``ValueError``."""
+    ship(manifest.sparkSession)
     spans = manifest.select(
-        "path", "start", "n_frames",
-        F.explode(F.sequence(F.lit(0), F.col("n_frames") - 1, F.lit(frames_per_task))).alias("first"),
-    ).repartition("path", "first")
+        "path", "start", F.explode(F.sequence(F.lit(0), F.col("n_frames") - 1, F.lit(frames_per_task))).alias("first")
+    )
+    # Said outright, as the rows are too small to tell how much there is to read.
+    spans = spans.repartition(max(1, spans.count()), "path", "first")
     asked = None if wanted is None else np.array(sorted(wanted), np.int64)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
