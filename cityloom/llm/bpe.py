@@ -24,7 +24,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import materialise_by
+from .common import materialise_by, ship
 from .subwords import word_encoder
 from .wordpiece import byte_alphabet
 
@@ -137,6 +137,7 @@ def encode(
     ``buckets`` parts hold the distinct words of the corpus; raise it with the corpus. The tokenizer file must
     be found at the same path on all executors.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -231,6 +232,7 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", out_co
     id of the file) being sent to all tasks. Ids outside the vocabulary give nothing; a null array and an empty
     one give the empty text.
     """
+    ship(encoded.sparkSession)
     encoded = encoded.drop(out_col)
     sent = encoded.sparkSession.sparkContext.broadcast(pieces(tokenizer_path))
 

@@ -3,13 +3,34 @@
 from __future__ import annotations
 
 import math
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import materialise, scratch_path
 
-__all__ = ["materialise", "materialise_by", "scratch_path", "table", "parts_for"]
+__all__ = ["materialise", "materialise_by", "scratch_path", "table", "parts_for", "ship"]
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers of all executors, once per application: they need not have it
+    installed nor start in its folder."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="cityloom-code-")) / "cityloom.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _SHIPPED.add(context.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

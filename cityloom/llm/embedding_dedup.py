@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialise
+from .common import materialise, ship
 from .components import Forest, components
 from .vectors import dimension, valid
 
@@ -111,6 +111,7 @@ def near_duplicates(
     sent to its own part and to those that differ in one bit.
     """
     spark = vectors.sparkSession
+    ship(spark)
     rows = vectors.select(
         F.col(f"`{id_col}`").alias("id"),
         F.col(f"`{label_col}`").alias("label"),

@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import materialise
+from .common import materialise, ship
 from .vectors import dimension, valid
 
 # Vectors that one task holds.
@@ -128,6 +128,7 @@ def nearest(
     own id. A query that finds too few by hashing is compared with all classes, in blocks. ``is_query`` is SQL
     over ``id_col``; other columns are dropped.
     """
+    ship(vectors.sparkSession)
     rows = vectors.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vec_col}`").cast("array<double>").alias("vec"))
     rows = rows.filter(F.col("id").isNotNull() & valid(F.col("vec")))
     dim = dimension(rows)

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import materialise
+from .common import materialise, ship
 from .components import Forest, components
 
 FANOUT = 16
@@ -61,6 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             fps = [fingerprint(t.as_py() or b"", shingle) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps, pa.int64())], ["id", "fp"])
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     return rows.mapInArrow(run, T.StructType([rows.schema["id"]]).add("fp", "long"))
 
@@ -131,6 +132,7 @@ def _links(codes: DataFrame, limit: int) -> DataFrame:
     """Links ``a, b`` that connect all codes (``fp``, distinct) at ``limit`` or fewer differing bits: per
     task a star for each group found there, never all pairs."""
     spark = codes.sparkSession
+    ship(spark)
     n = codes.count()
     n_nodes = min(MAX_NODES, max(1, math.ceil(n / NODE_CODES)))
     ranked = codes.select("fp", gray_rank(F.col("fp")).alias("rank"))

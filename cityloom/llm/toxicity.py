@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import materialise
+from .common import materialise, ship
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
@@ -115,6 +115,7 @@ def fit(
     sentence in proportion to its share in the document's score.
     """
     spark = docs.sparkSession
+    ship(spark)
     marked = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # Bounded by max_docs, so it may be sent to all.
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
@@ -172,6 +173,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     A sentence none of whose words has a weight counts 0, so null and empty texts have score 0. Repeated
     rows are scored one by one; other columns are dropped. No row leaves its partition.
     """
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most max_features numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

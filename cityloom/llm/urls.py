@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialise
+from .common import materialise, ship
 
 # Words that mark an address as unwanted; they label the examples that the classifier learns from.
 BLOCK_WORDS = (
@@ -89,6 +89,7 @@ def segment_labels(labels: DataFrame, unigrams: DataFrame, max_word: int = 20, l
     Every span of a label with ``least_word`` to ``max_word`` letters is looked up in ``unigrams`` (``word``,
     ``n``) by a join, so the word list may be of any size; longer words stay whole only as unknown spans.
     """
+    ship(labels.sparkSession)
     total = float(unigrams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] or 0) + 1.0
     spans = labels.withColumn("i", F.explode(F.sequence(F.lit(0), F.length("label") - 1))).withColumn(
         "size", F.explode(F.sequence(F.lit(least_word), F.lit(max_word)))

@@ -10,6 +10,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from .common import ship
+
 # A word: a run of letters, marks and digits, or one other character that is no white space.
 WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}]")
 _FAIL = -1
@@ -106,6 +108,7 @@ def count_pieces(docs: DataFrame, vocabulary: tuple[list[str], list[str]], id_co
     row leaves its partition. Null and empty texts have zeros; repeated rows are counted one by one, other
     columns are dropped.
     """
+    ship(docs.sparkSession)
     held: list[LongestMatch] = []
     pieces = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
