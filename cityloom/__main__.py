@@ -46,6 +46,7 @@ def _parser() -> argparse.ArgumentParser:
     label.add_argument("--seed", type=int, default=0)
     label.add_argument("--k", type=int, default=V.NEIGHBOURS, help="neighbours that vote")
     label.add_argument("--train-share", type=float, default=V.TRAIN_SHARE)
+    label.add_argument("--metric", choices=("plane", "haversine"), default="plane", help="plane: raw degrees")
     label.add_argument("--lon-scale", type=float, default=1.0, help="shrinks longitudes, such as 0.65 for 49 degrees")
     related = step("relate", "do categories and incident types depend on each other", "incidents", "places", "target")
     related.add_argument("--radius", type=float, default=V.RADIUS_M)
@@ -84,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
         incidents = ingest.load_incidents(spark, args.incidents)
         labelled, scores = label_and_score(
             ingest.load_places(spark, args.places), incidents, k=args.k, train_share=args.train_share,
-            seed=args.seed, lon_scale=args.lon_scale,
+            seed=args.seed, lon_scale=args.lon_scale, metric=args.metric,
         )
         write_table(labelled, args.target)
         scores.show(truncate=False)

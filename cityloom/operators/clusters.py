@@ -10,10 +10,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..functions.geo import SphereGrid, haversine_m
+from ..functions.geo import haversine_m
 from ..session import materialise
-from .knn import knn_join
-from .skew import salted_join
+from .knn import knn_join, pairs_in_reach
 
 # Up to so many centres the nearest rows are found in one pass over rows and centres, beyond that by a
 # grid. It is the plan that differs, never the result.
@@ -255,24 +254,8 @@ def _pairs_by_grid(
         centres, points.drop("__of").withColumnRenamed("__id", "row_id"), key="cluster", train_id="row_id", k=1, query_coords=("clat", "clon"),
         train_coords=("__plat", "__plon"), carry=("__plat", "__plon"), lon_scale=max(0.01, math.cos(math.radians(middle))),
     )
-    # A little more than the distance found, so that rounding loses nothing.
-    reach = haversine_m("__plat", "__plon", "clat", "clon") * (1 + 1e-9) + 1e-6
-    asked = centres.join(first.select("cluster", "__plat", "__plon"), "cluster").select("cluster", "clat", "clon", reach.alias("__reach"))
-    asked = materialise(
-        asked.withColumn("__level", F.ceil(F.log2(F.greatest("__reach", F.lit(1.0)))).cast("int")), "centre-reach"
+    asked = centres.join(first.select("cluster", "__plat", "__plon"), "cluster").select(
+        "cluster", "clat", "clon", haversine_m("__plat", "__plon", "clat", "clon").alias("__reach")
     )
-    found = None
-    for (level,) in asked.select("__level").distinct().orderBy("__level").collect():  # metres to half the globe: 26 at most
-        grid, keys = SphereGrid(2.0**level), ["__row", "__cell"]
-        near = grid.explode_reach(asked.filter(F.col("__level") == level).drop("__level"), "clat", "clon", *keys)
-        cells = grid.add_cell(points, "__plat", "__plon", *keys)
-        pairs = salted_join(
-            cells, near, keys, counts=cells.groupBy(*keys).agg(F.count("*").alias("__rows")),
-            build_counts=near.groupBy(*keys).agg(F.count("*").alias("__rows")),
-        )
-        pairs = pairs.withColumn("__gap", haversine_m("__plat", "__plon", "clat", "clon")).filter("__gap <= __reach")
-        pairs = pairs.select("cluster", "__of", "__id", "__gap")
-        found = pairs if found is None else found.unionByName(pairs)
-    if found is None:  # no points
-        found = points.select(F.lit(0).alias("cluster"), "__of", "__id", F.lit(0.0).alias("__gap")).limit(0)
-    return found
+    found = pairs_in_reach(asked, points, ("clat", "clon"), ("__plat", "__plon"))
+    return found.select("cluster", "__of", "__id", "__gap")

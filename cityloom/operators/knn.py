@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, Window, functions as F
 
+from ..functions.geo import SphereGrid, haversine_m
 from ..session import materialise
 from .skew import salted_join
 
@@ -123,7 +125,7 @@ def _tighten(grid: _Grid, frontier: DataFrame, counts: DataFrame, k: int, querie
 
 
 def _nearest_by_place(
-    places: DataFrame, train: DataFrame, k: int, carry: tuple[str, ...]
+    places: DataFrame, train: DataFrame, k: int, carry: tuple[str, ...], metric: str = "plane"
 ) -> tuple[DataFrame, DataFrame, int]:
     """(__qy, __qx, __rank, __id, *carry, __d) for places (__qy, __qx, __rows) and training points
     (__id, __y, __x, *carry); also the places as written and the rows of the fullest."""
@@ -214,13 +216,63 @@ def _nearest_by_place(
             build_counts=probes.groupBy("__fx", "__fy").agg(F.count("*").alias("__rows")), total=size["n"] + size["m"],
         )
         .selectExpr(
-            *_PLACE, "__id", *(f"`{c}`" for c in carry),
+            *_PLACE, "__id", *(f"`{c}`" for c in carry), "__y", "__x",
             "(__qy - __y) * (__qy - __y) + (__qx - __x) * (__qx - __x) AS __d",
         )
         .withColumn("__rank", F.row_number().over(nearest))
         .filter(F.col("__rank") <= k)
     )
-    return found, places, size["fullest"]
+    if metric == "haversine":
+        found = _by_haversine(found, train, k, carry)
+    return found.drop("__y", "__x"), places, size["fullest"]
+
+
+def pairs_in_reach(
+    asked: DataFrame, points: DataFrame, asked_coords: tuple[str, str], point_coords: tuple[str, str]
+) -> DataFrame:
+    """Rows of ``asked`` with the points no farther than their own ``__reach`` (metres, haversine); adds
+    ``__gap``. The columns of the two sides must have different names.
+
+    One grid per power of two of the reach, so each row meets cells of about its own size: from a metre to
+    half the globe there are 26 at most.
+    """
+    reach = F.col("__reach") * (1 + 1e-9) + 1e-6  # rounding must not lose the point that set it
+    asked = materialise(
+        asked.withColumn("__reach", reach).withColumn("__level", F.ceil(F.log2(F.greatest("__reach", F.lit(1.0)))).cast("int")),
+        "reach",
+    )
+    keys = ["__row", "__cell"]
+    gap = haversine_m(*point_coords, *asked_coords)
+
+    def pairs(of: DataFrame, level: int) -> DataFrame:
+        grid = SphereGrid(2.0**level)
+        near = grid.explode_reach(of, *asked_coords, *keys)
+        cells = grid.add_cell(points, *point_coords, *keys)
+        joined = salted_join(
+            cells, near, keys, counts=cells.groupBy(*keys).agg(F.count("*").alias("__rows")),
+            build_counts=near.groupBy(*keys).agg(F.count("*").alias("__rows")),
+        )
+        return joined.withColumn("__gap", gap).filter("__gap <= __reach").drop(*keys, "__level")
+
+    levels = [r[0] for r in asked.select("__level").distinct().orderBy("__level").collect()]
+    found = [pairs(asked.filter(F.col("__level") == level), level) for level in levels]
+    return reduce(DataFrame.unionByName, found) if found else pairs(asked, 0)
+
+
+def _by_haversine(found: DataFrame, points: DataFrame, k: int, carry: tuple[str, ...]) -> DataFrame:
+    """The k nearest on the sphere, from the k nearest in the plane: the farthest of those bounds how far
+    any of the k can be."""
+    reach = F.max(haversine_m("__y", "__x", "__qy", "__qx")).alias("__reach")
+    near = pairs_in_reach(found.groupBy(*_PLACE).agg(reach), points, ("__qy", "__qx"), ("__y", "__x"))
+    order = Window.partitionBy(*_PLACE).orderBy("__d", "__id")
+    ranked = near.withColumnRenamed("__gap", "__d").withColumn("__rank", F.row_number().over(order))
+    return ranked.filter(F.col("__rank") <= k).select(*_PLACE, "__id", *carry, "__d", "__rank")
+
+
+def _scale(metric: str, lon_scale: float) -> float:
+    if metric not in ("plane", "haversine"):
+        raise ValueError("metric is plane or haversine")
+    return 1.0 if metric == "haversine" else lon_scale
 
 
 def _planar(df: DataFrame, lat: str, lon: str, lon_scale: float, y: str, x: str) -> DataFrame:
@@ -255,11 +307,13 @@ def knn_join(
     train_coords: tuple[str, str] = ("latitude", "longitude"),
     carry: tuple[str, ...] = (),
     lon_scale: float = 1.0,
+    metric: str = "plane",
 ) -> DataFrame:
     """The k training rows nearest to every query row: (key, rank, train_id, *carry, sq_distance).
 
     Euclidean distance on the given coordinates; ``lon_scale`` shrinks the second one (1 compares
-    raw degrees, the cosine of a city's latitude makes both axes equal in metres). ``train_id`` must
+    raw degrees, the cosine of a city's latitude makes both axes equal in metres). ``metric="haversine"``
+    takes the distance on the sphere instead, and the last column is ``metres``. ``train_id`` must
     be unique. Ties go to the smaller ``train_id``. Rows without coordinates have no neighbours and
     are none.
 
@@ -273,11 +327,13 @@ def knn_join(
     5. Queries meet the points of the cells left. Spark keeps k candidates per query and task before
        the shuffle that ranks them.
     """
+    lon_scale = _scale(metric, lon_scale)
     planar = _planar(queries, *query_coords, lon_scale, "__qy", "__qx").select(F.col(key), *_PLACE)
     points = _train_points(train, train_id, train_coords, lon_scale, carry)
-    found, places, fullest = _nearest_by_place(_query_places(planar), points, k, carry)
+    found, places, fullest = _nearest_by_place(_query_places(planar), points, k, carry, metric)
     return salted_join(planar, found, _PLACE, counts=places, at_most=fullest).select(
-        key, F.col("__rank").alias("rank"), F.col("__id").alias(train_id), *carry, F.col("__d").alias("sq_distance")
+        key, F.col("__rank").alias("rank"), F.col("__id").alias(train_id), *carry,
+        F.col("__d").alias("metres" if metric == "haversine" else "sq_distance"),
     )
 
 
@@ -292,15 +348,17 @@ def label_by_neighbours(
     query_coords: tuple[str, str] = ("lat", "lon"),
     train_coords: tuple[str, str] = ("latitude", "longitude"),
     lon_scale: float = 1.0,
+    metric: str = "plane",
 ) -> DataFrame:
     """Query rows plus the label most of their k nearest training rows carry.
 
     Ties go to the smallest label; a row without coordinates gets null. The vote runs once per place
     and reuses the partitioning by place that ranking leaves.
     """
+    lon_scale = _scale(metric, lon_scale)
     planar = _planar(queries, *query_coords, lon_scale, "__qy", "__qx")
     points = _train_points(train, train_id, train_coords, lon_scale, (label,))
-    found, places, fullest = _nearest_by_place(_query_places(planar), points, k, (label,))
+    found, places, fullest = _nearest_by_place(_query_places(planar), points, k, (label,), metric)
     votes = found.groupBy(*_PLACE).agg(F.mode(label, deterministic=True).alias(output or label))
     return salted_join(
         planar, votes, _PLACE, how="left", counts=places, at_most=fullest

@@ -18,11 +18,12 @@ def label_places(
     train_share: float = V.TRAIN_SHARE,
     seed: int = 0,
     lon_scale: float = 1.0,
+    metric: str = "plane",
 ) -> DataFrame:
     """Places plus the neighbourhood most of their k nearest training incidents lie in."""
     train = incidents.filter(in_share(F.col("c_id"), train_share, seed))
     return label_by_neighbours(
-        places.drop("neighbourhood"), train, train_id="c_id", k=k, lon_scale=lon_scale
+        places.drop("neighbourhood"), train, train_id="c_id", k=k, lon_scale=lon_scale, metric=metric
     )
 
 
@@ -34,6 +35,7 @@ def label_and_score(
     train_share: float = V.TRAIN_SHARE,
     seed: int = 0,
     lon_scale: float = 1.0,
+    metric: str = "plane",
 ) -> tuple[DataFrame, DataFrame]:
     """``label_places`` and ``labelling_scores`` from one search, over places and incidents together."""
     places = places.drop("neighbourhood")
@@ -45,7 +47,7 @@ def label_and_score(
     labelled = materialise(
         label_by_neighbours(
             asked, points.filter(in_share(F.col("c_id"), train_share, seed)), train_id="c_id", output="predicted",
-            k=k, lon_scale=lon_scale,
+            k=k, lon_scale=lon_scale, metric=metric,
         ),
         "labelled",
     )
@@ -64,13 +66,14 @@ def labelling_scores(
     train_share: float = V.TRAIN_SHARE,
     seed: int = 0,
     lon_scale: float = 1.0,
+    metric: str = "plane",
 ) -> DataFrame:
     """(part, n, accuracy) of the labelling on training and validation incidents, in one join."""
     train = in_share(F.col("c_id"), train_share, seed)
     points = incidents.select("c_id", "latitude", "longitude", "neighbourhood")
     predicted = label_by_neighbours(
         points, points.filter(train), train_id="c_id", output="predicted", k=k,
-        query_coords=("latitude", "longitude"), lon_scale=lon_scale,
+        query_coords=("latitude", "longitude"), lon_scale=lon_scale, metric=metric,
     )
     parts = predicted.withColumn("part", F.when(train, "train").otherwise("validation"))
     return accuracy(parts, "predicted", "neighbourhood", "part")

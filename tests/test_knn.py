@@ -89,3 +89,27 @@ def test_labelling_and_its_scores(spark):
     scores = {r["part"]: (r["n"], r["accuracy"]) for r in labelling_scores(incidents).collect()}
     assert scores["train"][1] == scores["validation"][1] == 1.0
     assert scores["train"][0] + scores["validation"][0] == 200 and 120 < scores["train"][0] < 180
+
+
+def test_haversine_neighbours(spark):
+    from cityloom.functions.geo import haversine_m
+
+    rnd = random.Random(12)
+    rows = spread(120, 4) + [(500 + i, rnd.uniform(-90, 90), rnd.uniform(-180, 180), "d") for i in range(120)]
+    rows += [(700, 89.99, 0.0, "d"), (701, 89.99, 179.0, "d"), (702, 0.0, 179.999, "d"), (703, 0.0, -179.999, "d")]
+    asked = [(r[0], r[1], r[2]) for r in rows[::5]] + [(900, 90.0, 45.0), (901, 0.1, -180.0), (902, 49.25, -123.1)]
+    got = neighbours(spark, asked, rows, 5, metric="haversine")
+    q = spark.createDataFrame(asked, "qid int, lat double, lon double")
+    t = spark.createDataFrame(rows, "tid int, latitude double, longitude double, label string")
+    gaps = {}
+    for r in q.crossJoin(t).select("qid", "tid", haversine_m("latitude", "longitude", "lat", "lon").alias("h")).collect():
+        gaps.setdefault(r["qid"], {})[r["tid"]] = r["h"]
+    for k, found in got.items():
+        want = sorted((g, i) for i, g in gaps[k].items())[:5]
+        assert [gaps[k][i] for i in found] == pytest.approx([g for g, _ in want], abs=1e-6)
+        assert len(set(found)) == 5
+    assert got[902] == [0, 3, 6, 9, 12]
+    named = label_by_neighbours(q, t, train_id="tid", label="label", k=5, metric="haversine")
+    assert named.filter("label IS NOT NULL").count() == len(asked)
+    with pytest.raises(ValueError):
+        knn_join(q, t, key="qid", train_id="tid", metric="city blocks")
