@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import materialise, ship
 from .components import Forest, components
-from .vectors import dimension, valid
+from .vectors import dimension, plain, valid
 
 # Vectors of one label that one task looks through at a time.
 TASK_VECTORS = 20_000
@@ -112,21 +112,19 @@ def near_duplicates(
     """
     spark = vectors.sparkSession
     ship(spark)
+    vec, of = plain(F.col(f"`{vec_col}`"), vectors.schema[vec_col].dataType)
     rows = vectors.select(
-        F.col(f"`{id_col}`").alias("id"),
-        F.col(f"`{label_col}`").alias("label"),
-        F.col(f"`{vec_col}`").cast("array<double>").alias("vec"),
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label"), vec.alias("vec")
     ).withColumn("ok", F.col("label").isNotNull() & valid(F.col("vec")))
     dim = dimension(rows.filter("ok"))
     rows = rows.withColumn("ok", F.col("ok") & (F.coalesce(F.size("vec"), F.lit(-1)) == dim))
-    # Zero has two signs; as a class key it must have one.
-    rows = rows.withColumn("vec", F.when(F.col("ok"), F.transform("vec", lambda x: x + F.lit(0.0))))
+    rows = rows.withColumn("vec", F.when(F.col("ok"), F.col("vec")))
     classes = rows.filter("ok").groupBy("label", "vec").agg(F.min("id").alias("least"), F.count("*").alias("n"))
     classes = materialise(classes.withColumn("c", F.monotonically_increasing_id()), "itq-classes")
     taken = classes.orderBy(F.xxhash64("vec"), "vec").limit(max_sample).select("vec").toArrow()["vec"].combine_chunks()
     if not len(taken):
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    sample = taken.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    sample = taken.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
     bits = min(bits, dim, 64)
     parts = substrings(bits, min(tables, bits))
     model = spark.sparkContext.broadcast(fit_rotation(_unit(sample), bits))
@@ -163,7 +161,7 @@ def near_duplicates(
                     )
 
     indexed = placed.select("label", "vec", "c", "n", "depth").mapInArrow(
-        place, f"label {label_type}, t int, part long, home boolean, c long, n long, code long, vec array<double>"
+        place, f"label {label_type}, t int, part long, home boolean, c long, n long, code long, vec array<{of}>"
     )
 
     def search(table: pa.Table) -> pa.Table:
@@ -218,6 +216,7 @@ def near_duplicates(
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
     # Scaled first, so that very large and very small components do not leave the range of doubles.
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x**2).sum(1, keepdims=True))

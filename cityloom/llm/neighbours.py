@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import materialise, ship
-from .vectors import dimension, valid
+from .vectors import dimension, plain, valid
 
 # Vectors that one task holds.
 TASK_VECTORS = 100_000
@@ -129,11 +129,11 @@ def nearest(
     over ``id_col``; other columns are dropped.
     """
     ship(vectors.sparkSession)
-    rows = vectors.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vec_col}`").cast("array<double>").alias("vec"))
+    vec, of = plain(F.col(f"`{vec_col}`"), vectors.schema[vec_col].dataType)
+    rows = vectors.select(F.col(f"`{id_col}`").alias("id"), vec.alias("vec"))
     rows = rows.filter(F.col("id").isNotNull() & valid(F.col("vec")))
     dim = dimension(rows)
-    # Zero has two signs; as a class key it must have one.
-    rows = rows.filter(F.size("vec") == dim).withColumn("vec", F.transform("vec", lambda x: x + F.lit(0.0)))
+    rows = rows.filter(F.size("vec") == dim)
     order = Window.partitionBy("vec").orderBy("id")
     few = rows.distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1)
     classes = few.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
@@ -145,14 +145,14 @@ def nearest(
 
     # The sample: rows with the smallest hashes, a bounded number.
     taken = classes.orderBy(F.xxhash64("c"), "c").limit(max_sample).select("vec").toArrow()["vec"].combine_chunks()
-    sample = taken.flatten().to_numpy(zero_copy_only=False).reshape(-1, max(1, dim))
+    sample = taken.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, max(1, dim))
     n_classes = classes.count()
     hashing = vectors.sparkSession.sparkContext.broadcast(fit(sample, k, tables=tables, projections=projections))
     shards = max(1, math.ceil(n_classes / TASK_VECTORS))
     steps = _steps(projections)
 
     def matrix(column: pa.Array) -> np.ndarray:
-        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
+        return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), dim)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,10 +183,11 @@ def nearest(
                             ["t", "shard", "keys", "c", "vec"],
                         )
 
-    indexed = classes.select("c", "vec").mapInArrow(index, "t int, shard int, key long, c long, vec array<double>")
-    indexed = materialise(indexed, "ann-index")
-    # A shard with many vectors is parted again; its queries visit every part.
+    indexed = classes.select("c", "vec").mapInArrow(index, f"t int, shard int, key long, c long, vec array<{of}>")
+    # A shard with many vectors is parted again; its queries visit every part. The buckets are worked out once
+    # more for that, as the vectors by table are many times the input.
     size = indexed.groupBy("t", "shard").agg(F.ceil(F.count("*") / F.lit(TASK_VECTORS)).cast("int").alias("parts"))
+    size = materialise(size, "ann-shards")
     indexed = indexed.join(size, ["t", "shard"]).select(
         "t", "shard", F.pmod(F.xxhash64("c"), "parts").cast("int").alias("part"), "key", F.lit(None).cast("array<long>").alias("keys"), "c", "vec"
     )
@@ -200,7 +201,7 @@ def nearest(
         x = matrix(items["vec"].combine_chunks())[by_key] if len(key) else np.zeros((0, dim))
         got_q, got_c, got_d = [], [], []
         for row in range(len(queries)):
-            q, cq = np.array(queries["vec"][row].as_py()), queries["c"][row].as_py()
+            q, cq = np.array(queries["vec"][row].as_py(), np.float64), queries["c"][row].as_py()
             keys = queries["keys"][row].as_py()
             if keys:
                 keys = np.unique(np.array(keys, np.int64))
@@ -232,7 +233,7 @@ def nearest(
         found = there.unionByName(spread).groupBy("t", "shard", "part").applyInArrow(search, "q long, c long, d double")
         return found.groupBy("q", "c").agg(F.min("d").alias("d"))
 
-    probes = query_classes.mapInArrow(probe, "t int, shard int, keys array<long>, c long, vec array<double>")
+    probes = query_classes.mapInArrow(probe, f"t int, shard int, keys array<long>, c long, vec array<{of}>")
     found = materialise(run(probes), "ann-found")
     # Every id of a class is a candidate; a class of its own that holds more ids counts those too.
     reached = found.join(classes.select("c", F.size("ids").alias("n")), "c").groupBy("q").agg(F.sum("n").alias("n"))

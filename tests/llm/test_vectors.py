@@ -99,6 +99,17 @@ def links(x, labels, threshold):
         root = low
 
 
+def test_doubles_keep_their_last_bits(spark):
+    base = np.random.default_rng(2).normal(size=6)
+    rows = [(0, base.tolist(), 1), (1, (base + 1e-12).tolist(), 1), (2, (base + 2e-12).tolist(), 1), (3, (base + 1).tolist(), 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = neighbours.nearest(df, "vec_id = 0", 2).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [1, 2]
+    assert got[0]["score"] == pytest.approx(np.sqrt(((base + 1e-12 - base) ** 2).sum()), rel=1e-9)
+    kept = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(df).collect()}
+    assert kept[0] == kept[1] == kept[2] >= 2
+
+
 def test_near_duplicates_of_clusters(spark, monkeypatch):
     rng = np.random.default_rng(4)
     x = np.repeat(rng.normal(size=(60, 48)), 8, 0)
