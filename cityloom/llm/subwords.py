@@ -4,17 +4,22 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-# Letters and sentence marks between which every supported splitting pattern has a boundary.
-_MARKS = ".,;:!?"
+# Letters and marks between which every supported splitting pattern has a boundary; none of the marks is
+# part of a special token.
+MARKS = ".,;:!?%&*$#"
+_LONGEST_MARK = 4
 _STEM = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _CHUNK = 2_000
 # Words and stems remembered by a worker before it starts afresh: bounds its memory, changes no result.
-_MEMORY = 600_000
+_MEMORY = 800_000
 
 
 class WordEncoder:
@@ -41,9 +46,8 @@ class WordEncoder:
             self.edge[i] = token.endswith(self.word_ends) if self.word_ends else token.startswith("Ġ")
         self.width = width or (2 if len(self.edge) <= 65_536 else 4)
         self.kind = f"<u{self.width}"
-        self.stems: dict[str, bytes] = {}
+        self.stems: dict[str, bytes | None] = {}
         self.words: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
 
     def forget(self) -> None:
         self.stems, self.words = {}, {}
@@ -68,32 +72,60 @@ class WordEncoder:
             else:
                 self.stems.update(zip(part, self._one_by_one(part), strict=True))
 
+    def _learn(self, stems: Iterable[str]) -> None:
+        """Remember stems; one that is no plain word is remembered as None."""
+        if len(self.stems) > _MEMORY:
+            self.stems = {}
+        unseen = {s for s in stems if s not in self.stems}
+        plain = [s for s in unseen if _STEM.fullmatch(s) and (s[0] == " ") != bool(self.word_ends)]
+        self.stems.update(dict.fromkeys(unseen))
+        self._runs(plain)
+
+    def whole(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are taken as they are."""
+        if len(self.words) > _MEMORY:
+            self.words = {}
+        new = list({w for w in words if w not in self.words})
+        self.words.update(zip(new, self._one_by_one(new), strict=True))
+        return [self.words[w] for w in words]
+
     def encode(self, words: list[str]) -> list[bytes]:
         """Ids of each word."""
-        out = list(map(self.words.get, words))
-        new = [w for w, ids in zip(words, out, strict=True) if ids is None]
-        if not new:
+        stems = [w.rstrip(MARKS) for w in words]
+        self._learn(stems)
+        known, marks = self.stems, dict.fromkeys(w[len(s) :] for w, s in zip(words, stems, strict=True))
+        marks = dict(zip(marks, self.whole(list(marks)), strict=True))
+        odd = [w for w, s in zip(words, stems, strict=True) if known[s] is None]
+        apart = dict(zip(odd, self.whole(odd), strict=True))
+        return [
+            apart[w] if known[s] is None else known[s] + marks[w[len(s) :]] for w, s in zip(words, stems, strict=True)
+        ]
+
+    def encode_array(self, words: pa.Array) -> pa.Array:
+        """``encode`` for an Arrow array of strings, as an array of binaries: what Python sees is each stem once."""
+        stems = pc.utf8_rtrim(words, characters=MARKS)
+        behind = pc.subtract(pc.binary_length(words), pc.binary_length(stems)).to_numpy(zero_copy_only=False)
+        coded = stems.dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn(names)
+        out = pa.array(list(map(self.stems.__getitem__, names)), pa.large_binary()).take(coded.indices)
+        # Words behind which the marks are of one length have them cut off together.
+        odd = out.is_null().to_numpy(zero_copy_only=False) | (behind > _LONGEST_MARK)
+        marked, ids = [np.flatnonzero(behind == 0)], [pa.array([b""] * int((behind == 0).sum()), pa.large_binary())]
+        for n in range(1, _LONGEST_MARK + 1):
+            at = np.flatnonzero(behind == n)
+            cut = pc.utf8_slice_codeunits(words.take(pa.array(at)), -n).dictionary_encode()
+            marked.append(at)
+            ids.append(pa.array(self.whole(cut.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(cut.indices))
+        at = np.flatnonzero(behind > _LONGEST_MARK)
+        place = np.empty(len(words), np.int64)
+        place[np.concatenate([*marked, at])] = np.arange(len(words))
+        ids.append(pa.array([b""] * len(at), pa.large_binary()))
+        out = pc.binary_join_element_wise(out, pa.concat_arrays(ids).take(pa.array(place)), pa.scalar(b"", pa.large_binary()))
+        if not odd.any():
             return out
-        if len(self.stems) > _MEMORY or len(self.words) > _MEMORY:
-            self.forget()
-            return self.encode(words)
-        stems = [w.rstrip(_MARKS) for w in new]
-        unseen = {s for s in stems if s not in self.stems}
-        odd = {s for s in unseen if not _STEM.fullmatch(s) or (s[0] == " ") == bool(self.word_ends)}
-        self._runs(list(unseen - odd))
-        whole, known, marks = [], self.stems, self.marks
-        for w, s in zip(new, stems, strict=True):
-            if s in odd:
-                whole.append(w)
-            elif len(s) == len(w):
-                self.words[w] = known[s]
-            else:
-                m = w[len(s) :]
-                if m not in marks:
-                    marks[m] = self._one_by_one([m])[0]
-                self.words[w] = known[s] + marks[m]
-        self.words.update(zip(whole, self._one_by_one(whole), strict=True))
-        return [self.words[w] if ids is None else ids for w, ids in zip(words, out, strict=True)]
+        mask = pa.array(odd)
+        return pc.replace_with_mask(out, mask, pa.array(self.whole(words.filter(mask).to_numpy(zero_copy_only=False).tolist()), pa.large_binary()))
 
 
 @lru_cache(maxsize=4)

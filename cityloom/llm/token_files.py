@@ -56,8 +56,7 @@ def _encode(texts: pa.Array, encoder: WordEncoder) -> Iterator[bytes]:
         texts = pc.utf8_lower(texts)
     lists = pc.ascii_split_whitespace(texts)
     words = lists.flatten().dictionary_encode()
-    encoded = pa.array(encoder.encode(words.dictionary.to_pylist()), pa.large_binary())
-    ids = encoded.take(words.indices)
+    ids = encoder.encode_array(words.dictionary).take(words.indices)
     ends = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1]
     raw = memoryview(ids.buffers()[2]) if ids.buffers()[2] else b""
     cuts = ends[np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy())))].tolist()
