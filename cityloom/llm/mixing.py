@@ -3,6 +3,7 @@ are sampled with the calibrated probabilities. Native expressions only."""
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,6 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import materialise
 
 _NO_VALUE = "(none)"
+# Sweeps and tolerance of the rounds in which cells are still being held, and of the last.
+_COARSE, _FINE = (6, 1e-2), (20, 1e-9)
+_LOG = logging.getLogger(__name__)
 
 
 def n_words(text: Column) -> Column:
@@ -39,12 +43,13 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = 40, t
     for d in dims:
         held = held.join(targets[d].filter("target > 0").withColumnRenamed("target", f"t_{d}"), d)
     held = materialise(held.withColumn("off", F.lit(0.0)), "rake")
+    # The values that are there stay the same, so their targets are scaled once.
+    totals = [held.groupBy(d).agg(F.first(f"t_{d}").alias("t")).agg(F.sum("t")).first()[0] for d in dims]
     for _ in range(sweeps):
         now = held.withColumn("off", F.lit(0.0))
-        for d in dims:
+        for d, total in zip(dims, totals, strict=True):
             sums = now.groupBy(d).agg(F.sum("weight").alias("s"), F.first(f"t_{d}").alias("t"))
-            total = sums.agg(F.sum("t")).scalar()
-            factors = sums.select(d, (F.col("t") / total / F.col("s")).alias("f"))
+            factors = sums.select(d, (F.col("t") / F.lit(total) / F.col("s")).alias("f"))
             now = now.join(factors, d)
             now = now.withColumn("off", F.greatest("off", F.abs(F.col("f") - 1))).withColumn("weight", F.col("weight") * F.col("f")).drop("f")
         held = materialise(now, "rake")
@@ -55,6 +60,90 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = 40, t
     return cells.join(fitted, dims, "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
 
 
+def fill(cells: DataFrame, targets: Mapping[str, DataFrame], budget: float) -> DataFrame:
+    """``cells`` with ``weight``, the tokens each is to give: ``budget`` (a share) of the tokens of all cells
+    that have targets, by dimension as near to the targets as no cell giving more than it holds allows.
+
+    Cells are raked to the targets of the whole budget. Those that would have to give all they hold or more are
+    held at that, and the others are raked to what is left of the targets, until no more are held; what a value
+    that is held as a whole lacks goes to the other values by their targets. So a cell with few tokens is kept
+    whole and takes nothing from the others. Rounds are raked roughly while cells are being held, and to the end
+    afterwards; a round that is not one of these last ones holds a cell. The budget is met exactly, whether or not the
+    targets are.
+    """
+    if not 0 < budget <= 1:
+        raise ValueError("the budget is a share of the tokens, above 0 and at most 1")
+    dims = list(targets)
+    # A target is a share of the budget; those of values without tokens do not count.
+    start = rake(cells, targets, *_COARSE)
+    total = start.filter("weight > 0").agg(F.sum("tokens")).first()[0]
+    if total is None:
+        return start
+    wanted = {}
+    for d in dims:
+        present = start.filter("weight > 0").groupBy(d).agg(F.sum("tokens").alias("__n")).join(targets[d], d)
+        wanted[d] = materialise(
+            present.select(d, (F.col("target") / present.agg(F.sum("target")).scalar() * budget * total).alias("aim")), "mix-aims"
+        )
+    state = start.withColumns({"weight": F.col("weight") * (budget * total), "held": F.lit(False)})
+    effort = _COARSE
+    while True:
+        full = ~F.col("held") & (F.col("weight") > 0) & (F.col("weight") >= F.col("tokens") * (1 - 1e-9))
+        state = materialise(state.withColumns({"new": full, "held": F.col("held") | full}).withColumn(
+            "weight", F.when(F.col("held"), F.col("tokens").cast("double")).otherwise(F.col("weight"))
+        ), "mix-held")
+        free = state.filter("NOT held AND weight > 0")
+        n_new, n_free, kept = state.agg(
+            F.count_if("new"), F.count_if(~F.col("held") & (F.col("weight") > 0)), F.sum(F.when(F.col("held"), F.col("tokens")))
+        ).first()
+        if not n_free or (not n_new and effort == _FINE):
+            return state.drop("held", "new")
+        effort = _COARSE if n_new else _FINE
+        left = budget * total - (kept or 0)
+        rest = {}
+        for d in dims:
+            sums = state.groupBy(d).agg(
+                F.sum(F.when(F.col("held"), F.col("weight")).otherwise(0.0)).alias("h"),
+                F.sum(F.when(F.col("held"), 0.0).otherwise(F.col("weight"))).alias("f"),
+            ).filter("f > 0")
+            # Below what they weigh now the free cells of a value never go.
+            rest[d] = sums.join(wanted[d], d).select(d, F.greatest(F.col("aim") - F.col("h"), "f").alias("target"))
+        again = rake(free.select(*dims, F.col("weight").alias("tokens")), rest, *effort)
+        again = again.select(*dims, (F.col("weight") * left).alias("__weight"))
+        state = state.join(again, dims, "left").withColumn("weight", F.coalesce("__weight", "weight")).drop("__weight", "new")
+
+
+def report(mixed: DataFrame, dims: Mapping[str, Column], *, powers: Mapping[str, float] | None = None,
+           targets: Mapping[str, DataFrame] | None = None, tokens: Column | None = None) -> DataFrame:
+    """What the output of :func:`mix` comes to, with the same arguments: a row per dimension and value with
+    ``tokens``, ``kept`` (expected), its ``share`` of all that is kept, its ``target``, and whether that is ``met`` (to
+    a thousandth of the target)."""
+    counted = (n_words(F.col("text")) if tokens is None else tokens).cast("long")
+    rows = mixed.select(
+        *(F.coalesce(c.cast("string"), F.lit(_NO_VALUE)).alias(f"__dim_{d}") for d, c in dims.items()),
+        counted.alias("tokens"), (counted * F.col("mix_probability")).alias("kept"),
+    )
+    cells = materialise(rows.groupBy(*(f"__dim_{d}" for d in dims)).agg(F.sum("tokens").alias("tokens"), F.sum("kept").alias("kept")), "mix-report")
+    out = None
+    for d, goal in _aims(cells, dims, powers, targets).items():
+        sums = cells.groupBy(d).agg(F.sum("tokens").alias("tokens"), F.sum("kept").alias("kept"))
+        all_kept = cells.agg(F.sum("kept")).scalar()
+        part = sums.join(goal, d, "left").select(
+            F.lit(d.removeprefix("__dim_")).alias("dimension"), F.col(d).alias("value"), "tokens", "kept",
+            (F.col("kept") / all_kept).alias("share"), F.coalesce("target", F.lit(0.0)).alias("target"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn("met", F.abs(F.col("share") - F.col("target")) <= F.col("target") / 1000)
+
+
+def _aims(cells: DataFrame, dims: Mapping[str, Column], powers: Mapping[str, float] | None, targets: Mapping[str, DataFrame] | None) -> dict[str, DataFrame]:
+    names = {d: f"__dim_{d}" for d in dims}
+    return {
+        names[d]: (targets[d].withColumnRenamed(d, names[d]) if targets and d in targets else tempered(cells, names[d], (powers or {}).get(d, 0.7)))
+        for d in dims
+    }
+
+
 def uniform(key: Column, seed: str) -> Column:
     """A number in [0, 1) that depends on the key and the seed alone."""
     digest = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
@@ -68,16 +157,22 @@ def mix(
     powers: Mapping[str, float] | None = None,
     targets: Mapping[str, DataFrame] | None = None,
     tokens: Column | None = None,
+    budget: float | None = None,
     id_col: str = "doc_id",
     seed: str = "mix",
 ) -> DataFrame:
     """``docs`` with ``mix_probability`` and ``mix_kept``, every row and column kept.
 
     ``dims`` names the dimensions and says how a row gets its value (null is a value of its own). Targets
-    are ``targets``, or else the corpus' own shares to the power in ``powers`` (0.7 unless given). A
-    document's probability is its cell's fitted weight per token, divided by the largest such ratio: then the
-    tokens that are kept have the target shares in expectation, and no probability is cut off at 1. Whether it
-    is kept depends on its id and ``seed`` alone, so rows that repeat an id are kept or left together.
+    are ``targets``, or else the corpus' own shares to the power in ``powers`` (0.7 unless given).
+
+    With ``budget``, a share of the tokens, so many tokens are kept in expectation (:func:`fill`): cells too small
+    for their part are kept whole, the others make up for them, and what is kept does not depend on the smallest
+    cell. Targets that so can't be met are told by :func:`report`. Without it a document's probability is its cell's
+    fitted weight per token, divided by the largest such ratio: then the tokens that are kept have the target
+    shares in expectation, but one cell with few tokens and a large weight decides how much of all is kept,
+    which may be next to nothing. The share that is kept is logged. Whether a document is kept depends on its id and
+    ``seed`` alone, so rows that repeat an id are kept or left together.
 
     Documents of cells without tokens (empty texts) have probability 1, as they weigh nothing; a value
     without a target has probability 0. An empty table gives an empty one. Columns of ``docs`` may have any
@@ -89,13 +184,19 @@ def mix(
     counted = n_words(F.col("text")) if tokens is None else tokens
     cells = keyed.select(*names.values(), counted.cast("long").alias("tokens"))
     cells = materialise(cells.groupBy(*names.values()).agg(F.sum("tokens").alias("tokens")), "mix-cells")
-    aims = {
-        names[d]: (targets[d].withColumnRenamed(d, names[d]) if targets and d in targets else tempered(cells, names[d], (powers or {}).get(d, 0.7)))
-        for d in dims
-    }
-    fitted = materialise(rake(cells, aims).withColumn("ratio", F.col("weight") / F.nullif("tokens", F.lit(0))), "mix-fit")
-    largest = fitted.agg(F.max("ratio")).scalar()
-    rates = fitted.select(*names.values(), F.coalesce(F.col("ratio") / largest, F.lit(1.0)).alias("mix_probability"))
+    aims = _aims(cells, dims, powers, targets)
+    if budget is None:
+        fitted = materialise(rake(cells, aims).withColumn("ratio", F.col("weight") / F.nullif("tokens", F.lit(0))), "mix-fit")
+        chance = F.col("ratio") / fitted.agg(F.max("ratio")).scalar()
+    else:
+        fitted = materialise(fill(cells, aims, budget), "mix-fit")
+        chance = F.least(F.lit(1.0), F.col("weight") / F.nullif("tokens", F.lit(0)))
+    rates = fitted.select(*names.values(), "tokens", F.coalesce(chance, F.lit(1.0)).alias("mix_probability"))
+    rates = materialise(rates, "mix-rates")
+    whole, kept = rates.agg(F.sum("tokens"), F.sum(F.col("tokens") * F.col("mix_probability"))).first()
+    if whole:
+        _LOG.warning("mixing keeps %.4f of the tokens, in expectation", kept / whole)
+    rates = rates.drop("tokens")
     joined = keyed.join(rates, list(names.values()), "left").drop(*names.values())
     return joined.withColumn("mix_kept", uniform(F.col(f"`{id_col}`"), seed) < F.col("mix_probability")).select(
         *(F.col(f"`{c}`") for c in docs.columns), "mix_probability", "mix_kept"

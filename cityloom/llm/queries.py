@@ -139,14 +139,19 @@ def topic(text: Column) -> Column:
     )
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
+# Share of the tokens the corpus pipeline keeps.
+MIX_BUDGET = 0.5
+
+
+def mix_documents(docs: DataFrame, budget: float | None = MIX_BUDGET) -> DataFrame:
     dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic(F.col("text"))}
-    return mixing.mix(docs, dims)
+    return mixing.mix(docs, dims, budget=budget)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return mix_documents(docs).select(
+    # Its SQL scales by the largest ratio.
+    return mix_documents(docs, budget=None).select(
         "doc_id",
         "source",
         "lang",

@@ -80,3 +80,25 @@ def test_query_against_sql(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
     want = con.execute(f"SELECT doc_id, source, lang, topic, tokens, probability, kept FROM ({OP9_SQL})").fetchall()
     assert sorted(map(tuple, op9_mixing(spark, sf).collect())) == sorted(want)
+
+
+def test_a_tiny_cell_does_not_empty_the_rest(spark):
+    few = spark.createDataFrame([(-1, "w " * 5, "rare", "z")], "doc_id long, text string, source string, lang string")
+    both = docs(spark, 3000).unionByName(few)
+    words = mixing.n_words(F.col("text"))
+    out = mixing.mix(both, dims(), budget=0.5).withColumns({"n": words, "e": words * F.col("mix_probability")})
+    whole, kept, most = out.agg(F.sum("n"), F.sum("e"), F.max("mix_probability")).first()
+    assert kept == pytest.approx(0.5 * whole) and most <= 1
+    assert out.filter("source = 'rare'").first()["mix_probability"] == 1
+    told = {(r["dimension"], r["value"]): r for r in mixing.report(out, dims()).collect()}
+    assert told["source", "rare"]["kept"] == 5 and not told["source", "rare"]["met"]
+    # What the rare value lacks goes to others; none of them is emptied.
+    assert all(0.3 * r["target"] * whole < r["kept"] <= r["tokens"] for (_, v), r in told.items() if v not in ("rare", "z"))
+    assert mixing.mix(both.limit(0), dims(), budget=0.5).collect() == []
+
+
+def test_documents_of_the_pipeline_keep_the_budget(spark):
+    out = mix_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    words = mixing.n_words(F.col("text"))
+    whole, kept = out.agg(F.sum(words), F.sum(words * F.col("mix_probability"))).first()
+    assert kept == pytest.approx(0.5 * whole)
