@@ -16,6 +16,8 @@ from .vectors import dimension, plain, valid
 # Vectors of one label that one task looks through at a time.
 TASK_VECTORS = 20_000
 _PAIRS = 500_000
+# Share of the linked pairs of the sample, per vector, that the tables must find.
+RECALL = 0.95
 
 
 def fit_rotation(sample: np.ndarray, bits: int, rounds: int = 50, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
@@ -50,6 +52,51 @@ def substrings(bits: int, tables: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
 
 
+def linked_pairs(unit: np.ndarray, labels: np.ndarray, threshold: float, most: int = 200_000, seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors (two arrays, row by row) of pairs of a sample that are to be linked, and the position of the first.
+    If the sample has few of them, pairs with a cosine of just ``threshold``, the hardest, are made from vectors of
+    the sample, moved towards or away from others of it."""
+    left, right, n = [], [], 0
+    for at in range(0, len(unit), 100):
+        block = slice(at, at + 100)
+        near = (unit[block] @ unit.T >= threshold) & (labels[block, None] == labels[None])
+        a, b = np.nonzero(near)
+        apart = a + at != b
+        left.append(a[apart] + at)
+        right.append(b[apart])
+        n += len(left[-1])
+        if n >= most:
+            break
+    a, b = np.concatenate(left), np.concatenate(right)
+    if len(np.unique(a)) >= 200 or len(unit) < 3:
+        return unit[a], unit[b], a
+    rng = np.random.default_rng(seed)
+    at = rng.integers(0, len(unit), 2_000)
+    x, step = unit[at], unit[rng.integers(0, len(unit), 2_000)] - unit[rng.integers(0, len(unit), 2_000)]
+    step -= (step * x).sum(1, keepdims=True) * x
+    size = np.sqrt((step**2).sum(1, keepdims=True))
+    some = size[:, 0] > 1e-9
+    made = threshold * x[some] + np.sqrt(max(0.0, 1 - threshold**2)) * step[some] / size[some]
+    return np.concatenate((unit[a], x[some])), np.concatenate((unit[b], made)), np.concatenate((a, len(unit) + np.arange(some.sum())))
+
+
+def choose_parts(apart: np.ndarray, of: np.ndarray, bits: int, tables: int) -> list[tuple[int, int]]:
+    """The parts of the fewest tables, ``tables`` at least, that find ``RECALL`` of the pairs whose codes differ by
+    ``apart`` (averaged over the vectors ``of`` they belong to). Where that takes as many comparisons as there are
+    pairs, one part of one bit, in which all vectors of a label are compared."""
+    weight = 1 / np.maximum(1, np.bincount(of))[of] if len(of) else np.zeros(0)
+    for k in range(min(tables, bits), bits + 1):
+        parts = substrings(bits, k)
+        if sum((1 + size) / 2**size for _, size in parts) >= 1:
+            break
+        found = np.zeros(len(apart), bool)
+        for first, size in parts:
+            found |= np.bitwise_count(_part(apart, first, size)) <= 1
+        if (found * weight).sum() >= RECALL * weight.sum():
+            return parts
+    return [(0, 1)]
+
+
 def _part(codes: np.ndarray, first: int, size: int) -> np.ndarray:
     return (codes >> np.uint64(first)) & np.uint64((1 << size) - 1)
 
@@ -105,9 +152,11 @@ def near_duplicates(
 
     Equal vectors of a label are one class; pairs are counted between classes and within one by its size. The
     rotation is fitted on at most ``max_sample`` vectors; every vector is indexed. A pair is found if one of the
-    ``tables`` parts of the codes differs in at most one bit, and counted in the first such table only, so
+    parts of the codes differs in at most one bit, and counted in the first such table only, so
     no pair leaves its task: a task sends on the number of links of each class, and a star per group of
-    linked classes. Large labels are parted further by the leading bits of the table's part, each vector being
+    linked classes. There are ``tables`` parts, or as many more, and so shorter, as the linked pairs of the
+    sample need to be found (``RECALL``); where tables would not spare comparisons all vectors of a label are compared.
+    Large labels are parted further by the leading bits of the table's part, each vector being
     sent to its own part and to those that differ in one bit.
     """
     spark = vectors.sparkSession
@@ -121,14 +170,18 @@ def near_duplicates(
     rows = rows.withColumn("vec", F.when(F.col("ok"), F.col("vec")))
     classes = rows.filter("ok").groupBy("label", "vec").agg(F.min("id").alias("least"), F.count("*").alias("n"))
     classes = materialise(classes.withColumn("c", F.monotonically_increasing_id()), "itq-classes")
-    taken = classes.orderBy(F.xxhash64("vec"), "vec").limit(max_sample).select("vec").toArrow()["vec"].combine_chunks()
+    taken = classes.orderBy(F.xxhash64("vec"), "vec").limit(max_sample).select("vec", "label").toArrow()
+    labels = np.unique(np.array([str(v) for v in taken["label"].to_pylist()]), return_inverse=True)[1]
+    taken = taken["vec"].combine_chunks()
     if not len(taken):
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     sample = taken.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
     bits = min(bits, dim, 64)
-    parts = substrings(bits, min(tables, bits))
-    model = spark.sparkContext.broadcast(fit_rotation(_unit(sample), bits))
-    max_bits = bits // 4  # beyond it a cosine near the threshold is out of reach
+    unit = _unit(sample)
+    fitted = fit_rotation(unit, bits)
+    p, q, of_row = linked_pairs(unit, labels, threshold)
+    parts = choose_parts(codes_of(p, *fitted) ^ codes_of(q, *fitted), of_row, bits, tables)
+    model = spark.sparkContext.broadcast(fitted)
 
     # How many leading bits part a label: by its own number of classes.
     sizes = classes.groupBy("label").agg(F.count("*").alias("size"))
@@ -174,7 +227,7 @@ def near_duplicates(
         first, size = parts[t]
         for a, b in _matches(_part(code, first, size), home, size):
             apart = code[a] ^ code[b]
-            new = np.bitwise_count(apart) <= max_bits
+            new = np.ones(len(a), bool)
             for f, s in parts[:t]:
                 new &= np.bitwise_count(_part(apart, f, s)) > 1
             a, b = a[new], b[new]

@@ -158,3 +158,25 @@ def test_query_op6_against_comparing_all(spark):
     got = {r["vec_id"]: r for r in op6_embedding_dedup(spark, sf).collect()}
     assert all(got[r["vec_id"]]["n_links"] <= n[i] for i, r in enumerate(rows)) and len(got) == len(rows)
     assert sum(r["n_links"] for r in got.values()) >= 0.9 * n.sum()
+
+
+def planted(rng, n, dim, cosine, shared):
+    """Pairs of unit vectors with the given cosine; of vectors of different pairs it is ``shared`` on average."""
+    x = rng.normal(size=(n, dim)) * np.sqrt(1 - shared) / np.sqrt(dim)
+    x[:, 0] += np.sqrt(shared)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    noise = rng.normal(size=x.shape)
+    noise -= (noise * x).sum(1, keepdims=True) * x
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    return np.stack((x, cosine * x + np.sqrt(1 - cosine**2) * noise), 1).reshape(-1, dim)
+
+
+@pytest.mark.parametrize(("dim", "shared"), [(64, 0.0), (64, 0.85), (6, 0.0)])
+def test_pairs_near_the_threshold_are_found(spark, dim, shared):
+    x = planted(np.random.default_rng(8), 600, dim, 0.935, shared).astype(np.float32)
+    n, _ = links(x, np.zeros(len(x)), 0.93)
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(table(spark, x, odd=False)).collect()}
+    assert all(got[i] <= n[i] for i in range(len(x)))
+    recall = sum(got.values()) / n.sum()
+    print("recall", dim, shared, round(recall, 4))
+    assert recall >= 0.9
