@@ -130,6 +130,19 @@ def _matches(value: np.ndarray, home: np.ndarray, size: int) -> Iterator[tuple[n
             at = upto
 
 
+def in_blocks(indexed: DataFrame, counted: DataFrame) -> DataFrame:
+    """``indexed`` with ``own``, ``i`` and ``j``: groups (``label, t, part``) of more than ``TASK_VECTORS`` rows, which
+    ``counted`` tells (``rows``), are cut into blocks by hash of ``c``, and each row goes to all pairs ``i <= j`` of
+    blocks that hold its own. A pair of blocks is about ``TASK_VECTORS`` rows."""
+    large = counted.filter(F.col("rows") > TASK_VECTORS).select(
+        "label", "t", "part", F.ceil(2 * F.col("rows") / F.lit(TASK_VECTORS)).cast("int").alias("blocks")
+    )
+    cut = indexed.join(materialise(large, "itq-large"), ["label", "t", "part"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return cut.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("blocks", "other")
+
+
 def near_duplicates(
     vectors: DataFrame,
     *,
@@ -157,7 +170,8 @@ def near_duplicates(
     linked classes. There are ``tables`` parts, or as many more, and so shorter, as the linked pairs of the
     sample need to be found (``RECALL``); where tables would not spare comparisons all vectors of a label are compared.
     Large labels are parted further by the leading bits of the table's part, each vector being
-    sent to its own part and to those that differ in one bit.
+    sent to its own part and to those that differ in one bit. Groups that are still large, as near copies share
+    their bits, are cut into blocks, and pairs of blocks are compared (:func:`in_blocks`).
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -189,7 +203,7 @@ def near_duplicates(
     placed = classes.join(sizes.select("label", depth.alias("depth")), "label")
     label_type = classes.schema["label"].dataType.simpleString()
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch], light: bool = False) -> Iterator[pa.RecordBatch]:
         mean, projection = model.value
         for batch in batches:
             x = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
@@ -205,6 +219,13 @@ def near_duplicates(
                     goes = np.ones(len(own), bool) if bit < 0 else (bit < deep) & ((own >> np.uint64(bit)) & np.uint64(1) == 0)
                     to = own if bit < 0 else own | np.uint64(1 << bit)
                     m = pa.array(goes)
+                    if light:
+                        at = pa.table({"label": batch.column("label").filter(m), "part": to[goes].astype(np.int64)})
+                        at = at.group_by(["label", "part"]).aggregate([([], "count_all")])
+                        yield from at.select(["label", "part", "count_all"]).add_column(
+                            1, "t", pa.array(np.full(len(at), t, np.int32))
+                        ).rename_columns(["label", "t", "part", "rows"]).combine_chunks().to_batches()
+                        continue
                     yield pa.RecordBatch.from_arrays(
                         [batch.column("label").filter(m), pa.array(np.full(goes.sum(), t, np.int32)),
                          pa.array(to[goes].astype(np.int64)), pa.array(np.full(goes.sum(), bit < 0)),
@@ -217,7 +238,15 @@ def near_duplicates(
         place, f"label {label_type}, t int, part long, home boolean, c long, n long, code long, vec array<{of}>"
     )
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return place(batches, light=True)
+
+    counted = placed.select("label", "vec", "depth").mapInArrow(count, f"label {label_type}, t int, part long, rows long")
+    counted = counted.groupBy("label", "t", "part").agg(F.sum("rows").alias("rows"))
+    indexed = in_blocks(indexed, counted)
+
     def search(table: pa.Table) -> pa.Table:
+        own, across = table["own"].to_numpy(), table["i"][0].as_py() != table["j"][0].as_py()
         t = table["t"][0].as_py()
         c, n = table["c"].to_numpy(), table["n"].to_numpy()
         home = table["home"].to_numpy()
@@ -226,6 +255,9 @@ def near_duplicates(
         links, forest = np.zeros(len(c), np.int64), Forest(len(c))
         first, size = parts[t]
         for a, b in _matches(_part(code, first, size), home, size):
+            if across:  # pairs within a block are found in the group of the block with itself
+                new = own[a] != own[b]
+                a, b = a[new], b[new]
             apart = code[a] ^ code[b]
             new = np.ones(len(a), bool)
             for f, s in parts[:t]:
@@ -249,7 +281,7 @@ def near_duplicates(
             }
         )
 
-    found = indexed.groupBy("label", "t", "part").applyInArrow(search, "c long, links long, root long")
+    found = indexed.groupBy("label", "t", "part", "i", "j").applyInArrow(search, "c long, links long, root long")
     found = materialise(found, "itq-found")
     counts = found.filter("root IS NULL").groupBy("c").agg(F.sum("links").alias("links"))
     stars = found.filter("root IS NOT NULL").select(F.col("c").alias("a"), F.col("root").alias("b"))

@@ -180,3 +180,28 @@ def test_pairs_near_the_threshold_are_found(spark, dim, shared):
     recall = sum(got.values()) / n.sum()
     print("recall", dim, shared, round(recall, 4))
     assert recall >= 0.9
+
+
+def test_large_groups_are_cut_into_pairs_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "TASK_VECTORS", 40)
+    rows = spark.range(200).select(F.lit(1).alias("label"), F.lit(0).alias("t"), F.expr("(id % 100) div 99 AS part"), F.col("id").alias("c"))
+    counted = rows.groupBy("label", "t", "part").agg(F.count("*").alias("rows"))
+    got = embedding_dedup.in_blocks(rows, counted).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault((r["part"], r["i"], r["j"]), []).append((r["c"], r["own"]))
+    assert max(map(len, groups.values())) <= 2 * 40 and len(groups) > 10
+    met = [(a, b) for (_, i, j), g in groups.items() for a, p in g for b, q in g if a < b and (i == j or p != q)]
+    of = {c: c % 100 // 99 for c in range(200)}
+    assert sorted(met) == [(a, b) for a in range(200) for b in range(a + 1, 200) if of[a] == of[b]]
+
+
+def test_many_near_copies_of_one_vector(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "TASK_VECTORS", 40)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 16))
+    x[::3] = x[0] + rng.normal(size=(100, 16)) * 1e-4
+    x = x.astype(np.float32)
+    n, root = links(x, np.zeros(len(x)), 0.93)
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(table(spark, x, odd=False)).collect()}
+    assert all(got[i]["n_links"] == n[i] and got[i]["component_id"] == root[i] for i in range(0, 300, 3))
