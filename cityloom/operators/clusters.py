@@ -209,7 +209,7 @@ def merge_clusters(
 
 def nearest_per_centre(
     df: DataFrame,
-    clusters: Clusters,
+    clusters: Clusters | DataFrame,
     *,
     id_col: str = "id",
     lat: str = "latitude",
@@ -221,11 +221,13 @@ def nearest_per_centre(
 
     With a few centres each task hands over one candidate per centre, and no row is shuffled. With many, a
     planar search gives each centre a row that is near, and what lies within that distance decides: cells
-    as high as the next power of two of it are compared, one grid per power.
+    as high as the next power of two of it are compared, one grid per power. Centres may also be a table of label,
+    latitude and longitude, in this order, labels unique; it is never brought to the driver and takes the second way.
+    Centres without coordinates have no row.
     """
     located = df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     row = F.struct(*df.columns)
-    if len(clusters.centres) <= FEW_CENTRES:
+    if isinstance(clusters, Clusters) and len(clusters.centres) <= FEW_CENTRES:
         centre = F.explode(clusters._literal()).alias("__centre")
         pairs = located.select(row.alias("__of"), F.col(id_col).alias("__id"), F.col(lat).alias("__y"), F.col(lon).alias("__x"), centre)
         pairs = pairs.select("*", F.col("__centre.y").alias("__cy"), F.col("__centre.x").alias("__cx"))
@@ -240,7 +242,7 @@ def nearest_per_centre(
 
 
 def _pairs_by_grid(
-    located: DataFrame, clusters: Clusters, row: Column, id_col: str, lat: str, lon: str
+    located: DataFrame, clusters: Clusters | DataFrame, row: Column, id_col: str, lat: str, lon: str
 ) -> DataFrame:
     """Centres with the rows no farther than one that is near: (cluster, __of, __id, __gap)."""
     spark = located.sparkSession
@@ -248,8 +250,12 @@ def _pairs_by_grid(
         located.select(row.alias("__of"), F.col(id_col).alias("__id"), F.col(lat).alias("__plat"), F.col(lon).alias("__plon")),
         "centre-points",
     )
-    centres = clusters.to_frame(spark)
-    middle = sum(y for _, y, _ in clusters.centres) / len(clusters.centres)
+    if isinstance(clusters, Clusters):
+        centres = clusters.to_frame(spark)
+    else:
+        named = clusters.toDF("cluster", "clat", "clon").filter("clat IS NOT NULL AND clon IS NOT NULL")
+        centres = materialise(named, "centres")
+    middle = centres.agg(F.avg("clat")).first()[0] or 0.0
     first = knn_join(
         centres, points.drop("__of").withColumnRenamed("__id", "row_id"), key="cluster", train_id="row_id", k=1, query_coords=("clat", "clon"),
         train_coords=("__plat", "__plon"), carry=("__plat", "__plon"), lon_scale=max(0.01, math.cos(math.radians(middle))),

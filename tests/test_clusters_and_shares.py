@@ -238,3 +238,13 @@ def test_profiles(spark):
     assert sorted(map(tuple, value_counts(df, "k").collect())) == [("a", 2), ("b", 1)]
     assert [r[0] for r in distinct_sorted(df, "k").collect()] == ["a", "b"]
     assert describe_number(df, "n").first() == (2, 2.0, pytest.approx(math.sqrt(2)), 1, 3)
+
+
+def test_centres_as_a_table_stay_off_the_driver(spark, monkeypatch):
+    rnd = random.Random(9)
+    df = spark.createDataFrame([(i, rnd.uniform(49, 50), rnd.uniform(-124, -123)) for i in range(80)], "id int, latitude double, longitude double")
+    model = Clusters(tuple((i, rnd.uniform(49, 50), rnd.uniform(-124, -123)) for i in range(70)))
+    want = sorted((r["cluster"], r["id"]) for r in nearest_per_centre(df, model).collect())
+    table = model.to_frame(spark).unionByName(spark.sql("SELECT 99 AS cluster, CAST(NULL AS DOUBLE) AS clat, 1D AS clon"))
+    monkeypatch.setattr(Clusters, "__post_init__", lambda self: pytest.fail("centres on the driver"))
+    assert sorted((r["cluster"], r["id"]) for r in nearest_per_centre(df, table).collect()) == want

@@ -376,7 +376,7 @@ def nearest_listing(spark: SparkSession, sf: str) -> DataFrame:
 
 def nearest_listing_many(spark: SparkSession, sf: str) -> DataFrame:
     """One centre per kept place."""
-    centres = Clusters.from_frame(places(spark, sf), "amnt_id", "lat", "lon")
+    centres = places(spark, sf).select("amnt_id", "lat", "lon")
     found = nearest_per_centre(listings(spark, sf), centres, name="amnt_id", distance="metres")
     return fx.rounded(found.select("amnt_id", "id", "metres"), 3, "metres")
 
