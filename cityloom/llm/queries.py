@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, embedding_dedup, mixing, neighbours, simhash, token_files, toxicity, urls, wordpiece
+from . import (
+    bpe, chat, embedding_dedup, mixing, neighbours, periodic_runs, sharding, simhash, token_files, toxicity, urls,
+    whitening, wordpiece,
+)
 from .common import materialise, table
 
 CONTROL_TURN = "<|im_end|><|im_start|>assistant ok"
@@ -213,6 +219,63 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors, components=32, scale=64, offset=1_000_000)
+    rows = whitening.whiten(vectors, model)
+    off = whitening.identity_error(vectors, model) if model else 0.0
+    shares = [float(x) for x in model.explained] if model else []
+    explained = F.array(*(F.lit(x) for x in shares)).cast("array<double>")
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        explained[F.col("at")].alias("explained"),
+        F.lit(off).alias("identity_error"),
+    )
+
+
+def planted_repeats(doc_ids: list, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From which word on, and with which period, some documents repeat themselves, by the checksum of their id;
+    rows without an id do not."""
+    begin, period = np.zeros(len(doc_ids), np.int64), np.zeros(len(doc_ids), np.int64)
+    for i, (doc_id, n) in enumerate(zip(doc_ids, n_words.tolist(), strict=True)):
+        h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+        if h % 10 == 0 and n:
+            g = h // 10
+            begin[i] = g % n
+            period[i] = 1 + (n - g % n) // (3 + g % 8)
+    return begin, period
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), least=12, rewrite=planted_repeats)
+    longest = F.array_min(
+        F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("start"), r["period"].alias("period")))
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.n")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(-1000L * best.n) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims = {"source": F.col("source"), "lang": F.col("lang"), "text_bytes": F.octet_length("text")}
+    return sharding.shard(table(spark, sf_dir, "documents"), dims, 24, law="rows").select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_toxicity": op2_toxicity,
@@ -224,6 +287,9 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_mixing": op9_mixing,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLES = {"op1_chat_formatting": OP1_SQL, "op6_embedding_dedup": OP6_SQL, "op9_mixing": OP9_SQL}
