@@ -2,229 +2,228 @@
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Observation, Window, functions as F, types as T
 
 from ..functions.geo import SphereGrid, haversine_m
 from ..session import materialise
 from .skew import salted_join
 
-_MAX_LEVELS = 30
-_CELL = ["__up", "__cx", "__cy"]
-_PLACE = ["__qy", "__qx"]
-
-
-@dataclass(frozen=True)
-class _Grid:
-    """Halving cells over a square. Level 0 is the finest; a cell's number at level ``up`` is its
-    finest number shifted right by ``up`` bits."""
-
-    x0: float
-    y0: float
-    side: float
-    levels: int
-
-    def add_finest(self, df: DataFrame, x: str, y: str) -> DataFrame:
-        return df.selectExpr(
-            "*",
-            f"floor(({x} - ({self.x0!r}D)) / {self.side!r}D) AS __fx",
-            f"floor(({y} - ({self.y0!r}D)) / {self.side!r}D) AS __fy",
-        )
-
-    def width(self) -> str:
-        """Side of a cell at level ``__up``."""
-        return f"({self.side!r}D * shiftleft(1L, __up))"
-
-    def nearest(self, cx: str, cy: str) -> str:
-        """Squared distance from (__qx, __qy) to the nearest point of a cell."""
-        parts = []
-        for q, c, origin in (("__qx", cx, self.x0), ("__qy", cy, self.y0)):
-            west = f"({c} * {self.width()} + ({origin!r}D))"
-            gap = f"greatest(0D, {west} - {q}, {q} - {west} - {self.width()})"
-            parts.append(f"{gap} * {gap}")
-        return " + ".join(parts)
-
-    def farthest(self, cx: str, cy: str, cells: int = 1, before: int = 0) -> str:
-        """Squared distance from (__qx, __qy) to the farthest point of a square of cells that starts
-        ``before`` cells before the given one."""
-        parts = []
-        for q, c, origin in (("__qx", cx, self.x0), ("__qy", cy, self.y0)):
-            west = f"(({c} - {before}) * {self.width()} + ({origin!r}D))"
-            gap = f"greatest({q} - {west}, {west} + {cells} * {self.width()} - {q})"
-            parts.append(f"{gap} * {gap}")
-        return " + ".join(parts)
-
-
-def _choose_grid(train: DataFrame, places: DataFrame, k: int) -> tuple[_Grid, Row]:
-    """Grid, and the numbers of training points (n), places (m) and rows of the fullest place
-    (fullest), from two small jobs.
-
-    The finest cells would hold k/4 to k points if points were spread evenly, so that most queries start there; a sample shows how
-    unevenly they lie, and cells get finer until the fullest holds few. The choice affects speed
-    only, never the result.
-    """
-    box = (
-        train.selectExpr("__x", "__y", "0L AS __rows")
-        .unionByName(places.selectExpr("__qx AS __x", "__qy AS __y", "__rows"))
-        .selectExpr(
-            "min(__x) AS x0", "max(__x) AS x1", "min(__y) AS y0", "max(__y) AS y1",
-            "count_if(__rows = 0) AS n", "count_if(__rows > 0) AS m", "coalesce(max(__rows), 0) AS fullest",
-        )
-        .first()
-    )
-    n = box["n"]
-    if n == 0:
-        return _Grid(0.0, 0.0, 1.0, 0), box
-    root = max(box["x1"] - box["x0"], box["y1"] - box["y0"]) * (1 + 1e-9) + 1e-9
-    even = max(0, min(_MAX_LEVELS, math.ceil(math.log(max(n / k, 1), 4))))
-    share = min(1.0, 30_000 / n)
-    sample = train.sample(fraction=share, seed=7) if share < 1 else train
-    finest = _Grid(box["x0"], box["y0"], root / 2**_MAX_LEVELS, _MAX_LEVELS)
-    fullest = (
-        finest.add_finest(sample, "__x", "__y")
-        .selectExpr("__fx", "__fy", f"explode(sequence({even}, {_MAX_LEVELS})) AS level")
-        .groupBy(
-            "level",
-            F.expr(f"shiftright(__fx, {_MAX_LEVELS} - level)"),
-            F.expr(f"shiftright(__fy, {_MAX_LEVELS} - level)"),
-        )
-        .count()
-        .groupBy("level")
-        .agg(F.max("count").alias("most"))
-        .orderBy("level")
-        .collect()
-    )
-    levels = next(
-        (r["level"] for r in fullest if r["most"] <= 2 or r["most"] / share <= 32 * k), _MAX_LEVELS
-    )
-    return _Grid(box["x0"], box["y0"], root / 2**levels, levels), box
-
-
-def _tighten(grid: _Grid, frontier: DataFrame, counts: DataFrame, k: int, queries: int) -> DataFrame:
-    """Occupied cells that may hold one of the k nearest points.
-
-    Going outwards by the cells' farthest points, the k-th nearest point is no farther than the cell
-    with which k points are reached; cells that begin beyond that are dropped. Each of the
-    ``queries`` may ask for the same few coarse cells, so those are split over tasks.
-    """
-    outwards = Window.partitionBy(*_PLACE).orderBy("__far").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        salted_join(frontier, counts, _CELL, at_most=queries)
-        .withColumn("__far", F.expr(grid.farthest("__cx", "__cy")))
-        .withColumn("__reached", F.sum("__n").over(outwards))
-        .withColumn(
-            "__bound", F.expr(f"if(__reached >= {k}, __far, NULL)")
-        )
-        .withColumn("__bound", F.min("__bound").over(Window.partitionBy(*_PLACE)))
-        .filter(f"{grid.nearest('__cx', '__cy')} <= __bound * {1 + 1e-9!r}D")
-        .select(*_PLACE, *_CELL)
-    )
-
-
-def _nearest_by_place(
-    places: DataFrame, train: DataFrame, k: int, carry: tuple[str, ...], metric: str = "plane"
-) -> tuple[DataFrame, DataFrame, int]:
-    """(__qy, __qx, __rank, __id, *carry, __d) for places (__qy, __qx, __rows) and training points
-    (__id, __y, __x, *carry); also the places as written and the rows of the fullest."""
-    places = materialise(places, "knn-places")
+# The tree splits a square until a leaf has about LEAF_ROWS points, or until there are MAX_LEAVES leaves; it is shaped
+# on SAMPLE_ROWS points. A task takes about TASK_VISITS queries of a leaf, whose points it looks at in blocks.
+LEAF_ROWS, MAX_LEAVES, SAMPLE_ROWS = 64, 4_096, 100_000
+TASK_VISITS, BLOCK_ROWS = 100_000, 16
+_BITS = 30
+_ROW, _PLACE = "__query", ["__qy", "__qx"]
+
+
+def _coder(x0: float, y0: float, side: float) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Numbers points in Z-order: the square is halved ``_BITS`` times a side, and the binary digits of a cell's column and
+    row are put between each other."""
+    bits = _BITS
+
+    def codes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        code = np.zeros(len(x), np.int64)
+        for v, origin, shift in ((x, x0, 1), (y, y0, 0)):
+            cell = np.clip(np.floor((v - origin) * (2.0**bits / side)), 0, 2**bits - 1).astype(np.int64)
+            for i in range(bits):
+                code |= (cell >> i & 1) << (2 * i + shift)
+        return code
+
+    return codes
+
+
+def _split(x0: float, y0: float, side: float, codes: np.ndarray, most: float) -> list[tuple[int, tuple]]:
+    """Leaves (first code; west, east, south and north edge) of a quad tree over sorted codes, in order: a cell is
+    quartered while it holds more than ``most``; quarters of one cell next to each other that together hold no more stay
+    one leaf."""
+
+    def cell(code: int, west: float, south: float, bits: int, low: int, high: int) -> list[tuple[int, tuple, int]]:
+        width = side / 2 ** (_BITS - bits)
+        if high - low <= most or bits == 0:
+            return [(code, (west, west + width, south, south + width), high - low)]
+        size, leaves, last_small = 4 ** (bits - 1), [], False
+        ends = [low, *np.searchsorted(codes[low:high], [code + size * i for i in (1, 2, 3)]) + low, high]
+        for i in range(4):
+            at = (west + (i >> 1) * width / 2, south + (i & 1) * width / 2)
+            below = cell(code + size * i, *at, bits - 1, int(ends[i]), int(ends[i + 1]))
+            small = len(below) == 1
+            if last_small and small and leaves[-1][2] + below[0][2] <= most:
+                (first, a, n), (_, b, m) = leaves.pop(), below[0]
+                below = [(first, (min(a[0], b[0]), max(a[1], b[1]), min(a[2], b[2]), max(a[3], b[3])), n + m)]
+            last_small = small
+            leaves += below
+        return leaves
+
+    return [(code, edges) for code, edges, _ in cell(0, x0, y0, _BITS, 0, len(codes))]
+
+
+def _observed(df: DataFrame, y: str, x: str, label: str) -> tuple[DataFrame, dict]:
+    """``df`` written, with the box of its points and their number."""
+    seen = Observation()
+    some = F.col(y).isNotNull() & F.col(x).isNotNull()
+    box = [f(F.col(c)).alias(n) for f, c, n in ((F.min, x, "x0"), (F.max, x, "x1"), (F.min, y, "y0"), (F.max, y, "y1"))]
+    made = materialise(df.observe(seen, F.count_if(some).alias("n"), *box), label)
+    return made, seen.get
+
+
+def _candidates(box: np.ndarray, n: np.ndarray, regions: np.ndarray, wanted: int, slack: float) -> tuple[np.ndarray, list]:
+    """For each region, a bound for the squared distance of the ``wanted`` nearest points of any place in it, and the
+    leaves that can hold one of them: going outwards by the farthest two points can be apart, so many points are there.
+    ``box`` has least and largest y, least and largest x of each leaf, ``n`` its rows."""
+    held = np.flatnonzero(n)
+    y0, y1, x0, x1 = box[:, held]
+    bounds, near_leaves = np.empty(len(regions)), []
+    for i, (west, east, south, north) in enumerate(regions + np.array([-slack, slack, -slack, slack])):
+        near = np.maximum(0, np.maximum(x0 - east, west - x1)) ** 2 + np.maximum(0, np.maximum(y0 - north, south - y1)) ** 2
+        far = np.maximum(east - x0, x1 - west) ** 2 + np.maximum(north - y0, y1 - south) ** 2
+        order = np.argsort(far, kind="stable")
+        bounds[i] = far[order][np.searchsorted(np.cumsum(n[held][order]), wanted)] * (1 + 1e-9)
+        near_leaves.append(held[near <= bounds[i]])
+    return bounds, near_leaves
+
+
+def _nearest(
+    queries: DataFrame, asked: dict, train: DataFrame, k: int, carry: tuple[str, ...], metric: str = "plane"
+) -> DataFrame:
+    """(__query, __qy, __qx, __rank, __id, *carry, __d) for queries (__query, __qy, __qx), their box and number ``asked``, and
+    training points (__id, __y, __x, *carry)."""
     # Only the k smallest ids of a place can win a tie, so a place with many rows keeps k.
     same = Window.partitionBy("__y", "__x").orderBy("__id")
     train = train.withColumn("__at", F.row_number().over(same)).filter(F.col("__at") <= k).drop("__at")
-    train = materialise(train, "knn-train")
-    grid, size = _choose_grid(train, places, k)
-    wanted = min(k, size["n"])
-    points = grid.add_finest(train, "__x", "__y")
-    levels = f"explode(sequence(0, {grid.levels})) AS __up"
-    parents = ["shiftright(__fx, __up) AS __cx", "shiftright(__fy, __up) AS __cy"]
-    counts = materialise(
-        points.groupBy("__fx", "__fy").agg(F.count("*").alias("__n"))
-        .selectExpr("*", levels)
-        .selectExpr("__up", *parents, "__n")
-        .groupBy(*_CELL)
-        .agg(F.sum("__n").alias("__n")),
-        "knn-counts",
-    )
-
-    # The finest level at which a query's cell and its eight neighbours hold k points.
-    located = grid.add_finest(places, "__qx", "__qy").drop("__rows")
-    query_cells = (
-        located.select("__fx", "__fy").distinct().selectExpr("*", levels).selectExpr("__fx", "__fy", "__up", *parents)
-    )
-    full_blocks = (
-        query_cells.select(*_CELL).distinct()
-        .selectExpr("__up", "__cx AS __bx", "__cy AS __by", "explode(sequence(-1, 1)) AS __i")
-        .selectExpr("*", "explode(sequence(-1, 1)) AS __j")
-        .selectExpr("__up", "__bx", "__by", "__bx + __i AS __cx", "__by + __j AS __cy")
-        .join(counts, _CELL)
-        .groupBy("__up", F.col("__bx").alias("__cx"), F.col("__by").alias("__cy"))
-        .agg(F.sum("__n").alias("__n"))
-        .filter(F.col("__n") >= wanted)
-        .drop("__n")
-    )
-    # Coarse levels have few cells and hence hot keys.
-    starts = (
-        salted_join(query_cells, full_blocks, _CELL, at_most=size["m"])
-        .groupBy("__fx", "__fy")
-        .agg(F.min("__up").alias("__up"))
-    )
-    last = f"shiftright({2**grid.levels - 1}L, __up)"
-
-    def span(q: str, origin: float) -> str:
-        low = f"floor(({q} - __reach - ({origin!r}D)) / {grid.width()})"
-        high = f"floor(({q} + __reach - ({origin!r}D)) / {grid.width()})"
-        return f"explode(sequence(greatest({low}, 0L), least({high}, {last})))"
-
-    block = grid.farthest("shiftright(__fx, __up)", "shiftright(__fy, __up)", cells=3, before=1)
-    slack = f"{1 + 1e-9!r}D + {grid.side * 1e-6!r}D"
-    circle = (
-        salted_join(located, starts, ["__fx", "__fy"], at_most=size["m"])
-        .selectExpr(*_PLACE, "__up", f"sqrt({block}) * {slack} AS __reach")
-        .selectExpr("*", f"{span('__qx', grid.x0)} AS __cx")
-        .selectExpr("*", f"{span('__qy', grid.y0)} AS __cy")
-        .filter(f"{grid.nearest('__cx', '__cy')} <= __reach * __reach")
-        .select(*_PLACE, *_CELL)
-    )
-    # Down to the finest level: queries in dense surroundings start there; for one far from all
-    # points the ring that can matter gets thinner with every round. Each round is a written table
-    # and handles only what is not yet down, so rounds are few and get small.
-    frontier = materialise(_tighten(grid, circle, counts, wanted, size["m"]), "knn-frontier")
-    finest = frontier.filter("__up = 0")
-    coarse = frontier.filter("__up > 0")
-    while not coarse.isEmpty():
-        children = (
-            coarse.selectExpr(*_PLACE, *_CELL, "least(3, __up) AS __down")
-            .selectExpr("*", "explode(sequence(0L, shiftleft(1L, __down) - 1)) AS __i")
-            .selectExpr("*", "explode(sequence(0L, shiftleft(1L, __down) - 1)) AS __j")
-            .selectExpr(
-                *_PLACE, "__up - __down AS __up",
-                "shiftleft(__cx, __down) + __i AS __cx", "shiftleft(__cy, __down) + __j AS __cy",
-            )
-        )
-        frontier = materialise(_tighten(grid, children, counts, wanted, size["m"]), "knn-frontier")
-        finest = finest.unionByName(frontier.filter("__up = 0"))
-        coarse = frontier.filter("__up > 0")
-
-    probes = finest.selectExpr(*_PLACE, "__cx AS __fx", "__cy AS __fy")
-    in_cell = counts.filter("__up = 0").selectExpr("__cx AS __fx", "__cy AS __fy", "__n AS __rows")
-    nearest = Window.partitionBy(*_PLACE).orderBy("__d", "__id")
-    found = (
-        salted_join(
-            points, probes, ["__fx", "__fy"], counts=in_cell,
-            build_counts=probes.groupBy("__fx", "__fy").agg(F.count("*").alias("__rows")), total=size["n"] + size["m"],
-        )
-        .selectExpr(
-            *_PLACE, "__id", *(f"`{c}`" for c in carry), "__y", "__x",
-            "(__qy - __y) * (__qy - __y) + (__qx - __x) * (__qx - __x) AS __d",
-        )
-        .withColumn("__rank", F.row_number().over(nearest))
-        .filter(F.col("__rank") <= k)
-    )
-    if metric == "haversine":
-        found = _by_haversine(found, train, k, carry)
-    return found.drop("__y", "__x"), places, size["fullest"]
+    train, size = _observed(train, "__y", "__x", "knn-train")
+    queries = queries.filter("__qy IS NOT NULL AND __qx IS NOT NULL").select(_ROW, *_PLACE)
+    if not size["n"] or not asked["n"]:
+        return _ranked(queries.join(train, F.lit(False)).withColumn("__d", F.lit(0.0)), k)
+    low = {c: min(b[c] for b in (size, asked)) for c in ("x0", "y0")}
+    side = max(max(b[f"{c}1"] for b in (size, asked)) - low[f"{c}0"] for c in "xy") * (1 + 1e-9) + 1e-9
+    square = (low["x0"], low["y0"], side)
+    n, m, wanted = size["n"], asked["n"], min(k, size["n"])
+
+    def sampled(df: DataFrame, rows: int, y: str, x: str) -> np.ndarray:
+        share = min(1.0, SAMPLE_ROWS / rows)
+        points = (df.sample(fraction=share, seed=7) if share < 1 else df).select(y, x).toArrow()
+        return np.sort(_coder(*square)(points[x].to_numpy(), points[y].to_numpy()))
+
+    # At most about SAMPLE_ROWS points of a side; they shape the tree, results don't depend on them.
+    codes = sampled(train, n, "__y", "__x")
+    most = max(1.0, LEAF_ROWS * len(codes) / n)
+    leaves = _split(*square, codes, most)
+    while len(leaves) > MAX_LEAVES:
+        most *= 1.5
+        leaves = _split(*square, codes, most)
+    starts = np.array([code for code, _ in leaves])
+    spark, coder = train.sparkSession, _coder(*square)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code = coder(batch.column("__x").to_numpy(), batch.column("__y").to_numpy())
+            leaf = np.searchsorted(starts, code, side="right") - 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf, pa.int32()), pa.array(code)], [*batch.schema.names, "leaf", "code"])
+
+    placed = T.StructType([*train.schema.fields]).add("leaf", T.IntegerType()).add("code", T.LongType())
+    points = materialise(train.mapInArrow(place, placed), "knn-leaves")
+    sums = points.groupBy("leaf").agg(F.min("__y"), F.max("__y"), F.min("__x"), F.max("__x"), F.count("*"))
+    box, rows = np.zeros((4, len(leaves))), np.zeros(len(leaves), np.int64)
+    for leaf, *edges, count in sums.collect():  # one row per leaf
+        box[:, leaf], rows[leaf] = edges, count
+    bounds, near_leaves = _candidates(box, rows, np.array([edges for _, edges in leaves]), wanted, 4 * side / 2**_BITS)
+    # How many queries a leaf gets is guessed from a sample; leaves with many are split over tasks.
+    of_sample = np.searchsorted(starts, sampled(queries, m, *_PLACE), side="right") - 1
+    homes = np.bincount(of_sample, minlength=len(starts)) * (m / max(len(of_sample), 1))
+    visits = np.zeros(len(starts))
+    for home, near in zip(homes, near_leaves, strict=True):
+        visits[near] += home
+    parts = np.ceil(np.maximum(visits, 1) / TASK_VISITS).astype(np.int32)
+    first = np.concatenate(([0], np.cumsum([len(x) for x in near_leaves])))
+    shared = spark.sparkContext.broadcast((starts, bounds, np.concatenate(near_leaves), first, box, rows, parts))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, bounds, near, first, box, rows, parts = shared.value
+        for batch in batches:
+            for i in range(0, len(batch), 4_096):
+                part = batch.slice(i, 4_096)
+                qy, qx = (part.column(c).to_numpy() for c in ("__qy", "__qx"))
+                home = np.searchsorted(starts, coder(qx, qy), side="right") - 1
+                each = first[home + 1] - first[home]
+                begin = np.concatenate(([0], np.cumsum(each)))
+                q = np.repeat(np.arange(len(home)), each)
+                leaf = near[np.arange(begin[-1]) - begin[q] + first[home][q]]
+                y0, y1, x0, x1 = box[:, leaf]
+                far = np.maximum(qy[q] - y0, y1 - qy[q]) ** 2 + np.maximum(qx[q] - x0, x1 - qx[q]) ** 2
+                limit = np.minimum.reduceat(np.where(rows[leaf] >= wanted, far, np.inf), begin[:-1])
+                limit = np.minimum(limit, bounds[home])
+                apart = np.maximum(0, np.maximum(y0 - qy[q], qy[q] - y1)) ** 2 + np.maximum(0, np.maximum(x0 - qx[q], qx[q] - x1)) ** 2
+                kept = np.flatnonzero(apart <= limit[q])
+                q, leaf = q[kept], leaf[kept]
+                some = part.take(pa.array(q))
+                share = (some.column("__query").to_numpy() * 2654435761 >> 16) % parts[leaf]
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, pa.array(limit[q]), pa.array(leaf, pa.int32()), pa.array(share, pa.int32())],
+                    [*some.schema.names, "limit", "leaf", "part"],
+                )
+
+    visiting = queries.mapInArrow(route, f"{_ROW} long, __qy double, __qx double, limit double, leaf int, part int")
+    split = F.array(*(F.struct(F.lit(int(i)).alias("leaf"), F.lit(int(parts[i])).alias("parts")) for i in np.flatnonzero(parts > 1)))
+    held = points
+    if (parts > 1).any():
+        of = F.filter(split, lambda s: s["leaf"] == F.col("leaf"))
+        held = points.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce(F.get(of, 0)["parts"], F.lit(1)) - 1)))
+    else:
+        held = points.withColumn("part", F.lit(0))
+    block_rows, cells, out = BLOCK_ROWS, 1_000_000, [f.name for f in train.schema.fields]
+
+    def search(asked: pa.Table, held: pa.Table) -> pa.Table:
+        held = held.sort_by("code")
+        y, x = held["__y"].to_numpy(), held["__x"].to_numpy()
+        order = np.empty(len(held), np.int64)
+        order[pc.sort_indices(held["__id"]).to_numpy()] = np.arange(len(held))
+        at = np.arange(0, len(held), block_rows)
+        size = np.diff(np.append(at, len(held)))
+        edges = [f.reduceat(v, at) for v in (y, x) for f in (np.minimum, np.maximum)] if len(at) else []
+        qy, qx, limit = (asked[c].to_numpy() for c in ("__qy", "__qx", "limit"))
+        whose, which, gaps = [], [], []
+        step = max(1, cells // max(len(at), 1)) if len(at) else len(asked) + 1
+        for i in range(0, len(asked) if len(at) else 0, step):
+            a, b, top = qy[i : i + step, None], qx[i : i + step, None], limit[i : i + step]
+            y0, y1, x0, x1 = edges
+            far = np.maximum(a - y0, y1 - a) ** 2 + np.maximum(b - x0, x1 - b) ** 2
+            top = np.minimum(top, np.where(size >= wanted, far, np.inf).min(axis=1))
+            near = np.maximum(0, np.maximum(y0 - a, a - y1)) ** 2 + np.maximum(0, np.maximum(x0 - b, b - x1)) ** 2
+            q, block = np.nonzero(near <= top[:, None])
+            p = np.repeat(at[block], size[block]) + np.concatenate([np.arange(s) for s in size[block]] or [at[:0]])
+            q = np.repeat(q, size[block])
+            d = (a[q, 0] - y[p]) * (a[q, 0] - y[p]) + (b[q, 0] - x[p]) * (b[q, 0] - x[p])
+            kept = np.flatnonzero(d <= top[q])
+            q, p, d = q[kept], p[kept], d[kept]
+            by = np.lexsort((order[p], d, q))
+            q, p, d = q[by], p[by], d[by]
+            rank = np.arange(len(q)) - np.searchsorted(q, q)
+            best = np.flatnonzero(rank < k)
+            whose.append(q[best] + i)
+            which.append(p[best])
+            gaps.append(d[best])
+        none = [np.empty(0, np.int64)]
+        rows_of, points_of = (pa.array(np.concatenate(x or none)) for x in (whose, which))
+        found = asked.select(["__query", "__qy", "__qx"]).take(rows_of)
+        for c in out:
+            found = found.append_column(c, held[c].take(points_of))
+        return found.append_column("__d", pa.array(np.concatenate(gaps or [np.empty(0)])))
+
+    made = T.StructType([*queries.schema.fields, *train.schema.fields]).add("__d", T.DoubleType())
+    by_leaf = visiting.groupBy("leaf", "part").cogroup(held.groupBy("leaf", "part"))
+    found = _ranked(by_leaf.applyInArrow(search, made), k)
+    return _by_haversine(found, train, k, carry) if metric == "haversine" else found
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    nearest = Window.partitionBy(_ROW).orderBy("__d", "__id")
+    return found.withColumn("__rank", F.row_number().over(nearest)).filter(F.col("__rank") <= k)
 
 
 def pairs_in_reach(
@@ -263,10 +262,8 @@ def _by_haversine(found: DataFrame, points: DataFrame, k: int, carry: tuple[str,
     """The k nearest on the sphere, from the k nearest in the plane: the farthest of those bounds how far
     any of the k can be."""
     reach = F.max(haversine_m("__y", "__x", "__qy", "__qx")).alias("__reach")
-    near = pairs_in_reach(found.groupBy(*_PLACE).agg(reach), points, ("__qy", "__qx"), ("__y", "__x"))
-    order = Window.partitionBy(*_PLACE).orderBy("__d", "__id")
-    ranked = near.withColumnRenamed("__gap", "__d").withColumn("__rank", F.row_number().over(order))
-    return ranked.filter(F.col("__rank") <= k).select(*_PLACE, "__id", *carry, "__d", "__rank")
+    near = pairs_in_reach(found.groupBy(_ROW, *_PLACE).agg(reach), points, ("__qy", "__qx"), ("__y", "__x"))
+    return _ranked(near.withColumnRenamed("__gap", "__d"), k).select(_ROW, *_PLACE, "__id", *carry, "__d", "__rank")
 
 
 def _scale(metric: str, lon_scale: float) -> float:
@@ -276,15 +273,16 @@ def _scale(metric: str, lon_scale: float) -> float:
 
 
 def _planar(df: DataFrame, lat: str, lon: str, lon_scale: float, y: str, x: str) -> DataFrame:
-    return df.selectExpr(
-        "*", f"CAST(`{lat}` AS DOUBLE) AS {y}", f"CAST(`{lon}` AS DOUBLE) * {float(lon_scale)!r}D AS {x}"
-    )
+    """Coordinates as numbers; null for both if one is null or NaN."""
+    values = f"CAST(`{lat}` AS DOUBLE)", f"CAST(`{lon}` AS DOUBLE) * {float(lon_scale)!r}D"
+    there = " AND ".join(f"{v} IS NOT NULL AND NOT isnan({v})" for v in values)
+    return df.selectExpr("*", *(f"if({there}, {v}, NULL) AS {c}" for v, c in zip(values, (y, x), strict=True)))
 
 
-def _query_places(queries: DataFrame) -> DataFrame:
-    return queries.filter("__qy IS NOT NULL AND __qx IS NOT NULL").groupBy(*_PLACE).agg(
-        F.count("*").alias("__rows")
-    )
+def _asked(queries: DataFrame, coords: tuple[str, str], lon_scale: float, kept: list[str]) -> tuple[DataFrame, dict]:
+    """Queries as written, a number for each row, and their box."""
+    planar = _planar(queries, *coords, lon_scale, "__qy", "__qx").select(*kept, *_PLACE)
+    return _observed(planar.withColumn(_ROW, F.monotonically_increasing_id()), "__qy", "__qx", "knn-queries")
 
 
 def _train_points(
@@ -319,19 +317,24 @@ def knn_join(
 
     Exact for any spread of the points:
 
-    1. Queries collapse to distinct places; a place keeps the k smallest training ids.
-    2. Training points are counted per cell at every level of a grid of halving cells.
-    3. Every query starts at the finest level at which its cell and the eight around it hold k
-       points, which bounds the distance of the k-th, and keeps the occupied cells in that circle.
-    4. Cells are split down to the finest level; counts tighten the circle on the way.
-    5. Queries meet the points of the cells left. Spark keeps k candidates per query and task before
-       the shuffle that ranks them.
+    1. A place with many training rows keeps the k smallest ids.
+    2. A quad tree whose leaves hold about as many rows is shaped on a sample, at most ``MAX_LEAVES`` leaves; every
+       point is written with its leaf, and the leaves' boxes and rows are taken over all points.
+    3. A leaf's region and the other leaves' boxes and rows tell which leaves can matter to it. A query takes that
+       list of the leaf it lies in, tightens the bound with its own place and visits the leaves that the circle
+       touches: one round, whatever the spread. Leaves that many visit are split over tasks.
+    4. A task has one leaf and some of its visitors; there, blocks of points next to each other tighten the circle once
+       more. Each visit gives at most k points, and Spark ranks them by query.
+
+    Steps 3 and 4 are array arithmetic on Arrow batches: as array functions they are interpreted, which took ten times
+    as long. The tree, at most ``MAX_LEAVES`` rows and their lists, is all that is broadcast.
     """
     lon_scale = _scale(metric, lon_scale)
-    planar = _planar(queries, *query_coords, lon_scale, "__qy", "__qx").select(F.col(key), *_PLACE)
+    asked = _asked(queries, query_coords, lon_scale, [f"`{key}`"])
     points = _train_points(train, train_id, train_coords, lon_scale, carry)
-    found, places, fullest = _nearest_by_place(_query_places(planar), points, k, carry, metric)
-    return salted_join(planar, found, _PLACE, counts=places, at_most=fullest).select(
+    found = _nearest(*asked, points, k, carry, metric)
+    keyed = found.join(asked[0].select(_ROW, key), _ROW)
+    return keyed.select(
         key, F.col("__rank").alias("rank"), F.col("__id").alias(train_id), *carry,
         F.col("__d").alias("metres" if metric == "haversine" else "sq_distance"),
     )
@@ -352,14 +355,12 @@ def label_by_neighbours(
 ) -> DataFrame:
     """Query rows plus the label most of their k nearest training rows carry.
 
-    Ties go to the smallest label; a row without coordinates gets null. The vote runs once per place
-    and reuses the partitioning by place that ranking leaves.
+    Ties go to the smallest label; a row without coordinates gets null. The vote reuses the partitioning by query that
+    ranking leaves.
     """
     lon_scale = _scale(metric, lon_scale)
-    planar = _planar(queries, *query_coords, lon_scale, "__qy", "__qx")
+    asked = _asked(queries, query_coords, lon_scale, [f"`{c}`" for c in queries.columns])
     points = _train_points(train, train_id, train_coords, lon_scale, (label,))
-    found, places, fullest = _nearest_by_place(_query_places(planar), points, k, (label,), metric)
-    votes = found.groupBy(*_PLACE).agg(F.mode(label, deterministic=True).alias(output or label))
-    return salted_join(
-        planar, votes, _PLACE, how="left", counts=places, at_most=fullest
-    ).drop(*_PLACE)
+    found = _nearest(*asked, points, k, (label,), metric)
+    votes = found.groupBy(_ROW).agg(F.mode(label, deterministic=True).alias(output or label))
+    return asked[0].join(votes, _ROW, "left").drop(_ROW, *_PLACE)

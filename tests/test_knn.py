@@ -113,3 +113,30 @@ def test_haversine_neighbours(spark):
     assert named.filter("label IS NOT NULL").count() == len(asked)
     with pytest.raises(ValueError):
         knn_join(q, t, key="qid", train_id="tid", metric="city blocks")
+
+
+def test_small_trees_split_leaves_and_many_visits(spark, monkeypatch):
+    from cityloom.operators import knn
+
+    train = spread(500, 7)
+    queries = spread(150, 8) + [(1000 + i, 49.2601, -123.12, "") for i in range(60)]
+    want = brute(queries, train, 7)
+    for name, value in (("MAX_LEAVES", 3), ("TASK_VISITS", 20), ("SAMPLE_ROWS", 50), ("BLOCK_ROWS", 4)):
+        monkeypatch.setattr(knn, name, value)
+    assert neighbours(spark, queries, train, 7) == want
+
+
+def test_coordinates_that_are_no_numbers_have_no_neighbours(spark):
+    q = spark.createDataFrame([(0, float("nan"), 1.0), (1, 0.0, 0.0)], "qid int, lat double, lon double")
+    t = spark.createDataFrame([(1, 0.0, float("nan")), (2, 1.0, 1.0)], "tid int, latitude double, longitude double")
+    assert [(r["qid"], r["tid"]) for r in knn_join(q, t, key="qid", train_id="tid").collect()] == [(1, 2)]
+
+
+def test_few_jobs_whatever_the_spread(spark):
+    train = [(i, 49.0 + 10.0 ** -(i % 9), -123.0 - 10.0 ** -(i % 7) * (i % 11), "a") for i in range(400)]
+    q = spark.createDataFrame([r[:3] for r in train], "qid int, lat double, lon double")
+    t = spark.createDataFrame(train, "tid int, latitude double, longitude double, label string")
+    tracker = spark.sparkContext._jsc.sc().statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    knn_join(q, t, key="qid", train_id="tid").collect()
+    assert len(tracker.getJobIdsForGroup(None)) - before <= 18
