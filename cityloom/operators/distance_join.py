@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.geo import EARTH_RADIUS_M, Distance, SphereGrid
-from ..session import materialise, materialise_counted
-from .skew import salted_join
+from ..session import materialise, materialise_bucketed, materialise_counted
+from .skew import salted_join, salted_sides
 
 _BLOCK, _ROW, _CELL = "__block", "__row", "__cell"
 
@@ -51,6 +52,26 @@ def distance_join(
     split over tasks on both sides. Apart from the block the columns of the two sides must have
     different names.
     """
+    spread, repeated, on, columns = _sides(left, right, radius, left_coords, right_coords, block, distance)
+    return (
+        spread.join(repeated, on)
+        .withColumn(output, distance(*right_coords, *left_coords))
+        .filter(F.col(output) <= radius)
+        .select(*columns, output)
+    )
+
+
+def _sides(
+    left: DataFrame,
+    right: DataFrame,
+    radius: float,
+    left_coords: tuple[str, str],
+    right_coords: tuple[str, str],
+    block: str | None,
+    distance: Distance,
+) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
+    """The right side's points, the left side's rows in every cell they reach, the columns they meet on, and those of a
+    pair."""
     shared = set(left.columns) & set(right.columns) - {block}
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
@@ -67,13 +88,56 @@ def distance_join(
     def per_cell(df: DataFrame) -> DataFrame:
         return df.groupBy(*keys).agg(F.count("*").alias("__rows"))
 
-    return (
-        salted_join(
-            points, near, keys, counts=per_cell(points), build_counts=per_cell(near), total=n_points + 9 * n_places
-        )
-        .withColumn(output, distance(*right_coords, *left_coords))
-        .filter(F.col(output) <= radius)
-        .select(*left.columns, *(c for c in right.columns if c != block), output)
+    spread, repeated, on = salted_sides(
+        points, near, keys, per_cell(points), per_cell(near), n_points + 9 * n_places
+    )
+    return spread, repeated, on, [*left.columns, *(c for c in right.columns if c != block)]
+
+
+@dataclass(frozen=True)
+class RadiusLayout:
+    """Both sides of a radius join as written files, bucketed by block, cell and part of a hot cell: joins on them need
+    no exchange and no count, for any radius up to the one they were laid out for."""
+
+    points: DataFrame
+    near: DataFrame
+    on: tuple[str, ...]
+    columns: tuple[str, ...]
+    left_coords: tuple[str, str]
+    right_coords: tuple[str, str]
+    radius: float
+    distance: Distance
+
+    def pairs(self, radius: float | None = None, *, output: str = "distance_in_meters") -> DataFrame:
+        """All pairs at most ``radius`` apart (by default the layout's), with their distance."""
+        radius = self.radius if radius is None else radius
+        if radius > self.radius:
+            raise ValueError(f"laid out for at most {self.radius}")
+        joined = self.points.join(self.near.hint("merge"), list(self.on))
+        gap = self.distance(*self.right_coords, *self.left_coords)
+        return joined.withColumn(output, gap).filter(F.col(output) <= radius).select(*self.columns, output)
+
+    def counts(self, by: Sequence[str], radius: float | None = None, output: str = "n") -> DataFrame:
+        """Number of pairs per group."""
+        return self.pairs(radius, output="__gap").groupBy(*by).agg(F.count("*").alias(output))
+
+
+def lay_out(
+    left: DataFrame,
+    right: DataFrame,
+    radius: float,
+    *,
+    left_coords: tuple[str, str] = ("lat", "lon"),
+    right_coords: tuple[str, str] = ("latitude", "longitude"),
+    block: str | None = "neighbourhood",
+    distance: Distance = Distance(),
+) -> RadiusLayout:
+    """Write both sides of ``distance_join`` so that it can be run many times. The cells are those of ``radius``; a much
+    smaller radius compares more pairs than its own layout would. Arguments are those of ``distance_join``."""
+    spread, repeated, on, columns = _sides(left, right, radius, left_coords, right_coords, block, distance)
+    return RadiusLayout(
+        materialise_bucketed(spread, on, "layout-points"), materialise_bucketed(repeated, on, "layout-near"), tuple(on),
+        tuple(columns), left_coords, right_coords, radius, distance,
     )
 
 

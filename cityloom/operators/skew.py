@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType, MapType, VariantType
+from pyspark.sql.types import DataType, DoubleType, FloatType, MapType, VariantType
+
+from ..session import materialise, materialise_counted
 
 # Rows of one key that one task takes of a side. Where both sides are counted the limit is that for
 # pairs, as a task then compares up to its square.
@@ -13,6 +17,8 @@ TASK_ROWS = 1_000_000
 TASK_SIDE = 15_000
 # Most keys that are treated as hot; beyond that the limit rises with the data. Bounds the broadcast.
 MAX_HOT_KEYS = 50_000
+# Up to so many rows, as counted, a table of one row per key is broadcast.
+SMALL_ROWS = 100_000
 
 
 def _limit(total: Column | int, side: int) -> Column:
@@ -93,6 +99,19 @@ def salted_join(
         counts = probe.groupBy(*keys).agg(F.count("*").alias("__rows"))
     if build_counts is not None and how != "inner":
         raise ValueError("both sides are spread for inner joins only")
+    spread, repeated, on = salted_sides(probe, build, keys, counts, build_counts, total)
+    return spread.join(repeated, on, how).drop("__salt", "__other")
+
+
+def salted_sides(
+    probe: DataFrame,
+    build: DataFrame,
+    keys: Sequence[str],
+    counts: DataFrame,
+    build_counts: DataFrame | None = None,
+    total: int | None = None,
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of a salted join with their parts, and the columns to join them on."""
     hot = F.broadcast(hot_keys(counts, keys, build_counts, total))  # at most 2 * MAX_HOT_KEYS rows
     parts = F.coalesce("__parts", F.lit(1))
     others = F.coalesce("__build_parts", F.lit(1))
@@ -105,7 +124,7 @@ def salted_join(
         repeated = repeated.withColumn("__other", _salt(build, others))
         on.append("__other")
     extra = ["__parts", "__build_parts"]
-    return spread.drop(*extra).join(repeated.drop(*extra), on, how).drop("__salt", "__other")
+    return spread.drop(*extra), repeated.drop(*extra), on
 
 
 def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -124,7 +143,58 @@ def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFram
     return df.join(small, same).select(*(df[c] for c in df.columns), *(small[c] for c in extra))
 
 
+def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], *, counts: DataFrame | None = None) -> DataFrame:
+    """Null-safe left join of every row of ``df`` with ``table``, which has one row per key: ``df``'s columns, then the
+    others of ``table`` (null where it lacks the key).
+
+    Keys take the type both sides share, so that an integer meets its decimal; nulls match nulls, NaN matches NaN, both
+    zeros are one key. The table is written and counted: up to ``SMALL_ROWS`` rows it is broadcast, beyond that rows of
+    hot keys are spread over parts and their row of the table is repeated once per part. ``counts`` (keys and ``__rows``)
+    has the rows of ``df`` per key, and is counted if it is not given.
+    """
+    extra = [c for c in table.columns if c not in keys]
+    if clash := set(extra) & set(df.columns):
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
+    table, n = materialise_counted(table, "attach")
+
+    def normal(of: DataFrame) -> DataFrame:
+        """The keys, in the common type, under names of their own."""
+        types = [df.select(F.col(f"`{k}`")).unionByName(table.select(F.col(f"`{k}`"))).schema[0].dataType for k in keys]
+        plain = []
+        for k, kind in zip(keys, types, strict=True):
+            c = F.col(f"`{k}`").cast(kind)
+            plain.append(c + F.lit(0.0).cast(kind) if isinstance(kind, (FloatType, DoubleType)) else c)
+        return of.withColumns({f"__key{i}": c for i, c in enumerate(plain)})
+
+    names = [f"__key{i}" for i in range(len(keys))]
+
+    def same(a: DataFrame, b: DataFrame, also: Sequence[str] = ()) -> Column:
+        pairs = [a[c].eqNullSafe(b[c]) for c in names] + [a[c] == b[c] for c in also]
+        return reduce(and_, pairs, F.lit(True))
+
+    left, right = normal(df), normal(table).select(*names, *(F.col(f"`{c}`") for c in extra))
+    kept = [left[f"`{c}`"] for c in df.columns]
+    if n <= SMALL_ROWS:
+        right = F.broadcast(right)
+        return left.join(right, same(left, right), "left").select(*kept, *(right[f"`{c}`"] for c in extra))
+    counts = normal(counts if counts is not None else df.groupBy(*keys).agg(F.count("*").alias("__rows"))).select(*names, "__rows")
+    hot = hot_keys(counts, names).select(*(F.col(c).alias(f"__hot{c}") for c in names), "__parts")
+    hot = F.broadcast(hot)  # at most MAX_HOT_KEYS rows
+
+    def with_parts(of: DataFrame) -> DataFrame:
+        is_hot = reduce(and_, [of[c].eqNullSafe(hot[f"__hot{c}"]) for c in names], F.lit(True))
+        return of.join(hot, is_hot, "left").drop(*(f"__hot{c}" for c in names))
+
+    parts = F.coalesce("__parts", F.lit(1))
+    spread = with_parts(left).withColumn("__salt", _salt(left, parts)).drop("__parts")
+    repeated = with_parts(right).withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    return spread.join(repeated, same(spread, repeated, ["__salt"]), "left").select(
+        *(spread[f"`{c}`"] for c in df.columns), *(repeated[f"`{c}`"] for c in extra)
+    )
+
+
 def attach_group_counts(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataFrame:
-    """Add to every row the number of rows that share its keys, from pre-aggregated counts."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias(name))
-    return join_small(df, counts, keys)
+    """Add to every row the number of rows that share its keys, from pre-aggregated counts. ``df`` is read twice: give a
+    written one."""
+    counts = materialise(df.groupBy(*keys).agg(F.count("*").alias(name)), "group-counts")
+    return attach(df, counts, keys, counts=counts.withColumnRenamed(name, "__rows"))

@@ -69,3 +69,17 @@ def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     seen = Observation()
     made = materialise(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
     return made, seen.get["n"]
+
+
+def materialise_bucketed(df: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """``materialise``, with rows dealt to files by ``keys`` and sorted by them: what joins or groups by these keys
+    later needs no exchange. There are as many buckets as shuffle partitions."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"cityloom_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.option("path", scratch_path(spark, label)).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    made = spark.table(name)
+    made.schema  # resolved before the name goes; the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return made

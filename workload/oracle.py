@@ -283,6 +283,14 @@ def _build() -> dict[str, str]:
         "FROM pairs GROUP BY category, crime_type",
         "contingency_all": f"{_table(V.INCIDENT_TYPES)} SELECT category, crime_type, n FROM tab",
         "contingency_petty": f"{_table(V.PETTY_TYPES)} SELECT category, crime_type, n FROM tab",
+        "near_pairs_bucketed": f"{_PAIRS} SELECT amnt_id, c_id, CAST({V.RADIUS_M} AS INTEGER) AS radius FROM pairs UNION ALL "
+        f"SELECT amnt_id, c_id, CAST({V.RADIUS_M / 2} AS INTEGER) FROM pairs WHERE gap <= {V.RADIUS_M / 2}",
+        "near_counts_rows": f"{_PAIRS} SELECT amnt_id, c_id, category, crime_type, count FROM (SELECT *, "
+        "CAST(count(*) OVER (PARTITION BY category, crime_type) AS BIGINT) AS count, "
+        "row_number() OVER (PARTITION BY category, crime_type ORDER BY amnt_id, c_id) AS pos FROM pairs) WHERE pos = 1",
+        "incidents_with_counts": f"{_CLEAN} SELECT c_id, type, neighbourhood, "
+        "CAST(count(*) OVER (PARTITION BY type, neighbourhood) AS BIGINT) AS n_alike FROM inc",
+        "first_incident_per_place": f"{_CLEAN} SELECT min(c_id) AS c_id, type, neighbourhood FROM inc GROUP BY type, neighbourhood",
         "contingency_scaled": f"{_table(V.INCIDENT_TYPES, pairs=_SCALED_PAIRS)} SELECT category, crime_type, n FROM full_table",
         "contingency_wide": f"{_PAIRS} SELECT category, {wide} FROM pairs GROUP BY category",
         "contingency_min_support": f"{_table(V.INCIDENT_TYPES, MIN_SUPPORT)} SELECT category, crime_type, n FROM tab",

@@ -16,12 +16,14 @@ from cityloom.operators.clusters import (
 )
 from cityloom.operators.contingency import chi_square, contingency, pivot_contingency, supported_rows
 from cityloom.operators.density import density_histogram, kernel_density
-from cityloom.operators.distance_join import count_within, summarise_pairs
+from cityloom.operators.dedupe import keep_one
+from cityloom.operators.distance_join import count_within, lay_out, summarise_pairs
 from cityloom.operators.indexing import dense_id, stable_id
 from cityloom.operators.shares import cluster_shares, scale_by_category
+from cityloom.operators.skew import attach_group_counts
 from cityloom.plans.neighbourhoods import label_places, labelling_scores
 from cityloom.plans.relation import near_counts, near_pairs
-from cityloom.session import scratch_path
+from cityloom.session import materialise, scratch_path
 from cityloom.sources import tables, xml
 
 from . import fixtures as fx
@@ -260,6 +262,34 @@ def near_counts_attached(spark: SparkSession, sf: str) -> DataFrame:
     return near_counts(places(spark, sf), incidents(spark, sf)).withColumnRenamed("n", "count")
 
 
+def near_pairs_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs within two radii from one stored layout."""
+    left = places(spark, sf).select("amnt_id", "lat", "lon", "neighbourhood")
+    right = incidents(spark, sf).select("c_id", "latitude", "longitude", "neighbourhood")
+    layout = lay_out(left, right, V.RADIUS_M)
+    both = [layout.pairs(r).select("amnt_id", "c_id", F.lit(int(r)).alias("radius")) for r in (V.RADIUS_M, V.RADIUS_M / 2)]
+    return both[0].unionByName(both[1])
+
+
+def incidents_with_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every incident with the number of incidents of its type and neighbourhood."""
+    rows = materialise(incidents(spark, sf).select("c_id", "type", "neighbourhood"), "incidents")
+    return attach_group_counts(rows, ["type", "neighbourhood"], "n_alike")
+
+
+def near_counts_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs with the count of their category and type, one row of each: the pair with the smallest ids."""
+    pairs = near_pairs(places(spark, sf), incidents(spark, sf)).select("amnt_id", "c_id", "category", "crime_type")
+    counted = attach_group_counts(materialise(pairs, "pairs"), ["category", "crime_type"])
+    return keep_one(counted, ["category", "crime_type", "count"], ["amnt_id", "c_id"])
+
+
+def first_incident_per_place(spark: SparkSession, sf: str) -> DataFrame:
+    """One incident per type and neighbourhood: the smallest id."""
+    rows = incidents(spark, sf).select("c_id", "type", "neighbourhood")
+    return keep_one(rows, ["type", "neighbourhood"], ["c_id"])
+
+
 # Tables and tests
 
 
@@ -438,6 +468,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "near_counts": near_counts_by_type,
     "near_counts_unblocked": near_counts_unblocked,
     "near_counts_attached": near_counts_attached,
+    "near_pairs_bucketed": near_pairs_bucketed,
+    "near_counts_rows": near_counts_rows,
+    "incidents_with_counts": incidents_with_counts,
+    "first_incident_per_place": first_incident_per_place,
     "contingency_all": contingency_all,
     "contingency_petty": contingency_petty,
     "contingency_scaled": contingency_scaled,
