@@ -24,7 +24,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import materialise_by, ship
+from .common import materialise_by, parts_for, ship
 from .subwords import word_encoder
 from .wordpiece import byte_alphabet
 
@@ -35,7 +35,8 @@ UNIT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 
 # Characters of text per block: what one task holds at a time.
 BLOCK_CHARS = 16_000_000
-BUCKETS = 256
+# Parts that the distinct words of all blocks are dealt to: at least LEAST_BUCKETS, more for more text.
+LEAST_BUCKETS, BUCKET_BYTES = 256, 128_000_000
 _WORDS_SCHEMA = "block string, bucket int, payload binary"
 
 
@@ -127,17 +128,20 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     block_chars: int = BLOCK_CHARS,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``id_col, ids`` (array of int): one row per row of ``docs``, ids as the tokenizers library gives
     them for the whole text with ``add_special_tokens=False``, without truncation or padding.
 
     Null and empty texts have no ids; ids of documents may be null or repeated, each row has its own result;
     other columns are dropped. A text is never cut, so one longer than ``block_chars`` is a block by itself.
-    ``buckets`` parts hold the distinct words of the corpus; raise it with the corpus. The tokenizer file must
-    be found at the same path on all executors.
+    The distinct words of the corpus are dealt to ``buckets`` parts, by default one for ``BUCKET_BYTES`` of text. The
+    tokenizer file must be found at the same path on all executors.
     """
     ship(docs.sparkSession)
+    if buckets is None:
+        size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")))).first()[0] or 0
+        buckets = parts_for(size, BUCKET_BYTES, LEAST_BUCKETS)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 

@@ -94,11 +94,24 @@ def _json_path(path: str) -> str:
     return "$." + path.replace("[]", "[0]")
 
 
+def _held(record: Column, path: str) -> Column:
+    """Whether a JSON record has a path. A key with the value null is there; a path through a list is, if any of its
+    elements has the key or the list has no elements."""
+    if "[]." not in path:
+        top, _, rest = path.rpartition(".")
+        of = F.get_json_object(record, f"$.{top}") if top else record
+        return F.coalesce(F.array_contains(F.json_object_keys(of), rest), F.lit(False))
+    listed, key = path.split("[].")
+    items = F.from_json(F.get_json_object(record, f"$.{listed}"), "array<map<string,string>>")
+    some = F.exists(items, lambda m: F.coalesce(F.map_contains_key(m, key), F.lit(False)))
+    return F.coalesce(some | (F.size(items) == 0), F.lit(False))
+
+
 def json_layout(record: Column, layouts: Sequence[Layout] = LAYOUTS) -> Column:
-    """The layout name of each JSON record, by the fingerprint of the known paths it holds (a path whose
-    value is JSON null does not count). A record with paths of several layouts has the one with the most paths
+    """The layout name of each JSON record, by the fingerprint of the known paths it holds: keys count whatever their
+    value, and one element of a list is enough. A record with paths of several layouts has the one with the most paths
     that are all there, the first of equals; null where there is none."""
-    held = {p: F.get_json_object(record, _json_path(p)).isNotNull() for p in _known_paths(layouts)}
+    held = {p: _held(record, p) for p in _known_paths(layouts)}
     hashed = F.sha2(F.concat_ws("\n", *(F.when(there, F.lit(p)) for p, there in held.items())), 256)
     pairs = [F.lit(x) for pair in _choices(layouts).items() for x in pair]
     whole = [
@@ -108,38 +121,62 @@ def json_layout(record: Column, layouts: Sequence[Layout] = LAYOUTS) -> Column:
     return F.coalesce(F.create_map(*pairs)[hashed], *whole)
 
 
-def _turn(layout: Layout) -> Callable[[Column], Column]:
-    return lambda m: F.struct(m[layout.role].alias("role"), m[layout.text].alias("text"))
+_TURNS = "array<struct<role:string,text:string>>"
 
 
-def json_turns(records: DataFrame, id_col: str, json_col: str, layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
-    """Turns (``conv_id, turn, role, text``) of JSON records in different layouts.
+def _turns(layout: Layout, at: Callable[[str], Column | None], items: Column | None) -> Column:
+    """The turns of one record: those of its list, or its parts; ``at`` gives the text at a path, None for a path that
+    is not there."""
+    if layout.list_path:
+        made = F.transform(items, lambda m: F.struct(m[layout.role].alias("role"), m[layout.text].alias("text")))
+        return made.cast(_TURNS)
+    parts = []
+    for role, paths in layout.parts:
+        texts = [c.cast("string") for c in map(at, paths) if c is not None]
+        if texts:
+            some = F.coalesce(*texts).isNotNull()
+            parts.append(F.when(some, F.struct(F.lit(role).alias("role"), F.concat_ws("\n\n", *texts).alias("text"))))
+    return F.filter(F.array(*parts), lambda m: m.isNotNull()).cast(_TURNS)
 
-    A record that is null, no JSON or in no known layout gives no turns. Parts that are missing or null
-    give no turn. Other columns are not carried over, whatever their names.
-    """
-    record = F.col(f"`{json_col}`")
-    rows = records.select(F.col(f"`{id_col}`").alias("conv_id"), record.alias("record"))
+
+def _listed(rows: DataFrame) -> DataFrame:
+    found = rows.select("conv_id", F.posexplode("turns").alias("turn", "t"))
+    return found.select("conv_id", F.col("turn").cast("long"), canonical_role(F.col("t.role")).alias("role"), "t.text")
+
+
+def _json_rows(records: DataFrame, id_col: str, json_col: str, layouts: Sequence[Layout]) -> DataFrame:
+    rows = records.select(F.col(f"`{id_col}`").alias("conv_id"), F.col(f"`{json_col}`").alias("record"))
     rows = rows.withColumn("layout", json_layout(F.col("record"), layouts))
-    record, turn_type = F.col("record"), "array<struct<role:string,text:string>>"
-    ways: Column = F.lit(None).cast(turn_type)
+    record, ways = F.col("record"), F.lit(None).cast(_TURNS)
     for x in layouts:
-        if x.list_path:
+        if x.list_path or x.parts:
             element = f"array<struct<`{x.role}`:string,`{x.text}`:string>>"
-            items = F.from_json(F.get_json_object(record, f"$.{x.list_path}"), element)
-            turns = F.transform(items, _turn(x))
-        elif x.parts:
-            made = []
-            for role, paths in x.parts:
-                said = F.concat_ws("\n\n", *(F.get_json_object(record, _json_path(p)) for p in paths))
-                some = F.coalesce(*(F.get_json_object(record, _json_path(p)) for p in paths)).isNotNull()
-                made.append(F.when(some, F.struct(F.lit(role).alias("role"), said.alias("text"))))
-            turns = F.filter(F.array(*made), lambda m: m.isNotNull())
-        else:
-            continue
-        ways = F.when(F.col("layout") == x.name, turns.cast(turn_type)).otherwise(ways)
-    found = rows.withColumn("turns", ways).select("conv_id", F.posexplode("turns").alias("turn", "t"))
-    return found.select("conv_id", F.col("turn").cast("long"), canonical_role(F.col("t.role")).alias("role"), "t.text")
+            items = F.from_json(F.get_json_object(record, f"$.{x.list_path}"), element) if x.list_path else None
+            turns = _turns(x, lambda p: F.get_json_object(record, f"$.{p}"), items)
+            ways = F.when(F.col("layout") == x.name, turns).otherwise(ways)
+    return rows.withColumn("turns", ways)
+
+
+def json_turns(records: DataFrame, id_col: str, json_col: str, layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
+    """Turns (``conv_id, turn, role, text``) of JSON records in different layouts.
+
+    A message of a list is a turn whatever it lacks: its role or text is then null. A part that is missing or null gives
+    no turn, the other parts of the record do. Records that are null, no JSON, in no known layout or without any turn
+    give none; :func:`json_remainder` counts them. Other columns are not carried over, whatever their names.
+    """
+    return _listed(_json_rows(records, id_col, json_col, layouts))
+
+
+def json_remainder(records: DataFrame, id_col: str, json_col: str, layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
+    """``reason, n``: how many records give no turn, and why: ``null``, ``no object``, ``no layout``, ``no turns``."""
+    rows = _json_rows(records, id_col, json_col, layouts)
+    reason = (
+        F.when(F.col("record").isNull(), "null")
+        .when(F.json_object_keys("record").isNull(), "no object")
+        .when(F.col("layout").isNull(), "no layout")
+        .when(F.coalesce(F.size("turns"), F.lit(0)) <= 0, "no turns")
+    )
+    return rows.groupBy(reason.alias("reason")).agg(F.count("*").alias("n")).filter("reason IS NOT NULL")
 
 
 def canonical_role(role: Column) -> Column:
@@ -148,15 +185,16 @@ def canonical_role(role: Column) -> Column:
 
 
 def table_turns(rows: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """Turns of a table whose schema has a known layout. Raises ``ValueError`` for any other schema."""
+    """Turns of a table whose schema has a known layout, the same for all rows: a message of a list is a turn whatever it
+    lacks, a part that is null gives none. Raises ``ValueError`` for any other schema."""
     layout = layout_of(rows.schema)
     if layout is None:
         raise ValueError("no layout has the fingerprint of this schema")
     if layout.name == "turn_rows":
         return rows.select("conv_id", "turn", "role", "text")
-    fields = [p.split("[]")[0] for p in (*layout.paths, *layout.optional)]
-    held = [c for c in dict.fromkeys(fields) if c in rows.columns]
-    return json_turns(rows.select(id_col, F.to_json(F.struct(*held)).alias("record")), id_col, "record")
+    there = set(schema_paths(rows.schema))
+    turns = _turns(layout, lambda p: F.col(p) if p in there else None, F.col(layout.list_path) if layout.list_path else None)
+    return _listed(rows.select(F.col(f"`{id_col}`").alias("conv_id"), turns.alias("turns")))
 
 
 def escape(text: Column) -> Column:

@@ -5,14 +5,19 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
+from ..session import materialise_counted
 from .common import materialise
 
 _NO_VALUE = "(none)"
 # Sweeps and tolerance of the rounds in which cells are still being held, and of the last.
 _COARSE, _FINE = (6, 1e-2), (20, 1e-9)
+# Up to so many cells, as counted, are fitted in one task, a round of sweeps per job; more are in rounds of joins.
+CELLS_IN_ONE_TASK = 20_000
 _LOG = logging.getLogger(__name__)
 
 
@@ -113,6 +118,72 @@ def fill(cells: DataFrame, targets: Mapping[str, DataFrame], budget: float) -> D
         state = state.join(again, dims, "left").withColumn("weight", F.coalesce("__weight", "weight")).drop("__weight", "new")
 
 
+def _sweep(cells: DataFrame, dims: list[str], weight: str, aims: Mapping[str, Column], sweeps: int) -> DataFrame:
+    """Sweeps over cells that are in one partition: windows need no exchange there. Cells of weight 0 stay so."""
+    for _ in range(sweeps):
+        for d in dims:
+            whole = F.sum(weight).over(Window.partitionBy(d))
+            cells = cells.withColumn(weight, F.when(whole > 0, F.col(weight) * aims[d] / whole).otherwise(F.lit(0.0)))
+    return cells
+
+
+def _fill_few(cells: DataFrame, targets: Mapping[str, DataFrame], budget: float) -> DataFrame:
+    """:func:`fill` for at most ``CELLS_IN_ONE_TASK`` cells: the same rounds, each one job over one partition. What the
+    driver learns of a round is counted as it is written."""
+    dims = list(targets)
+    state = cells
+    for d in dims:
+        state = state.join(F.broadcast(targets[d].withColumnRenamed("target", f"t_{d}")), d, "left")
+    state = materialise(state.coalesce(1), "mix-few")  # CELLS_IN_ONE_TASK rows at most
+    everywhere = Window.partitionBy()
+    there = reduce(and_, (F.coalesce(F.col(f"t_{d}") > 0, F.lit(False)) for d in dims), F.col("tokens") > 0)
+    state = state.coalesce(1).withColumns({"there": there, "held": F.lit(False)})
+    state = state.withColumns({
+        "weight": F.when(F.col("there"), F.col("tokens").cast("double")).otherwise(0.0),
+        "goal": F.sum(F.when(F.col("there"), F.col("tokens"))).over(everywhere) * F.lit(float(budget)),
+    })
+    for d in dims:  # what each value is to give; a value's target counts once
+        of_value = F.sum(F.col("there").cast("int")).over(Window.partitionBy(d))
+        state = state.withColumn("part", F.when(F.col("there"), F.col(f"t_{d}") / of_value))
+        state = state.withColumn(f"aim_{d}", F.col(f"t_{d}") / F.sum("part").over(everywhere) * F.col("goal"))
+    state = _sweep(state, dims, "weight", {d: F.col(f"aim_{d}") for d in dims}, _COARSE[0])
+    effort = _COARSE
+    while True:
+        full = ~F.col("held") & (F.col("weight") > 0) & (F.col("weight") >= F.col("tokens") * (1 - 1e-9))
+        state = state.withColumn("new", full).withColumn("held", F.col("held") | F.col("new"))
+        state = state.withColumn("weight", F.when(F.col("held"), F.col("tokens").cast("double")).otherwise(F.col("weight")))
+        seen = Observation()
+        state = materialise(state.observe(
+            seen, F.count_if("new").alias("new"), F.count_if(~F.col("held") & (F.col("weight") > 0)).alias("free")
+        ), "mix-round")
+        n_new, n_free = (seen.get[c] for c in ("new", "free"))
+        if not n_free or (not n_new and effort == _FINE):
+            return state.select(*cells.columns, "weight")
+        effort = _COARSE if n_new else _FINE
+        free = F.when(F.col("held"), 0.0).otherwise(F.col("weight"))
+        state = state.coalesce(1).withColumns({
+            "free": free, "kept": F.when(F.col("held"), F.col("weight")).otherwise(0.0)
+        })
+        state = state.withColumn("left", F.col("goal") - F.sum("kept").over(everywhere))
+        aims = {}
+        for d in dims:
+            of_value = Window.partitionBy(d)
+            state = state.withColumns({
+                f"f_{d}": F.sum("free").over(of_value), f"k_{d}": F.sum("kept").over(of_value),
+                f"n_{d}": F.count_if(F.col("free") > 0).over(of_value),
+            })
+            # Below what they weigh now the free cells of a value never go.
+            rest = F.when(F.col(f"f_{d}") > 0, F.greatest(F.col(f"aim_{d}") - F.col(f"k_{d}"), f"f_{d}"))
+            state = state.withColumn(f"rest_{d}", rest)
+            each = F.when(F.col("free") > 0, F.col(f"rest_{d}") / F.col(f"n_{d}"))
+            state = state.withColumn(f"rest_{d}", F.col(f"rest_{d}") / F.sum(each).over(everywhere) * F.col("left"))
+            aims[d] = F.col(f"rest_{d}")
+        state = _sweep(state, dims, "free", aims, effort[0])
+        state = state.withColumn("weight", F.when(F.col("held"), F.col("weight")).otherwise(F.col("free"))).drop(
+            "free", "kept", "left", "new", *(f"{x}_{d}" for d in dims for x in ("f", "k", "n", "rest"))
+        )
+
+
 def report(mixed: DataFrame, dims: Mapping[str, Column], *, powers: Mapping[str, float] | None = None,
            targets: Mapping[str, DataFrame] | None = None, tokens: Column | None = None) -> DataFrame:
     """What the output of :func:`mix` comes to, with the same arguments: a row per dimension and value with
@@ -183,13 +254,14 @@ def mix(
     keyed = docs.withColumns({names[d]: F.coalesce(c.cast("string"), F.lit(_NO_VALUE)) for d, c in dims.items()})
     counted = n_words(F.col("text")) if tokens is None else tokens
     cells = keyed.select(*names.values(), counted.cast("long").alias("tokens"))
-    cells = materialise(cells.groupBy(*names.values()).agg(F.sum("tokens").alias("tokens")), "mix-cells")
+    cells, n_cells = materialise_counted(cells.groupBy(*names.values()).agg(F.sum("tokens").alias("tokens")), "mix-cells")
     aims = _aims(cells, dims, powers, targets)
     if budget is None:
         fitted = materialise(rake(cells, aims).withColumn("ratio", F.col("weight") / F.nullif("tokens", F.lit(0))), "mix-fit")
         chance = F.col("ratio") / fitted.agg(F.max("ratio")).scalar()
     else:
-        fitted = materialise(fill(cells, aims, budget), "mix-fit")
+        fit = _fill_few if n_cells <= CELLS_IN_ONE_TASK else fill
+        fitted = materialise(fit(cells, aims, budget), "mix-fit")
         chance = F.least(F.lit(1.0), F.col("weight") / F.nullif("tokens", F.lit(0)))
     rates = fitted.select(*names.values(), "tokens", F.coalesce(chance, F.lit(1.0)).alias("mix_probability"))
     rates = materialise(rates, "mix-rates")

@@ -145,7 +145,7 @@ def topic(text: Column) -> Column:
     )
 
 
-# Share of the tokens the corpus pipeline keeps.
+# Share of the tokens that is kept.
 MIX_BUDGET = 0.5
 
 
@@ -156,8 +156,7 @@ def mix_documents(docs: DataFrame, budget: float | None = MIX_BUDGET) -> DataFra
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    # Its SQL scales by the largest ratio.
-    return mix_documents(docs, budget=None).select(
+    return mix_documents(docs).select(
         "doc_id",
         "source",
         "lang",
@@ -168,48 +167,6 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def mix_sql(docs: str) -> str:
-    """Rows of the table ``docs`` with topic, tokens, probability and kept, as common table expressions
-    that end in ``mixed``."""
-    def target(dim: str) -> str:
-        return (
-            f"SELECT {dim}, p / sum(p) OVER () AS g FROM (SELECT {dim}, pow(sum(t), 0.7) AS p FROM cells "
-            f"GROUP BY {dim} HAVING sum(t) > 0)"
-        )
-
-    return f"""
-feats AS MATERIALIZED (
-  SELECT doc_id, source, lang, coalesce(source, '(none)') AS s, coalesce(lang, '(none)') AS l,
-    CASE WHEN contains(low, 'license') OR contains(low, 'copyright') THEN 'legal' WHEN contains(low, '@') THEN 'contact'
-      WHEN contains(low, ' | ') THEN 'table' WHEN length(low) < 500 THEN 'short' ELSE 'prose' END AS topic,
-    coalesce(len(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+')), 0) AS tokens
-  FROM (SELECT *, lower(coalesce(text, '')) AS low FROM {docs})
-),
-cells AS MATERIALIZED (SELECT s, l, topic, sum(tokens)::DOUBLE AS t FROM feats GROUP BY s, l, topic),
-goal AS MATERIALIZED (
-  SELECT c.s, c.l, c.topic, c.t, a.g AS gs, b.g AS gl, d.g AS gt FROM cells c JOIN ({target('s')}) a ON a.s = c.s
-  JOIN ({target('l')}) b ON b.l = c.l JOIN ({target('topic')}) d ON d.topic = c.topic WHERE c.t > 0
-),
-raked AS (
-  SELECT 0 AS k, s, l, topic, gs, gl, gt, t AS w FROM goal
-  UNION ALL
-  SELECT k + 1, s, l, topic, gs, gl, gt, w * gt / sum(w) OVER (PARTITION BY topic) FROM (
-    SELECT k, s, l, topic, gs, gl, gt, w * gl / sum(w) OVER (PARTITION BY l) AS w FROM (
-      SELECT k, s, l, topic, gs, gl, gt, w * gs / sum(w) OVER (PARTITION BY s) AS w FROM raked WHERE k < 40))
-),
-ratios AS (SELECT c.s, c.l, c.topic, r.w / c.t AS ratio FROM cells c LEFT JOIN raked r ON r.k = 40 AND r.s = c.s AND r.l = c.l AND r.topic = c.topic),
-mixed AS (
-  SELECT f.*, coalesce(ratio / (SELECT max(ratio) FROM ratios), 1.0) AS probability,
-    ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':mix'), 1, 13))::UBIGINT::DOUBLE / 4503599627370496
-      < coalesce(ratio / (SELECT max(ratio) FROM ratios), 1.0) AS kept
-  FROM feats f JOIN ratios r ON r.s = f.s AND r.l = f.l AND r.topic = f.topic
-)"""
-
-
-OP9_SQL = f"""WITH RECURSIVE {mix_sql('documents')}
-SELECT doc_id, source, lang, topic, tokens, round(probability, 3) AS probability, kept FROM mixed"""
-
-
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -292,4 +249,4 @@ QUERIES = {
     "op13_sharding": op13_sharding,
 }
 
-ORACLES = {"op1_chat_formatting": OP1_SQL, "op6_embedding_dedup": OP6_SQL, "op9_mixing": OP9_SQL}
+ORACLES = {"op1_chat_formatting": OP1_SQL, "op6_embedding_dedup": OP6_SQL}

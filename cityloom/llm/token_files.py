@@ -26,7 +26,7 @@ import xxhash
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import materialise, scratch_path, ship
 from .subwords import WordEncoder, word_encoder
@@ -151,6 +151,24 @@ class FrameReader:
             offset += size
 
 
+def shared_folder(spark: SparkSession, folder: str) -> str:
+    """``folder`` as an address that pyarrow takes for the same place as Spark does: without a scheme it lies in Spark's
+    default file system (pyarrow would take the executor's own disk), and Hadoop's names of S3 become ``s3``. Raises
+    ``ValueError`` for a scheme that pyarrow does not know, before any work."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    scheme = path.toUri().getScheme()
+    if scheme is None:
+        path = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path)
+        folder, scheme = path.toString(), path.toUri().getScheme()
+    if scheme == "file":
+        return f"file://{path.toUri().getPath()}"
+    if scheme in ("s3a", "s3n"):
+        return f"s3{folder.removeprefix(scheme)}"
+    if scheme not in ("hdfs", "s3", "gs", "abfs", "abfss", "viewfs"):
+        raise ValueError(f"token files can't be written to {scheme}: folders; give hdfs, s3, gs, abfs or file")
+    return folder
+
+
 def write_tokens(
     docs: DataFrame,
     tokenizer_path: str,
@@ -165,16 +183,16 @@ def write_tokens(
     manifest: ``shard, path, n_docs, n_tokens, n_frames, start`` (tokens in all shards before).
 
     The file must be one with word ends, that drops white space, as ``word_bpe_49k.json``.
-    Null ids come first; rows with equal ids are ordered by text. Null and empty texts hold ``end_id`` alone.
+    Null ids come first; rows with equal ids are ordered by a hash of their text, then by text. Null and empty texts hold ``end_id`` alone.
     Other columns are dropped. Documents are parted by ranges of id and text hash, so rows that repeat one id
     are spread too. Every attempt of a task writes a file of its own, and only files of attempts that Spark
     committed are in the manifest, which is what a reader goes by: files of lost attempts are never read.
-    ``folder`` is any place that pyarrow can write to from all executors (default: below the shared scratch
+    ``folder`` is any place that both Spark and pyarrow know (:func:`shared_folder`; default: below the shared scratch
     folder). An empty table gives an empty manifest.
     """
     spark = docs.sparkSession
     ship(spark)
-    target = folder or scratch_path(spark, "tokens")
+    target = shared_folder(spark, folder or scratch_path(spark, "tokens"))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     rows = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie", "text").select("id", "text")

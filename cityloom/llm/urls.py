@@ -46,7 +46,8 @@ def match_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     host and the hosts below it, if the path starts with the rule's. The list is written by hand, so it is
     part of the expression; of equally long ones the first in the list wins."""
     found = F.lit(None).cast("struct<rule:string,action:string>")
-    for r in sorted(rules, key=lambda r: len(r.name)):
+    # What comes later in the fold wins: longer rules, and of equally long ones the earlier in the list.
+    for r in sorted(reversed(rules), key=lambda r: len(r.name)):
         fits = ((host == r.host) | host.endswith(f".{r.host}")) & path.startswith(r.path)
         found = F.when(fits, F.struct(F.lit(r.name).alias("rule"), F.lit(r.action).alias("action"))).otherwise(found)
     return found
@@ -83,16 +84,18 @@ def _letters(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^\\p{L}]+"), lambda x: x != "")
 
 
-def segment_labels(labels: DataFrame, unigrams: DataFrame, max_word: int = 20, least_word: int = 3) -> DataFrame:
+def segment_labels(labels: DataFrame, unigrams: DataFrame) -> DataFrame:
     """``label`` and ``words`` (array): each distinct label cut by unigram Viterbi.
 
-    Every span of a label with ``least_word`` to ``max_word`` letters is looked up in ``unigrams`` (``word``,
-    ``n``) by a join, so the word list may be of any size; longer words stay whole only as unknown spans.
+    Every span of a label that has as many letters as some word of ``unigrams`` (``word``, ``n``) is looked up there by
+    a join, so the list may be of any size and its words of any length.
     """
     ship(labels.sparkSession)
+    # One number for each length that a word has.
+    sizes = sorted(r[0] for r in unigrams.select(F.length("word")).filter("word <> ''").distinct().collect())
     total = float(unigrams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] or 0) + 1.0
     spans = labels.withColumn("i", F.explode(F.sequence(F.lit(0), F.length("label") - 1))).withColumn(
-        "size", F.explode(F.sequence(F.lit(least_word), F.lit(max_word)))
+        "size", F.explode(F.array(*map(F.lit, sizes)).cast("array<int>"))
     )
     spans = spans.filter(F.col("i") + F.col("size") <= F.length("label")).withColumn(
         "word", F.substring("label", F.col("i") + 1, F.col("size"))
@@ -192,7 +195,7 @@ def judge_urls(
         ).alias("w"),
     )
     scored = words.join(weights, "word").groupBy("shape").agg(
-        F.sum("w").alias("w"), F.sort_array(F.collect_set("word")).alias("words")
+        F.sum("w").alias("w"), F.sort_array(F.collect_list("word")).alias("words")
     )
     log_odds = F.coalesce("w", F.lit(0.0)) + F.lit(start)
     rule = match_rule(F.col("host"), F.col("path"), rules)

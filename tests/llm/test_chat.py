@@ -72,3 +72,38 @@ def test_table_layouts(spark):
     clashing = rows(spark, [(1, 0, "user", "a")]).selectExpr("*", "'x' AS system", "'y' AS prompt", "1 AS formatted", "2 AS loss")
     assert [tuple(r) for r in chat.table_turns(clashing).collect()] == [(1, 0, "user", "a")]
     assert chat.fingerprint(["b", "a"]) == hashlib.sha256(b"a\nb").hexdigest()
+
+
+def test_no_message_is_lost_for_what_another_lacks(spark):
+    records = {
+        1: {"messages": [{"role": "user", "content": None}, {"role": "assistant", "content": "b"}]},
+        2: {"messages": [{"content": "a"}, {"role": "assistant", "content": "b"}]},
+        3: {"instruction": "a", "output": None},
+        4: {"prompt": "a", "response": None, "system": None},
+        5: {"messages": []},
+        6: {"messages": [None, {"role": "user", "content": "c"}]},
+        7: {"prompt": None, "response": "b"},
+        8: {"messages": [{"role": "user"}]},
+        9: {"messages": None},
+        10: {"other": 1},
+    }
+    df = spark.createDataFrame([*((i, json.dumps(r)) for i, r in records.items()), (11, None), (12, "[1]"), (13, "no json")], "id long, record string")
+    got = {}
+    for r in chat.json_turns(df, "id", "record").orderBy("conv_id", "turn").collect():
+        got.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
+    assert got == {
+        1: [("user", None), ("assistant", "b")], 2: [(None, "a"), ("assistant", "b")], 3: [("user", "a")], 4: [("user", "a")],
+        6: [(None, None), ("user", "c")], 7: [("assistant", "b")],
+    }
+    rest = {r["reason"]: r["n"] for r in chat.json_remainder(df, "id", "record").collect()}
+    assert rest == {"null": 1, "no object": 2, "no layout": 3, "no turns": 1}
+    assert chat.json_remainder(df.limit(0), "id", "record").collect() == []
+
+
+def test_tables_lose_no_turn_for_a_null(spark):
+    nested = spark.createDataFrame(
+        [(1, [(None, "a"), ("assistant", None)]), (2, []), (3, None)], "id long, messages array<struct<role:string,content:string>>"
+    )
+    assert [tuple(r) for r in chat.table_turns(nested, "id").orderBy("turn").collect()] == [(1, 0, None, "a"), (1, 1, "assistant", None)]
+    parts = spark.createDataFrame([(1, "a", None), (2, None, "b"), (3, None, None)], "id long, instruction string, output string")
+    assert sorted(map(tuple, chat.table_turns(parts, "id").collect())) == [(1, 0, "user", "a"), (2, 0, "assistant", "b")]

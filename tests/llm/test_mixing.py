@@ -1,10 +1,11 @@
-import duckdb
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from cityloom.llm import mixing
-from cityloom.llm.queries import OP9_SQL, mix_documents, op9_mixing
+from cityloom.llm.queries import mix_documents, op9_mixing
 
 def dims(*names):
     return {d: F.col(d) for d in names or ("source", "lang")}
@@ -74,12 +75,69 @@ def test_no_python_in_the_plan(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-def test_query_against_sql(spark):
-    sf = "/root/testdata/sf0.001"
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
-    want = con.execute(f"SELECT doc_id, source, lang, topic, tokens, probability, kept FROM ({OP9_SQL})").fetchall()
-    assert sorted(map(tuple, op9_mixing(spark, sf).collect())) == sorted(want)
+def plain_probabilities(rows, budget, power=0.7):
+    """Cell (one value per dimension) to probability, in plain numpy; ``rows`` has the values and the tokens."""
+    cells = {}
+    for *values, tokens in rows:
+        cells[tuple(values)] = cells.get(tuple(values), 0) + tokens
+    names, tokens = list(cells), np.array(list(cells.values()), float)
+    n_dims = len(names[0])
+    index, aims = [], []
+    whole = budget * tokens.sum()
+    for d in range(n_dims):
+        values = sorted({c[d] for c, t in zip(names, tokens, strict=True) if t > 0})
+        at = np.array([values.index(c[d]) if c[d] in values else 0 for c in names])
+        share = np.bincount(at, tokens, minlength=len(values)) ** power
+        index.append(at)
+        aims.append(share / share.sum() * whole)
+
+    def swept(w, goals, sweeps):
+        for _ in range(sweeps):
+            for at, goal in zip(index, goals, strict=True):
+                sums = np.bincount(at, w, minlength=len(goal))
+                w = w * np.divide(goal, sums, out=np.zeros_like(goal), where=sums > 0)[at]
+        return w
+
+    weight, held, fine = swept(tokens.copy(), aims, 6), np.zeros(len(names), bool), False
+    while True:
+        new = ~held & (weight > 0) & (weight >= tokens * (1 - 1e-9))
+        held |= new
+        weight = np.where(held, tokens, weight)
+        if not (~held & (weight > 0)).any() or (fine and not new.any()):
+            break
+        fine = not new.any()
+        free, left, goals = np.where(held, 0, weight), whole - tokens[held].sum(), []
+        for at, aim in zip(index, aims, strict=True):
+            f = np.bincount(at, free, minlength=len(aim))
+            rest = np.where(f > 0, np.maximum(aim - np.bincount(at, tokens * held, minlength=len(aim)), f), 0)
+            goals.append(rest / rest.sum() * left)
+        weight = np.where(held, weight, swept(free, goals, 20 if fine else 6))
+    return {c: min(1.0, w / t) if t else 1.0 for c, w, t in zip(names, weight, tokens, strict=True)}
+
+
+def plain_kept(doc_id, probability):
+    digest = hashlib.md5(f"{'' if doc_id is None else doc_id}:mix".encode()).hexdigest()
+    return int(digest[:13], 16) / 2**52 < probability
+
+
+@pytest.mark.parametrize("few", [20_000, 0])
+def test_query_against_numpy(spark, monkeypatch, few):
+    monkeypatch.setattr(mixing, "CELLS_IN_ONE_TASK", few)
+    got = op9_mixing(spark, "/root/testdata/sf0.001").collect()
+    cell = lambda r: (r["source"], r["lang"], r["topic"])
+    want = plain_probabilities([(*cell(r), r["tokens"]) for r in got], 0.5)
+    for r in got:
+        assert r["probability"] == pytest.approx(want[cell(r)], abs=1.1e-3)
+        assert r["kept"] == plain_kept(r["doc_id"], want[cell(r)])
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert all(r["tokens"] == len((texts[r["doc_id"]] or "").encode().split()) for r in got) and len(got) == len(texts)
+
+
+def test_few_jobs(spark):
+    tracker = spark.sparkContext._jsc.sc().statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    op9_mixing(spark, "/root/testdata/sf0.001").collect()
+    assert len(tracker.getJobIdsForGroup(None)) - before <= 60
 
 
 def test_a_tiny_cell_does_not_empty_the_rest(spark):

@@ -138,3 +138,17 @@ def test_query_op4_against_the_library(spark):
         assert (x["start"], x["n_tokens"], x["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
     assert not got
+
+
+def test_token_folders_are_where_spark_has_them(spark, tmp_path):
+    from cityloom.llm.token_files import shared_folder
+
+    assert shared_folder(spark, str(tmp_path)) == f"file://{tmp_path}"
+    assert shared_folder(spark, f"file:{tmp_path}") == shared_folder(spark, f"file://{tmp_path}") == f"file://{tmp_path}"
+    assert shared_folder(spark, "s3a://bucket/a b") == "s3://bucket/a b"
+    assert shared_folder(spark, "hdfs://host/a") == "hdfs://host/a"
+    with pytest.raises(ValueError, match="wasb"):
+        shared_folder(spark, "wasb://x/y")
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    made = token_files.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "t"), end_id=2)
+    assert [r["n_tokens"] for r in token_files.read_tokens(made).collect()] == [3] and any((tmp_path / "t").iterdir())

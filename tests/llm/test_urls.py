@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cityloom.llm import urls
 from cityloom.llm.queries import URL_RULES
@@ -110,3 +111,19 @@ def test_query_on_the_table(spark):
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule.name if rule else None)
         assert r["verdict"] == (rule.action if rule else "block" if any(b in host for b in bad) else "allow")
     assert not got
+
+
+def test_the_first_of_equally_long_rules_wins(spark):
+    rules = [urls.Rule("allow", "a.b", "/x"), urls.Rule("block", "a.b", "/x"), urls.Rule("block", "b", "/")]
+    df = spark.createDataFrame([("a.b", "/xy"), ("c.b", "/x")], "h string, p string")
+    got = df.select(urls.match_rule(F.col("h"), F.col("p"), rules).alias("r")).collect()
+    assert [r["r"]["action"] for r in got] == ["allow", "block"]
+
+
+def test_words_of_any_length_are_cut_out(spark):
+    long = "extraordinarilylongcompound"
+    labels = spark.createDataFrame([(f"mytvshop{long}",), ("shoptv",)], "label string")
+    unigrams = spark.createDataFrame([("my", 50), ("tv", 50), ("shop", 50), (long, 50)], "word string, n long")
+    got = {r["label"]: r["words"] for r in urls.segment_labels(labels, unigrams).collect()}
+    assert got == {f"mytvshop{long}": ["my", "tv", "shop", long], "shoptv": ["shop", "tv"]}
+    assert urls.segment_labels(labels, unigrams.limit(0)).count() == 2
