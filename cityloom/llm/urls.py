@@ -5,13 +5,15 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.skew import attach
 from .common import materialise, ship
 
-# Words that mark an address as unwanted; they label the examples that the classifier learns from.
+# Words that are likely to mark an address as unwanted, before any example is seen.
 BLOCK_WORDS = (
     "ads", "adult", "bet", "bets", "casino", "escort", "gambling", "lottery", "pills", "poker", "porn", "sex",
     "slots", "spam", "viagra", "warez", "xxx",
@@ -118,35 +120,83 @@ def segment_labels(labels: DataFrame, unigrams: DataFrame) -> DataFrame:
     return labels.join(hits, "label", "left").mapInPandas(cut, "label string, words array<string>")
 
 
+def rule_words(rules: Sequence[Rule]) -> list[str]:
+    """The runs of letters in hosts and paths of the rules."""
+    texts = (f"{r.host}{r.path}".lower() for r in rules)
+    return sorted({"".join(run) for t in texts for letter, run in groupby(t, str.isalpha) if letter})
+
+
+def word_weights(counts: DataFrame, *, smoothing: float, pooled: float) -> DataFrame:
+    """``word, w``: log of how much likelier a word is in ``block`` than in ``allow``, from ``word, n_block, n_allow``.
+
+    Each class is smoothed towards the shares of both together: by ``pooled`` words in all, and by ``smoothing`` per
+    word times the class' part of all words. A word that neither class has seen weighs nothing, and without examples of
+    one class no word weighs anything.
+    """
+    t = counts.agg(F.sum("n_block").alias("b"), F.sum("n_allow").alias("a"), F.count("*").alias("v")).first()
+    block, allow, v = float(t["b"] or 0), float(t["a"] or 0), t["v"]
+    total = max(1.0, block + allow)
+    share = (F.col("n_block") + F.col("n_allow") + F.lit(smoothing)) / F.lit(total + smoothing * v)
+
+    def likelihood(n: str, size: float) -> Column:
+        part = size / total
+        return (F.col(n) + F.lit(smoothing * part) + share * F.lit(pooled)) / F.lit(size + smoothing * v * part + pooled)
+
+    return counts.select("word", (F.log(likelihood("n_block", block)) - F.log(likelihood("n_allow", allow))).alias("w"))
+
+
 def judge_urls(
     pages: DataFrame,
     rules: Sequence[Rule],
     *,
     id_col: str = "page_id",
     url_col: str = "url",
+    learn: str = "true",
     block_words: Sequence[str] = BLOCK_WORDS,
+    word_odds: float = 100.0,
+    base_rate: float = 0.1,
     smoothing: float = 1.0,
+    pooled: float = 10.0,
 ) -> DataFrame:
     """``id_col, host, path, rule, verdict, log_odds, words``: one row per row of ``pages``.
 
-    The rule that fits decides; elsewhere naive Bayes does. Host and path are cut at everything but
-    letters, and the pieces of the host once more by unigram Viterbi. Word counts for that come from the
-    pieces of hosts with a hyphen and of paths, over all pages, and from ``block_words``. An address is an
-    example of ``block`` if one of its words is among ``block_words``, else of ``allow``; the word counts of
-    both classes are taken over all pages. ``block`` needs log odds above 0.
+    The rule that fits decides; elsewhere naive Bayes does. ``log_odds`` is its score for all rows, those with a rule
+    too. Host and path are cut at everything but letters, and the pieces of the host once more by unigram Viterbi.
+    Word counts for that come from the pieces of hosts with a hyphen and of paths, over all pages, and from
+    ``block_words``.
+
+    Examples are labelled by the rules. ``block``: addresses that a rule blocks. ``allow``: those that a rule allows,
+    and as a background those that no rule speaks of, unless they have one of ``block_words``. Words of the rules
+    themselves are neither counted nor scored, as they would only repeat the rules. ``block_words`` are no labels: each
+    starts at odds of ``word_odds``, from which the examples may move it. As rules are no sample of the other pages,
+    the part of unwanted ones among these is a parameter, ``base_rate``. ``block`` needs log odds above 0.
 
-    Words are scored once per distinct address shape (host and letters of the path), so a host with a
-    third of all pages is one row there. Null and empty urls have empty host and path, no words, and the
-    verdict of the prior, which is ``allow`` unless most pages are examples of ``block``. Repeated rows are
-    judged one by one; other columns are dropped whatever their names.
+    Rows for which ``learn`` (a condition on the columns of ``pages``) is not true are judged, but no examples.
+
+    An address shape (host and letters of the path) is one example and is scored once, so a host with a third of all
+    pages is neither a heavy row nor a heavy vote. Null and empty urls have empty host and path, no words, and the
+    verdict of the base rate. Repeated rows are judged one by one; other columns are dropped whatever their names.
     """
-    rows = pages.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{url_col}`").alias("__url"))
+    rows = pages.select(
+        F.col(f"`{id_col}`").alias("__id"), F.col(f"`{url_col}`").alias("__url"), F.expr(learn).alias("__learn")
+    )
     host, path = host_and_path(F.col("__url"))
     rows = rows.withColumns({"host": host, "path": path})
     rows = rows.withColumn("shape", F.concat_ws("/", "host", F.array_join(_letters(F.col("path")), "/")))
+    rows = rows.withColumn("fit", match_rule(F.col("host"), F.col("path"), rules))
 
     spark = pages.sparkSession
-    shapes = materialise(rows.groupBy("shape").agg(F.count("*").alias("pages")), "url-shapes")
+    action, learnt = F.col("fit.action"), F.coalesce(F.col("__learn"), F.lit(False))
+    # Partial sums per task come first, so a frequent shape is a few rows in the shuffle.
+    shapes = materialise(
+        rows.groupBy("shape").agg(
+            F.count("*").alias("pages"),
+            F.coalesce(F.max(learnt & (action == "block")), F.lit(False)).alias("blocked"),
+            F.coalesce(F.max(learnt & (action == "allow")), F.lit(False)).alias("allowed"),
+            F.max(learnt & action.isNull()).alias("background"),
+        ),
+        "url-shapes",
+    )
     host_part = F.substring_index("shape", "/", 1)
     path_part = F.substring(F.col("shape"), F.length(host_part) + 1, F.length("shape"))
     pieces = shapes.select("shape", "pages", F.explode(F.split(host_part, "\\.")).alias("part"), F.lit(True).alias("of_host"))
@@ -166,49 +216,45 @@ def judge_urls(
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
     )
-    labels = pieces.select(F.explode("labels").alias("label")).distinct()
-    cuts = materialise(segment_labels(labels, materialise(unigrams, "url-unigrams")), "url-words")
-    words = materialise(
-        pieces.select("shape", "pages", F.explode("labels").alias("label"))
-        .join(cuts, "label")
-        .select("shape", "pages", F.explode("words").alias("word")),
+    named = pieces.select("shape", F.explode("labels").alias("label"))
+    cuts = segment_labels(named.select("label").distinct(), materialise(unigrams, "url-unigrams"))
+    # Every address has a label like "www", so the joins by label and by word salt such keys.
+    words = attach(named, cuts, ["label"]).select("shape", F.explode("words").alias("word"))
+    words = words.groupBy("shape").agg(F.sort_array(F.collect_list("word")).alias("words"))
+    told = materialise(
+        shapes.join(words, "shape", "left").withColumn("words", F.coalesce("words", F.array().cast("array<string>"))),
         "url-shape-words",
     )
 
-    marked = words.groupBy("shape").agg(F.max(F.col("word").isin(list(block_words))).alias("bad"))
-    prior = shapes.join(marked, "shape", "left").withColumn("bad", F.coalesce("bad", F.lit(False)))
-    by_word = words.join(marked, "shape").groupBy("word").agg(
-        F.sum(F.when(F.col("bad"), F.col("pages")).otherwise(0)).alias("n_block"),
-        F.sum(F.when(F.col("bad"), 0).otherwise(F.col("pages"))).alias("n_allow"),
+    listed = F.array(*map(F.lit, block_words)).cast("array<string>")
+    own = F.array(*map(F.lit, rule_words(rules))).cast("array<string>")
+    told = told.withColumns(
+        {
+            "allowed": F.col("allowed") | (F.col("background") & ~F.arrays_overlap("words", listed)),
+            "scored": F.filter("words", lambda w: ~F.array_contains(own, w)),
+        }
+    )
+    counts = (
+        told.select(F.explode("scored").alias("word"), "blocked", "allowed")
+        .groupBy("word")
+        .agg(F.sum(F.col("blocked").cast("long")).alias("n_block"), F.sum(F.col("allowed").cast("long")).alias("n_allow"))
     )
-    by_word = materialise(by_word, "url-word-counts")
-    t = by_word.agg(F.sum("n_block"), F.sum("n_allow"), F.count("*")).first()
-    c = prior.agg(F.sum(F.when(F.col("bad"), F.col("pages")).otherwise(0)), F.sum("pages")).first()
-    size = smoothing * max(1, t[2])
-    block_total, allow_total = (t[0] or 0) + size, (t[1] or 0) + size
-    n_block, n_all = c[0] or 0, c[1] or 0
-    start = math.log((n_block + smoothing) / (n_all - n_block + smoothing))
-    weights = by_word.select(
-        "word",
-        (
-            F.log((F.col("n_block") + smoothing) / block_total) - F.log((F.col("n_allow") + smoothing) / allow_total)
-        ).alias("w"),
+    weights = word_weights(materialise(counts, "url-word-counts"), smoothing=smoothing, pooled=pooled)
+    prior = F.when(F.col("word").isin(list(block_words)), F.lit(math.log(word_odds))).otherwise(F.lit(0.0))
+    sums = (
+        attach(told.select("shape", F.explode("scored").alias("word")), weights, ["word"])
+        .groupBy("shape")
+        .agg(F.sum(F.col("w") + prior).alias("w"))
     )
-    scored = words.join(weights, "word").groupBy("shape").agg(
-        F.sum("w").alias("w"), F.sort_array(F.collect_list("word")).alias("words")
+    scored = told.select("shape", "words").join(sums, "shape", "left").withColumn(
+        "log_odds", F.coalesce("w", F.lit(0.0)) + F.lit(math.log(base_rate / (1 - base_rate)))
     )
-    log_odds = F.coalesce("w", F.lit(0.0)) + F.lit(start)
-    rule = match_rule(F.col("host"), F.col("path"), rules)
-    return (
-        rows.join(scored, "shape", "left")
-        .withColumns({"fit": rule, "log_odds": log_odds})
-        .select(
-            F.col("__id").alias(id_col),
-            "host",
-            "path",
-            F.col("fit.rule").alias("rule"),
-            F.coalesce("fit.action", F.when(F.col("log_odds") > 0, "block").otherwise("allow")).alias("verdict"),
-            "log_odds",
-            F.coalesce("words", F.array().cast("array<string>")).alias("words"),
-        )
+    return attach(rows, scored.select("shape", "words", "log_odds"), ["shape"]).select(
+        F.col("__id").alias(id_col),
+        "host",
+        "path",
+        F.col("fit.rule").alias("rule"),
+        F.coalesce("fit.action", F.when(F.col("log_odds") > 0, "block").otherwise("allow")).alias("verdict"),
+        "log_odds",
+        "words",
     )
