@@ -137,12 +137,13 @@ class FrameReader:
         hold any are decompressed."""
         at, upto = np.searchsorted(self.frame, [first, last])
         here, raw, offset = -1, b"", 0
+        keep = None if wanted is None else np.isin(self.doc_id[at:upto], wanted) & (self.null_id[at:upto] == 0)
         for d in range(at, upto):
             f = int(self.frame[d])
             if f != here:
                 here, raw, offset = f, None, 0
             size = int(self.n_tokens[d]) * self.width
-            if wanted is None or (not self.null_id[d] and self.doc_id[d] in wanted):
+            if keep is None or keep[d - at]:
                 raw = self.content(f) if raw is None else raw
                 ids = raw[offset : offset + size]
                 if self.width == 2:
