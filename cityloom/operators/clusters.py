@@ -17,6 +17,8 @@ from .knn import knn_join, pairs_in_reach
 # Up to so many centres the nearest rows are found in one pass over rows and centres, beyond that by a
 # grid. It is the plan that differs, never the result.
 FEW_CENTRES = 64
+# Up to so many centres a row's label is a generated expression over all of them, beyond that one over boxes of centres.
+INLINE_CENTRES = 32
 
 
 @dataclass(frozen=True)
@@ -42,19 +44,67 @@ class Clusters:
         rows = [{"label": i, "y": y, "x": x} for i, y, x in self.centres]
         return F.from_json(F.lit(json.dumps(rows)), "array<struct<label:int,y:double,x:double>>")
 
+    def _boxes(self) -> Column:
+        """The centres as a constant array of boxes, halved along their longer side until each holds about as many
+        centres as there are boxes. ``by`` and ``bx`` are those of one centre in the middle of the box."""
+        size = max(4, math.isqrt(len(self.centres)))
+        todo, boxes = [[(y, x, place, label) for place, (label, y, x) in enumerate(self.centres)]], []
+        while todo:
+            held = todo.pop()
+            ys, xs = [c[0] for c in held], [c[1] for c in held]
+            held.sort(key=lambda c: c if max(ys) - min(ys) >= max(xs) - min(xs) else (c[1], c[0], *c[2:]))
+            half = len(held) // 2
+            if len(held) > size:
+                todo += [held[:half], held[half:]]
+                continue
+            centres = [{"y": y, "x": x, "place": place, "label": label} for y, x, place, label in held]
+            middle = held[half]
+            boxes.append(
+                {"y0": min(ys), "y1": max(ys), "x0": min(xs), "x1": max(xs), "by": middle[0], "bx": middle[1], "centres": centres}
+            )
+        return F.from_json(
+            F.lit(json.dumps(boxes)),
+            "array<struct<y0:double,y1:double,x0:double,x1:double,by:double,bx:double,"
+            "centres:array<struct<y:double,x:double,place:int,label:int>>>>",
+        )
+
     def nearest(self, lat: str, lon: str) -> Column:
         """Struct of ``gap`` (least squared coordinate distance to a centre), ``place`` and ``label`` of that
-        centre; ties to the first. Null for a row without coordinates."""
+        centre; ties to the first. Null for a row without coordinates.
+
+        A few centres are met one by one in generated code. Of more, one centre of each box gives a distance that the
+        nearest can't exceed, and only boxes that come within it are opened. Rounding keeps the order of these bounds, so
+        the result is that of meeting all centres.
+        """
         y, x = F.col(lat), F.col(lon)
-        gaps = F.transform(
-            self._literal(),
-            lambda c, place: F.struct(
-                ((y - c["y"]) * (y - c["y"]) + (x - c["x"]) * (x - c["x"])).alias("gap"),
-                place.alias("place"),
-                c["label"].alias("label"),
-            ),
-        )
-        return F.when(y.isNotNull() & x.isNotNull(), F.array_min(gaps))
+
+        def squared(dy: Column, dx: Column) -> Column:
+            return dy * dy + dx * dx
+
+        def met(cy: Column, cx: Column, place: Column, label: Column) -> Column:
+            return F.struct(squared(y - cy, x - cx).alias("gap"), place.alias("place"), label.alias("label"))
+
+        if len(self.centres) <= INLINE_CENTRES:
+            each = [met(F.lit(cy), F.lit(cx), F.lit(place), F.lit(label)) for place, (label, cy, cx) in enumerate(self.centres)]
+            best = F.least(*each) if len(each) > 1 else each[0]
+        else:
+            boxes = self._boxes()
+            reach = F.array_min(F.transform(boxes, lambda b: squared(y - b["by"], x - b["bx"])))
+
+            def within(b: Column, limit: Column) -> Column:
+                zero = F.lit(0.0)
+                return squared(F.greatest(b["y0"] - y, y - b["y1"], zero), F.greatest(b["x0"] - x, x - b["x1"], zero)) <= limit
+
+            def opened(limit: Column) -> Column:
+                inside = F.transform(
+                    F.filter(boxes, lambda b: within(b, limit)),
+                    lambda b: F.array_min(F.transform(b["centres"], lambda c: met(c["y"], c["x"], c["place"], c["label"]))),
+                )
+                return F.array_min(inside)
+
+            # As the argument of a lambda the bound is found once per row, not once per box.
+            best = F.transform(F.array(reach), opened)[0]
+        return F.when(y.isNotNull() & x.isNotNull(), best)
 
     def label(self, lat: str, lon: str) -> Column:
         """Label of the centre with the least squared coordinate distance; ties to the first."""

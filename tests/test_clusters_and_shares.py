@@ -101,6 +101,27 @@ def test_nearest_row_per_centre_with_ties_and_nulls(spark):
     assert nearest_per_centre(df.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("k", [1, 2, 32, 33, 700])
+@pytest.mark.parametrize("spread", ["even", "crowded", "lattice"])
+def test_labels_are_those_of_meeting_every_centre(spark, k, spread):
+    rnd = random.Random(k)
+    draw = {
+        "even": lambda: rnd.uniform(-5, 5),
+        "crowded": lambda: rnd.choice([3.0, 3.0, 3.0, rnd.uniform(-90, 90)]) + rnd.gauss(0, 1e-7),
+        "lattice": lambda: float(rnd.randint(-3, 3)),  # many ties and equal centres
+    }[spread]
+    model = Clusters(tuple((rnd.randint(0, 10**6), draw(), draw()) for _ in range(k)))
+    rows = [(draw(), draw()) for _ in range(300)] + [(y, x) for _, y, x in model.centres[:50]] + [(1e9, -1e9), (None, 1.0)]
+    df = spark.createDataFrame(rows, "lat double, lon double")
+    for r in df.select("*", model.nearest("lat", "lon").alias("near")).collect():
+        if r["lat"] is None:
+            assert r["near"] is None
+            continue
+        gaps = [((r["lat"] - y) * (r["lat"] - y) + (r["lon"] - x) * (r["lon"] - x), i) for i, (_, y, x) in enumerate(model.centres)]
+        assert (r["near"]["gap"], r["near"]["place"]) == min(gaps)
+        assert r["near"]["label"] == model.centres[r["near"]["place"]][0]
+
+
 def test_two_thousand_centres(spark):
     rnd = random.Random(6)
     centres = tuple((i, rnd.uniform(49.2, 49.3), rnd.uniform(-123.3, -123.0)) for i in range(2000))
