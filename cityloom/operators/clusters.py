@@ -117,12 +117,9 @@ class Clusters:
 
 def _means(labelled: DataFrame, lat: str, lon: str) -> dict[int, tuple[float, float]]:
     """Mean of each cluster: one row per centre."""
-    rows = (
-        labelled.filter(F.col("__label").isNotNull())
-        .groupBy("__label")
-        .agg(F.avg(lat).alias("y"), F.avg(lon).alias("x"))
-    )
-    return {r["__label"]: (r["y"], r["x"]) for r in rows.collect()}
+    # A filter on the label would be pushed below it, and each row labelled twice.
+    rows = labelled.groupBy("__label").agg(F.avg(lat).alias("y"), F.avg(lon).alias("x")).collect()
+    return {r["__label"]: (r["y"], r["x"]) for r in rows if r["__label"] is not None}
 
 
 def lloyd(

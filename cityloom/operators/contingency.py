@@ -63,7 +63,7 @@ def chi_square(
         join_small(join_small(cells, by_row, ["__r"]), by_col, ["__c"])
         .withColumn("__t", total)
         .withColumn("__t", F.col("__t").withField("c", n_cols))
-        .withColumn("__dof", ((F.col("__t.r") - 1) * (F.col("__t.c") - 1)).cast("int"))
+        .withColumn("__dof", (F.col("__t.r") - 1) * (F.col("__t.c") - 1))
         .withColumn("__e", F.col("__sr") * F.col("__sc") / F.col("__t.n"))
     )
     off = F.abs(F.col("__o") - F.col("__e"))

@@ -91,6 +91,17 @@ def test_a_table_with_many_cells(spark):
     assert got["p_value"] == pytest.approx(math.erfc(normal / math.sqrt(2)) / 2, abs=2e-3)
 
 
+def test_degrees_of_freedom_beyond_an_int(spark):
+    """A sparse table of 60,000 by 60,000 lines, one count in each line: every cell is expected to hold 1/60,000."""
+    n = 60_000
+    cells = spark.range(n).selectExpr("id AS r", f"(id * 7 + 3) % {n} AS c", "1L AS n")
+    got = chi_square(cells, "r", "c").first()
+    assert (got["dof"], got["n"], got["n_rows"], got["n_cols"]) == ((n - 1) ** 2, n, n, n)
+    assert got["statistic"] == pytest.approx(n * (n - 1)) and got["dof"] > 2**31
+    # (x - dof) / sqrt(2 dof) is 1 / sqrt 2 here, and the distribution nearly normal.
+    assert got["p_value"] == pytest.approx(0.5 * math.erfc(0.5), abs=1e-4)
+
+
 def test_null_lines_are_lines(spark):
     cells = {("a", "x"): 10, ("a", None): 20, (None, "x"): 30, (None, None): 25}
     assert chi_square(table(spark, cells), "r", "c").first()["statistic"] == pytest.approx(plain([[10, 20], [30, 25]], yates=True))

@@ -120,7 +120,7 @@ stat AS (SELECT sum((n - e) * (n - e) / e) AS x, CAST(sum(n) AS BIGINT) AS total
   count(DISTINCT crime_type) AS c, (count(DISTINCT category) - 1) * (count(DISTINCT crime_type) - 1) AS dof FROM cells),
 tail AS (SELECT *, 1 - (SELECT sum(exp((dof / 2.0 + j) * ln(x / 2) - x / 2 - lgamma(dof / 2.0 + j + 1)))
   FROM range(0, 3000) s(j)) AS p FROM stat WHERE r > 1)
-SELECT round(x, 6) AS statistic, CAST(dof AS INTEGER) AS dof, round(p, 6) AS p_value, total AS n, r AS n_rows,
+SELECT round(x, 6) AS statistic, CAST(dof AS BIGINT) AS dof, round(p, 6) AS p_value, total AS n, r AS n_rows,
   c AS n_cols, p < {V.ALPHA} AS significant FROM tail"""
 
 
