@@ -10,7 +10,7 @@ from .functions.geo import Distance
 from .operators.profile import describe_number, distinct_sorted, value_counts
 from .plans import ingest
 from .plans.neighbourhoods import label_and_score
-from .plans.relation import relate
+from .plans.relation import near_pairs, relate
 from .plans.stays import find_stays
 from .session import get_session
 from .sources.tables import read_table, write_csv, write_table
@@ -48,6 +48,7 @@ def _parser() -> argparse.ArgumentParser:
     label.add_argument("--train-share", type=float, default=V.TRAIN_SHARE)
     label.add_argument("--metric", choices=("plane", "haversine"), default="plane", help="plane: raw degrees")
     label.add_argument("--lon-scale", type=float, default=1.0, help="shrinks longitudes, such as 0.65 for 49 degrees")
+    label.add_argument("--scores", help="folder for rows and accuracy of the hold-out")
     related = step("relate", "do categories and incident types depend on each other", "incidents", "places", "target")
     related.add_argument("--radius", type=float, default=V.RADIUS_M)
     related.add_argument("--any-neighbourhood", action="store_true", help="compare across borders")
@@ -58,13 +59,15 @@ def _parser() -> argparse.ArgumentParser:
     related.add_argument("--min-support", type=int, default=V.MIN_SUPPORT)
     related.add_argument("--alpha", type=float, default=V.ALPHA)
     related.add_argument("--one-file", action="store_true", help="one CSV file per result, for small ones")
+    related.add_argument("--pairs", help="folder for the pairs themselves; one row per pair")
     stays = step("find-stays", "listing nearest to each cluster of places", "places", "listings", "target")
     stays.add_argument("--k", type=int, default=V.CLUSTERS, help="clusters")
     stays.add_argument("--seed", type=int, default=V.CLUSTER_SEED)
     stays.add_argument("--one-file", action="store_true", help="one CSV file per result, for small ones")
     stays.add_argument("--merge", help="clusters to merge, such as 2,4")
     stays.add_argument("--min-size", type=int, help="merge clusters below this many places")
-    step("profile", "counts by type, kinds of place and nights, before cleaning", "incidents", "places", "listings")
+    looks = step("profile", "counts by type, kinds of place and nights, before cleaning", "incidents", "places", "listings")
+    looks.add_argument("--target", help="folder for the three tables")
     return parser
 
 
@@ -88,17 +91,19 @@ def main(argv: list[str] | None = None) -> None:
             seed=args.seed, lon_scale=args.lon_scale, metric=args.metric,
         )
         write_table(labelled, args.target)
+        if args.scores:
+            write_table(scores, args.scores)
         scores.show(truncate=False)
     elif args.step == "relate":
+        places = ingest.load_places(spark, args.places, labelled=True)
+        incidents = ingest.load_incidents(spark, args.incidents)
+        block = None if args.any_neighbourhood else "neighbourhood"
+        distance = Distance("scaled_degrees", clamp=False) if args.distance == "scaled" else Distance()
         result = relate(
-            ingest.load_places(spark, args.places, labelled=True),
-            ingest.load_incidents(spark, args.incidents),
-            args.radius,
-            block=None if args.any_neighbourhood else "neighbourhood",
-            distance=Distance("scaled_degrees", clamp=False) if args.distance == "scaled" else Distance(),
-            min_support=args.min_support,
-            alpha=args.alpha,
+            places, incidents, args.radius, block=block, distance=distance, min_support=args.min_support, alpha=args.alpha
         )
+        if args.pairs:
+            write_table(near_pairs(places, incidents, args.radius, block=block, distance=distance), args.pairs)
         for name in ("counts", "densities", "summary", "table_all", "test_all", "table_petty", "test_petty"):
             write_csv(getattr(result, name), f"{args.target}/{name}", one_file=args.one_file)
         result.test_all.show(truncate=False)
@@ -117,10 +122,16 @@ def main(argv: list[str] | None = None) -> None:
         write_csv(result.shares, f"{args.target}/shares", one_file=args.one_file)
         result.top_listings.show(truncate=False)
     else:
-        value_counts(read_table(spark, args.incidents, schemas.INCIDENTS_RAW), "type").show(20, False)
-        distinct_sorted(read_table(spark, args.places, schemas.PLACES_RAW), "amenity").show()
         listings = read_table(spark, args.listings, schemas.LISTINGS_RAW, multi_line=True)
-        describe_number(listings, "minimum_nights").show()
+        found = {
+            "types": value_counts(read_table(spark, args.incidents, schemas.INCIDENTS_RAW), "type"),
+            "amenities": distinct_sorted(read_table(spark, args.places, schemas.PLACES_RAW), "amenity"),
+            "nights": describe_number(listings, "minimum_nights"),
+        }
+        for name, table in found.items():
+            if args.target:
+                write_csv(table, f"{args.target}/{name}")
+            table.show(truncate=False)
 
 
 if __name__ == "__main__":

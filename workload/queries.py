@@ -19,8 +19,10 @@ from cityloom.operators.density import density_histogram, kernel_density
 from cityloom.operators.dedupe import keep_one
 from cityloom.operators.distance_join import count_within, lay_out, summarise_pairs
 from cityloom.operators.indexing import dense_id, stable_id
+from cityloom.operators.monte_carlo import chi_square_monte_carlo
 from cityloom.operators.shares import cluster_shares, scale_by_category
-from cityloom.operators.skew import attach_group_counts
+from cityloom.operators.skew import attach, attach_group_counts
+from cityloom.operators.sketches import estimated, roll_up, sketch_distinct
 from cityloom.plans.neighbourhoods import label_places, labelling_scores
 from cityloom.plans.relation import near_counts, near_pairs
 from cityloom.session import materialise, scratch_path
@@ -36,6 +38,8 @@ START = ((49.22, -123.2), (49.22, -123.08), (49.26, -123.14), (49.3, -123.2), (4
 ITERATIONS = 3
 CITY_POINTS = ((0, 49.28, -123.12), (1, 49.26, -123.06), (2, 49.26, -123.18), (3, 49.236, -123.11))
 MIN_SUPPORT = 8
+# Five standard errors of a sketch.
+SKETCH_ERROR = 0.04
 MOST_ITERATIONS, SETTLED = 25, 1e-4
 
 
@@ -249,6 +253,21 @@ def near_summary(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def near_summary_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs and places among them per neighbourhood and type and over both, rolled up from sketches; whether these
+    estimate the places, counted exactly beside them, within ``SKETCH_ERROR``."""
+    by = ("neighbourhood", "crime_type")
+    counted = near_counts(places(spark, sf), incidents(spark, sf), by=("amnt_id", "neighbourhood"))
+    per_place = materialise(counted, "per-place")
+    sketches = materialise(sketch_distinct(per_place, by, ["amnt_id"], weight="n"), "sketches")
+    rolled = estimated(roll_up(sketches, by, ["amnt_id"]), ["amnt_id"]).withColumnRenamed("amnt_id", "estimate")
+    exact = per_place.cube(*by).agg(F.grouping_id().cast("int").alias("level"), F.count_distinct("amnt_id").alias("n_places"))
+    off = F.abs(F.col("estimate") - F.col("n_places"))
+    return attach(rolled, exact, ["level", *by]).select(
+        "level", *by, "num_rows", "n_places", (off <= F.col("n_places") * SKETCH_ERROR).alias("near_enough")
+    )
+
+
 def near_counts_by_type(spark: SparkSession, sf: str) -> DataFrame:
     return near_counts(places(spark, sf), incidents(spark, sf))
 
@@ -338,6 +357,23 @@ def chi2_petty(spark: SparkSession, sf: str) -> DataFrame:
     return _test(contingency_petty(spark, sf))
 
 
+def chi2_monte_carlo(spark: SparkSession, sf: str) -> DataFrame:
+    """Is the type of an incident related to its neighbourhood? By tables drawn at random, and whether the p-value
+    agrees with that of the distribution, up to four standard errors and what small expected counts allow for."""
+    rows = incidents(spark, sf).groupBy("neighbourhood", "type").agg(F.count("*").alias("n"))
+    cells = materialise(rows, "types")
+    drawn = chi_square_monte_carlo(cells, "neighbourhood", "type")
+    closed = chi_square(cells, "neighbourhood", "type", yates=False).select(F.col("p_value").alias("closed"), "n")
+    allowed = F.col("standard_error") * 4 + 0.02
+    return fx.rounded(
+        attach(drawn, closed, ["n"]).select(
+            "statistic", "n", "n_rows", "n_cols", "replicates",
+            (F.abs(F.col("p_value") - F.col("closed")) <= allowed).alias("agrees"),
+        ),
+        4, "statistic",
+    )
+
+
 # Neighbours
 
 
@@ -465,6 +501,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "near_pairs_unblocked": near_pairs_unblocked,
     "near_pairs_first20": near_pairs_first20,
     "near_summary": near_summary,
+    "near_summary_sketch": near_summary_sketch,
     "near_counts": near_counts_by_type,
     "near_counts_unblocked": near_counts_unblocked,
     "near_counts_attached": near_counts_attached,
@@ -479,6 +516,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contingency_min_support": contingency_min_support,
     "chi2_all": chi2_all,
     "chi2_petty": chi2_petty,
+    "chi2_monte_carlo": chi2_monte_carlo,
     "knn_neighbourhood": knn_neighbourhood,
     "knn_accuracy": knn_accuracy,
     "lloyd_5": lloyd_5,
