@@ -23,7 +23,8 @@ def chi_square_monte_carlo(
     table: DataFrame, row: str, col: str, *, n: str = "n", replicates: int = 999, seed: int = 0, alpha: float = 0.05
 ) -> DataFrame:
     """Chi-square test of independence on a long table of counts, by tables drawn at random with the same totals per
-    row and column: one row (statistic, n, n_rows, n_cols, replicates, n_as_large, p_value, standard_error, significant).
+    row and column: one row (statistic, n, n_rows, n_cols, replicates, n_as_large, p_value, standard_error,
+    closed_p_value, significant); ``closed_p_value`` is that of the distribution.
 
     The p-value is (tables drawn with a statistic as large + 1) / (tables + 1). Each table is drawn whole by one task
     from ``seed`` and its number, so that results repeat, and in blocks of columns: its memory follows the lines and
@@ -35,7 +36,11 @@ def chi_square_monte_carlo(
     grouped = table.groupBy(F.col(row).alias("__r"), F.col(col).alias("__c"))
     cells = materialise(grouped.agg(F.sum(n).cast("bigint").alias("__o")).filter("__o <> 0"), "drawn-cells")
     found = chi_square(cells, "__r", "__c", n="__o", yates=False).first()
-    shape = "statistic double, n bigint, n_rows bigint, n_cols bigint, replicates int, n_as_large bigint, p_value double, standard_error double, significant boolean"
+    taken = {"statistic": "double", "n": "bigint", "n_rows": "bigint", "n_cols": "bigint", "closed_p_value": "double"}
+    shape = (
+        "statistic double, n bigint, n_rows bigint, n_cols bigint, replicates int, n_as_large bigint, p_value double, "
+        "standard_error double, closed_p_value double, significant boolean"
+    )
     if found is None:
         return spark.createDataFrame([], shape)
     if max(found["n_rows"], found["n_cols"]) > MAX_LINES or found["n"] > MAX_TOTAL:
@@ -79,11 +84,14 @@ def chi_square_monte_carlo(
     p = (F.col("n_as_large") + 1) / (replicates + 1)
     return (
         drawn.agg(F.count_if(F.col("drawn") >= least).alias("n_as_large"))
-        .withColumns({c: F.lit(found[c]).cast(k) for c, k in (("statistic", "double"), ("n", "bigint"), ("n_rows", "bigint"), ("n_cols", "bigint"))})
+        .withColumns({c: F.lit(found[c.removeprefix("closed_")]).cast(kind) for c, kind in taken.items()})
         .withColumns({"replicates": F.lit(replicates), "p_value": p})
         .withColumn("standard_error", F.sqrt(F.col("p_value") * (1 - F.col("p_value")) / replicates))
         .withColumn("significant", F.col("p_value") < alpha)
-        .select("statistic", "n", "n_rows", "n_cols", "replicates", "n_as_large", "p_value", "standard_error", "significant")
+        .select(
+            "statistic", "n", "n_rows", "n_cols", "replicates", "n_as_large", "p_value", "standard_error",
+            "closed_p_value", "significant",
+        )
     )
 
 
