@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.geo import EARTH_RADIUS_M, Distance, SphereGrid
-from ..session import materialise, materialise_bucketed, materialise_counted
-from .skew import salted_join, salted_sides
+from ..session import materialise_bucketed, materialise_counted
+from .skew import salted_sides
 
 _BLOCK, _ROW, _CELL = "__block", "__row", "__cell"
 
@@ -27,11 +29,6 @@ def _located(df: DataFrame, lat: str, lon: str, block: str | None) -> DataFrame:
     return df
 
 
-def _half_sine_squared(metres: float) -> float:
-    """sin^2(d/2R) of a distance, the scale on which cells are bounded."""
-    return math.sin(min(max(metres, 0.0) / EARTH_RADIUS_M, math.pi) / 2) ** 2
-
-
 def distance_join(
     left: DataFrame,
     right: DataFrame,
@@ -54,7 +51,8 @@ def distance_join(
     """
     spread, repeated, on, columns = _sides(left, right, radius, left_coords, right_coords, block, distance)
     return (
-        spread.join(repeated, on)
+        # The exploded side is many times what Spark takes it for by its file, so it must not be broadcast.
+        spread.join(repeated.hint("merge"), on)
         .withColumn(output, distance(*right_coords, *left_coords))
         .filter(F.col(output) <= radius)
         .select(*columns, output)
@@ -141,10 +139,170 @@ def lay_out(
     )
 
 
-# A cell the circle's edge crosses is compared point by point if it has at most so many points, and
-# is cut into SPLIT x SPLIT pieces if it has more.
+# Points of a cell that are compared one by one if there are no more; of more, boxes of a quarter as many are formed, and
+# only those that the circle's edge may cross are opened. A task takes about TASK_POINTS rows of both sides.
 MAX_COMPARED = 256
-SPLIT = 4
+TASK_POINTS = 100_000
+# Tasks of a count at least; small ones are put together.
+LEAST_TASKS = 32
+# Settled by the counter's own arithmetic are pairs farther than this from the radius; the others go through the formula.
+_SURE_M = 1e-4
+
+
+def _counter(
+    keys: list[str], l_by: list[str], r_by: list[str], output: str, radius_m: float, margin_m: float, per_radius: int
+) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Counts pairs of places and points that share ``keys``: weights of pairs within the radius per group, and the pairs
+    too close to it to tell, with their coordinates. Distances are chords between points on the unit sphere."""
+    most, cells, earth = max(1, MAX_COMPARED // 4), 1_000_000, EARTH_RADIUS_M
+    crowd = MAX_COMPARED
+
+    def chord(metres: float) -> float:
+        return 4 * math.sin(min(metres / earth, math.pi) / 2) ** 2 if metres >= 0 else -1.0
+
+    least = chord(radius_m - margin_m)
+    beyond = chord(radius_m + margin_m) if (radius_m + margin_m) / earth < math.pi else math.inf
+
+    def sphere(lat: pa.ChunkedArray, lon: pa.ChunkedArray) -> np.ndarray:
+        y, x = np.radians(lat.to_numpy()), np.radians(lon.to_numpy())
+        return np.stack([np.cos(y) * np.cos(x), np.cos(y) * np.sin(x), np.sin(y)], axis=1)
+
+    def codes(columns: list[pa.ChunkedArray]) -> np.ndarray:
+        """A number for each row; rows have the same if and only if they agree in all columns."""
+        code = np.zeros(len(columns[0]) if columns else 0, np.int64)
+        for column in columns:
+            values = column.combine_chunks()
+            if pa.types.is_nested(values.type):
+                values = pa.array([repr(v) for v in values.to_pylist()], pa.string())
+            one = values.dictionary_encode(null_encoding="encode").indices.to_numpy()
+            code = np.unique(code * (int(one.max(initial=0)) + 1) + one, return_inverse=True)[1]
+        return code
+
+    def runs(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero(np.diff(code, prepend=-1))
+        return at, np.append(at[1:], len(code))
+
+    def boxed(a: np.ndarray, b: np.ndarray, pieces: int) -> np.ndarray:
+        """Numbers of the pieces of a grid over both coordinates."""
+        number = np.zeros(len(a), np.int64)
+        for v in (a, b):
+            low, high = v.min(), v.max()
+            at = np.floor((v - low) * (pieces / (high - low))) if high > low else np.zeros(len(v))
+            number = number * pieces + np.minimum(at, pieces - 1).astype(np.int64)
+        return number
+
+    def edges(at: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.minimum.reduceat(v, at, axis=0), np.maximum.reduceat(v, at, axis=0)
+
+    def count(places: pa.Table, points: pa.Table) -> pa.Table:
+        n1, n2 = places["__n1"].to_numpy(), points["__n2"].to_numpy()
+        u, v = sphere(places["__lat1"], places["__lon1"]), sphere(points["__lat2"], points["__lon2"])
+        both = codes([pa.chunked_array([*places[k].chunks, *points[k].chunks], places.schema.field(k).type) for k in keys])
+        key1, key2 = both[: len(places)], both[len(places) :]
+        left = codes([places[c] for c in l_by]) if l_by else np.zeros(len(places), np.int64)
+        right = codes([points[c] for c in r_by]) if r_by else np.zeros(len(points), np.int64)
+        n_right = int(right.max(initial=0)) + 1
+        # Coordinates that are no numbers are near nothing.
+        order1, order2 = (np.flatnonzero(np.isfinite(w).all(axis=1)) for w in (u, v))
+        order1, order2 = order1[np.argsort(key1[order1], kind="stable")], order2[np.argsort(key2[order2], kind="stable")]
+        groups, weights, unsure, pending = [], [], [], 0
+
+        def add(group: np.ndarray, weight: np.ndarray) -> None:
+            nonlocal groups, weights, pending
+            groups.append(group)
+            weights.append(weight)
+            pending += len(group)
+            if pending > 2 * cells:
+                groups, weights = ([x] for x in summed())
+                pending = len(groups[0]) // 2
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            group, weight = np.concatenate([np.empty(0, np.int64), *groups]), np.concatenate([np.empty(0, np.int64), *weights])
+            order = np.argsort(group, kind="stable")
+            group, weight = group[order], weight[order]
+            at = np.flatnonzero(np.diff(group, prepend=-1))
+            return group[at], np.add.reduceat(weight, at) if len(at) else weight
+
+        def meet(p: np.ndarray, q: np.ndarray) -> None:
+            """Count the pairs of places ``p`` and points ``q``, which lie in one cell."""
+            middle = v[q[0]]
+            b = v[q] - middle
+            kinds, kind = np.unique(right[q], return_inverse=True)
+            few = len(kinds) <= 64
+            share = np.zeros((len(q), len(kinds) if few else 0))
+            if few:
+                share[np.arange(len(q)), kind] = n2[q]
+            crowded = len(q) > crowd
+            if crowded:
+                pieces = min(32, max(per_radius, math.ceil(math.sqrt(len(q) / most))))
+                box = boxed(up[q], along[q], pieces)
+                by = np.argsort(box, kind="stable")
+                q, b, share, box = q[by], b[by], share[by], box[by]
+                at, end = runs(box)
+                low, high = edges(at, b)
+                totals, size = np.add.reduceat(share, at, axis=0), end - at
+                place_box = boxed(lat1[p], lon1[p], min(64, math.ceil(math.sqrt(len(p) / most))))
+                by = np.argsort(place_box, kind="stable")
+                p, starts = p[by], list(zip(*runs(place_box[by]), strict=True))
+            else:
+                starts = [(0, len(p))]
+            a = u[p] - middle
+            slack = 1e-13 * (float((a * a).sum(axis=1).max()) + float((b * b).sum(axis=1).max()))
+            sure, out = least - slack, beyond + slack
+            right_side = np.concatenate([-2 * b.T, np.ones((1, len(q))), (b * b).sum(axis=1)[None]])
+            left_side = np.concatenate([a, (a * a).sum(axis=1)[:, None], np.ones((len(p), 1))], axis=1)
+            for i, j in starts:
+                found = np.zeros((j - i, share.shape[1]))
+                opened = np.arange(len(q))
+                if crowded:
+                    south, north = a[i:j].min(axis=0), a[i:j].max(axis=0)
+                    near = (np.maximum(0, np.maximum(low - north, south - high)) ** 2).sum(axis=1)
+                    touched = near <= out
+                    if few:
+                        whole = (np.maximum(high - south, north - low) ** 2).sum(axis=1) <= sure
+                        found += totals[whole].sum(axis=0)
+                        touched &= ~whole
+                    opened = np.flatnonzero(np.repeat(touched, size))
+                side, held = right_side[:, opened], share[opened]
+                for c in range(i, j if len(opened) else i, max(1, cells // max(1, len(opened)))):
+                    d = left_side[c : min(j, c + max(1, cells // len(opened)))] @ side
+                    inside = d <= sure
+                    if few:
+                        found[c - i : c - i + len(d)] += inside.astype(np.float64) @ held
+                    else:
+                        x, y = np.nonzero(inside)
+                        x, y = p[c + x], q[opened[y]]
+                        add(left[x] * n_right + right[y], n1[x] * n2[y])
+                    close = d <= out
+                    if np.count_nonzero(close) != np.count_nonzero(inside):
+                        x, y = np.nonzero(close & ~inside)
+                        unsure.append((p[c + x], q[opened[y]]))
+                if few:
+                    x, y = np.nonzero(found)
+                    add(left[p[i + x]] * n_right + kinds[y], found[x, y].astype(np.int64) * n1[p[i + x]])
+
+        lat1, lon1 = places["__lat1"].to_numpy(), places["__lon1"].to_numpy()
+        up, along = points["__up"].to_numpy(), points["__along"].to_numpy()
+        at1, end1 = runs(key1[order1])
+        at2, end2 = runs(key2[order2])
+        _, i, j = np.intersect1d(key1[order1][at1], key2[order2][at2], assume_unique=True, return_indices=True)
+        for x, y in zip(i, j, strict=True):
+            meet(order1[at1[x] : end1[x]], order2[at2[y] : end2[y]])
+        group, weight = summed()
+        of_left, of_right = np.zeros(int(left.max(initial=0)) + 1, np.int64), np.zeros(n_right, np.int64)
+        of_left[left], of_right[right] = np.arange(len(left)), np.arange(len(right))
+        p = np.concatenate([of_left[group // n_right], *(x for x, _ in unsure)])
+        q = np.concatenate([of_right[group % n_right], *(y for _, y in unsure)])
+        weight = np.concatenate([weight, n1[p[len(group) :]] * n2[q[len(group) :]]])
+        known = np.arange(len(p)) < len(group)
+        made = {c: t[c].take(pa.array(at)) for t, names, at in ((places, l_by, p), (points, r_by, q)) for c in names}
+        made[output] = pa.array(weight, pa.int64())
+        for t, names, at in ((places, ("__lat1", "__lon1"), p), (points, ("__lat2", "__lon2"), q)):
+            for c in names:
+                made[c] = pa.array(t[c].to_numpy()[at], pa.float64(), mask=known)
+        return pa.table(made)
+
+    return count
 
 
 def count_within(
@@ -163,17 +321,18 @@ def count_within(
 ) -> DataFrame:
     """``distance_join(...).groupBy(*left_by, *right_by).count()`` without forming most pairs.
 
-    Points of one place and group are first collapsed to one row with a weight. Cells are
-    ``per_radius`` times finer than the radius. A cell that lies inside a point's circle as a whole
-    adds the product of the two weights, from the cell's total. A cell the circle's edge crosses is
-    compared point by point if it holds few points; one that holds many is cut into smaller cells,
-    in rounds, until the pieces are whole, outside or small. Where all points crowd into one spot
-    the work thus follows the length of the circle's edge, not the number of pairs.
+    Points of one place and group are first collapsed to one row with a weight. Cells are as large as the radius, so a
+    place meets about nine; both sides are dealt to tasks by cell, and cells in which many rows meet many are cut on
+    both sides. There, points of a crowded cell are put into boxes, at least ``per_radius`` a side: a box that lies
+    inside the circles of all places of a box as a whole adds its total, one that the edge of a circle may cross is
+    compared point by point. What is shuffled thus follows the rows of both sides, whatever the number of pairs. Array
+    arithmetic decides pairs that are clearly nearer or farther than the radius; the few others are handed to the
+    exact formula.
     """
     if not distance.clamp:
         raise ValueError("counting by cell needs the clamped distance; join and group instead")
     radius_m = radius * distance.metres_per_unit
-    grid = SphereGrid(radius_m, per_radius)
+    grid = SphereGrid(radius_m)
     block_by = [_BLOCK] if block else []
     l_by = {c: f"__l_{c}" for c in left_by}
     r_by = {c: f"__r_{c}" for c in right_by}
@@ -182,78 +341,37 @@ def count_within(
         return (
             _located(df, *coords, block)
             .groupBy(
-                *block_by, F.col(coords[0]).alias(names[0]), F.col(coords[1]).alias(names[1]),
+                *block_by, F.col(coords[0]).cast("double").alias(names[0]), F.col(coords[1]).cast("double").alias(names[1]),
                 *(F.col(c).alias(a) for c, a in by.items()),
             )
             .agg(F.count("*").alias(names[2]))
         )
 
-    def touched(probes: DataFrame) -> DataFrame:
-        """Cells not outside the circle, marked if whole inside. The margin keeps every point whose
-        side rounding could change among those compared by the exact formula."""
-        return (
-            probes.filter(F.col("__low") <= _half_sine_squared(radius_m + grid.margin_m))
-            .withColumn("__whole", F.col("__high") < _half_sine_squared(radius_m - grid.margin_m))
-            .drop("__low", "__high")
-        )
+    keys = _keys(block)
+    points = collapse(right, right_coords, r_by, ("__lat2", "__lon2", "__n2"))
+    points = grid.add_cell(points, "__lat2", "__lon2", _ROW, _CELL, "__up", "__along")
+    points, n_points = materialise_counted(points, "count-points")
+    places, n_places = materialise_counted(collapse(left, left_coords, l_by, ("__lat1", "__lon1", "__n1")), "count-places")
+    near = grid.explode_reach(places, "__lat1", "__lon1", _ROW, _CELL)
 
-    points = materialise(
-        grid.add_cell(
-            collapse(right, right_coords, r_by, ("__lat2", "__lon2", "__n2")),
-            "__lat2", "__lon2", _ROW, _CELL, "__up", "__along",
-        ),
-        "count-points",
-    )
-    places = collapse(left, left_coords, l_by, ("__lat1", "__lon1", "__n1"))
-    probes = touched(grid.explode_bounded(places, "__lat1", "__lon1", _ROW, _CELL))
-    probes = probes.selectExpr("*", "0L AS __si", "0L AS __sj")
-    keys = [*_keys(block), "__si", "__sj"]
-    gap = distance("__lat2", "__lon2", "__lat1", "__lon1")
-    by = [*l_by.values(), *r_by.values()]
-    parts: list[DataFrame] = []
-    pieces = 1
-    # Pieces below the margin would never be whole or outside; what is crowded there is compared.
-    finest = grid.cell_m / grid.margin_m
-    while True:
-        last = f"{pieces - 1}L"
-        points = points.drop("__si", "__sj").selectExpr(
-            "*",
-            f"greatest(0L, least({last}, floor(__up * {pieces}))) AS __si",
-            f"greatest(0L, least({last}, floor(__along * {pieces}))) AS __sj",
-        )
-        crowds = points.groupBy(*keys).agg(F.count("*").alias("__rows")).filter(F.col("__rows") > MAX_COMPARED)
-        crowded = not crowds.isEmpty()
-        split = None
-        if crowded and pieces < finest:
-            probes = materialise(probes.join(crowds, keys, "left"), "count-frontier")
-            split = probes.filter("NOT __whole AND __rows IS NOT NULL").drop("__rows", "__whole")
-            probes = probes.filter("__whole OR __rows IS NULL")
-        probes = probes.select(*keys, "__whole", "__lat1", "__lon1", "__n1", *l_by.values())
-        totals = points.groupBy(*keys, *r_by.values()).agg(F.sum("__n2").alias("__n2"))
-        targets = points.select(*keys, "__lat2", "__lon2", *r_by.values(), "__n2", F.lit(False).alias("__whole"))
-        targets = targets.unionByName(totals.withColumn("__whole", F.lit(True)), allowMissingColumns=True)
-        on = [*keys, "__whole"]
-        if crowded:
-            joined = salted_join(targets, probes, on)
-        else:
-            joined = targets.join(probes, on)
-        parts.append(
-            joined.filter(F.col("__whole") | (gap <= radius))
-            .groupBy(*by)
-            .agg(F.sum(F.col("__n1") * F.col("__n2")).alias(output))
-        )
-        if split is None or split.isEmpty():
-            break
-        pieces *= SPLIT
-        cells = split.select(*keys).distinct()
-        points = materialise(salted_join(points, cells, keys), "count-points")
-        probes = touched(grid.split_bounded(split, "__lat1", "__si", "__sj", parts=SPLIT))
-    counted = parts[0]
-    for part in parts[1:]:
-        counted = counted.unionByName(part)
+    def per_cell(df: DataFrame) -> DataFrame:
+        return df.groupBy(*keys).agg(F.count("*").alias("__rows"))
+
+    total = n_points + 9 * n_places
+    spread, repeated, on = salted_sides(points, near, keys, per_cell(points), per_cell(near), total)
+    part = F.pmod(F.xxhash64(*on), F.lit(max(LEAST_TASKS, math.ceil(total / TASK_POINTS)))).cast("int")
+    margin_m = min(_SURE_M, grid.margin_m) if distance.formula == "haversine" else grid.margin_m
+    counter = _counter(on, list(l_by.values()), list(r_by.values()), output, radius_m, margin_m, per_radius)
+    coordinates = ("__lat1", "__lon1", "__lat2", "__lon2")
+    asked = repeated.withColumn("__task", part).groupBy("__task")
+    made = T.StructType(
+        [f for f in places.schema.fields if f.name in l_by.values()] + [f for f in points.schema.fields if f.name in r_by.values()]
+    ).add(output, T.LongType())
+    for c in coordinates:
+        made = made.add(c, T.DoubleType())
+    counted = asked.cogroup(spread.withColumn("__task", part).groupBy("__task")).applyInArrow(counter, made)
+    counted = counted.filter(F.col("__lat1").isNull() | (distance("__lat2", "__lon2", "__lat1", "__lon1") <= radius))
     names = [F.col(a).alias(c) for c, a in {**l_by, **r_by}.items()]
-    if len(parts) == 1:
-        return counted.select(*names, output)
     return counted.groupBy(*names).agg(F.sum(output).alias(output))
 
 

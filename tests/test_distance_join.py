@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cityloom.functions.geo import Distance
 from cityloom.operators import distance_join as module
@@ -199,3 +200,54 @@ def test_small_table_join_broadcast_or_not(spark, threshold):
         assert sorted(r["count"] for r in attach_group_counts(x, ["k"]).collect()) == [1, 1, 2, 2]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_counting_writes_rows_not_pairs(spark, monkeypatch):
+    """Two crowds near each other: nothing beyond the rows of both sides is written, however many cells edges cross."""
+    labels = []
+    monkeypatch.setattr(module, "MAX_COMPARED", 8)
+    monkeypatch.setattr("cityloom.session.scratch_path", _named(labels))
+    rnd = random.Random(4)
+    rows = [(i, 49.25 + rnd.gauss(0, 0.004), -123.1 + rnd.gauss(0, 0.004)) for i in range(600)]
+    l = spark.createDataFrame(rows[:300], "lid int, lat double, lon double").withColumn("kind", F.col("lid") % 3)
+    r = spark.createDataFrame(rows[300:], "rid int, latitude double, longitude double").withColumn("type", F.col("rid") % 2)
+    got = {(x["kind"], x["type"]): x["n"] for x in count_within(l, r, 400.0, left_by=["kind"], right_by=["type"], block=None).collect()}
+    want = {}
+    for a in rows[:300]:
+        for b in rows[300:]:
+            if meters(a[1:], b[1:]) <= 400.0:
+                want[a[0] % 3, b[0] % 2] = want.get((a[0] % 3, b[0] % 2), 0) + 1
+    assert got == want
+    assert sorted(labels) == ["count-places", "count-points"]
+
+
+def _named(labels):
+    from cityloom.session import scratch_path
+
+    def path(spark, label):
+        labels.append(label)
+        return scratch_path(spark, label)
+
+    return path
+
+
+def test_pairs_do_not_broadcast_the_repeated_side(spark):
+    """Rows of the left side in all cells they reach are nine times what their file says."""
+    l = spark.createDataFrame([(1, 49.25, -123.1)], "lid int, lat double, lon double")
+    r = spark.createDataFrame([(2, 49.2501, -123.1)], "rid int, latitude double, longitude double")
+    joined = distance_join(l, r, 500.0, block=None)
+    assert [(x["lid"], x["rid"]) for x in joined.collect()] == [(1, 2)]
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin [__row" in plan
+
+
+def test_points_at_the_radius_and_odd_coordinates_count_as_they_join(spark):
+    """What lies at the very edge is for the exact formula; null is near nothing."""
+    spots = [(i, 49.25 + i * 0.001, -123.1) for i in range(12)] + [(21, None, 1.0), (22, -89.9999, 179.9)]
+    l = spark.createDataFrame(spots, "lid int, lat double, lon double")
+    r = spark.createDataFrame(spots, "rid int, latitude double, longitude double")
+    for how in (Distance(), Distance("cosine"), Distance("scaled_degrees")):
+        radius = meters((49.25, -123.1), (49.254, -123.1)) / how.metres_per_unit
+        pairs = distance_join(l, r, radius, block=None, distance=how).groupBy("lid").count().collect()
+        got = count_within(l, r, radius, left_by=["lid"], block=None, distance=how).collect()
+        assert sorted((x["lid"], x["n"]) for x in got) == sorted(map(tuple, pairs))
