@@ -193,8 +193,12 @@ def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], *, counts: Data
     )
 
 
-def attach_group_counts(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataFrame:
+def attach_group_counts(
+    df: DataFrame, keys: Sequence[str], name: str = "count", *, counts: DataFrame | None = None
+) -> DataFrame:
     """Add to every row the number of rows that share its keys, from pre-aggregated counts. ``df`` is read twice: give a
-    written one."""
+    written one; or the ``counts`` (keys and ``name``), where ``df`` is a part of the rows that were counted."""
+    if counts is not None:
+        return attach(df, counts, keys)
     counts = materialise(df.groupBy(*keys).agg(F.count("*").alias(name)), "group-counts")
     return attach(df, counts, keys, counts=counts.withColumnRenamed(name, "__rows"))

@@ -95,3 +95,11 @@ def test_a_row_repeated_very_often_has_ids_in_every_task(spark):
         assert made.select("i").distinct().count() == 1_000_000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_counts_of_all_rows_for_some_of_them(spark):
+    """Rows that can be kept get the count of all rows of their key; null is a key."""
+    some = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "id int, k string")
+    counts = spark.createDataFrame([("a", 7), (None, 5), ("b", 1)], "k string, count long")
+    got = attach_group_counts(some, ["k"], counts=counts).collect()
+    assert sorted(map(tuple, got)) == [(1, "a", 7), (2, None, 5), (3, "c", None)]

@@ -297,10 +297,17 @@ def incidents_with_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def near_counts_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Pairs with the count of their category and type, one row of each: the pair with the smallest ids."""
-    pairs = near_pairs(places(spark, sf), incidents(spark, sf)).select("amnt_id", "c_id", "category", "crime_type")
-    counted = attach_group_counts(materialise(pairs, "pairs"), ["category", "crime_type"])
-    return keep_one(counted, ["category", "crime_type", "count"], ["amnt_id", "c_id"])
+    """Pairs with the count of their category and type, one row of each: the pair with the smallest ids. All pairs are
+    counted, per place; only those of a place that comes first in some group can be kept, and these are joined."""
+    keys, kept, near = ["category", "crime_type"], places(spark, sf), incidents(spark, sf)
+    per_place = materialise(near_counts(kept, near, by=("amnt_id", "category")), "per-place")
+    counts = per_place.groupBy(*keys).agg(F.sum("n").alias("count"))
+    # One row per category and type at most.
+    first = per_place.groupBy(*keys).agg(F.min(F.struct("amnt_id")).alias("first")).select(F.col("first.amnt_id").alias("first")).distinct()
+    leading = kept.join(F.broadcast(first), F.col("amnt_id").eqNullSafe(F.col("first")), "left_semi")
+    pairs = near_pairs(leading, near).select("amnt_id", "c_id", *keys)
+    counted = attach_group_counts(pairs, keys, counts=counts)
+    return keep_one(counted, [*keys, "count"], ["amnt_id", "c_id"])
 
 
 def first_incident_per_place(spark: SparkSession, sf: str) -> DataFrame:
