@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..functions.geo import haversine_m
-from ..session import materialise
+from ..session import materialise, materialise_counted
 from .knn import knn_join, pairs_in_reach
 
 # Up to so many centres the nearest rows are found in one pass over rows and centres, beyond that by a
@@ -19,6 +19,8 @@ from .knn import knn_join, pairs_in_reach
 FEW_CENTRES = 64
 # Up to so many centres a row's label is a generated expression over all of them, beyond that one over boxes of centres.
 INLINE_CENTRES = 32
+# Points are dealt to more tasks if each gets so many.
+FILE_POINTS = 20_000
 
 
 @dataclass(frozen=True)
@@ -115,6 +117,14 @@ class Clusters:
         return df.withColumn(name, self.label(lat, lon))
 
 
+def _dealt(points: DataFrame) -> DataFrame:
+    """Points written in as many files as there are cores, or the fewer that hold ``FILE_POINTS`` each: a compact input
+    of few files would be iterated over in as few tasks."""
+    points, n = materialise_counted(points, "points")
+    parts = min(points.sparkSession.sparkContext.defaultParallelism, n // FILE_POINTS)
+    return materialise(points.repartition(parts), "dealt-points") if parts > 1 else points
+
+
 def _means(labelled: DataFrame, lat: str, lon: str) -> dict[int, tuple[float, float]]:
     """Mean of each cluster: one row per centre."""
     # A filter on the label would be pushed below it, and each row labelled twice.
@@ -174,14 +184,12 @@ def kmeans(
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    points = df.select(lat, lon).filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    # Points are written once, dealt to all cores. A fit keeps its own vectors, ready for its iterations; a table persisted
+    # here would be decoded again in each of them.
+    points = _dealt(df.select(lat, lon).filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()))
     vectors = VectorAssembler(inputCols=[lat, lon], outputCol="features").transform(points).select("features")
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fits = [KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tolerance).fit(vectors) for i in range(starts)]
-        model = min(fits, key=lambda m: m.summary.trainingCost)
-    finally:
-        vectors.unpersist()
+    fits = [KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tolerance).fit(vectors) for i in range(starts)]
+    model = min(fits, key=lambda m: m.summary.trainingCost)
     centres = sorted((float(c[0]), float(c[1])) for c in model.clusterCenters())
     return Clusters(tuple((i, y, x) for i, (y, x) in enumerate(centres)))
 

@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from cityloom.operators import clusters as module
 from cityloom.operators.clusters import (
     Clusters, kmeans, label_map, lloyd, merge_clusters, nearest_per_centre, small_cluster_groups, within_cost,
 )
@@ -269,3 +270,12 @@ def test_centres_as_a_table_stay_off_the_driver(spark, monkeypatch):
     table = model.to_frame(spark).unionByName(spark.sql("SELECT 99 AS cluster, CAST(NULL AS DOUBLE) AS clat, 1D AS clon"))
     monkeypatch.setattr(Clusters, "__post_init__", lambda self: pytest.fail("centres on the driver"))
     assert sorted((r["cluster"], r["id"]) for r in nearest_per_centre(df, table).collect()) == want
+
+
+def test_points_of_one_file_are_iterated_over_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(module, "FILE_POINTS", 20)
+    points = blobs(spark, parts=1).select("lat", "lon").coalesce(1)
+    dealt = module._dealt(points)
+    assert dealt.rdd.getNumPartitions() > 1 and sorted(dealt.collect()) == sorted(points.collect())
+    found = kmeans(blobs(spark, parts=1), 5, seed=3).centres
+    assert all(min(abs(y - a) + abs(x - b) for a, b in SPOTS) < 0.01 for _, y, x in found)
