@@ -15,9 +15,10 @@ from ..session import materialise
 from .skew import salted_join
 
 # The tree splits a square until a leaf has about LEAF_ROWS points, or until there are MAX_LEAVES leaves; it is shaped
-# on SAMPLE_ROWS points. A task takes about TASK_VISITS queries of a leaf, whose points it looks at in blocks.
+# on SAMPLE_ROWS points. A task takes about TASK_VISITS queries of a leaf, CHUNK_QUERIES next to each other at a time,
+# and looks at the leaf's points in blocks.
 LEAF_ROWS, MAX_LEAVES, SAMPLE_ROWS = 64, 4_096, 100_000
-TASK_VISITS, BLOCK_ROWS = 100_000, 16
+TASK_VISITS, CHUNK_QUERIES, BLOCK_ROWS = 100_000, 32, 16
 _BITS = 30
 _ROW, _PLACE = "__query", ["__qy", "__qx"]
 
@@ -176,7 +177,7 @@ def _nearest(
         held = points.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce(F.get(of, 0)["parts"], F.lit(1)) - 1)))
     else:
         held = points.withColumn("part", F.lit(0))
-    block_rows, cells, out = BLOCK_ROWS, 1_000_000, [f.name for f in train.schema.fields]
+    block_rows, some_queries, cells, out = BLOCK_ROWS, CHUNK_QUERIES, 1_000_000, [f.name for f in train.schema.fields]
 
     def search(asked: pa.Table, held: pa.Table) -> pa.Table:
         held = held.sort_by("code")
@@ -185,29 +186,49 @@ def _nearest(
         order[pc.sort_indices(held["__id"]).to_numpy()] = np.arange(len(held))
         at = np.arange(0, len(held), block_rows)
         size = np.diff(np.append(at, len(held)))
-        edges = [f.reduceat(v, at) for v in (y, x) for f in (np.minimum, np.maximum)] if len(at) else []
+        y0, y1, x0, x1 = [f.reduceat(v, at) for v in (y, x) for f in (np.minimum, np.maximum)] if len(at) else [None] * 4
         qy, qx, limit = (asked[c].to_numpy() for c in ("__qy", "__qx", "limit"))
+        # Queries next to each other are asked together, so that they share the blocks they open.
+        near_by = np.argsort(coder(qx, qy), kind="stable")
         whose, which, gaps = [], [], []
-        step = max(1, cells // max(len(at), 1)) if len(at) else len(asked) + 1
-        for i in range(0, len(asked) if len(at) else 0, step):
-            a, b, top = qy[i : i + step, None], qx[i : i + step, None], limit[i : i + step]
-            y0, y1, x0, x1 = edges
-            far = np.maximum(a - y0, y1 - a) ** 2 + np.maximum(b - x0, x1 - b) ** 2
-            top = np.minimum(top, np.where(size >= wanted, far, np.inf).min(axis=1))
-            near = np.maximum(0, np.maximum(y0 - a, a - y1)) ** 2 + np.maximum(0, np.maximum(x0 - b, b - x1)) ** 2
-            q, block = np.nonzero(near <= top[:, None])
-            p = np.repeat(at[block], size[block]) + np.concatenate([np.arange(s) for s in size[block]] or [at[:0]])
-            q = np.repeat(q, size[block])
-            d = (a[q, 0] - y[p]) * (a[q, 0] - y[p]) + (b[q, 0] - x[p]) * (b[q, 0] - x[p])
-            kept = np.flatnonzero(d <= top[q])
-            q, p, d = q[kept], p[kept], d[kept]
-            by = np.lexsort((order[p], d, q))
-            q, p, d = q[by], p[by], d[by]
-            rank = np.arange(len(q)) - np.searchsorted(q, q)
-            best = np.flatnonzero(rank < k)
-            whose.append(q[best] + i)
-            which.append(p[best])
-            gaps.append(d[best])
+
+        def squared(q: np.ndarray, p: np.ndarray) -> np.ndarray:
+            dy, dx = qy[q, None] - y[p], qx[q, None] - x[p]
+            return dy * dy + dx * dx
+
+        def nearest(q: np.ndarray, p: np.ndarray) -> None:
+            """The ``k`` nearest of points ``p`` for each of the queries ``q``, ties to the smaller id."""
+            for j in range(0, len(q), max(1, cells // len(p))):
+                part = q[j : j + max(1, cells // len(p))]
+                d = squared(part, p)
+                top = limit[part]
+                if len(p) > k:
+                    top = np.minimum(top, np.partition(d, k - 1, axis=1)[:, k - 1])
+                row, col = np.nonzero(d <= top[:, None])
+                gap, point = d[row, col], p[col]
+                by = np.lexsort((order[point], gap, row))
+                row, gap, point = row[by], gap[by], point[by]
+                best = np.flatnonzero(np.arange(len(row)) - np.searchsorted(row, row) < k)
+                whose.append(part[row[best]])
+                which.append(point[best])
+                gaps.append(gap[best])
+
+        for i in range(0, len(asked) if len(at) else 0, some_queries):
+            q = near_by[i : i + some_queries]
+            south, north, west, east = qy[q].min(), qy[q].max(), qx[q].min(), qx[q].max()
+            apart = np.maximum(0, np.maximum(y0 - north, south - y1)) ** 2 + np.maximum(0, np.maximum(x0 - east, west - x1)) ** 2
+            top = limit[q].max()
+            if len(held) > wanted:
+                # Some blocks near the queries bound how far the wanted nearest of each of them can be.
+                first = np.argsort(apart, kind="stable")[: 1 + -(-wanted // block_rows)]
+                p = np.concatenate([np.arange(at[b], at[b] + size[b]) for b in first])
+                if len(p) >= wanted and len(p) <= cells // len(q):
+                    top = np.minimum(limit[q], np.partition(squared(q, p), wanted - 1, axis=1)[:, wanted - 1]).max()
+            # Squares of rounded differences keep the order of bounds; the slack is for their sum.
+            opened = np.flatnonzero(apart <= top * (1 + 1e-12))
+            if len(opened):
+                p = (at[opened, None] + np.arange(block_rows)).ravel()
+                nearest(q, p[p < len(held)])
         none = [np.empty(0, np.int64)]
         rows_of, points_of = (pa.array(np.concatenate(x or none)) for x in (whose, which))
         found = asked.select(["__query", "__qy", "__qx"]).take(rows_of)
@@ -323,8 +344,8 @@ def knn_join(
     3. A leaf's region and the other leaves' boxes and rows tell which leaves can matter to it. A query takes that
        list of the leaf it lies in, tightens the bound with its own place and visits the leaves that the circle
        touches: one round, whatever the spread. Leaves that many visit are split over tasks.
-    4. A task has one leaf and some of its visitors; there, blocks of points next to each other tighten the circle once
-       more. Each visit gives at most k points, and Spark ranks them by query.
+    4. A task has one leaf and some of its visitors; there, visitors next to each other open blocks of points together,
+       as far as the points of the nearest blocks allow for. Each visit gives at most k points, and Spark ranks them by query.
 
     Steps 3 and 4 are array arithmetic on Arrow batches: as array functions they are interpreted, which took ten times
     as long. The tree, at most ``MAX_LEAVES`` rows and their lists, is all that is broadcast.

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from cityloom.operators import knn as module
 from cityloom.operators.knn import knn_join, label_by_neighbours
 from cityloom.plans.neighbourhoods import label_places, labelling_scores
 
@@ -140,3 +141,18 @@ def test_few_jobs_whatever_the_spread(spark):
     before = len(tracker.getJobIdsForGroup(None))
     knn_join(q, t, key="qid", train_id="tid").collect()
     assert len(tracker.getJobIdsForGroup(None)) - before <= 18
+
+
+@pytest.mark.parametrize("chunk, block", [(1, 1), (3, 2), (64, 5)])
+def test_queries_that_share_blocks_find_their_own_neighbours(spark, monkeypatch, chunk, block):
+    """Queries next to each other are asked together, whatever lies between them."""
+    monkeypatch.setattr(module, "CHUNK_QUERIES", chunk)
+    monkeypatch.setattr(module, "BLOCK_ROWS", block)
+    monkeypatch.setattr(module, "MAX_LEAVES", 3)
+    train, queries = spread(240, 5), spread(90, 6)
+    q = spark.createDataFrame([r[:3] for r in queries], "qid int, lat double, lon double")
+    t = spark.createDataFrame(train, "tid int, latitude double, longitude double, label string")
+    got = {}
+    for r in knn_join(q, t, key="qid", train_id="tid", k=4).orderBy("qid", "rank").collect():
+        got.setdefault(r["qid"], []).append(r["tid"])
+    assert got == brute(queries, train, 4)
