@@ -24,7 +24,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import materialise_by, parts_for, ship
+from .common import give_back, giving_back, materialise_by, parts_for, ship
 from .subwords import word_encoder
 from .wordpiece import byte_alphabet
 
@@ -76,6 +76,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], limit: int, buckets: int) -> Iter
         name = f"{part}-{done}"
         flat = np.concatenate([np.frombuffer(t, np.uint32) for t in texts])
         lens = np.fromiter(map(len, texts), np.uint32, len(texts))
+        texts = []  # as long as the block; not needed beside its sequence
         # Bucket by bucket, commonest first within each: a word's place says in which bucket it is.
         names = list(words)
         bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in names), np.int64, len(names))
@@ -107,6 +108,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], limit: int, buckets: int) -> Iter
                 columns,
             )
         ids, texts, words, chars, done = [], [], {}, 0, done + 1
+        give_back()
 
     id_type = None
     for batch in batches:
@@ -149,7 +151,7 @@ def encode(
         return _blocks(batches, block_chars, buckets)
 
     made = materialise_by(
-        rows.mapInArrow(blocks, f"block string, ids array<{kind}>, seq binary, bucket int, payload binary"), "block", "bpe-blocks"
+        rows.mapInArrow(giving_back(blocks), f"block string, ids array<{kind}>, seq binary, bucket int, payload binary"), "block", "bpe-blocks"
     )
 
     def distinct_words(table: pa.Table) -> pa.Table:
@@ -170,6 +172,7 @@ def encode(
             n = lens[at]
             starts = np.repeat(offsets[at] - np.concatenate(([0], np.cumsum(n)[:-1])), n)
             out.append(_pack(n, flat[starts + np.arange(n.sum())]))
+        give_back()
         return pa.table({"block": table["block"], "bucket": table["bucket"], "payload": pa.array(out, pa.binary())})
 
     words = made.filter("bucket IS NOT NULL").select("block", "bucket", "payload")
@@ -209,6 +212,7 @@ def encode(
                     }
                 )
             )
+        give_back()
         return pa.concat_tables(tables)
 
     sequences = made.filter("bucket IS NULL").select("block", "ids", "seq")
@@ -259,4 +263,4 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", out_co
                 )
 
     schema = T.StructType([*encoded.schema.fields, T.StructField(out_col, T.StringType())])
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(giving_back(run), schema)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import materialise, scratch_path
 
-__all__ = ["materialise", "materialise_by", "scratch_path", "table", "parts_for", "ship"]
+__all__ = ["materialise", "materialise_by", "scratch_path", "table", "parts_for", "ship", "give_back", "giving_back"]
 
 
 _SHIPPED: set[str] = set()
@@ -54,3 +57,24 @@ def materialise_by(df: DataFrame, key: str, label: str) -> DataFrame:
 def parts_for(rows: int, per_part: int, least: int = 1) -> int:
     """How many parts a table of so many rows is cut into; grows with the rows, without a limit."""
     return max(least, math.ceil(rows / per_part))
+
+
+def give_back() -> None:
+    """Return what a Python worker has freed to the system. Workers live on between tasks, and several of them share the
+    memory of an executor: what one keeps for its next task, the others lack."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, with ``give_back`` when a task is through."""
+
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return through

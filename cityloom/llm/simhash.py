@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import materialise, ship
+from .common import give_back, giving_back, materialise, ship
 from .components import Forest, components
 
 FANOUT = 16
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
 
     ship(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return rows.mapInArrow(run, T.StructType([rows.schema["id"]]).add("fp", "long"))
+    return rows.mapInArrow(giving_back(run), T.StructType([rows.schema["id"]]).add("fp", "long"))
 
 
 def gray_rank(code: Column) -> Column:
@@ -165,7 +165,7 @@ def _links(codes: DataFrame, limit: int) -> DataFrame:
                 later = ids[at] > own[q]  # each pair of nodes is searched from one side
                 yield pa.RecordBatch.from_pydict({"node": ids[at][later].astype(np.int32), "fp": fp[q][later]})
 
-    guests = placed.mapInArrow(route, "node int, fp long")
+    guests = placed.mapInArrow(giving_back(route), "node int, fp long")
     guests = materialise(guests, "gray-guests")
     # The codes of a node are also its own queries; many queries are spread over parts of their own.
     lookups = guests.unionByName(placed)
@@ -190,6 +190,7 @@ def _links(codes: DataFrame, limit: int) -> DataFrame:
         for q, c in GrayIndex(code).search(query, limit):
             forest.link(of_query[q], of_code[c])
         a, b = forest.links()
+        give_back()
         return pa.table({"a": every[a], "b": every[b]})
 
     return asked.unionByName(held).groupBy("node", "part").applyInArrow(search, "a long, b long")

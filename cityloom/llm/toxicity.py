@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import materialise, ship
+from .common import giving_back, materialise, ship
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
@@ -73,7 +73,7 @@ def _document_counts(df: DataFrame) -> DataFrame:
                 {"feature": pa.array(part, pa.int32()), "n": [n[k] for k in part], "toxic": [toxic[k] for k in part]}
             )
 
-    counted = df.mapInArrow(count, "feature int, n long, toxic long")
+    counted = df.mapInArrow(giving_back(count), "feature int, n long, toxic long")
     return counted.groupBy("feature").agg(F.sum("n").alias("n_docs"), F.sum("toxic").alias("n_toxic"))
 
 
@@ -92,7 +92,7 @@ def _feature_sets(df: DataFrame, kept: np.ndarray) -> DataFrame:
                 [batch.column("toxic"), pa.array(rows, pa.list_(pa.list_(pa.int32())))], ["toxic", "bag"]
             )
 
-    return df.select("toxic", "text").mapInArrow(sets, "toxic int, bag array<array<int>>")
+    return df.select("toxic", "text").mapInArrow(giving_back(sets), "toxic int, bag array<array<int>>")
 
 
 def fit(
@@ -214,4 +214,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     spans = T.ArrayType(T.StructType().add("start", "integer").add("stop", "integer").add("score", "double"))
     schema = T.StructType([rows.schema["id"]]).add("score", "double").add("spans", spans)
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(giving_back(run), schema).withColumnRenamed("id", id_col)

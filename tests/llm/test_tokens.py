@@ -152,3 +152,25 @@ def test_token_folders_are_where_spark_has_them(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     made = token_files.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "t"), end_id=2)
     assert [r["n_tokens"] for r in token_files.read_tokens(made).collect()] == [3] and any((tmp_path / "t").iterdir())
+
+
+def test_workers_give_memory_back_after_each_task():
+    """What a task has freed does not stay with the worker, which lives on."""
+    from cityloom.llm import common
+
+    def held():
+        with open("/proc/self/status") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("VmRSS")) // 1024
+
+    def run(batches):
+        for _ in batches:
+            words = [bytes(64) + str(i).encode() for i in range(2_000_000)]
+            last = words[-1]  # keeps the top of the heap, so that freed pages stay in it
+            del words
+            kept.append(last)
+            yield None
+
+    kept = []
+    before = held()
+    assert list(common.giving_back(run)(iter([1]))) == [None]
+    assert held() - before < 60
