@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.geo import EARTH_RADIUS_M, Distance, SphereGrid
 from ..session import materialise_bucketed, materialise_counted
@@ -39,6 +39,7 @@ def distance_join(
     block: str | None = "neighbourhood",
     distance: Distance = Distance(),
     output: str = "distance_in_meters",
+    packed: bool = False,
 ) -> DataFrame:
     """All pairs at most ``radius`` apart, with their distance.
 
@@ -48,8 +49,26 @@ def distance_join(
     equi-join on the cell prunes, the exact distance decides. Cells in which many rows meet many are
     split over tasks on both sides. Apart from the block the columns of the two sides must have
     different names.
+
+    ``packed`` pairs come in pieces of ``PACK_PAIRS`` sorted by their distance, for results that are written: a column of
+    unsorted distances takes more of a Parquet file than all else of a pair, one of sorted distances next to nothing.
+    Pairs are then formed in Arrow batches, in memory that follows the piece; the exact distance still decides. Only the
+    columns that are wanted should be given.
     """
-    spread, repeated, on, columns = _sides(left, right, radius, left_coords, right_coords, block, distance)
+    spread, repeated, on, columns, total = _sides(left, right, radius, left_coords, right_coords, block, distance)
+    if packed:
+        radius_m = radius * distance.metres_per_unit
+        # Without clamping some pairs have no distance, however near they are.
+        pairer = _pairer(
+            on, [*left.columns], [c for c in columns if c not in left.columns], left_coords, right_coords,
+            radius_m, _margin(SphereGrid(radius_m), distance), distance.clamp,
+        )
+        fields = {f.name: f for f in [*repeated.schema.fields, *spread.schema.fields]}
+        made = T.StructType([T.StructField(c, fields[c].dataType) for c in columns]).add("__sure", T.BooleanType())
+        sides = repeated.withColumn("__left", F.lit(True)).unionByName(spread.withColumn("__left", F.lit(False)), allowMissingColumns=True)
+        pairs = sides.withColumn("__task", _task(on, total)).groupBy("__task").applyInArrow(pairer, made)
+        gap = distance(*right_coords, *left_coords)
+        return pairs.filter(F.col("__sure") | (gap <= radius)).select(*columns, gap.alias(output))
     return (
         # The exploded side is many times what Spark takes it for by its file, so it must not be broadcast.
         spread.join(repeated.hint("merge"), on)
@@ -67,9 +86,9 @@ def _sides(
     right_coords: tuple[str, str],
     block: str | None,
     distance: Distance,
-) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
-    """The right side's points, the left side's rows in every cell they reach, the columns they meet on, and those of a
-    pair."""
+) -> tuple[DataFrame, DataFrame, list[str], list[str], int]:
+    """The right side's points, the left side's rows in every cell they reach, the columns they meet on, those of a
+    pair, and the rows of both sides, about."""
     shared = set(left.columns) & set(right.columns) - {block}
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
@@ -86,10 +105,9 @@ def _sides(
     def per_cell(df: DataFrame) -> DataFrame:
         return df.groupBy(*keys).agg(F.count("*").alias("__rows"))
 
-    spread, repeated, on = salted_sides(
-        points, near, keys, per_cell(points), per_cell(near), n_points + 9 * n_places
-    )
-    return spread, repeated, on, [*left.columns, *(c for c in right.columns if c != block)]
+    total = n_points + 9 * n_places
+    spread, repeated, on = salted_sides(points, near, keys, per_cell(points), per_cell(near), total)
+    return spread, repeated, on, [*left.columns, *(c for c in right.columns if c != block)], total
 
 
 @dataclass(frozen=True)
@@ -132,7 +150,7 @@ def lay_out(
 ) -> RadiusLayout:
     """Write both sides of ``distance_join`` so that it can be run many times. The cells are those of ``radius``; a much
     smaller radius compares more pairs than its own layout would. Arguments are those of ``distance_join``."""
-    spread, repeated, on, columns = _sides(left, right, radius, left_coords, right_coords, block, distance)
+    spread, repeated, on, columns, _ = _sides(left, right, radius, left_coords, right_coords, block, distance)
     return RadiusLayout(
         materialise_bucketed(spread, on, "layout-points"), materialise_bucketed(repeated, on, "layout-near"), tuple(on),
         tuple(columns), left_coords, right_coords, radius, distance,
@@ -147,22 +165,28 @@ TASK_POINTS = 100_000
 LEAST_TASKS = 32
 # Settled by the counter's own arithmetic are pairs farther than this from the radius; the others go through the formula.
 _SURE_M = 1e-4
+# Packed pairs are sorted so many at a time, in about 30 bytes each, and found in so many comparisons at a time.
+PACK_PAIRS = 4_000_000
+PACK_CELLS = 1_000_000
 
 
-def _counter(
-    keys: list[str], l_by: list[str], r_by: list[str], output: str, radius_m: float, margin_m: float, per_radius: int
-) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Counts pairs of places and points that share ``keys``: weights of pairs within the radius per group, and the pairs
-    too close to it to tell, with their coordinates. Distances are chords between points on the unit sphere."""
-    most, cells, earth = max(1, MAX_COMPARED // 4), 1_000_000, EARTH_RADIUS_M
-    crowd = MAX_COMPARED
+def _margin(grid: SphereGrid, distance: Distance) -> float:
+    return min(_SURE_M, grid.margin_m) if distance.formula == "haversine" else grid.margin_m
+
+
+def _task(on: list[str], total: int) -> Column:
+    """The task in which rows that share ``on`` meet."""
+    return F.pmod(F.xxhash64(*on), F.lit(max(LEAST_TASKS, math.ceil(total / TASK_POINTS)))).cast("int")
+
+
+def _arrays() -> tuple[Callable, Callable, Callable, Callable]:
+    """Array arithmetic on Arrow columns, as functions that go to the workers with what calls them."""
+    earth = EARTH_RADIUS_M
 
     def chord(metres: float) -> float:
+        """The square of the chord on the unit sphere."""
         return 4 * math.sin(min(metres / earth, math.pi) / 2) ** 2 if metres >= 0 else -1.0
 
-    least = chord(radius_m - margin_m)
-    beyond = chord(radius_m + margin_m) if (radius_m + margin_m) / earth < math.pi else math.inf
-
     def sphere(lat: pa.ChunkedArray, lon: pa.ChunkedArray) -> np.ndarray:
         y, x = np.radians(lat.to_numpy()), np.radians(lon.to_numpy())
         return np.stack([np.cos(y) * np.cos(x), np.cos(y) * np.sin(x), np.sin(y)], axis=1)
@@ -182,6 +206,86 @@ def _counter(
         at = np.flatnonzero(np.diff(code, prepend=-1))
         return at, np.append(at[1:], len(code))
 
+    return chord, sphere, codes, runs
+
+
+def _pairer(
+    keys: list[str], l_names: list[str], r_names: list[str], left_coords: tuple[str, str], right_coords: tuple[str, str],
+    radius_m: float, margin_m: float, sure: bool,
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Forms the pairs of left and right rows that share ``keys`` and may be within the radius, sorted by distance in
+    pieces. ``__sure`` are those that need no exact distance to tell, if ``sure`` says that there are such."""
+    chord, sphere, codes, runs = _arrays()
+    least, beyond = chord(radius_m - margin_m) if sure else -1.0, chord(radius_m + margin_m)
+    if radius_m + margin_m >= math.pi * EARTH_RADIUS_M:
+        beyond = math.inf
+    piece, cells = PACK_PAIRS, PACK_CELLS
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches([*batches]).combine_chunks()
+        key, is_left = codes([rows[k] for k in keys]), rows["__left"].to_numpy()
+        sides = []
+        for side, names, coords in ((is_left, l_names, left_coords), (~is_left, r_names, right_coords)):
+            at = np.flatnonzero(side)
+            table = rows.select(names).take(pa.array(at))
+            w = sphere(*(table[c].cast(pa.float64()) for c in coords))
+            # Coordinates that are no numbers are near nothing.
+            order = np.flatnonzero(np.isfinite(w).all(axis=1))
+            order = order[np.argsort(key[at][order], kind="stable")]
+            sides.append((table, w, order.astype(np.int32), key[at][order], *runs(key[at][order])))
+        (left, u, order1, key1, at1, end1), (right, v, order2, key2, at2, end2) = sides
+        held, n = [], 0
+        _, i, j = np.intersect1d(key1[at1], key2[at2], assume_unique=True, return_indices=True)
+        for x, y in zip(i, j, strict=True):
+            p, q = order1[at1[x] : end1[x]], order2[at2[y] : end2[y]]
+            a, b = u[p] - v[q[0]], v[q] - v[q[0]]
+            slack = 1e-13 * (float((a * a).sum(axis=1).max()) + float((b * b).sum(axis=1).max()))
+            left_side = np.concatenate([a, (a * a).sum(axis=1)[:, None], np.ones((len(p), 1))], axis=1)
+            right_side = np.concatenate([-2 * b.T, np.ones((1, len(q))), (b * b).sum(axis=1)[None]])
+            tall = max(1, cells // min(len(q), cells))
+            for c in range(0, len(p), tall):
+                for e in range(0, len(q), cells):
+                    wide = right_side[:, e : e + cells]
+                    d = (left_side[c : c + tall] @ wide).ravel()
+                    near = np.flatnonzero(d <= beyond + slack)
+                    d = d[near]
+                    held.append((p[c + near // wide.shape[1]], q[e + near % wide.shape[1]], d.astype(np.float32), d <= least - slack))
+                    n += len(near)
+                    if n >= piece:
+                        yield from sorted_piece(left, right, held)
+                        n = 0
+        if n:
+            yield from sorted_piece(left, right, held)
+
+    def sorted_piece(left: pa.Table, right: pa.Table, held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        p, q, d, is_sure = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        # Bits of numbers that are not negative are in the numbers' order, and whole numbers are sorted the fastest.
+        by = np.maximum(d, np.float32(0)).view(np.uint32).astype(np.uint64)
+        by <<= np.uint64(32)
+        by |= np.arange(len(d), dtype=np.uint64)
+        by.sort()
+        order = by.astype(np.uint32)
+        for c in range(0, len(order), 100_000):
+            some = order[c : c + 100_000]
+            made = {k: t[k].take(pa.array(at[some])) for t, names, at in ((left, l_names, p), (right, r_names, q)) for k in names}
+            made["__sure"] = pa.array(is_sure[some])
+            yield from pa.table(made).combine_chunks().to_batches()
+
+    return pairs
+
+
+def _counter(
+    keys: list[str], l_by: list[str], r_by: list[str], output: str, radius_m: float, margin_m: float, per_radius: int
+) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Counts pairs of places and points that share ``keys``: weights of pairs within the radius per group, and the pairs
+    too close to it to tell, with their coordinates. Distances are chords between points on the unit sphere."""
+    chord, sphere, codes, runs = _arrays()
+    most, cells, earth = max(1, MAX_COMPARED // 4), 1_000_000, EARTH_RADIUS_M
+    crowd = MAX_COMPARED
+    least = chord(radius_m - margin_m)
+    beyond = chord(radius_m + margin_m) if (radius_m + margin_m) / earth < math.pi else math.inf
+
     def boxed(a: np.ndarray, b: np.ndarray, pieces: int) -> np.ndarray:
         """Numbers of the pieces of a grid over both coordinates."""
         number = np.zeros(len(a), np.int64)
@@ -359,8 +463,7 @@ def count_within(
 
     total = n_points + 9 * n_places
     spread, repeated, on = salted_sides(points, near, keys, per_cell(points), per_cell(near), total)
-    part = F.pmod(F.xxhash64(*on), F.lit(max(LEAST_TASKS, math.ceil(total / TASK_POINTS)))).cast("int")
-    margin_m = min(_SURE_M, grid.margin_m) if distance.formula == "haversine" else grid.margin_m
+    part, margin_m = _task(on, total), _margin(grid, distance)
     counter = _counter(on, list(l_by.values()), list(r_by.values()), output, radius_m, margin_m, per_radius)
     coordinates = ("__lat1", "__lon1", "__lat2", "__lon2")
     asked = repeated.withColumn("__task", part).groupBy("__task")

@@ -22,8 +22,15 @@ def near_pairs(
     *,
     block: str | None = "neighbourhood",
     distance: Distance = Distance(),
+    ids_only: bool = False,
 ) -> DataFrame:
-    """Pairs of a place and an incident within the radius, unsorted; sort where they are shown."""
+    """Pairs of a place and an incident within the radius, unsorted; sort where they are shown. ``ids_only`` leaves their
+    ids and distance, packed for results that are written."""
+    if ids_only:
+        also = [block] if block else []
+        left, right = places.select("amnt_id", "lat", "lon", *also), incidents.select("c_id", "latitude", "longitude", *also)
+        pairs = distance_join(left, right, radius, block=block, distance=distance, packed=True)
+        return pairs.select("amnt_id", "c_id", "distance_in_meters")
     left = ["amnt_id", "category", "amenity", "name", "lat", "lon", "neighbourhood"]
     right = ["c_id", F.col("type").alias("crime_type"), "latitude", "longitude"]
     if block:

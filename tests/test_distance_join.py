@@ -251,3 +251,65 @@ def test_points_at_the_radius_and_odd_coordinates_count_as_they_join(spark):
         pairs = distance_join(l, r, radius, block=None, distance=how).groupBy("lid").count().collect()
         got = count_within(l, r, radius, left_by=["lid"], block=None, distance=how).collect()
         assert sorted((x["lid"], x["n"]) for x in got) == sorted(map(tuple, pairs))
+
+
+@pytest.mark.parametrize("piece, cells", [(4_000_000, 1_000_000), (50, 7)])
+@pytest.mark.parametrize("block", ["neighbourhood", None])
+def test_packed_pairs_are_the_same_pairs(spark, hot, monkeypatch, block, piece, cells):
+    monkeypatch.setattr(module, "PACK_PAIRS", piece)
+    monkeypatch.setattr(module, "PACK_CELLS", cells)
+    left, right = city(90, 11), city(240, 12)
+    left += [left[0], (90, None, -123.1, "a", "x")]
+    right += [right[1], (240, 49.25, None, "a", "x"), (241, 49.25, float("nan"), "a", "x")]
+    l, r = frames(spark, left, right)
+    r = r if block else r.drop("neighbourhood")
+    plain, packed = (distance_join(l, r, 700.0, block=block, packed=p) for p in (False, True))
+    assert packed.schema.simpleString() == plain.schema.simpleString()
+    want = sorted(map(repr, plain.collect()))
+    assert len(want) > 1000 and sorted(map(repr, packed.collect())) == want
+
+
+@pytest.mark.parametrize("distance", [Distance(), Distance("cosine"), Distance("scaled_degrees", clamp=False)])
+def test_packed_pairs_at_the_radius_the_poles_and_the_date_line(spark, distance):
+    spots = [(i, 49.25 + i * 0.001, -123.1) for i in range(12)] + [(i, 89.9 + i * 0.001, 30.0 * i) for i in range(20, 32)]
+    spots += [(40, 10.0, 179.9999), (41, 10.0, -179.9999), (42, -90.0, 0.0), (43, -89.9999, 120.0), (44, 10.0, None)]
+    l = spark.createDataFrame(spots, "lid int, lat double, lon double")
+    r = spark.createDataFrame(spots, "rid int, latitude double, longitude double")
+    for metres in (0.0, meters((49.25, -123.1), (49.254, -123.1)), 2.0e7, 3.0e7):
+        how = {"block": None, "distance": distance}
+        plain, packed = (distance_join(l, r, metres / distance.metres_per_unit, packed=p, **how) for p in (False, True))
+        assert sorted(map(repr, packed.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_unblocked_pairs_come_sorted_by_distance_in_pieces(spark, tmp_path):
+    """A task's unsorted distances were three quarters of the result on disk."""
+    from workload.queries import incidents, near_pairs_unblocked, places
+
+    customers = [(i, f"C{i}", i % 25) for i in range(2500)]
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_nationkey int").write.parquet(str(tmp_path / "customer.parquet"))
+    orders = [(i, i % 2500) for i in range(6000)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    got = near_pairs_unblocked(spark, str(tmp_path)).collect()
+    gaps = [x["distance_in_meters"] for x in got]
+    assert len(gaps) > 5000
+    # A piece for each group of cells; nearly equal distances may have changed places.
+    assert sum(b < a for a, b in zip(gaps, gaps[1:])) <= module.LEAST_TASKS + len(gaps) // 100
+    plain = distance_join(
+        places(spark, str(tmp_path)).select("amnt_id", "lat", "lon"),
+        incidents(spark, str(tmp_path)).select("c_id", "latitude", "longitude"), 500.0, block=None,
+    ).select("amnt_id", "c_id", F.round("distance_in_meters", 3))
+    assert sorted(map(tuple, got)) == sorted(map(tuple, plain.collect()))
+
+
+def test_packed_pieces_are_smaller_on_disk(spark, tmp_path):
+    """Four million pairs of one quarter, as many as are sorted at a time."""
+    rnd = random.Random(8)
+    spots = [(i, 49.25 + rnd.uniform(0, 0.003), -123.1 + rnd.uniform(0, 0.004)) for i in range(2000)]
+    l = spark.createDataFrame(spots, "lid long, lat double, lon double")
+    r = spark.createDataFrame(spots, "rid long, latitude double, longitude double")
+    sizes = []
+    for packed in (False, True):
+        pairs = distance_join(l, r, 600.0, block=None, packed=packed).select("lid", "rid", F.round("distance_in_meters", 3).alias("gap"))
+        pairs.coalesce(1).write.parquet(str(tmp_path / str(packed)))
+        sizes.append(sum(f.stat().st_size for f in (tmp_path / str(packed)).glob("*.parquet")))
+    assert sizes[1] < 0.8 * sizes[0], sizes

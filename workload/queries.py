@@ -234,7 +234,7 @@ def near_pairs_parity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def near_pairs_unblocked(spark: SparkSession, sf: str) -> DataFrame:
-    return _pairs(spark, sf, block=None).select("amnt_id", "c_id", "distance_in_meters")
+    return _pairs(spark, sf, block=None, ids_only=True)
 
 
 def near_pairs_first20(spark: SparkSession, sf: str) -> DataFrame:
